@@ -131,3 +131,25 @@ def strip_chars(col, chars: str) -> Column:
 def lstrip_chars(col, chars: str) -> Column:
     cls = "".join("\\" + ch for ch in chars)
     return F.regexp_replace(_c(col), f"^[{cls}]+", "")
+
+
+def strip_ws(col) -> Column:
+    """Python ``str.strip()``: removes Unicode white space at both ends.
+
+    Spark's ``trim`` removes only the space character, so it is not used where
+    the reference strips tabs and new lines as well.
+    """
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+
+
+def groups(text, pattern: str, n: int) -> Column:
+    """``re.findall`` with ``n`` groups: ``ARRAY<STRUCT<g1..gn>>`` in match order.
+
+    Each group is extracted over the same matcher walk, so the arrays align.
+    Unmatched optional groups come back as ``''``.
+    """
+    arrs = [findall(text, pattern, i) for i in range(1, n + 1)]
+    if n == 1:
+        return F.transform(arrs[0], lambda x: F.struct(x.alias("g1")))
+    z = F.arrays_zip(*arrs)
+    return F.transform(z, lambda s: F.struct(*[s[str(i)].alias(f"g{i + 1}") for i in range(n)]))
