@@ -247,3 +247,98 @@ def router_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(F.concat(F.lit("router/n"), F.col("n").cast("string"), F.lit("_"),
                                  F.col("c").cast("string"), F.lit(".js")).alias("path"),
                         F.concat(F.lit("const routes = [\n"), F.col("body"), F.lit("]\n")).alias("content"))
+
+
+# --------------------------------------------------------------------------
+# Stores and translators: one file per (c_nationkey, c_custkey div 64)
+# --------------------------------------------------------------------------
+STORE_GETTER = """    seg@@c@@(state) {
+      if (state.segment === '@@mkt@@') {
+        return state.term
+      }
+      return null
+    },
+"""
+STORE_PLAIN_GETTER = """    all@@c@@(state) {
+      return state.items
+    },
+"""
+STORE_ACTION = """    async load@@c@@({ commit }, id) {
+      const res = await Client.get@@c@@(id)
+      commit('set', res)
+    },
+"""
+STORE_EMPTY_ACTION = """    reset@@c@@({ commit }) {
+      commit('reset')
+    },
+"""
+STORE_FILE = """export default new Vuex.Store({
+  state: {
+    isLogin: false,
+    sessionID: '',
+    user: null,
+    term@@n@@: null,
+    segment@@n@@: ''
+  },
+  getters: {
+@@getters@@@@plain@@  },
+  actions: {
+    login({ commit }, creds) {
+      Client.login(creds)
+    },
+@@actions@@  }
+})
+"""
+TRANSLATOR_BLOCK = """Vue.prototype.$seg@@c@@ = function (v) {
+  switch (v) {
+    case "@@mkt@@":
+      return "@@name@@"
+    case 'N@@n@@':
+      return 'nation @@n@@'
+  }
+}
+
+"""
+
+
+def _customer_chunks(spark: SparkSession, sf_dir: str, pieces: dict) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    ck = F.col("c_custkey")
+    cols = [F.col("c_nationkey").alias("n"), F.floor(ck / 64).alias("ch"), ck.alias("c")]
+    cols += [v.alias(k) for k, v in pieces.items()]
+    def field(name):
+        return lambda x: x[name]
+
+    g = c.select(*cols).groupBy("n", "ch").agg(
+        *[F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", k))), field(k)), "")
+          .alias(k) for k in pieces])
+    return g
+
+
+def store_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(path, content)``: per customer c a filtering getter ``seg<c>`` (on
+    c_mktsegment) unless c % 3 = 0, then a plain getter ``all<c>`` after all
+    filtering ones; an action ``load<c>`` calling ``Client.get<c>`` unless
+    c % 4 = 0 (``reset<c>`` without calls); a skipped ``login`` action; state
+    fields term<n>, segment<n> besides three skipped names."""
+    ck = F.col("c_custkey")
+    g = _customer_chunks(spark, sf_dir, {
+        "getters": when_text(ck % 3 != 0, fill(STORE_GETTER, c=ck, mkt=F.col("c_mktsegment"))),
+        "plain": when_text(ck % 3 == 0, fill(STORE_PLAIN_GETTER, c=ck)),
+        "actions": F.when(ck % 4 != 0, fill(STORE_ACTION, c=ck)).otherwise(fill(STORE_EMPTY_ACTION, c=ck))})
+    return g.select(F.concat(F.lit("store/n"), F.col("n").cast("string"), F.lit("_"), F.col("ch").cast("string"),
+                             F.lit(".js")).alias("path"),
+                    fill(STORE_FILE, n=F.col("n"), getters=F.col("getters"), plain=F.col("plain"),
+                         actions=F.col("actions")).alias("content"))
+
+
+def translator_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(path, content)``: per customer c a prototype function ``seg<c>`` with
+    cases c_mktsegment -> c_name and N<nation> -> ``nation <nation>``."""
+    ck = F.col("c_custkey")
+    g = _customer_chunks(spark, sf_dir, {
+        "blocks": fill(TRANSLATOR_BLOCK, c=ck, mkt=F.col("c_mktsegment"), name=F.col("c_name"),
+                       n=F.col("c_nationkey"))})
+    return g.select(F.concat(F.lit("plugins/n"), F.col("n").cast("string"), F.lit("_"), F.col("ch").cast("string"),
+                             F.lit(".js")).alias("path"),
+                    F.concat(F.lit("import Vue from 'vue'\n\n"), F.col("blocks")).alias("content"))
