@@ -274,7 +274,15 @@ def number_rows(df: DataFrame, order_cols: list[str], id_col: str = "req_id",
 def client_requirements(routes: DataFrame, components: DataFrame, getters: DataFrame,
                         api: DataFrame, entry_points: DataFrame, evidence: DataFrame,
                         templates=P.GUARD_TEMPLATES) -> DataFrame:
-    """Client-only requirements from five sources with one running id.
+    """Client-only requirements with one running id ``CL-nnn``."""
+    rows = client_requirement_rows(routes, components, getters, api, entry_points, evidence, templates)
+    return number_rows(rows, ["_b", "_s", "_o", "_i"]).drop("_b", "_s", "_o", "_i")
+
+
+def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: DataFrame,
+                            api: DataFrame, entry_points: DataFrame, evidence: DataFrame,
+                            templates=P.GUARD_TEMPLATES) -> DataFrame:
+    """L12 rows before numbering (sort keys ``_b, _s, _o, _i``).
 
     Order: route guards (router file, route position, guard), irreversibility
     guards, store getters that filter, polling flows (direct and indirect
@@ -336,8 +344,7 @@ def client_requirements(routes: DataFrame, components: DataFrame, getters: DataF
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x, allowMissingColumns=True)
-    out = out.withColumn("related_fr_ids", F.coalesce("related_fr_ids", empty))
-    return number_rows(out, ["_b", "_s", "_o", "_i"]).drop("_b", "_s", "_o", "_i")
+    return out.withColumn("related_fr_ids", F.coalesce("related_fr_ids", empty))
 
 
 # ------------------------------------------------------------------ L13, L14

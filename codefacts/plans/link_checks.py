@@ -201,7 +201,7 @@ def q_behavior_counts(spark, sf_dir):
     return L.behavior_counts(L.behaviors(components(spark, sf_dir)))
 
 
-CLIENT_REQ_SQL = """
+CLIENT_REQ_CTE = """
 WITH sp AS (SELECT s_suppkey AS s, 'router/n' || s_nationkey || '_' || (s_suppkey // 64) || '.js' AS src FROM supplier),
 spo AS (SELECT *, CAST(row_number() OVER (PARTITION BY src ORDER BY s) - 1
                   + coalesce(sum(CASE WHEN s % 5 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY src ORDER BY s
@@ -232,7 +232,8 @@ b5 AS (SELECT 5, 'views/P' || p_partkey || '.vue', 0, 0, 'auto_context', 'views/
               'created', '페이지 진입 시 ''fetchTerm' || p_size || ''' 액션을 자동 실행해 학기 컨텍스트를 설정한다',
               NULL, 'fetchTerm' || p_size, '' FROM part),
 u AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3 UNION ALL SELECT * FROM b4
-      UNION ALL SELECT * FROM b5),
+      UNION ALL SELECT * FROM b5)"""
+CLIENT_REQ_SQL = CLIENT_REQ_CTE + """,
 n AS (SELECT *, row_number() OVER (ORDER BY b, s_, o, i) AS rn FROM u)
 SELECT CASE WHEN rn < 1000 THEN 'CL-' || lpad(CAST(rn AS VARCHAR), 3, '0') ELSE 'CL-' || rn END AS req_id,
        type, source, route, condition, description, actor, api_calls, related_fr_ids FROM n"""

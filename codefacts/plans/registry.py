@@ -32,4 +32,5 @@ def register(name: str, ids: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from codefacts.plans import client_checks, go_checks, graph_checks, link_checks, trace_checks  # noqa: F401,E501
+    from codefacts.plans import (audit_checks, client_checks, go_checks, graph_checks,  # noqa: F401
+                                 link_checks, trace_checks)
