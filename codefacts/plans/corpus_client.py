@@ -46,7 +46,7 @@ def when_text(cond: Column, text: Column | str) -> Column:
 COMPONENT = """<template>
   <div class="page">
     <p class="title"> @@name@@ </p>
-    <select v-model="form.brand">
+@@role_div@@    <select v-model="form.brand">
       <option value="">all</option>
       <option value="@@brand@@"> @@ptype@@ </option>
       <option value="K@@k@@">@@name@@</option>
@@ -106,6 +106,7 @@ export default {
 </script>
 """
 
+ROLE_DIV = """    <div v-if="role === 'admin'">Admin</div>\n"""
 DISABLED_BTN = """    <button :disabled="status === 'FINISHED'">Close</button>\n"""
 CLICK_BTN = """    <button @click="semester === 'SPRING' ? loadSpring() : loadFall()">Go</button>\n"""
 MOUNTED = """  mounted() {\n    this.poll()\n  },\n"""
@@ -139,7 +140,8 @@ def component_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     Planted facts (k = p_partkey, z = p_size): title p_name; options
     (p_brand, p_type) and (K<k>, p_name) plus (p_type, p_type) in a form select;
     header columns [No, p_type]; three form fields; list field f<z>; disabled
-    guard when z % 3 = 0; template ternary when z % 4 = 0; mounted hook when
+    guard when z % 3 = 0; a role-guarded block when z % 5 = 0; template
+    ternary when z % 4 = 0; mounted hook when
     z % 2 = 0; confirmation guard when z % 7 = 0; script ternary and if/else
     when z % 6 = 0; poll delay z * 100.
     """
@@ -149,6 +151,7 @@ def component_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                 delay=z * 100,
                 done_msg=F.element_at(F.array(*[F.lit(m) for m in DONE_MESSAGES]), (z % 3 + 1).cast("int")),
                 disabled_btn=when_text(z % 3 == 0, DISABLED_BTN),
+                role_div=when_text(z % 5 == 0, ROLE_DIV),
                 click_btn=when_text(z % 4 == 0, CLICK_BTN),
                 mounted=when_text(z % 2 == 0, MOUNTED),
                 confirm=when_text(z % 7 == 0, fill(CONFIRM, k=k)),
