@@ -153,3 +153,39 @@ def groups(text, pattern: str, n: int) -> Column:
         return F.transform(arrs[0], lambda x: F.struct(x.alias("g1")))
     z = F.arrays_zip(*arrs)
     return F.transform(z, lambda s: F.struct(*[s[str(i)].alias(f"g{i + 1}") for i in range(n)]))
+
+
+def bracket_pairs(text, open_ch: str = "{", close_ch: str = "}") -> Column:
+    """``MAP<INT, INT>`` from the 1-based position of every opening bracket to
+    the position of its partner, in one pass over the text (a stack fold).
+
+    The partner of an opening bracket is the first closing bracket that brings
+    the depth counted from it back to zero, exactly what ``block_end`` finds;
+    a closing bracket with no open partner is ignored. Looking blocks up in
+    this map costs one pass per text instead of one scan per block.
+    """
+    pieces = F.split(_c(text), "(?=[" + "\\" + open_ch + "\\" + close_ch + "])", -1)
+    init = F.struct(F.array().cast("array<int>").alias("st"), F.lit(0).alias("off"),
+                    F.array().cast("array<struct<o:int,c:int>>").alias("pr"))
+
+    def step(acc, p):
+        first = F.substring(p, 1, 1)
+        pos = acc["off"] + 1
+        st, pr = acc["st"], acc["pr"]
+        is_open = first == open_ch
+        is_close = (first == close_ch) & (F.size(st) > 0)
+        new_st = (F.when(is_open, F.array_append(st, pos))
+                  .when(is_close, F.slice(st, 1, F.size(st) - 1)).otherwise(st))
+        new_pr = F.when(is_close, F.array_append(pr, F.struct(F.element_at(st, -1).alias("o"), pos.alias("c")))) \
+            .otherwise(pr)
+        return F.struct(new_st.alias("st"), (acc["off"] + F.length(p)).alias("off"), new_pr.alias("pr"))
+
+    return F.aggregate(pieces, init, step, lambda acc: F.map_from_entries(acc["pr"]))
+
+
+def pair_len(pairs: Column, start) -> Column:
+    """Length of the block opening at ``start`` given ``bracket_pairs``; 0 when
+    it never closes."""
+    start = _c(start)
+    close = F.try_element_at(pairs, start)
+    return F.coalesce(close - start + 1, F.lit(0))

@@ -74,10 +74,14 @@ def mask(content, keep_strings: bool = False) -> Column:
 
 
 def masked_files(files: DataFrame) -> DataFrame:
-    """``(path, content, masked, nocomment)``; persist this narrow table once
-    when several extractors read it (SURVEY §4, regex-heavy projections)."""
-    return files.select("path", "content", mask("content").alias("masked"),
-                        mask("content", keep_strings=True).alias("nocomment"))
+    """``(path, content, masked, nocomment, parens, braces)``: the masked texts
+    and the bracket partner maps of the masked text, each computed once per
+    file. Persist this table when several extractors read it (SURVEY §4,
+    regex-heavy projections)."""
+    m = files.select("path", "content", mask("content").alias("masked"),
+                     mask("content", keep_strings=True).alias("nocomment"))
+    return m.select("*", T.bracket_pairs("masked", "(", ")").alias("parens"),
+                    T.bracket_pairs("masked", "{", "}").alias("braces"))
 
 
 # ------------------------------------------------------------------ G1, G2
@@ -86,19 +90,19 @@ def functions(mf: DataFrame) -> DataFrame:
 
     ``signature`` = ``func `` + receiver + name + params + result, trimmed.
     """
-    h = (mf.select("path", "content", "masked",
+    h = (mf.select("path", "content", "masked", "parens", "braces",
                    F.posexplode(T.finditer("masked", RX_FUNC)).alias("ord", "h"))
-         .select("path", "content", "masked", F.col("ord").cast("int").alias("ord"),
+         .select("path", "content", "masked", "parens", "braces", F.col("ord").cast("int").alias("ord"),
                  F.regexp_extract("h.m", RX_FUNC, 1).alias("_recv"),
                  F.regexp_extract("h.m", RX_FUNC, 2).alias("function_name"),
                  (F.col("h.pos") + F.length("h.m") - 1).alias("_pp")))
-    plen = T.block_end("masked", "_pp", 1 << 30, "(", ")")
+    plen = T.pair_len(F.col("parens"), F.col("_pp"))
     h = h.withColumn("_plen", plen).where(F.col("_plen") > 0)
     rest = F.col("masked").substr(F.col("_pp") + F.col("_plen"), F.lit(4096))
     h = h.withColumn("_res", T.search(rest, RX_RESULT, 0))
     h = h.withColumn("_bpos", F.when(F.col("_res").isNotNull(),
                                      F.col("_pp") + F.col("_plen") + F.length("_res") - 1))
-    blen = F.when(F.col("_bpos").isNotNull(), T.block_end("masked", "_bpos", 1 << 30)).otherwise(0)
+    blen = F.when(F.col("_bpos").isNotNull(), T.pair_len(F.col("braces"), F.col("_bpos"))).otherwise(0)
     h = h.withColumn("_blen", blen)
     raw = F.col("content")
     params = raw.substr(F.col("_pp"), F.col("_plen"))
@@ -108,7 +112,7 @@ def functions(mf: DataFrame) -> DataFrame:
     sig = T.strip_ws(F.concat(F.lit("func "), recv, F.col("function_name"), params, F.lit(" "), result))
     return h.select("path", "ord", "function_name",
                     F.nullif(F.col("_recv"), F.lit("")).alias("receiver"), sig.alias("signature"),
-                    F.col("_bpos").alias("body_pos"),
+                    F.col("_bpos").alias("body_pos"), "parens",
                     F.when(F.col("_blen") > 0, raw.substr(F.col("_bpos"), F.col("_blen"))).alias("body"),
                     F.when(F.col("_blen") > 0, F.col("masked").substr(F.col("_bpos"), F.col("_blen")))
                     .alias("masked_body"))
@@ -125,14 +129,14 @@ def calls(fns: DataFrame, router=P.ROUTER_PATTERNS, db=P.DB_PATTERNS, http=P.HTT
     HTTP-client veto, the error test on the callee.
     """
     c = (fns.where(F.col("masked_body").isNotNull())
-         .select("path", F.col("ord").alias("function_ord"), "function_name", "body", "masked_body",
+         .select("path", F.col("ord").alias("function_ord"), "function_name", "body", "body_pos", "parens",
                  F.posexplode(T.finditer("masked_body", RX_CALL)).alias("ord", "h"))
-         .select("path", "function_ord", "function_name", "body", "masked_body",
+         .select("path", "function_ord", "function_name", "body", "body_pos", "parens",
                  F.col("ord").cast("int").alias("ord"), F.col("h.pos").alias("_pos"),
                  F.regexp_extract("h.m", RX_CALL, 1).alias("callee"),
                  (F.col("h.pos") + F.length("h.m") - 1).alias("_pp"))
          .where(~F.col("callee").isin(*CALL_KEYWORDS)))
-    alen = T.block_end("masked_body", "_pp", 1 << 30, "(", ")")
+    alen = T.pair_len(F.col("parens"), F.col("body_pos") + F.col("_pp") - 1)
     c = c.withColumn("_alen", alen).where(F.col("_alen") > 0)
     full = F.col("body").substr(F.col("_pos"), F.col("_pp") + F.col("_alen") - F.col("_pos"))
     c = c.select("path", "function_ord", "function_name", "ord", "callee", full.alias("full_call"))

@@ -36,6 +36,20 @@ def fill(template: str, **cols: Column) -> Column:
     return F.concat(*parts)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread narrow input rows over ``spark.sql.shuffle.partitions`` tasks
+    before text is generated from them.
+
+    A small table is one scan split, and the text built from it is two orders
+    of magnitude larger than its rows; without this every extractor downstream
+    runs in one task. With ``keys`` the rows are hash-partitioned so that a
+    following ``groupBy(keys)`` needs no second shuffle. An explicit count is
+    kept by adaptive execution (it does not coalesce it away).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
 def when_text(cond: Column, text: Column | str) -> Column:
     return F.when(cond, text if isinstance(text, Column) else F.lit(text)).otherwise(F.lit(""))
 
@@ -145,7 +159,7 @@ def component_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     z % 2 = 0; confirmation guard when z % 7 = 0; script ternary and if/else
     when z % 6 = 0; poll delay z * 100.
     """
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     k, z = F.col("p_partkey"), F.col("p_size")
     cols = dict(k=k, z=z, name=F.col("p_name"), brand=F.col("p_brand"), ptype=F.col("p_type"),
                 delay=z * 100,
@@ -202,7 +216,7 @@ def api_client_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     longer than the scan budget when k % 97 = 0 (no hit). ``status<k>`` posts a
     template URL that stays raw (SURVEY Q17).
     """
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_type"))
     k = F.col("p_partkey")
     verb = F.element_at(F.array(*[F.lit(v) for v in VERBS]), (k % 4 + 1).cast("int"))
     call = F.when(k % 4 == 3, fill(API_RETURN, k=k)).otherwise(
@@ -243,7 +257,8 @@ def router_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(s % 3 == 1, F.lit(", needsNotGraduated: true")).otherwise(F.lit("")),
                  children=when_text(s % 5 == 0, fill(ROUTE_CHILD, s=s)))
     chunk = F.floor(s / 64)
-    files = (s_.select(F.col("s_nationkey").alias("n"), chunk.alias("c"), s.alias("s"), route.alias("r"))
+    files = (spread(s_.select(F.col("s_nationkey").alias("n"), chunk.alias("c"), s.alias("s"), route.alias("r")),
+                    "n", "c")
              .groupBy("n", "c")
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "r"))),
                                            lambda x: x["r"]), "").alias("body")))
@@ -312,7 +327,7 @@ def _customer_chunks(spark: SparkSession, sf_dir: str, pieces: dict) -> DataFram
     def field(name):
         return lambda x: x[name]
 
-    g = c.select(*cols).groupBy("n", "ch").agg(
+    g = spread(c.select(*cols), "n", "ch").groupBy("n", "ch").agg(
         *[F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", k))), field(k)), "")
           .alias(k) for k in pieces])
     return g

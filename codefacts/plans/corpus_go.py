@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codefacts.plans.corpus_client import fill, when_text
+from codefacts.plans.corpus_client import fill, spread, when_text
 from codefacts.sources.tables import table
 
 GO_FILE = """package p@@k@@
@@ -96,7 +96,7 @@ def param_name(k):
 
 
 def go_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size"))
     k, z = F.col("p_partkey"), F.col("p_size")
     half, third = F.floor(k / 2), F.floor(k / 3)
     pname = param_name(k)
