@@ -49,20 +49,22 @@ def internal_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
     rows are split: a semi join on the base name, and for the rest a semi join
     on the whole text. ``names`` has one column ``function_name``.
     """
-    n = names.select(F.col("function_name").alias("_n")).distinct()
+    n1 = names.select(F.col("function_name").alias("_n1")).distinct()
+    n2 = names.select(F.col("function_name").alias("_n2")).distinct()
     based = calls.withColumn("_base", call_base("callee"))
-    by_base = based.join(n, based["_base"] == n["_n"], "left_semi")
-    rest = (based.join(n, based["_base"] == n["_n"], "left_anti")
-            .join(n, F.col("callee") == n["_n"], "left_semi"))
+    by_base = based.join(n1, based["_base"] == n1["_n1"], "left_semi")
+    rest = (based.join(n1, based["_base"] == n1["_n1"], "left_anti")
+            .join(n2, F.col("callee") == n2["_n2"], "left_semi"))
     return by_base.unionByName(rest).drop("_base")
 
 
 def external_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
     """Calls dropped as external (neither base nor text registered)."""
-    n = names.select(F.col("function_name").alias("_n")).distinct()
+    n1 = names.select(F.col("function_name").alias("_n1")).distinct()
+    n2 = names.select(F.col("function_name").alias("_n2")).distinct()
     based = calls.withColumn("_base", call_base("callee"))
-    return (based.join(n, based["_base"] == n["_n"], "left_anti")
-            .join(n, F.col("callee") == n["_n"], "left_anti").drop("_base"))
+    return (based.join(n1, based["_base"] == n1["_n1"], "left_anti")
+            .join(n2, F.col("callee") == n2["_n2"], "left_anti").drop("_base"))
 
 
 def call_edges(functions: DataFrame, calls: DataFrame) -> DataFrame:

@@ -57,8 +57,11 @@ def order_call_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
         F.when(s % 5 == 0, _name("G", s))
         .when(s % 2 == 0, _name("store.F", s))
         .otherwise(_name("F", s)).alias("callee"))
+    # the callee depends on the row (not a literal), as real call texts do; a
+    # literal would be constant-folded into a join without an equality key
     legacy_calls = legacy.select("path", F.col("ord").alias("function_ord"), "function_name",
-                                 F.lit("log.Printf").alias("callee"))
+                                 F.when(F.col("ord") >= 0, F.lit("log.Printf"))
+                                 .otherwise(F.lit("log.Print")).alias("callee"))
     return functions, svc_calls.unionByName(legacy_calls)
 
 
