@@ -8,8 +8,9 @@ Inputs are flat fact tables:
 
 Everything stays a flat edge table. Adjacency and caller lists are never
 collected into one array per function: a popular callee can carry a large
-share of all edges, and a flat table spreads it over tasks. ``to_lists`` in
-``codefacts.sources.sinks`` builds the nested document only at write time.
+share of all edges, and a flat table spreads it over tasks. C9 (the combined
+graph document) is ``codefacts.sources.files.write_call_graph``: the four
+tables written side by side.
 """
 
 from __future__ import annotations

@@ -453,3 +453,16 @@ def store_state(files: DataFrame, skip=P.STORE_STATE_SKIP) -> DataFrame:
     block = F.coalesce(T.search("content", RX_STATE_BLOCK, 1), F.lit(""))
     fields = F.filter(T.findall(block, RX_STATE_FIELD, 1), lambda x: ~x.isin(*skip))
     return _explode_list(files, ["path"], fields, "field")
+
+
+# ------------------------------------------------------------------ H27
+def component_records(components: DataFrame) -> DataFrame:
+    """One record per component with the per-file facts of H10-H26 as
+    columns (lists stay per file, so they are bounded by the file)."""
+    t, s = F.col("template"), F.col("script")
+    return components.select(
+        "file", client_call_list(s).alias("client_calls"), dispatch_list(s).alias("store_dispatches"),
+        this_call_list(s).alias("this_calls"), page_title(t).alias("page_title"),
+        vfor_fields(t).alias("vfor_fields"),
+        F.filter(T.findall(t, RX_DISABLED, 1), lambda x: T.contains_any(x, P.DISABLED_GUARD_WORDS))
+        .alias("disabled_guards"))

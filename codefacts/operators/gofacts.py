@@ -158,14 +158,18 @@ def error_messages(calls_df: DataFrame) -> DataFrame:
 def function_sets(calls_df: DataFrame) -> DataFrame:
     """Per definition, the distinct values of each kind (unordered):
     ``(path, function_ord, function_name, kind, value)`` where value is the
-    callee for plain calls, the message for errors, else the full call."""
-    plain = calls_df.where(F.col("kind") == "call").select(
-        "path", "function_ord", "function_name", F.lit("call").alias("kind"), F.col("callee").alias("value"))
-    rd = calls_df.where(F.col("kind").isin("router", "db")).select(
-        "path", "function_ord", "function_name", "kind", F.col("full_call").alias("value"))
-    err = error_messages(calls_df).select("path", "function_ord", "function_name",
-                                          F.lit("error").alias("kind"), F.col("message").alias("value"))
-    return plain.unionByName(rd).unionByName(err).distinct()
+    callee for plain calls, each message for errors, else the full call.
+
+    One pass over the calls: every call row becomes an array of
+    ``(kind, value)`` pairs that is exploded, then de-duplicated.
+    """
+    k = F.col("kind")
+    pairs = (F.when(k == "call", F.array(F.struct(k.alias("kind"), F.col("callee").alias("value"))))
+             .when(k == "error", F.transform(T.findall("full_call", RX_DQ_STRING, 1),
+                                             lambda m: F.struct(F.lit("error").alias("kind"), m.alias("value"))))
+             .otherwise(F.array(F.struct(k.alias("kind"), F.col("full_call").alias("value")))))
+    return (calls_df.select("path", "function_ord", "function_name", F.explode(pairs).alias("p"))
+            .select("path", "function_ord", "function_name", "p.kind", "p.value").distinct())
 
 
 # ------------------------------------------------------------------ G9

@@ -381,3 +381,13 @@ def client_summary(cmap: DataFrame, ui: DataFrame, b: DataFrame, evidence_rows:
         x = df.select(F.lit(name).alias("metric"), F.coalesce(F.col("v"), F.lit(0)).cast("bigint").alias("value"))
         out = x if out is None else out.unionByName(x)
     return out
+
+
+# ------------------------------------------------------------------ H20
+def api_params(components: DataFrame, api: DataFrame) -> DataFrame:
+    """Per component, the known client methods it calls (first
+    occurrence order) with their parameter names: ``(file, ord, method, params)``."""
+    calls = C.component_calls(components).where(F.col("call_kind") == "client") \
+        .select("file", "ord", F.col("method").alias("client_method"))
+    return (calls.join(api_map(api), "client_method")
+            .select("file", "ord", F.col("client_method").alias("method"), "params"))

@@ -169,6 +169,7 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
         opt = is_optional(ft, tag)
         bt = base_type(ft)
         f = (f.withColumn("_jk", jk).withColumn("_opt", opt).withColumn("_bt", bt)
+             # the scalar table is the fixed parameter list (a handful of rows)
              .join(F.broadcast(sc), F.col("_bt") == sc["_sname"], "left")
              .join(reg.select(F.col("_rn").alias("_sn")), F.col("_bt") == F.col("_sn"), "left")
              .where(~((ft == P.SESSION_ID_TYPE) & (F.col("depth") > 0))))
@@ -237,7 +238,9 @@ def rule_schemas(spark: SparkSession, rule_records: DataFrame, entry_points: Dat
     for k, c in cands.items():
         n = names.select(F.col("name").alias(f"_{k}"))
         r = r.withColumn(f"_c{k}", c).join(n, F.col(f"_c{k}") == F.col(f"_{k}"), "left")
-    r = r.join(F.broadcast(ov), h == F.col("_oh"), "left")
+    # no broadcast hint: an override table may grow with the code base; AQE
+    # broadcasts it from its measured size when it is small
+    r = r.join(ov, h == F.col("_oh"), "left")
     req = F.when(F.col("_ov").isNotNull(), F.col("_os")).otherwise(F.coalesce("_p1", "_p2"))
     resp = F.coalesce("_r1", "_r2")
     reg_names = names.select(F.col("name").alias("_qn"))

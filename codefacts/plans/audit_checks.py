@@ -12,7 +12,7 @@ from codefacts.operators import linking as L
 from codefacts.plans.corpus_client import component_files, store_files, translator_files
 from codefacts.plans.corpus_go import go_files
 from codefacts.plans.corpus_trace import entry_points, spec_evidence, spec_features
-from codefacts.plans.go_checks import go_graph_inputs, masked
+from codefacts.plans.go_checks import masked
 from codefacts.plans.link_checks import CLIENT_REQ_CTE, api, components, routes
 from codefacts.plans.registry import register
 
@@ -25,14 +25,24 @@ e0 AS (SELECT 'Get' || k AS src, 'F' || (k // 2) AS dst FROM p
 e AS (SELECT * FROM e0 WHERE dst IN (SELECT n FROM names))"""
 
 
-def go_edges(spark, sf_dir):
-    fns, cl = go_graph_inputs(spark, sf_dir)
+def go_facts(spark, sf_dir):
+    """Go functions and calls extracted once and checkpointed: the audit
+    queries read them several times (edges, entry handlers, definitions)."""
+    fns = G.functions(masked(spark, sf_dir)).select("path", "ord", "function_name").checkpoint(eager=True)
+    calls = (G.calls(G.functions(masked(spark, sf_dir)))
+             .select("path", "function_ord", "function_name", "kind", "callee").checkpoint(eager=True))
+    return fns, calls
+
+
+def go_edges(spark, sf_dir, facts=None):
+    fns, calls = facts or go_facts(spark, sf_dir)
+    cl = calls.where(F.col("kind") == "call").select("path", "function_ord", "function_name", "callee").distinct()
     return A.base_edges(cg.call_edges(fns, cl), "base"), fns
 
 
-def router_functions(spark, sf_dir):
-    c = G.calls(G.functions(masked(spark, sf_dir)))
-    return c.where(F.col("kind") == "router").select("function_name").distinct()
+def router_functions(spark, sf_dir, facts=None):
+    _, calls = facts or go_facts(spark, sf_dir)
+    return calls.where(F.col("kind") == "router").select("function_name").distinct()
 
 
 @register("reachability", "K1,C3", f"""
@@ -41,8 +51,9 @@ r(source, node) AS (SELECT 'Get' || k, 'Get' || k FROM p
                     UNION SELECT r.source, e.dst FROM r JOIN e ON e.src = r.node)
 SELECT source, node AS function_name FROM r""")
 def q_reachability(spark, sf_dir):
-    edges, _ = go_edges(spark, sf_dir)
-    src = router_functions(spark, sf_dir).select(F.col("function_name").alias("source"))
+    facts = go_facts(spark, sf_dir)
+    edges, _ = go_edges(spark, sf_dir, facts)
+    src = router_functions(spark, sf_dir, facts).select(F.col("function_name").alias("source"))
     return A.reachable(edges, src).select("source", "function_name")
 
 
@@ -66,8 +77,9 @@ WITH {GO_EDGES}
 SELECT n AS function_name FROM names
 WHERE n NOT IN (SELECT dst FROM e) AND n NOT LIKE 'Get%'""")
 def q_orphans(spark, sf_dir):
-    edges, fns = go_edges(spark, sf_dir)
-    handlers = router_functions(spark, sf_dir).select(F.col("function_name").alias("handler_symbol"))
+    facts = go_facts(spark, sf_dir)
+    edges, fns = go_edges(spark, sf_dir, facts)
+    handlers = router_functions(spark, sf_dir, facts).select(F.col("function_name").alias("handler_symbol"))
     return A.orphan_functions(fns, edges, handlers)
 
 

@@ -263,3 +263,21 @@ def q_ui_evidence(spark, sf_dir):
     feats = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("FR-"), F.col("c_custkey").cast("string")).alias("fr_id"))
     return L.attach_ui_evidence(feats, ev).select("fr_id", "component", "route")
+
+
+@register("client_api_params", "H20", f"""
+WITH {API_SQL},
+prm AS (SELECT 'get' || p_partkey AS method, CASE WHEN p_partkey % 97 = 0 THEN 'id' ELSE 'id,opts' END AS params
+        FROM part WHERE p_partkey % 97 <> 0 OR p_partkey % 11 = 0
+        UNION ALL SELECT 'status' || p_partkey, 'id' FROM part)
+SELECT 'views/P' || p_partkey || '.vue' AS file, 'get' || p_partkey AS method, prm.params
+FROM part JOIN prm ON prm.method = 'get' || p_partkey
+UNION ALL SELECT 'views/P' || p_partkey || '.vue', 'status' || p_partkey, 'id' FROM part""")
+def q_api_params(spark, sf_dir):
+    p = L.api_params(components(spark, sf_dir), api(spark, sf_dir))
+    return p.select("file", "method", F.array_join("params", ",").alias("params"))
+
+
+@register("client_component_records", "H27")
+def q_component_records(spark, sf_dir):
+    return C.component_records(components(spark, sf_dir))

@@ -125,3 +125,8 @@ def q_classify(spark, sf_dir):
     fs = (store_files(spark, sf_dir).unionByName(router_files(spark, sf_dir))
           .unionByName(translator_files(spark, sf_dir)).unionByName(api_client_files(spark, sf_dir)))
     return fs.select("path", S.js_kind("path").alias("kind"))
+
+
+@register("j_component_records", "J21")
+def q_component_records(spark, sf_dir):
+    return J.component_records(sections(spark, sf_dir))
