@@ -11,6 +11,8 @@ For k = p_partkey, z = p_size, h = k div 2, t = k div 3 the file holds:
   embedded ``Base``, ``Next *<param of h>`` and, when z % 4 = 0, a
   ``Session sessionID``; a response struct ``Get<k>Resp`` when k is even;
 * an interface ``Store<k>`` with two methods and an embedded interface;
+* in ``go/p0.go`` only, the shared ``Base`` struct (``Version int``) that every
+  request struct embeds (promoted fields, E11);
 * handler ``(h *Handler) Get<k>`` with a DB call, an error, plain calls
   (``F<h>``, ``len``, ``svc.F<t>``, ``fmt.Sprintf``, ``http.Get``) and an
   unchained router call; ``F<k>`` calling ``F<h>``.
@@ -43,7 +45,7 @@ const (
 )
 
 const Name@@k@@, Code@@k@@ = "@@name@@", @@k@@
-@@param@@@@resp@@
+@@base@@@@param@@@@resp@@
 type Store@@k@@ interface {
 \tLoad(id int64) (string, error)
 \tSave(p *Base) error
@@ -80,6 +82,11 @@ type @@pname@@ struct {
 \tNext *@@next@@
 @@session@@}
 """
+BASE = """
+type Base struct {
+\tVersion int
+}
+"""
 RESP = """
 type Get@@k@@Resp struct {
 \tTotal int `json:"total"`
@@ -105,6 +112,6 @@ def go_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               session=when_text(z % 4 == 0, "\tSession sessionID\n")))
     resp = when_text(k % 2 == 0, fill(RESP, k=k, pname=F.coalesce(pname, F.lit("Base"))))
     content = fill(GO_FILE, k=k, z=z, half=half, third=third, name=F.col("p_name"),
-                   ptype=F.col("p_type"), param=param, resp=resp)
+                   ptype=F.col("p_type"), param=param, resp=resp, base=when_text(k == 0, BASE))
     return p.select(F.concat(F.lit("go/p"), k.cast("string"), F.lit(".go")).alias("path"),
                     content.alias("content"))

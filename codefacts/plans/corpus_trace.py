@@ -98,7 +98,8 @@ p AS (SELECT p_partkey AS k, p_size AS z, p_type,
                                 WHEN 1 THEN 'Get' || p_partkey || 'Param' END AS pname
       FROM part),
 reg AS (SELECT pname AS name FROM p WHERE pname IS NOT NULL
-        UNION ALL SELECT 'Get' || k || 'Resp' FROM p WHERE k % 2 = 0),
+        UNION ALL SELECT 'Get' || k || 'Resp' FROM p WHERE k % 2 = 0
+        UNION ALL SELECT 'Base' FROM p WHERE k = 0),
 ep AS (SELECT k AS ord, 'EP-' || k AS ep_id,
               CASE WHEN k % 8 = 6 THEN 'DELETE' WHEN k % 4 = 1 THEN 'POST' WHEN k % 4 = 2 THEN 'PUT'
                    ELSE 'GET' END AS method,

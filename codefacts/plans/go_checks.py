@@ -77,7 +77,8 @@ def q_go_sets(spark, sf_dir):
 
 @register("go_structs", "G9", f"""
 SELECT {GOFILE} AS path, {PNAME} AS name FROM part WHERE p_partkey % 3 <> 2
-UNION ALL SELECT {GOFILE}, 'Get' || p_partkey || 'Resp' FROM part WHERE p_partkey % 2 = 0""")
+UNION ALL SELECT {GOFILE}, 'Get' || p_partkey || 'Resp' FROM part WHERE p_partkey % 2 = 0
+UNION ALL SELECT {GOFILE}, 'Base' FROM part WHERE p_partkey = 0""")
 def q_go_structs(spark, sf_dir):
     return G.structs(masked(spark, sf_dir)).select("path", "name")
 
@@ -92,7 +93,8 @@ UNION ALL SELECT path, pname, 'Next', '*' || nxt, NULL FROM p WHERE pname IS NOT
 UNION ALL SELECT path, pname, 'Session', 'sessionID', NULL FROM p WHERE pname IS NOT NULL AND z % 4 = 0
 UNION ALL SELECT path, 'Get' || k || 'Resp', 'Total', 'int', 'json:"total' FROM p WHERE k % 2 = 0
 UNION ALL SELECT path, 'Get' || k || 'Resp', 'Items', '[]*' || coalesce(pname, 'Base'), 'json:"items'
-FROM p WHERE k % 2 = 0""")
+FROM p WHERE k % 2 = 0
+UNION ALL SELECT path, 'Base', 'Version', 'int', NULL FROM p WHERE k = 0""")
 def q_go_fields(spark, sf_dir):
     return G.struct_fields(G.structs(masked(spark, sf_dir))).select("path", "struct", "name", "type", "tag")
 
