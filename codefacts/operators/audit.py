@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codefacts.operators.callgraph import call_base
-from codefacts.session import checkpoint_dir
+from codefacts.session import checkpoint_dir, cut
 
 
 def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
@@ -34,7 +34,7 @@ def reachable(edges: DataFrame, sources: DataFrame, max_steps: int = 10_000) ->
     checkpoint_dir(spark)
     e = edges.select("src", "dst").distinct().persist()
     start = sources.select("source", F.col("source").alias("node"), F.lit(0).alias("depth")).distinct()
-    steps = [start.checkpoint(eager=True)]
+    steps = [cut(start)]
     frontier = steps[0]
 
     def seen():
@@ -49,7 +49,7 @@ def reachable(edges: DataFrame, sources: DataFrame, max_steps: int = 10_000) ->
                .join(seen(), ["source", "node"], "left_anti")
                .withColumn("depth", F.lit(step)))
         # only the new pairs are written; earlier steps stay where they are
-        nxt = nxt.checkpoint(eager=True)
+        nxt = cut(nxt)
         if nxt.isEmpty():
             break
         steps.append(nxt)

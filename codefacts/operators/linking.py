@@ -260,7 +260,9 @@ def number_rows(df: DataFrame, order_cols: list[str], id_col: str = "req_id",
     s = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
          .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))).checkpoint(eager=True)
+        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
+    # cut before counting so both uses see the same rows in the same partitions
+    s = s.checkpoint(eager=True)
     counts = s.groupBy("_pid").agg(F.count("*").alias("_n"))
     # one row per partition: a running sum over this tiny table is cheap
     offs = counts.select("_pid", F.sum("_n").over(

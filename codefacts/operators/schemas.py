@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from codefacts import params as P
 from codefacts.functions import text as T
-from codefacts.session import checkpoint_dir
+from codefacts.session import checkpoint_dir, cut
 
 # ----------------------------------------------------------------------------
 # JSON key pattern, case conversion and descriptions
@@ -142,13 +142,11 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
     sc = _scalars(spark)
     empty_s = F.array().cast("array<string>")
     empty_i = F.array().cast("array<int>")
-    calls = roots.select("root", F.col("root").alias("name"), F.lit(0).alias("depth"),
-                         empty_s.alias("visited"), empty_s.alias("kpath"), empty_i.alias("opath"))
+    calls = cut(roots.select("root", F.col("root").alias("name"), F.lit(0).alias("depth"),
+                             empty_s.alias("visited"), empty_s.alias("kpath"), empty_i.alias("opath")))
+    row_cols = ["root", "kpath", "depth", "ord_path", "json_key", "go_type", "required", "is_array", "description"]
     out = []
     for _ in range(max_depth + 2):
-        # cut the lineage: each round reads the previous frontier from the
-        # shared checkpoint folder instead of re-deriving it
-        calls = calls.checkpoint(eager=True)
         stop = F.array_contains("visited", F.col("name")) | (F.col("depth") > max_depth)
         ph = calls.where(stop).select(
             "root", "kpath", "depth", F.array_append("opath", F.lit(0)).alias("ord_path"),
@@ -165,10 +163,8 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
         known = live.join(reg, live["name"] == reg["_rn"])
         f = known.join(fl, (known["_rp"] == fl["_fp"]) & (known["_ro"] == fl["_fo"]))
         ft, tag = F.col("_ftype"), F.col("_ftag")
-        jk = json_key(tag, "_fname")
-        opt = is_optional(ft, tag)
-        bt = base_type(ft)
-        f = (f.withColumn("_jk", jk).withColumn("_opt", opt).withColumn("_bt", bt)
+        f = (f.withColumn("_jk", json_key(tag, "_fname")).withColumn("_opt", is_optional(ft, tag))
+             .withColumn("_bt", base_type(ft))
              # the scalar table is the fixed parameter list (a handful of rows)
              .join(F.broadcast(sc), F.col("_bt") == sc["_sname"], "left")
              .join(reg.select(F.col("_rn").alias("_sn")), F.col("_bt") == F.col("_sn"), "left")
@@ -177,29 +173,40 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
         kind = (F.when(ft == P.SESSION_ID_TYPE, "session").when(F.col("_sname").isNotNull(), "scalar")
                 .when(prim, "primitive").when(F.col("_sn").isNotNull(), "struct").otherwise("raw"))
         f = f.withColumn("_kind", kind)
+        is_struct = F.col("_kind") == "struct"
         rows = f.select(
             "root", "kpath", "depth", F.array_append("opath", F.col("_ford")).alias("ord_path"),
             F.col("_jk").alias("json_key"),
             F.when(F.col("_kind") == "session", F.lit("string"))
             .when(F.col("_kind") == "scalar", F.col("_stype"))
             .when(F.col("_kind") == "primitive", raw_type(ft))
-            .when(F.col("_kind") == "struct", F.col("_bt")).otherwise(ft).alias("go_type"),
+            .when(is_struct, F.col("_bt")).otherwise(ft).alias("go_type"),
             F.when(F.col("_kind") == "session", F.lit(True)).otherwise(~F.col("_opt")).alias("required"),
             F.when(F.col("_kind") == "primitive", ft.startswith("[]"))
-            .when(F.col("_kind") == "struct", ft.contains("[]")).alias("is_array"),
+            .when(is_struct, ft.contains("[]")).alias("is_array"),
             F.when(F.col("_kind") == "session", F.lit(P.SESSION_ID_DESCRIPTION))
-            .when(F.col("_kind") == "scalar", F.col("_sdesc")).alias("description"))
-        child = f.where(F.col("_kind") == "struct").select(
-            "root", F.col("_bt").alias("name"), (F.col("depth") + 1).alias("depth"),
-            F.array_append("visited", F.col("name")).alias("visited"),
-            F.array_append("kpath", F.col("_jk")).alias("kpath"),
-            F.array_append("opath", F.col("_ford")).alias("opath"))
-        e = known.join(emb, known["name"] == emb["_en"]).select(
-            "root", F.col("_lookup").alias("name"), (F.col("depth") + 1).alias("depth"),
-            F.array_append("visited", F.col("name")).alias("visited"), "kpath",
-            F.array_append("opath", F.col("eord") + EMBED_ORD_BASE).alias("opath"))
-        out += [ph, unk, rows]
-        calls = child.unionByName(e)
+            .when(F.col("_kind") == "scalar", F.col("_sdesc")).alias("description"),
+            # the call this field makes in the next round (struct-typed fields)
+            F.when(is_struct, F.col("_bt")).alias("n_name"),
+            F.array_append("visited", F.col("name")).alias("n_visited"),
+            F.array_append("kpath", F.col("_jk")).alias("n_kpath"),
+            F.array_append("opath", F.col("_ford")).alias("n_opath"))
+        emb_calls = known.join(emb, known["name"] == emb["_en"]).select(
+            "root", F.lit(False).alias("_row"), F.col("_lookup").alias("n_name"),
+            F.array_append("visited", F.col("name")).alias("n_visited"), F.col("kpath").alias("n_kpath"),
+            F.array_append("opath", F.col("eord") + EMBED_ORD_BASE).alias("n_opath"), "depth")
+        step = (ph.withColumn("_row", F.lit(True))
+                .unionByName(unk.withColumn("_row", F.lit(True)))
+                .unionByName(rows.withColumn("_row", F.lit(True)), allowMissingColumns=True)
+                .unionByName(emb_calls, allowMissingColumns=True))
+        # one write per round: the rows of this round and the calls of the next
+        step = cut(step)
+        out.append(step.where(F.col("_row")).select(*row_cols))
+        calls = step.where(F.col("n_name").isNotNull()).select(
+            "root", F.col("n_name").alias("name"), (F.col("depth") + 1).alias("depth"),
+            F.col("n_visited").alias("visited"), F.col("n_kpath").alias("kpath"), F.col("n_opath").alias("opath"))
+        if calls.isEmpty():
+            break
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)

@@ -15,6 +15,7 @@ from codefacts.plans.corpus_trace import entry_points, spec_evidence, spec_featu
 from codefacts.plans.go_checks import masked
 from codefacts.plans.link_checks import CLIENT_REQ_CTE, api, components, routes
 from codefacts.plans.registry import register
+from codefacts.session import cut
 
 GO_EDGES = """
 p AS (SELECT p_partkey AS k FROM part),
@@ -28,9 +29,9 @@ e AS (SELECT * FROM e0 WHERE dst IN (SELECT n FROM names))"""
 def go_facts(spark, sf_dir):
     """Go functions and calls extracted once and checkpointed: the audit
     queries read them several times (edges, entry handlers, definitions)."""
-    fns = G.functions(masked(spark, sf_dir)).select("path", "ord", "function_name").checkpoint(eager=True)
-    calls = (G.calls(G.functions(masked(spark, sf_dir)))
-             .select("path", "function_ord", "function_name", "kind", "callee").checkpoint(eager=True))
+    fns = cut(G.functions(masked(spark, sf_dir)).select("path", "ord", "function_name"))
+    calls = cut(G.calls(G.functions(masked(spark, sf_dir)))
+                .select("path", "function_ord", "function_name", "kind", "callee"))
     return fns, calls
 
 

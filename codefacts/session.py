@@ -45,3 +45,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cut(df, max_partitions: int | None = None):
+    """Checkpoint ``df`` into the shared checkpoint folder and return the
+    checkpointed DataFrame (lineage cut, survives executor loss).
+
+    Loops that union several branches derived from the previous step multiply
+    its partition count each round (a union concatenates partitions and a
+    broadcast join keeps them); ``max_partitions`` (default
+    ``spark.sql.shuffle.partitions``) caps it with a ``coalesce``, which moves
+    no data."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = max_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() > n:
+        df = df.coalesce(n)
+    return df.checkpoint(eager=True)
