@@ -17,6 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codefacts.session import parallelism
 from codefacts.sources.tables import table
 
 _PH = re.compile(r"@@(\w+)@@")
@@ -37,8 +38,8 @@ def fill(template: str, **cols: Column) -> Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread narrow input rows over ``spark.sql.shuffle.partitions`` tasks
-    before text is generated from them.
+    """Spread narrow input rows over ``parallelism`` tasks (the shuffle
+    partition setting, capped at twice the cores) before text is generated.
 
     A small table is one scan split, and the text built from it is two orders
     of magnitude larger than its rows; without this every extractor downstream
@@ -46,7 +47,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     following ``groupBy(keys)`` needs no second shuffle. An explicit count is
     kept by adaptive execution (it does not coalesce it away).
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parallelism(df.sparkSession)
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 

@@ -47,6 +47,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def parallelism(spark) -> int:
+    """Task count for re-partitioned intermediate data: the shuffle partition
+    setting, but no more than twice the cores the cluster offers (a local run
+    with the default 200 shuffle partitions would otherwise write hundreds of
+    near-empty partitions per step)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
+
+
 def cut(df, max_partitions: int | None = None):
     """Checkpoint ``df`` into the shared checkpoint folder and return the
     checkpointed DataFrame (lineage cut, survives executor loss).
@@ -54,11 +63,10 @@ def cut(df, max_partitions: int | None = None):
     Loops that union several branches derived from the previous step multiply
     its partition count each round (a union concatenates partitions and a
     broadcast join keeps them); ``max_partitions`` (default
-    ``spark.sql.shuffle.partitions``) caps it with a ``coalesce``, which moves
-    no data."""
+    ``parallelism``) caps it with a ``coalesce``, which moves no data."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = max_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max_partitions or parallelism(spark)
     if df.rdd.getNumPartitions() > n:
         df = df.coalesce(n)
     return df.checkpoint(eager=True)
