@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codefacts.llm import op07_pii, op10_secrets
 from codefacts.llm.op02_sharding import shard_documents
 from codefacts.llm.op04_simhash import simhash_components
 from codefacts.sources.tables import table
@@ -20,8 +21,18 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_pii.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_pii": op7_pii,
+    "op10_secrets": op10_secrets_scan,
 }
 ORACLE: dict[str, str] = {}
