@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codefacts.llm import op07_pii, op10_secrets
+from codefacts.llm import op05_line_dedup, op07_pii, op08_decontamination, op09_order_minhash, op10_secrets
 from codefacts.llm.op02_sharding import shard_documents
 from codefacts.llm.op04_simhash import simhash_components
 from codefacts.sources.tables import table
@@ -21,6 +21,20 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op05_line_dedup.drop_recurring_lines(docs)
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op08_decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k")
+
+
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op09_order_minhash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op07_pii.scan(table(spark, sf_dir, "documents"))
 
@@ -32,7 +46,12 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op7_pii": op7_pii,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_order_minhash": op9_order_minhash,
     "op10_secrets": op10_secrets_scan,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_line_dedup": op05_line_dedup.ORACLE_SQL,
+}
