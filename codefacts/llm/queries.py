@@ -7,12 +7,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codefacts.llm import op05_line_dedup, op07_pii, op08_decontamination, op09_order_minhash, op10_secrets
+from codefacts.llm import (op01_html, op03_packing, op05_line_dedup, op06_quality, op07_pii, op08_decontamination,
+                           op09_order_minhash, op10_secrets)
 from codefacts.llm.op02_sharding import shard_documents
 from codefacts.llm.op04_simhash import simhash_components
 from codefacts.sources.tables import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_html.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -44,9 +57,12 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_pii": op7_pii,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_order_minhash": op9_order_minhash,
