@@ -25,7 +25,7 @@ empty text; other columns are passed on, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codefacts.llm.common import pin
@@ -35,20 +35,23 @@ FIELD = "<*>"
 SPACE = r"[\x20\x09-\x0D]++"
 
 
-def masked(line: Column) -> Column:
-    """The line with its tokens parted by one space and variable fields generalised."""
-    flat = F.trim(F.regexp_replace(line, SPACE, " "))
-    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, r"[^\x200-9]*+[0-9][^\x20]*+", FIELD)).otherwise(flat)
-
-
 def _lines(keyed: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """``k, line_no, line, n, leaf`` of the lines that can be templates."""
-    each = keyed.select("k", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    each = each.select("k", "line_no", masked(F.col("raw")).alias("line"))
-    n = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    each = each.withColumn("n", n).where(F.col("n") >= min_tokens)
-    lead = F.substring_index("line", " ", depth)
-    return each.withColumn("leaf", F.xxhash64("n", lead))
+    """``k, line_no, line, n, leaf`` of the lines that can be templates; ``line``
+    has its tokens parted by one space and its variable fields generalised.
+    Regex replacements run only on lines that need them, each step by itself so
+    that nothing is computed twice."""
+    raw = F.col("raw")
+    odd = raw.contains("  ")
+    for c in "\t\n\x0b\x0c\r":
+        odd = odd | raw.contains(c)
+    flat = F.trim(F.when(odd, F.regexp_replace(raw, SPACE, " ")).otherwise(raw))
+    n = F.length("flat") - F.length(F.replace(F.col("flat"), F.lit(" "))) + 1
+    masked = F.when(F.col("flat").rlike("[0-9]"), F.regexp_replace("flat", r"[^\x200-9]*+[0-9][^\x20]*+", FIELD))
+    return (keyed.select("k", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+            .select("k", "line_no", flat.alias("flat"))
+            .select("k", "line_no", "flat", n.alias("n")).where(F.col("n") >= min_tokens)
+            .select("k", "line_no", "n", F.coalesce(masked, F.col("flat")).alias("line"))
+            .select("k", "line_no", "n", "line", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("leaf")))
 
 
 def _templates(tokens: DataFrame) -> DataFrame:
@@ -65,15 +68,15 @@ def recurring_lines(keyed: DataFrame, similarity: float = 0.8, min_tokens: int =
     """``k, line_no`` of the lines to drop from ``keyed`` (columns ``k, text``)."""
     lines = _lines(keyed, min_tokens, depth)
     found = pin(lines.select("k", "line_no", "leaf", F.xxhash64("line").alias("lh")))
-    distinct = pin(found.groupBy("leaf", "lh").agg(F.min("k").alias("first"), F.max("k").alias("last")))
+    distinct = found.groupBy("leaf", "lh").agg(F.min("k").alias("first"), F.max("k").alias("last"))
 
     shared = (distinct.groupBy("leaf")
               .agg(F.count(F.lit(1)).alias("c"), F.min("first").alias("a"), F.max("last").alias("b"))
               .where((F.col("c") > 1) & (F.col("a") != F.col("b"))).select("leaf"))
     shared = few(pin(shared), broadcast_rows)
-    tokens = (lines.join(shared, "leaf").select("leaf", "line", F.xxhash64("line").alias("lh"))
-              .dropDuplicates(["leaf", "lh"]).select("leaf", "lh", F.split("line", " ").alias("tokens")))
-    tokens = pin(tokens)
+    # read twice below, from one exchange
+    tokens = (lines.join(shared, "leaf").select("leaf", "line").distinct()
+              .select("leaf", F.xxhash64("line").alias("lh"), F.split("line", " ").alias("tokens")))
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda e: e))
     members = (tokens.join(_templates(tokens), "leaf")
                .where(same >= F.lit(similarity) * F.size("tokens"))
