@@ -1,8 +1,9 @@
 """Shared text primitives as native Spark column expressions.
 
 Nothing here runs Python per row: every function returns a ``Column`` built from
-``split``, ``regexp_extract_all``, ``substr`` and higher-order functions, so the
-expressions stay inside whole-stage code generation.
+``split``, ``regexp_extract_all``, ``substr`` and higher-order functions. The
+higher-order parts are interpreted by Spark (they are not code-generated), so
+they are kept linear in the number of matches.
 
 Patterns are Java regular expressions. Python's ``\\w`` is Unicode while Java's is
 ASCII; patterns that must see non-ASCII identifiers start with ``(?U)``.
@@ -10,7 +11,7 @@ ASCII; patterns that must see non-ASCII identifiers start with ``(?U)``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,44 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also where a lambda uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def scan(values: Column, state: Column, step: Callable[[Column, Column], tuple[Column, Column]], item: str,
+         kind: str = "int") -> Column:
+    """Running fold: one output of SQL type ``item`` per element of ``values``;
+    the state is of SQL type ``kind``.
+
+    ``step(state, value)`` gives the next state and the output. An array that
+    grows inside a fold is copied at every step, so outputs are gathered in
+    about sqrt(2n) blocks, which are put together at the end.
+    """
+    def empty(t):
+        return F.array().cast(f"array<{t}>")
+
+    def in_block(acc, v):
+        s, out = step(acc["s"], v)
+        return F.struct(s.alias("s"), F.array_append(acc["out"], out).alias("out"))
+
+    def next_block(done, block):
+        last = F.when(F.size(done) > 0, F.element_at(done, -1)["s"]).otherwise(state)
+        return F.array_append(done, F.aggregate(block, F.struct(last.alias("s"), empty(item).alias("out")), in_block))
+
+    def blocks(v):
+        size = F.greatest(F.ceil(F.sqrt(2 * F.size(v))).cast("int"), F.lit(8))
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), size), lambda b: F.slice(v, b, size))
+    return F.flatten(F.transform(
+        F.aggregate(let(values, blocks), empty(f"struct<s:{kind},out:array<{item}>>"), next_block),
+        lambda x: x["out"]))
+
+
+def running_sums(values: Column) -> Column:
+    """Inclusive running sums of an ``ARRAY<INT>``."""
+    return scan(values, F.lit(0), lambda s, v: (s + v, s + v), "int")
+
+
 # --------------------------------------------------------------------------- T1
 def finditer(text, pattern: str) -> Column:
     """All non-overlapping matches of ``pattern`` with their 1-based start.
@@ -30,18 +69,14 @@ def finditer(text, pattern: str) -> Column:
     pattern that cannot match the empty string, look-around included.
     """
     text = _c(text)
-    pieces = F.split(text, pattern, -1)
     ms = F.regexp_extract_all(text, F.lit(pattern), 0)
-    lens = F.zip_with(F.slice(pieces, 1, F.size(ms)), ms,
-                      lambda p, m: F.struct(F.length(p).alias("a"), F.length(m).alias("b")))
-    init = F.struct(F.array().cast("array<int>").alias("ps"), F.lit(1).alias("cur"))
-    starts = F.aggregate(
-        lens, init,
-        lambda acc, x: F.struct(
-            F.array_append(acc["ps"], acc["cur"] + x["a"]).alias("ps"),
-            (acc["cur"] + x["a"] + x["b"]).alias("cur")),
-        lambda acc: acc["ps"])
-    return F.zip_with(starts, ms, lambda p, m: F.struct(p.alias("pos"), m.alias("m")))
+    # the piece behind the last match has no match beside it and is left out
+    cut = F.zip_with(F.split(text, pattern, -1), ms, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
+    found = F.filter(cut, lambda x: x["m"].isNotNull())
+    return scan(found, F.lit(1),
+                lambda at, x: (at + x["gap"] + F.length(x["m"]),
+                               F.struct((at + x["gap"]).alias("pos"), x["m"].alias("m"))),
+                "struct<pos:int,m:string>")
 
 
 def first_pos(text, pattern: str) -> Column:
@@ -65,15 +100,16 @@ def findall(text, pattern: str, group: int = 0) -> Column:
 
 
 # --------------------------------------------------------------------------- T2
-def block_end(text, start, budget: int, open_ch: str = "{", close_ch: str = "}") -> Column:
+def block_end(text, start, budget: int | None = None, open_ch: str = "{", close_ch: str = "}") -> Column:
     """Length of the balanced block that starts at ``start`` (1-based).
 
-    Scans at most ``budget`` characters from ``start``: each ``open_ch`` raises the
-    depth, each ``close_ch`` lowers it, and the block ends at the first close
-    that brings the depth back to zero. Returns 0 when no such close lies within
-    the budget (SURVEY Q11: an unclosed block is empty).
+    Scans to the end of the text (with ``budget``, at most that many characters):
+    each ``open_ch`` raises the depth, each ``close_ch`` lowers it, and the block
+    ends at the first close that brings the depth back to zero. Returns 0 when
+    there is no such close (SURVEY Q11: an unclosed block is empty). For many
+    blocks of one text use ``blocks``.
     """
-    tail = _c(text).substr(_c(start), F.lit(budget))
+    tail = _c(text).substr(_c(start), F.lit(budget) if budget else F.length(_c(text)))
     pieces = F.split(tail, "(?=[" + "\\" + open_ch + "\\" + close_ch + "])", -1)
     init = F.struct(F.lit(0).alias("d"), F.lit(0).alias("off"), F.lit(0).alias("end"))
 
@@ -87,7 +123,7 @@ def block_end(text, start, budget: int, open_ch: str = "{", close_ch: str = "}")
     return F.coalesce(F.aggregate(pieces, init, step, lambda acc: acc["end"]), F.lit(0))
 
 
-def balanced(text, start, budget: int, open_ch: str = "{", close_ch: str = "}") -> Column:
+def balanced(text, start, budget: int | None = None, open_ch: str = "{", close_ch: str = "}") -> Column:
     """Text of the balanced block starting at ``start``; ``''`` when unclosed."""
     n = block_end(text, start, budget, open_ch, close_ch)
     return F.when(n > 0, _c(text).substr(_c(start), n)).otherwise(F.lit(""))
@@ -157,30 +193,35 @@ def groups(text, pattern: str, n: int) -> Column:
 
 def bracket_pairs(text, open_ch: str = "{", close_ch: str = "}") -> Column:
     """``MAP<INT, INT>`` from the 1-based position of every opening bracket to
-    the position of its partner, in one pass over the text (a stack fold).
+    the position of its partner.
 
     The partner of an opening bracket is the first closing bracket that brings
     the depth counted from it back to zero, exactly what ``block_end`` finds;
-    a closing bracket with no open partner is ignored. Looking blocks up in
-    this map costs one pass per text instead of one scan per block.
+    a closing bracket with no open partner is ignored. An opening bracket and
+    its partner have the same level (the depth inside them) and no bracket of
+    that level lies between, so in the order of (level, position) partners are
+    neighbours.
     """
     pieces = F.split(_c(text), "(?=[" + "\\" + open_ch + "\\" + close_ch + "])", -1)
-    init = F.struct(F.array().cast("array<int>").alias("st"), F.lit(0).alias("off"),
-                    F.array().cast("array<struct<o:int,c:int>>").alias("pr"))
 
-    def step(acc, p):
+    def step(state, p):
         first = F.substring(p, 1, 1)
-        pos = acc["off"] + 1
-        st, pr = acc["st"], acc["pr"]
-        is_open = first == open_ch
-        is_close = (first == close_ch) & (F.size(st) > 0)
-        new_st = (F.when(is_open, F.array_append(st, pos))
-                  .when(is_close, F.slice(st, 1, F.size(st) - 1)).otherwise(st))
-        new_pr = F.when(is_close, F.array_append(pr, F.struct(F.element_at(st, -1).alias("o"), pos.alias("c")))) \
-            .otherwise(pr)
-        return F.struct(new_st.alias("st"), (acc["off"] + F.length(p)).alias("off"), new_pr.alias("pr"))
+        sign = F.when(first == open_ch, 1).when(first == close_ch, -1).otherwise(0)
+        at, depth = state["at"], state["depth"]
+        mark = F.when(sign != 0, F.struct((depth + F.when(sign > 0, 1).otherwise(0)).alias("level"), at.alias("pos"),
+                                          (sign > 0).alias("open")))
+        return F.struct((at + F.length(p)).alias("at"), (depth + sign).alias("depth")), mark
+
+    marks = scan(pieces, F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth")), step,
+                 "struct<level:int,pos:int,open:boolean>", "struct<at:int,depth:int>")
 
-    return F.aggregate(pieces, init, step, lambda acc: F.map_from_entries(acc["pr"]))
+    def partners(xs):
+        def one(x, i):
+            y = F.get(xs, i + 1)
+            return F.when(x["open"] & ~y["open"] & (y["level"] == x["level"]),
+                          F.struct(x["pos"].alias("o"), y["pos"].alias("c")))
+        return F.map_from_entries(F.filter(F.transform(xs, one), lambda e: e.isNotNull()))
+    return let(F.sort_array(F.filter(marks, lambda x: x.isNotNull())), partners)
 
 
 def pair_len(pairs: Column, start) -> Column:
@@ -189,3 +230,29 @@ def pair_len(pairs: Column, start) -> Column:
     start = _c(start)
     close = F.try_element_at(pairs, start)
     return F.coalesce(close - start + 1, F.lit(0))
+
+
+def blocks(text, pattern: str, open_ch: str = "{", close_ch: str = "}", open_first: bool = False,
+           keep_header: bool = False, budget: int | None = None) -> Column:
+    """Every match of ``pattern`` with the balanced block that it opens:
+    ``ARRAY<STRUCT<pos: INT, m: STRING, body: STRING>>``.
+
+    The opening bracket is the match's last character (``open_first``: its
+    first); the body runs from there to the partner, from the match's start if
+    ``keep_header``. It is ``''`` if the bracket never closes or, only where a
+    ``budget`` is given, if the body is longer. One pass finds all partners, and
+    only the blocks are carried on, not the text.
+    """
+    text = _c(text)
+
+    def with_body(pairs):
+        def one(h):
+            at = h["pos"] if open_first else h["pos"] + F.length(h["m"]) - 1
+            start = h["pos"] if keep_header else at
+            n = F.coalesce(F.try_element_at(pairs, at) - start + 1, F.lit(0))
+            fits = (n > 0) & (n <= budget) if budget else n > 0
+            return F.struct(h["pos"].alias("pos"), h["m"].alias("m"),
+                            F.when(fits, F.substring(text, start, n)).otherwise(F.lit("")).alias("body"))
+        return F.transform(finditer(text, pattern), one)
+    # texts without a match need no brackets
+    return F.when(text.rlike(pattern), let(bracket_pairs(text, open_ch, close_ch), with_body))

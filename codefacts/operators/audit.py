@@ -1,11 +1,10 @@
 """Audit analytics over the linked facts, SURVEY K1-K6 and P1.
 
-Reachability is a frontier loop: each step joins the new frontier with the
-edge table and removes pairs already visited (``left_anti``). The driver only
-decides whether another step is needed (``isEmpty`` on the new frontier); no
-data passes through it. Each step checkpoints only its new pairs into the
-shared checkpoint folder, so lineage stays short and a lost executor
-recomputes one step, not the whole loop.
+Reachability is a frontier loop: each step joins the pairs found last with the
+edge table and keeps the least depth of every pair. It ends when a step finds no
+new pair; the driver sees only their number. Each step is checkpointed into the
+shared folder, so lineage stays short and a lost executor recomputes one step,
+not the whole loop.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codefacts.operators.callgraph import call_base
-from codefacts.session import checkpoint_dir, cut
+from codefacts.session import cut
 
 
 def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
@@ -23,48 +22,30 @@ def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
     return edges.select(F.col("caller").alias("src"), dst.alias("dst")).distinct()
 
 
-def reachable(edges: DataFrame, sources: DataFrame, max_steps: int = 10_000) -> DataFrame:
+def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """K1: ``(source, function_name, depth)``: functions reachable from each
     source (an entry point or effect), with the least number of steps.
 
     ``edges(src, dst)``; ``sources(source)``. Sources reach themselves at
     depth 0.
     """
-    spark = edges.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select("src", "dst").distinct().persist()
-    start = sources.select("source", F.col("source").alias("node"), F.lit(0).alias("depth")).distinct()
-    steps = [cut(start)]
-    frontier = steps[0]
-
-    def seen():
-        out = steps[0].select("source", "node")
-        for s_ in steps[1:]:
-            out = out.unionByName(s_.select("source", "node"))
-        return out
-
-    for step in range(1, max_steps + 1):
+    e = cut(edges.select("src", "dst").distinct())
+    seen = cut(sources.select("source", F.col("source").alias("node"), F.lit(0).alias("depth")).distinct())
+    step, last, found = 0, -1, seen.count()
+    while found != last:
+        frontier = seen.where(F.col("depth") == step)
         nxt = (frontier.join(e, frontier["node"] == e["src"])
-               .select("source", F.col("dst").alias("node")).distinct()
-               .join(seen(), ["source", "node"], "left_anti")
-               .withColumn("depth", F.lit(step)))
-        # only the new pairs are written; earlier steps stay where they are
-        nxt = cut(nxt)
-        if nxt.isEmpty():
-            break
-        steps.append(nxt)
-        frontier = nxt
-    e.unpersist()
-    out = steps[0]
-    for s_ in steps[1:]:
-        out = out.unionByName(s_)
-    return out.select("source", F.col("node").alias("function_name"), "depth")
-
-
-def backward_slice(edges: DataFrame, effects: DataFrame, max_steps: int = 10_000) -> DataFrame:
+               .select("source", F.col("dst").alias("node"), F.lit(step + 1).alias("depth")))
+        # the least depth of a pair is the one it was first seen at
+        seen = cut(seen.unionByName(nxt).groupBy("source", "node").agg(F.min("depth").alias("depth")))
+        step, last, found = step + 1, found, seen.count()
+    return seen.select("source", F.col("node").alias("function_name"), "depth")
+
+
+def backward_slice(edges: DataFrame, effects: DataFrame) -> DataFrame:
     """K2: callers (transitively) of each effect function: K1 on reversed edges."""
     rev = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    return reachable(rev, effects, max_steps)
+    return reachable(rev, effects)
 
 
 def orphan_functions(functions: DataFrame, edges: DataFrame, entry_handlers: DataFrame) -> DataFrame:

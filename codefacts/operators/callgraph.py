@@ -93,8 +93,11 @@ def callers(functions: DataFrame, edges: DataFrame, match: str = "text") -> Data
     names = functions.select("function_name").distinct()
     key = F.col("callee") if match == "text" else call_base("callee")
     e = edges.select(key.alias("_k"), "caller").distinct()
-    return (names.join(e, names["function_name"] == e["_k"], "left")
-            .select("function_name", "caller"))
+    # an inner join can be split at a popular callee, an outer join cannot
+    called = names.join(e, names["function_name"] == e["_k"])
+    alone = names.join(e, names["function_name"] == e["_k"], "left_anti")
+    return called.select("function_name", "caller").unionByName(
+        alone.select("function_name", F.lit(None).cast("string").alias("caller")))
 
 
 def graph_stats(functions: DataFrame, calls: DataFrame) -> DataFrame:

@@ -54,11 +54,12 @@ RX_SCRIPT_TERNARY = (r"(?iU)([^\n;]+(?:semester|term|type|status|role|SPRING|FAL
 RX_IF_ELSE = (r"(?iU)if\s*\(([^)]*(?:SPRING|FALL|semester|type|status)[^)]*)\)\s*\{([^}]*)\}"
               r"\s*(?:else\s*\{([^}]*)\})?")
 RX_CONFIRM = r"(?U)inputValidator\s*:\s*(?:async\s*)?\([^)]*\)\s*=>\s*\{"
-RX_CONFIRM_TEXT = r"""(?U)!==\s*['"]([^'"]{2,50})['"]"""
-RX_SWAL = r"""(?U)\.\$swal\s*\(\s*['"]([^'"]{2,100})['"]\s*\)"""
-RX_IF_COND = r"(?U)if\s*\(([^)]{3,200})\)"
+RX_CONFIRM_TEXT = r"""(?U)!==\s*['"]([^'"]{2,})['"]"""
+RX_SWAL = r"""(?U)\.\$swal\s*\(\s*['"]([^'"]{2,})['"]\s*\)"""
+RX_IF_COND = r"(?U)if\s*\(([^)]{3,})\)"
+RX_GETTER_COND = r"(?U)if\s*\(([^)]+)\)\s*\{[\s\S]*?return\s+\w+"
 RX_RETURN_FALSE = r"(?U)return\s+false"
-RX_DISABLED = r""":disabled\s*=\s*"((?:[^"\\]|\\.)*)\""""
+RX_DISABLED = r""":disabled\s*=\s*"((?:[^"\\]|\\.)*+)\""""
 RX_SELECT = r"<select[^>]*>([\s\S]*?)</select>"
 RX_OPTION = r"""<option[^>]*value=['"]([^'"]+)['"][^>]*>([^<]+)</option>"""
 RX_TITLE = r"""(?U)<p\s+class=['"](?:title|solo_title)['"][^>]*>([^<]+)</p>"""
@@ -79,8 +80,7 @@ REQUIRED_STAR = '<span class="needs">*'
 RX_VFOR = r"""(?U)v-for\s*=\s*['"](?:\((\w+)(?:,\s*\w+)?\)|(\w+))\s+in\s+\w+['"]"""
 RX_MEMBER_PAIR = r"(?U)(\w+)\.(?=(\w+))"
 RX_STORE_ACTION = r"(?U)(?:async\s+)?(\w+)\s*\(\s*\{[^}]*\}\s*(?:,\s*[^)]+)?\)\s*\{"
-RX_STORE_GETTER = (r"(?U)(\w+)\s*\(\s*state\s*\)\s*\{[\s\S]{0,500}?if\s*\([^)]+\)\s*\{"
-                   r"[\s\S]{0,200}?return\s+\w+")
+RX_STORE_GETTER = r"(?U)(\w+)\s*\(\s*state\s*\)\s*\{"
 RX_STATE_BLOCK = r"(?U)state\s*:\s*\{([^}]+)\}"
 RX_STATE_FIELD = r"(?U)(\w+)\s*:"
 
@@ -180,24 +180,19 @@ def domain_of(fn, mapping=P.TRANSLATOR_FUNC_TO_DOMAIN) -> Column:
 
 
 # ------------------------------------------------------------------ H4-H6
-def api_methods(files: DataFrame, budget: int = P.BUDGET_API_METHOD,
-                skip=P.API_METHOD_SKIP) -> DataFrame:
+def api_methods(files: DataFrame, budget: int | None = None, skip=P.API_METHOD_SKIP) -> DataFrame:
     """H4-H6: ``(path, ord, client_method, http_method, url, params)``.
 
-    A method header opens a block scanned for its closing brace within
-    ``budget`` characters; the first axios call gives verb and URL (H5), else a
+    A method header opens a block that runs to its closing brace (``budget``:
+    at most that long); the first axios call gives verb and URL (H5), else a
     returned ``/api/`` URL counts as GET with ``${...}`` parts as ``:param`` (H6).
     A method name seen again later in the file keeps its last hit.
     """
-    m = (files.select("path", "content",
-                      F.posexplode(T.finditer("content", RX_API_HEADER)).alias("ord", "h"))
-         .select("path", "content", F.col("ord").cast("int").alias("ord"),
+    m = (files.select("path", F.posexplode(T.blocks("content", RX_API_HEADER, budget=budget)).alias("ord", "h"))
+         .select("path", F.col("ord").cast("int").alias("ord"),
                  F.regexp_extract("h.m", RX_API_HEADER, 1).alias("client_method"),
-                 F.regexp_extract("h.m", RX_API_HEADER, 2).alias("_params"),
-                 (F.col("h.pos") + F.length("h.m") - 1).alias("_brace"))
+                 F.regexp_extract("h.m", RX_API_HEADER, 2).alias("_params"), F.col("h.body").alias("body"))
          .where(~F.col("client_method").isin(*skip)))
-    body = T.balanced("content", "_brace", budget)
-    m = m.select("path", "ord", "client_method", "_params", body.alias("body")).drop("content")
     ax = T.search("body", RX_AXIOS, 0)
     ret_url = F.when(F.col("body").contains("return `") | F.col("body").contains("return '"),
                      T.search("body", RX_RETURN_URL, 1))
@@ -218,11 +213,11 @@ def api_methods(files: DataFrame, budget: int = P.BUDGET_API_METHOD,
 
 
 # ------------------------------------------------------------------ H7, H8
-def routes(files: DataFrame, budget: int = P.BUDGET_ROUTE) -> DataFrame:
+def routes(files: DataFrame, budget: int | None = None) -> DataFrame:
     """H7-H8: one row per route object; nested child routes are rows too."""
-    r = (files.select("path", "content", F.posexplode(T.finditer("content", RX_ROUTE_START)).alias("ord", "h"))
-         .select("path", F.col("ord").cast("int").alias("ord"),
-                 T.balanced("content", F.col("h.pos"), budget).alias("block")))
+    found = T.blocks("content", RX_ROUTE_START, open_first=True, budget=budget)
+    r = (files.select("path", F.posexplode(found).alias("ord", "h"))
+         .select("path", F.col("ord").cast("int").alias("ord"), F.col("h.body").alias("block")))
     meta = F.coalesce(T.search("block", RX_ROUTE_META, 1), F.lit(""))
     mask = T.search(meta, RX_NEEDS_PERMISSION, 1).cast("int")
     comp = T.search("block", RX_ROUTE_COMPONENT, 1)
@@ -240,34 +235,27 @@ def routes(files: DataFrame, budget: int = P.BUDGET_ROUTE) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H13
-def lifecycle_calls(components: DataFrame, hooks=P.LIFECYCLE_HOOKS,
-                    budget: int = P.BUDGET_HOOK) -> DataFrame:
+def lifecycle_calls(components: DataFrame, hooks=P.LIFECYCLE_HOOKS, budget: int | None = None) -> DataFrame:
     """``(file, lifecycle_hook, direct_calls, dispatch_calls, indirect_calls)``
     for the first ``created()`` / ``mounted()`` body; hooks without calls omitted."""
-    out = None
-    for hook in hooks:
-        rx = r"(?U)" + hook + r"\s*\(\s*\)\s*\{"
-        start = T.first_pos("script", rx)
-        brace = start + F.length(F.regexp_extract("script", rx, 0)) - 1
-        body = F.when(start > 0, T.balanced("script", brace, budget))
-        part = (components.select("file", F.lit(hook).alias("lifecycle_hook"), body.alias("_b"))
-                .where(F.col("_b").isNotNull())
-                .select("file", "lifecycle_hook",
-                        client_call_list("_b").alias("direct_calls"),
-                        dispatch_list("_b").alias("dispatch_calls"),
-                        this_call_list("_b").alias("indirect_calls"))
-                .where((F.size("direct_calls") > 0) | (F.size("dispatch_calls") > 0)
-                       | (F.size("indirect_calls") > 0)))
-        out = part if out is None else out.unionByName(part)
-    return out
+    def first_body(hook):
+        found = T.blocks("script", r"(?U)" + hook + r"\s*\(\s*\)\s*\{", budget=budget)
+        return F.struct(F.lit(hook).alias("hook"), F.get(found, F.lit(0))["body"].alias("body"))
+    return (components.select("file", F.explode(F.array(*map(first_body, hooks))).alias("h"))
+            .where(F.col("h.body").isNotNull())
+            .select("file", F.col("h.hook").alias("lifecycle_hook"),
+                    client_call_list(F.col("h.body")).alias("direct_calls"),
+                    dispatch_list(F.col("h.body")).alias("dispatch_calls"),
+                    this_call_list(F.col("h.body")).alias("indirect_calls"))
+            .where((F.size("direct_calls") > 0) | (F.size("dispatch_calls") > 0) | (F.size("indirect_calls") > 0)))
 
 
 # ------------------------------------------------------------------ H14
-def polling(components: DataFrame, budget: int = P.BUDGET_POLL) -> DataFrame:
+def polling(components: DataFrame, budget: int | None = None) -> DataFrame:
     """One row per ``setInterval(`` with delay, calls and conditions."""
-    p = (components.select("file", "script", F.posexplode(T.finditer("script", RX_POLL)).alias("ord", "h"))
-         .select("file", F.col("ord").cast("int").alias("ord"),
-                 T.balanced("script", F.col("h.pos"), budget, "(", ")").alias("call")))
+    found = T.blocks("script", RX_POLL, "(", ")", keep_header=True, budget=budget)
+    p = (components.select("file", F.posexplode(found).alias("ord", "h"))
+         .select("file", F.col("ord").cast("int").alias("ord"), F.col("h.body").alias("call")))
     cont = T.search("call", RX_POLL_CONTINUE, 1)
     stop = T.search("call", RX_POLL_STOP, 1)
     return p.select(
@@ -309,28 +297,38 @@ def conditional_api(components: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H18
-def confirmation_guards(components: DataFrame, budget: int = P.BUDGET_CONFIRM) -> DataFrame:
-    """Exact-text confirmation validators with the client calls found from
-    800 characters before to 200 after the validator."""
-    g = (components.select("file", "script", F.posexplode(T.finditer("script", RX_CONFIRM)).alias("ord", "h"))
-         .select("file", "script", F.col("ord").cast("int").alias("ord"), F.col("h.pos").alias("pos"),
-                 T.balanced("script", F.col("h.pos") + F.length("h.m") - 1, budget).alias("body")))
-    lo = F.greatest(F.lit(1), F.col("pos") - 800)
-    ctx = F.col("script").substr(lo, F.col("pos") + 200 - lo)
+def confirmation_guards(components: DataFrame, budget: int | None = None, before: int = 800,
+                        behind: int = 200) -> DataFrame:
+    """Exact-text confirmation validators with the client calls near them.
+
+    "Near" is from ``before`` characters before to ``behind`` after the start of
+    the validator: the distance is what the fact states, it cuts nothing off the
+    validator itself."""
+    def near(h):
+        lo = F.greatest(F.lit(1), h["pos"] - before)
+        return F.struct(h["body"].alias("body"),
+                        F.substring(F.col("script"), lo, h["pos"] + behind - lo).alias("near"))
+    g = (components.select("file", F.posexplode(F.transform(T.blocks("script", RX_CONFIRM, budget=budget), near))
+                           .alias("ord", "h"))
+         .select("file", F.col("ord").cast("int").alias("ord"), "h.body", "h.near"))
+    ctx = F.col("near")
     return (g.select("file", "ord", T.search("body", RX_CONFIRM_TEXT, 1).alias("required_text"),
                      client_call_list(ctx).alias("nearby_api_calls"))
             .where(F.col("required_text").isNotNull()))
 
 
 # ------------------------------------------------------------------ H19
-def validation_messages(components: DataFrame) -> DataFrame:
-    """Dialog messages with the nearest preceding ``if`` condition (400
-    characters) and type validation > success > error > info."""
-    m = (components.select("file", "script", F.posexplode(T.finditer("script", RX_SWAL)).alias("ord", "h"))
+def validation_messages(components: DataFrame, before: int = 400, behind: int = 80) -> DataFrame:
+    """Dialog messages with the nearest preceding ``if`` condition (within
+    ``before`` characters, which is what makes it the message's own) and type
+    validation > success > error > info."""
+    def near(h):
+        return F.struct(h["m"].alias("m"), T.before(F.col("script"), h["pos"], before).alias("before"),
+                        T.after(F.col("script"), h["pos"], behind).alias("after"))
+    m = (components.select("file", F.posexplode(F.transform(T.finditer("script", RX_SWAL), near)).alias("ord", "h"))
          .select("file", F.col("ord").cast("int").alias("ord"),
                  F.regexp_extract("h.m", RX_SWAL, 1).alias("message"),
-                 T.before("script", F.col("h.pos"), 400).alias("_before"),
-                 T.after("script", F.col("h.pos"), 80).alias("_after")))
+                 F.col("h.before").alias("_before"), F.col("h.after").alias("_after")))
     cond = T.strip_ws(F.try_element_at(T.findall("_before", RX_IF_COND, 1), F.lit(-1)))
     kind = (F.when(F.col("_after").rlike(RX_RETURN_FALSE), "validation")
             .when(T.contains_any("message", P.SUCCESS_WORDS), "success")
@@ -421,14 +419,12 @@ def vfor_fields(template, skip=P.VFOR_FIELD_SKIP) -> Column:
 
 
 # ------------------------------------------------------------------ H28-H30
-def store_actions(files: DataFrame, budget: int = P.BUDGET_STORE_ACTION,
-                  skip=P.STORE_ACTION_SKIP) -> DataFrame:
+def store_actions(files: DataFrame, budget: int | None = None, skip=P.STORE_ACTION_SKIP) -> DataFrame:
     """``(path, action, ord, client_method)`` for actions that call the API.
     A repeated action name keeps its last definition."""
-    a = (files.select("path", "content", F.posexplode(T.finditer("content", RX_STORE_ACTION)).alias("aord", "h"))
+    a = (files.select("path", F.posexplode(T.blocks("content", RX_STORE_ACTION, budget=budget)).alias("aord", "h"))
          .select("path", F.col("aord").cast("int").alias("aord"),
-                 F.regexp_extract("h.m", RX_STORE_ACTION, 1).alias("action"),
-                 T.balanced("content", F.col("h.pos") + F.length("h.m") - 1, budget).alias("body"))
+                 F.regexp_extract("h.m", RX_STORE_ACTION, 1).alias("action"), F.col("h.body").alias("body"))
          .where(~F.col("action").isin(*skip))
          .select("path", "aord", "action", client_call_list("body").alias("calls"))
          .where(F.size("calls") > 0))
@@ -437,15 +433,16 @@ def store_actions(files: DataFrame, budget: int = P.BUDGET_STORE_ACTION,
 
 
 def store_getters(files: DataFrame, skip=P.STORE_GETTER_SKIP) -> DataFrame:
-    """Getters that filter on a condition: ``(path, ord, getter, filter_condition)``."""
-    g = (files.select("path", "content", F.posexplode(T.finditer("content", RX_STORE_GETTER)).alias("ord", "h"))
-         .select("path", F.col("ord").cast("int").alias("ord"),
-                 F.regexp_extract("h.m", RX_STORE_GETTER, 1).alias("getter"),
-                 F.col("content").substr(F.col("h.pos"), F.lit(600)).alias("_w"))
-         .where(~F.col("getter").isin(*skip)))
-    return (g.select("path", "ord", "getter", T.strip_ws(T.search("_w", RX_IF_COND.replace("{3,200}", "+"), 1))
-                     .alias("filter_condition"))
-            .where(F.col("filter_condition").isNotNull()))
+    """Getters that filter on a condition, ``(path, ord, getter, filter_condition)``:
+    the first ``if`` of the getter's body whose block returns something."""
+    def getter(h):
+        return F.struct(F.regexp_extract(h["m"], RX_STORE_GETTER, 1).alias("getter"),
+                        T.strip_ws(T.search(h["body"], RX_GETTER_COND, 1)).alias("filter_condition"))
+    found = F.filter(F.transform(T.blocks("content", RX_STORE_GETTER), getter),
+                     lambda g: g["filter_condition"].isNotNull())
+    return (files.select("path", F.posexplode(found).alias("ord", "g"))
+            .select("path", F.col("ord").cast("int").alias("ord"), "g.getter", "g.filter_condition")
+            .where(~F.col("getter").isin(*skip)))
 
 
 def store_state(files: DataFrame, skip=P.STORE_STATE_SKIP) -> DataFrame:

@@ -28,18 +28,19 @@ from codefacts.functions import text as T
 # ----------------------------------------------------------------------------
 # Go lexical patterns and keyword stop list
 # ----------------------------------------------------------------------------
-RX_LITERAL = r'"(?:[^"\\\n]|\\.)*"|`[^`]*`|' + r"'(?:[^'\\\n]|\\.)*'" + r"|//[^\n]*|/\*[\s\S]*?\*/"
+# groups repeat possessively: Java runs those as a loop, a plain group takes stack per repetition
+RX_LITERAL = r'"(?:[^"\\\n]|\\.)*+"|`[^`]*`|' + r"'(?:[^'\\\n]|\\.)*+'" + r"|//[^\n]*|/\*[\s\S]*?\*/"
 RX_FUNC = r"(?mU)^func\s*(\([^)]*\))?\s*(\w+)\s*(?:\[[^\]]*\])?\s*\("
-RX_RESULT = r"(?U)^((?:(?:interface|struct)\s*\{[^{}]*\}|[^{}\n])*)\{"
+RX_RESULT = r"(?U)^((?:\b(?:interface|struct)\s*\{[^{}]*\}|[^{}\n])*+)\{"
 RX_CALL = r"(?U)(?<!\w)([A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*)\s*\("
 CALL_KEYWORDS = ["func", "if", "for", "switch", "return", "select", "case", "go", "defer",
                  "range", "else", "var", "const", "type", "import", "package", "struct",
                  "interface", "map", "chan"]
-RX_DQ_STRING = r'"((?:[^"\\\n]|\\.)*)"'
+RX_DQ_STRING = r'"((?:[^"\\\n]|\\.)*+)"'
 RX_STRUCT = r"(?U)\btype\s+(\w+)\s*(?:\[[^\]]*\])?\s+(struct)\s*\{"
 RX_INTERFACE = r"(?U)\btype\s+(\w+)\s*(?:\[[^\]]*\])?\s+interface\s*\{"
 RX_FIELD = r"(?U)^\s*(\w+(?:\s*,\s*\w+)*)\s+(\S.*?)\s*$"
-RX_TAG = r'(`[^`]*`|"(?:[^"\\]|\\.)*")'
+RX_TAG = r'(`[^`]*`|"(?:[^"\\]|\\.)*+")'
 RX_METHOD_SPEC = r"(?U)^\s*(\w+)\s*(\([^)]*\))\s*(.*?)\s*$"
 RX_IMPORT = r"(?mU)^import\s*(\(|(?:[\w.]+\s+)?\"[^\"]*\")"
 RX_IMPORT_PATH = r'"([^"]*)"'
@@ -74,48 +75,53 @@ def mask(content, keep_strings: bool = False) -> Column:
 
 
 def masked_files(files: DataFrame) -> DataFrame:
-    """``(path, content, masked, nocomment, parens, braces)``: the masked texts
-    and the bracket partner maps of the masked text, each computed once per
-    file. Persist this table when several extractors read it (SURVEY §4,
-    regex-heavy projections)."""
-    m = files.select("path", "content", mask("content").alias("masked"),
-                     mask("content", keep_strings=True).alias("nocomment"))
-    return m.select("*", T.bracket_pairs("masked", "(", ")").alias("parens"),
-                    T.bracket_pairs("masked", "{", "}").alias("braces"))
+    """``(path, content, masked, nocomment)``: each file with its masked texts."""
+    return files.select("path", "content", mask("content").alias("masked"),
+                        mask("content", keep_strings=True).alias("nocomment"))
 
 
 # ------------------------------------------------------------------ G1, G2
 def functions(mf: DataFrame) -> DataFrame:
-    """``(path, ord, function_name, receiver, signature, body_pos, body)``.
+    """``(path, ord, function_name, receiver, signature, body, masked_body)``.
 
-    ``signature`` = ``func `` + receiver + name + params + result, trimmed.
+    ``signature`` = ``func `` + receiver + name + params + result, trimmed. The
+    spans are found inside the row; only the pieces are exploded, not the file.
     """
-    h = (mf.select("path", "content", "masked", "parens", "braces",
-                   F.posexplode(T.finditer("masked", RX_FUNC)).alias("ord", "h"))
-         .select("path", "content", "masked", "parens", "braces", F.col("ord").cast("int").alias("ord"),
-                 F.regexp_extract("h.m", RX_FUNC, 1).alias("_recv"),
-                 F.regexp_extract("h.m", RX_FUNC, 2).alias("function_name"),
-                 (F.col("h.pos") + F.length("h.m") - 1).alias("_pp")))
-    plen = T.pair_len(F.col("parens"), F.col("_pp"))
-    h = h.withColumn("_plen", plen).where(F.col("_plen") > 0)
-    rest = F.col("masked").substr(F.col("_pp") + F.col("_plen"), F.lit(4096))
-    h = h.withColumn("_res", T.search(rest, RX_RESULT, 0))
-    h = h.withColumn("_bpos", F.when(F.col("_res").isNotNull(),
-                                     F.col("_pp") + F.col("_plen") + F.length("_res") - 1))
-    blen = F.when(F.col("_bpos").isNotNull(), T.pair_len(F.col("braces"), F.col("_bpos"))).otherwise(0)
-    h = h.withColumn("_blen", blen)
-    raw = F.col("content")
-    params = raw.substr(F.col("_pp"), F.col("_plen"))
-    result = T.strip_ws(F.coalesce(raw.substr(F.col("_pp") + F.col("_plen"),
-                                              F.length("_res") - 1), F.lit("")))
-    recv = F.when(F.col("_recv") != "", F.concat(F.col("_recv"), F.lit(" "))).otherwise(F.lit(""))
-    sig = T.strip_ws(F.concat(F.lit("func "), recv, F.col("function_name"), params, F.lit(" "), result))
-    return h.select("path", "ord", "function_name",
-                    F.nullif(F.col("_recv"), F.lit("")).alias("receiver"), sig.alias("signature"),
-                    F.col("_bpos").alias("body_pos"), "parens",
-                    F.when(F.col("_blen") > 0, raw.substr(F.col("_bpos"), F.col("_blen"))).alias("body"),
-                    F.when(F.col("_blen") > 0, F.col("masked").substr(F.col("_bpos"), F.col("_blen")))
-                    .alias("masked_body"))
+    raw, masked = F.col("content"), F.col("masked")
+
+    def header(parens):
+        def one(h):
+            open_at = h["pos"] + F.length(h["m"]) - 1
+            n = T.pair_len(parens, open_at)
+            return F.struct(h["m"].alias("m"), open_at.alias("at"), n.alias("n_params"),
+                            T.search(F.substring(masked, open_at + n, F.length(masked)), RX_RESULT, 0).alias("res"))
+        return one
+
+    def parts(braces):
+        def one(h):
+            behind = h["at"] + h["n_params"]
+            body_at = behind + F.length(h["res"]) - 1
+            n = F.coalesce(T.pair_len(braces, body_at), F.lit(0))
+            return F.struct(
+                h["m"].alias("m"), h["n_params"].alias("n_params"),
+                F.substring(raw, h["at"], h["n_params"]).alias("params"),
+                F.coalesce(F.substring(raw, behind, F.length(h["res"]) - 1), F.lit("")).alias("result"),
+                F.when(n > 0, F.substring(raw, body_at, n)).alias("body"),
+                F.when(n > 0, F.substring(masked, body_at, n)).alias("masked_body"))
+        return one
+
+    pairs = F.struct(T.bracket_pairs(masked, "(", ")").alias("parens"), T.bracket_pairs(masked).alias("braces"))
+    found = T.let(pairs, lambda p: F.transform(
+        F.transform(T.finditer(masked, RX_FUNC), header(p["parens"])), parts(p["braces"])))
+    h = (mf.where(masked.rlike(RX_FUNC)).select("path", F.posexplode(found).alias("ord", "h"))
+         .where("h.n_params > 0"))
+    recv = F.regexp_extract("h.m", RX_FUNC, 1)
+    name = F.regexp_extract("h.m", RX_FUNC, 2)
+    sig = T.strip_ws(F.concat(F.lit("func "), F.when(recv != "", F.concat(recv, F.lit(" "))).otherwise(F.lit("")),
+                              name, F.col("h.params"), F.lit(" "), T.strip_ws("h.result")))
+    return h.select("path", F.col("ord").cast("int").alias("ord"), name.alias("function_name"),
+                    F.nullif(recv, F.lit("")).alias("receiver"), sig.alias("signature"),
+                    F.col("h.body").alias("body"), F.col("h.masked_body").alias("masked_body"))
 
 
 # ------------------------------------------------------------------ G3-G7
@@ -128,18 +134,21 @@ def calls(fns: DataFrame, router=P.ROUTER_PATTERNS, db=P.DB_PATTERNS, http=P.HTT
     text plus ``(`` (SURVEY Q3), the DB test on the full call after the
     HTTP-client veto, the error test on the callee.
     """
-    c = (fns.where(F.col("masked_body").isNotNull())
-         .select("path", F.col("ord").alias("function_ord"), "function_name", "body", "body_pos", "parens",
-                 F.posexplode(T.finditer("masked_body", RX_CALL)).alias("ord", "h"))
-         .select("path", "function_ord", "function_name", "body", "body_pos", "parens",
-                 F.col("ord").cast("int").alias("ord"), F.col("h.pos").alias("_pos"),
-                 F.regexp_extract("h.m", RX_CALL, 1).alias("callee"),
-                 (F.col("h.pos") + F.length("h.m") - 1).alias("_pp"))
-         .where(~F.col("callee").isin(*CALL_KEYWORDS)))
-    alen = T.pair_len(F.col("parens"), F.col("body_pos") + F.col("_pp") - 1)
-    c = c.withColumn("_alen", alen).where(F.col("_alen") > 0)
-    full = F.col("body").substr(F.col("_pos"), F.col("_pp") + F.col("_alen") - F.col("_pos"))
-    c = c.select("path", "function_ord", "function_name", "ord", "callee", full.alias("full_call"))
+    body, masked = F.col("body"), F.col("masked_body")
+
+    def call_sites(parens):
+        def one(h):
+            open_at = h["pos"] + F.length(h["m"]) - 1
+            n = T.pair_len(parens, open_at)
+            return F.struct(F.regexp_extract(h["m"], RX_CALL, 1).alias("callee"),
+                            F.when(n > 0, F.substring(body, h["pos"], open_at + n - h["pos"])).alias("full_call"))
+        return F.transform(T.finditer(masked, RX_CALL), one)
+    found = T.let(T.bracket_pairs(masked, "(", ")"), call_sites)
+    c = (fns.where(masked.isNotNull())
+         .select("path", F.col("ord").alias("function_ord"), "function_name", F.posexplode(found).alias("ord", "h"))
+         .where(F.col("h.full_call").isNotNull() & ~F.col("h.callee").isin(*CALL_KEYWORDS))
+         .select("path", "function_ord", "function_name", F.col("ord").cast("int").alias("ord"),
+                 "h.callee", "h.full_call"))
     is_router = T.contains_any(F.concat(F.col("callee"), F.lit("(")), router)
     is_db = ~T.contains_any("full_call", http) & T.contains_any("full_call", db)
     is_err = T.contains_any("callee", errors)
@@ -174,11 +183,17 @@ def function_sets(calls_df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ G9
 def _block_lines(df: DataFrame, keys: list[str], raw: Column, masked: Column) -> DataFrame:
-    """``keys`` are column names of ``df``."""
-    """Lines strictly inside a braced block, raw and masked side by side."""
+    """Specs strictly inside a braced block, raw and masked side by side: lines,
+    also parted by ``;``. ``keys`` are column names of ``df``. Cuts are taken
+    from the masked text, so a ``;`` inside a literal parts nothing."""
     inner_raw = raw.substr(F.lit(2), F.length(raw) - 2)
     inner_m = masked.substr(F.lit(2), F.length(masked) - 2)
-    z = F.arrays_zip(F.split(inner_raw, "\n", -1).alias("r"), F.split(inner_m, "\n", -1).alias("m"))
+
+    def side_by_side(ms):
+        return T.let(T.running_sums(F.transform(ms, lambda m: F.length(m) + 1)), lambda ends: F.zip_with(
+            ms, ends, lambda m, end: F.struct(F.substring(inner_raw, end - F.length(m), F.length(m)).alias("r"),
+                                              m.alias("m"))))
+    z = T.let(F.split(inner_m, "[\n;]", -1), side_by_side)
     return (df.select(*keys, F.posexplode(z).alias("line_ord", "l"))
             .select(*keys, F.col("line_ord").cast("int").alias("line_ord"),
                     F.col("l.r").alias("raw_line"), F.col("l.m").alias("masked_line")))
@@ -188,19 +203,18 @@ def structs(mf: DataFrame) -> DataFrame:
     """``(path, ord, name, body, body_masked)``; body is the struct type
     text from ``struct`` to its closing brace. Types declared inside functions
     are found too."""
-    s = (mf.select("path", "content", "masked", "nocomment",
-                   F.posexplode(T.finditer("masked", RX_STRUCT)).alias("ord", "h"))
-         .select("path", "content", "masked", "nocomment", F.col("ord").cast("int").alias("ord"),
-                 F.regexp_extract("h.m", RX_STRUCT, 1).alias("name"),
-                 (F.col("h.pos") + F.length("h.m") - 1).alias("_bp"),
-                 (F.col("h.pos") + F.length("h.m") - F.length(F.regexp_extract("h.m", r"struct\s*\{$", 0)))
-                 .alias("_sp")))
-    s = s.withColumn("_bl", T.block_end("masked", "_bp", 1 << 30)).where(F.col("_bl") > 0)
-    n = F.col("_bp") + F.col("_bl") - F.col("_sp")
-    return s.select("path", "ord", "name", F.col("content").substr(F.col("_sp"), n).alias("body"),
-                    F.col("masked").substr(F.col("_sp"), n).alias("body_masked"),
-                    F.col("masked").substr(F.col("_bp"), F.col("_bl")).alias("_mblock"),
-                    F.col("nocomment").substr(F.col("_bp"), F.col("_bl")).alias("_rblock"))
+    def one(h):
+        at = h["pos"] + F.length(h["m"]) - F.length(F.regexp_extract(h["m"], r"struct\s*\{$", 0))
+        n = h["pos"] + F.length(h["m"]) - 1 + F.length(h["body"]) - at
+        open_at = h["pos"] + F.length(h["m"]) - 1
+        return F.struct(
+            F.regexp_extract(h["m"], RX_STRUCT, 1).alias("name"), h["body"].alias("_mblock"),
+            F.substring(F.col("content"), at, n).alias("body"), F.substring(F.col("masked"), at, n).alias("body_masked"),
+            F.substring(F.col("nocomment"), open_at, F.length(h["body"])).alias("_rblock"))
+    return (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_STRUCT), one)).alias("ord", "s"))
+            .where(F.col("s._mblock") != "")
+            .select("path", F.col("ord").cast("int").alias("ord"), "s.name", "s.body", "s.body_masked",
+                    "s._mblock", "s._rblock"))
 
 
 def struct_fields(st: DataFrame) -> DataFrame:
@@ -224,20 +238,18 @@ def struct_fields(st: DataFrame) -> DataFrame:
                  F.posexplode(F.split("_names", r"\s*,\s*", -1)).alias("i", "name"), "type",
                  F.nullif(T.strip_chars("_tag", "`\""), F.lit("")).alias("tag"))
     return f.select("path", "struct", "struct_ord",
-                    (F.col("line_ord") * 100 + F.col("i")).cast("int").alias("ord"), "name", "type", "tag")
+                    (F.col("line_ord").cast("long") * 1_000_000 + F.col("i")).alias("ord"), "name", "type", "tag")
 
 
 # ------------------------------------------------------------------ G10
 def imports(mf: DataFrame) -> DataFrame:
     """Top-level imports, single and grouped, in order: ``(path, ord, import_path)``."""
-    d = (mf.select("path", "nocomment", F.posexplode(T.finditer("nocomment", RX_IMPORT)).alias("d", "h"))
-         .select("path", "nocomment", "d", F.col("h.pos").alias("pos"),
-                 F.regexp_extract("h.m", RX_IMPORT, 1).alias("what"), F.col("h.m").alias("m")))
-    grp_start = F.col("pos") + F.length("m") - 1
-    block = F.when(F.col("what") == "(", T.balanced("nocomment", grp_start, 1 << 30, "(", ")")) \
-             .otherwise(F.col("nocomment").substr(F.col("pos"), F.length("m")))
-    return (d.select("path", "d", F.posexplode(T.findall(block, RX_IMPORT_PATH, 1)).alias("i", "import_path"))
-            .select("path", (F.col("d") * 1000 + F.col("i")).cast("int").alias("ord"), "import_path"))
+    def specs(h):
+        return F.when(h["m"].endswith("("), h["body"]).otherwise(h["m"])
+    found = F.transform(T.blocks("nocomment", RX_IMPORT, "(", ")"), specs)
+    d = mf.select("path", F.posexplode(found).alias("d", "block"))
+    return (d.select("path", "d", F.posexplode(T.findall("block", RX_IMPORT_PATH, 1)).alias("i", "import_path"))
+            .select("path", (F.col("d").cast("long") * 1_000_000_000 + F.col("i")).alias("ord"), "import_path"))
 
 
 # ------------------------------------------------------------------ G11
@@ -245,17 +257,16 @@ def consts(mf: DataFrame) -> DataFrame:
     """``(path, ord, name, type, value)``; names zipped with values by
     position, missing value NULL (no ``iota`` arithmetic), type only when a
     plain identifier is given."""
-    d = (mf.select("path", "masked", "nocomment", F.posexplode(T.finditer("masked", RX_CONST)).alias("d", "h"))
-         .select("path", "masked", "nocomment", "d", F.col("h.pos").alias("pos"), F.col("h.m").alias("m")))
-    grouped = F.col("m").endswith("(")
-    gstart = F.col("pos") + F.length("m") - 1
-    glen = T.block_end("masked", gstart, 1 << 30, "(", ")")
-    eol = F.instr(F.col("masked").substr(F.col("pos"), F.lit(1 << 30)), "\n")
-    slen = F.when(eol > 0, eol - 1 - F.length("m")).otherwise(F.lit(1 << 30))
-    body_m = F.when(grouped, F.col("masked").substr(gstart + 1, glen - 2)) \
-              .otherwise(F.col("masked").substr(F.col("pos") + F.length("m"), slen))
-    body_r = F.when(grouped, F.col("nocomment").substr(gstart + 1, glen - 2)) \
-              .otherwise(F.col("nocomment").substr(F.col("pos") + F.length("m"), slen))
+    masked, nocomment = F.col("masked"), F.col("nocomment")
+
+    def declaration(h):
+        behind = h["pos"] + F.length(h["m"])
+        line = F.regexp_extract(F.substring(masked, behind, F.length(masked)), r"^[^\n]*+", 0)
+        n = F.when(h["m"].endswith("("), F.length(h["body"]) - 2).otherwise(F.length(line))
+        return F.struct(F.substring(masked, behind, n).alias("m"), F.substring(nocomment, behind, n).alias("r"))
+    d = (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_CONST, "(", ")"), declaration)).alias("d", "h"))
+         .select("path", "d", F.col("h.m").alias("body_m"), F.col("h.r").alias("body_r")))
+    body_m, body_r = F.col("body_m"), F.col("body_r")
     z = F.arrays_zip(F.split(body_r, "\n", -1).alias("r"), F.split(body_m, "\n", -1).alias("mm"))
     lines = (d.select("path", "d", F.posexplode(z).alias("line_ord", "l"))
              .select("path", "d", "line_ord", F.col("l.r").alias("r"), F.col("l.mm").alias("mm"))
@@ -268,15 +279,13 @@ def consts(mf: DataFrame) -> DataFrame:
         F.when(eq > 0, F.col("mm").substr(eq + 1, F.lit(1 << 30))).alias("_mv"),
         F.when(eq > 0, F.col("r").substr(eq + 1, F.lit(1 << 30))).alias("_rv"))
     pieces = F.split(F.coalesce(F.col("_mv"), F.lit("")), ",", -1)
-    offs = F.aggregate(pieces, F.struct(F.array().cast("array<int>").alias("ps"), F.lit(1).alias("cur")),
-                       lambda acc, p: F.struct(F.array_append(acc["ps"], acc["cur"]).alias("ps"),
-                                               (acc["cur"] + F.length(p) + 1).alias("cur")),
-                       lambda acc: acc["ps"])
-    vals = F.zip_with(offs, pieces, lambda o, p: T.strip_chars(T.strip_ws(F.col("_rv").substr(o, F.length(p))), '"'))
+    ends = T.running_sums(F.transform(pieces, lambda p: F.length(p) + 1))
+    vals = F.zip_with(ends, pieces, lambda e, p: T.strip_chars(
+        T.strip_ws(F.col("_rv").substr(e - F.length(p), F.length(p))), '"'))
     spec = spec.withColumn("values", F.when(F.col("_mv").isNotNull(), F.filter(vals, lambda v: v != ""))
                            .otherwise(F.array().cast("array<string>")))
     return (spec.select("path", "d", "line_ord", "type", "values", F.posexplode("names").alias("i", "name"))
-            .select("path", (F.col("d") * 100000 + F.col("line_ord") * 100 + F.col("i")).cast("int").alias("ord"),
+            .select("path", (F.col("d").cast("long") * 1_000_000_000_000 + F.col("line_ord") * 1_000 + F.col("i")).alias("ord"),
                     "name", "type", F.try_element_at("values", F.col("i") + 1).alias("value")))
 
 
@@ -284,12 +293,13 @@ def consts(mf: DataFrame) -> DataFrame:
 def interfaces(mf: DataFrame) -> DataFrame:
     """``(path, interface, ord, method, signature)``; embedded interfaces
     are not methods (SURVEY Q18: all method specs are reported)."""
-    i = (mf.select("path", "nocomment", "masked", F.posexplode(T.finditer("masked", RX_INTERFACE)).alias("o", "h"))
-         .select("path", "nocomment", "masked", F.regexp_extract("h.m", RX_INTERFACE, 1).alias("interface"),
-                 (F.col("h.pos") + F.length("h.m") - 1).alias("_bp")))
-    i = i.withColumn("_bl", T.block_end("masked", "_bp", 1 << 30)).where(F.col("_bl") > 0)
-    i = i.select("path", "interface", F.col("nocomment").substr(F.col("_bp"), F.col("_bl")).alias("_r"),
-                 F.col("masked").substr(F.col("_bp"), F.col("_bl")).alias("_m"))
+    def one(h):
+        open_at = h["pos"] + F.length(h["m"]) - 1
+        return F.struct(F.regexp_extract(h["m"], RX_INTERFACE, 1).alias("interface"), h["body"].alias("m"),
+                        F.substring(F.col("nocomment"), open_at, F.length(h["body"])).alias("r"))
+    i = (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_INTERFACE), one)).alias("o", "h"))
+         .where(F.col("h.m") != "")
+         .select("path", "h.interface", F.col("h.m").alias("_m"), F.col("h.r").alias("_r")))
     lines = _block_lines(i, ["path", "interface"], F.col("_r"), F.col("_m"))
     m = lines.where(F.col("masked_line").rlike(RX_METHOD_SPEC))
     name = F.regexp_extract("raw_line", RX_METHOD_SPEC, 1)

@@ -73,18 +73,20 @@ def resolve_urls(calls: DataFrame, emap: DataFrame, call_id: str = "call_id") ->
                      F.lower(F.concat(F.coalesce(F.upper("http_method"), F.lit("")), F.lit(" "),
                                       F.coalesce("url", F.lit("")))).alias("_k1"),
                      F.lower(F.coalesce("url", F.lit(""))).alias("_k2"))
+    # each different call text is resolved once, however many calls share it
+    keys = c.select("_k1", "_k2").where(F.col("_k2") != "").distinct()
     e1 = emap.select(F.col("key").alias("_k1"), F.col("ep_id").alias("_e1"))
     e2 = emap.select(F.col("key").alias("_k2"), F.col("ep_id").alias("_e2"))
-    t = c.join(e1, "_k1", "left").join(e2, "_k2", "left")
-    done = t.where((F.col("_k2") != "") & (F.col("_e1").isNotNull() | F.col("_e2").isNotNull())).select(
-        "_cid", F.coalesce("_e1", "_e2").alias("ep_id"),
-        F.when(F.col("_e1").isNotNull(), 1).otherwise(2).alias("tier"))
-    rest = t.where((F.col("_k2") != "") & F.col("_e1").isNull() & F.col("_e2").isNull())
-    t3 = first_containing(rest.select(F.col("_cid").alias("needle_id"), F.col("_k2").alias("needle")),
+    t = keys.join(e1, "_k1", "left").join(e2, "_k2", "left")
+    direct = F.col("_e1").isNotNull() | F.col("_e2").isNotNull()
+    done = t.where(direct).select("_k1", "_k2", F.coalesce("_e1", "_e2").alias("ep_id"),
+                                  F.when(F.col("_e1").isNotNull(), 1).otherwise(2).alias("tier"))
+    rest = t.where(~direct).select("_k1", "_k2")
+    t3 = first_containing(rest.select(F.col("_k2").alias("needle_id"), F.col("_k2").alias("needle")).distinct(),
                           emap.select("key", "key_ord", F.col("ep_id").alias("value")))
-    t3 = t3.select(F.col("needle_id").alias("_cid"), F.col("value").alias("ep_id"), F.lit(3).alias("tier"))
-    found = done.unionByName(t3)
-    return (c.select("_cid").join(found, "_cid", "left")
+    t3 = rest.join(t3.select(F.col("needle_id").alias("_k2"), F.col("value").alias("ep_id")), "_k2").select(
+        "_k1", "_k2", "ep_id", F.lit(3).alias("tier"))
+    return (c.join(done.unionByName(t3), ["_k1", "_k2"], "left")
             .select(F.col("_cid").alias(call_id), "ep_id", "tier"))
 
 
@@ -97,7 +99,11 @@ def call_requirements(components: DataFrame, api: DataFrame, entry_points: DataF
     keyed = rc.withColumn("call_id", F.struct("file", "ord"))
     res = resolve_urls(keyed.where(F.col("url").isNotNull() & (F.col("url") != "")), endpoint_map(entry_points))
     ep_fr = endpoint_requirements(evidence)
-    return (keyed.join(res, "call_id", "left").join(ep_fr, "ep_id", "left")
+    # calls without an endpoint get a key of their own, so they do not meet in one partition
+    ep_key = F.coalesce("ep_id", F.concat(F.lit("\x00"), F.xxhash64("call_id").cast("string")))
+    ep_fr = ep_fr.withColumnRenamed("ep_id", "_ep")
+    found = keyed.join(res, "call_id", "left").withColumn("_key", ep_key)
+    return (found.join(ep_fr, F.col("_key") == F.col("_ep"), "left")
             .select("file", "ord", "client_method", "http_method", "url", "ep_id", "fr_id"))
 
 
@@ -267,7 +273,7 @@ def number_rows(df: DataFrame, order_cols: list[str], id_col: str = "req_id",
     # one row per partition: a running sum over this tiny table is cheap
     offs = counts.select("_pid", F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
-    s = s.join(F.broadcast(offs), "_pid")
+    s = s.join(offs, "_pid")
     n = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1
     num = F.when(n < 10 ** width, F.lpad(n.cast("string"), width, "0")).otherwise(n.cast("string"))
     return s.withColumn(id_col, F.concat(F.lit(prefix), num)).drop("_mid", "_pid", "_pos", "_off")

@@ -23,18 +23,18 @@ RX_FETCH = r"""(?iU)fetch\s*\(\s*[`'"]([^`'"]+)[`'"](?:\s*,\s*\{[^}]*method\s*:\
 ALERT_PATTERNS = [
     r"""(?sU)\$swal\s*\(\s*\{[^}]*?title\s*:\s*['"]([^'"]+)['"]""",
     r"""(?U)\$swal\s*\(\s*['"]([^'"]+)['"]""",
-    r"""(?U)\$toast\s*\.\s*\w+\s*\(\s*['"]([^'"]{2,100})['"]""",
-    r"""(?U)(?<!\w)alert\s*\(\s*['"]([^'"]{2,100})['"]""",
-    r"""(?U)(?<!\w)confirm\s*\(\s*['"]([^'"]{2,100})['"]""",
-    r"""(?U)\$message\s*(?:\.\s*\w+)?\s*\(\s*['"]([^'"]{2,100})['"]""",
+    r"""(?U)\$toast\s*\.\s*\w+\s*\(\s*['"]([^'"]{2,})['"]""",
+    r"""(?U)(?<!\w)alert\s*\(\s*['"]([^'"]{2,})['"]""",
+    r"""(?U)(?<!\w)confirm\s*\(\s*['"]([^'"]{2,})['"]""",
+    r"""(?U)\$message\s*(?:\.\s*\w+)?\s*\(\s*['"]([^'"]{2,})['"]""",
     r"""(?sU)\$notify\s*\(\s*\{[^}]*?message\s*:\s*['"]([^'"]+)['"]""",
 ]
-RX_COND_RENDER = r"""(?U)v-(?:if|show)\s*=\s*['"]([^'"]{3,200})['"]"""
-RX_DISABLED = r"""(?U):disabled\s*=\s*['"]([^'"]{2,200})['"]"""
-RX_CLICK = r"""(?U)@click(?:\.[\w.]+)?\s*=\s*['"]([^'"]{1,100})['"]"""
+RX_COND_RENDER = r"""(?U)v-(?:if|show)\s*=\s*['"]([^'"]{3,})['"]"""
+RX_DISABLED = r"""(?U):disabled\s*=\s*['"]([^'"]{2,})['"]"""
+RX_CLICK = r"""(?U)@click(?:\.[\w.]+)?\s*=\s*['"]([^'"]{1,})['"]"""
 RX_POLL = r"(?U)setInterval\s*\([^,]+,\s*(\d+)\s*\)"
 RX_LOADING = r"(?U)this\.(?:loading|isLoading|isFetching|isPending)\s*=\s*(true|false)"
-RX_LIFECYCLE = r"(?sU)(?:created|mounted)\s*\(\s*\)\s*\{([^}]{1,500})\}"
+RX_LIFECYCLE = r"(?sU)(?:created|mounted)\s*\(\s*\)\s*\{([^}]+)\}"
 RX_THIS_METHOD = r"(?U)this\.(\w+)\s*\("
 ROLE_GUARD_PATTERNS = [
     r"""(?iU)v-if\s*=\s*['"]([^'"]*(?:role|admin|auth|permission)[^'"]*)['"]""",
@@ -42,8 +42,8 @@ ROLE_GUARD_PATTERNS = [
     r"""(?U)(?:roles?|permissions?)\s*(?:===?|includes?)\s*['"](\w+)['"]""",
 ]
 UI_STRING_PATTERNS = [
-    r"(?U)>\s*([가-힣a-zA-Z][가-힣a-zA-Z0-9\s]{2,30})\s*<",
-    r"""(?U)(?:label|placeholder|title)\s*[=:]\s*['"]([^'"]{2,50})['"]""",
+    r"(?U)>\s*([가-힣a-zA-Z][가-힣a-zA-Z0-9\s]{2,})\s*<",
+    r"""(?U)(?:label|placeholder|title)\s*[=:]\s*['"]([^'"]{2,})['"]""",
 ]
 RX_SCRIPT_SETUP = r"(?s)<script(?:\s+setup)?\s*>(.*?)</script>"
 RX_TEMPLATE = r"(?s)<template>(.*?)</template>"
@@ -104,10 +104,12 @@ def user_messages(sec: DataFrame) -> DataFrame:
     ``(file, ord, message, context)``."""
     parts = []
     for i, rx in enumerate(ALERT_PATTERNS):
-        m = (sec.select("file", "script", F.posexplode(T.finditer("script", rx)).alias("o", "h"))
+        def near(h):
+            return F.struct(h["m"].alias("m"), T.before(F.col("script"), h["pos"], CONTEXT_BEFORE).alias("before"))
+        m = (sec.select("file", F.posexplode(F.transform(T.finditer("script", rx), near)).alias("o", "h"))
              .select("file", F.lit(i).alias("p"), "o",
                      T.strip_ws(F.regexp_extract("h.m", rx, 1)).alias("message"),
-                     T.strip_ws(T.before("script", F.col("h.pos"), CONTEXT_BEFORE)).alias("_ctx")))
+                     T.strip_ws("h.before").alias("_ctx")))
         parts.append(m)
     u = parts[0]
     for p in parts[1:]:
@@ -116,13 +118,13 @@ def user_messages(sec: DataFrame) -> DataFrame:
     ctx = F.when(F.length("_ctx") > CONTEXT_KEEP, F.substring("_ctx", -CONTEXT_KEEP, CONTEXT_KEEP)).otherwise(F.col("_ctx"))
     first = u.groupBy("file", "message").agg(F.min_by(F.struct("p", "o", ctx.alias("context")),
                                                       F.struct("p", "o")).alias("w"))
-    return first.select("file", (F.col("w.p") * 100000 + F.col("w.o")).cast("int").alias("ord"), "message",
+    return first.select("file", (F.col("w.p").cast("long") * 1_000_000_000 + F.col("w.o")).alias("ord"), "message",
                         F.col("w.context").alias("context"))
 
 
 # ------------------------------------------------------------------ J3-J8
 def conditional_renders(template) -> Column:
-    """Distinct ``v-if`` / ``v-show`` expressions (3-200 characters)."""
+    """Distinct ``v-if`` / ``v-show`` expressions (3 characters or more)."""
     return _ordered_distinct(T.findall(template, RX_COND_RENDER, 1), 3)
 
 
@@ -148,8 +150,8 @@ def has_loading_state(script) -> Column:
 
 
 def lifecycle_methods(script) -> Column:
-    """``this.x(`` calls inside ``created`` / ``mounted`` bodies (first 500
-    characters, no nested braces), merged over hooks, first seen order."""
+    """``this.x(`` calls inside ``created`` / ``mounted`` bodies (no nested
+    braces), merged over hooks, first seen order."""
     bodies = T.findall(script, RX_LIFECYCLE, 1)
     return F.array_distinct(F.flatten(F.transform(bodies, lambda b: T.findall(b, RX_THIS_METHOD, 1))))
 

@@ -27,7 +27,7 @@ RX_ACRONYM = r"([A-Z]+)([A-Z][a-z])"
 RX_CAMEL = r"([a-z\d])([A-Z])"
 PLACEHOLDER_DESCRIPTION = "recursive/deep reference"
 UNKNOWN_DESCRIPTION = "unknown type "
-EMBED_ORD_BASE = 10_000_000
+EMBED_ORD_BASE = 1 << 50
 
 
 # ------------------------------------------------------------------ E1
@@ -117,37 +117,39 @@ def embedded_candidates(registry: DataFrame, fields: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ E8-E10
 def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, fields: DataFrame,
-                   max_depth: int = P.MAX_SCHEMA_DEPTH, suffix_rule: bool = True) -> DataFrame:
+                   max_depth: int | None = None, suffix_rule: bool = True) -> DataFrame:
     """Flat expansion of every ``root`` struct name in ``roots``.
 
-    Output ``(root, path ARRAY<STRING>, depth, ord_path ARRAY<INT>, json_key,
+    Output ``(root, path ARRAY<STRING>, depth, ord_path ARRAY<BIGINT>, json_key,
     go_type, required, is_array, description)``. Type cascade: session id >
     scalar alias > primitive > known struct > raw. A struct already on the
-    current path, or a call deeper than ``max_depth``, yields one placeholder
-    row; an unregistered name yields an "unknown type" row. ``sessionID``
+    current path yields one placeholder row, and so does a call deeper than
+    ``max_depth`` where one is given; an unregistered name yields an "unknown type" row. ``sessionID``
     fields are kept (required) only at the root.
 
     ``fields`` is the G9 table restricted to the winning definitions.
     """
     checkpoint_dir(spark)
-    registry = registry.persist()
+    registry = cut(registry)
     reg = registry.select(F.col("name").alias("_rn"), F.col("path").alias("_rp"), F.col("ord").alias("_ro"))
-    fields = fields.join(reg, (fields["path"] == reg["_rp"]) & (fields["struct_ord"] == reg["_ro"]),
-                         "left_semi").persist()
+    fields = cut(fields.join(reg, (fields["path"] == reg["_rp"]) & (fields["struct_ord"] == reg["_ro"]),
+                             "left_semi"))
     fl = fields.select(F.col("path").alias("_fp"), F.col("struct_ord").alias("_fo"),
                        F.col("ord").alias("_ford"), F.col("name").alias("_fname"),
                        F.col("type").alias("_ftype"), F.col("tag").alias("_ftag"))
-    emb = embedded_candidates(registry, fields).select(
-        F.col("name").alias("_en"), "eord", F.col("lookup").alias("_lookup")).persist()
+    emb = cut(embedded_candidates(registry, fields).select(
+        F.col("name").alias("_en"), "eord", F.col("lookup").alias("_lookup")))
     sc = _scalars(spark)
     empty_s = F.array().cast("array<string>")
-    empty_i = F.array().cast("array<int>")
+    empty_i = F.array().cast("array<bigint>")
     calls = cut(roots.select("root", F.col("root").alias("name"), F.lit(0).alias("depth"),
                              empty_s.alias("visited"), empty_s.alias("kpath"), empty_i.alias("opath")))
     row_cols = ["root", "kpath", "depth", "ord_path", "json_key", "go_type", "required", "is_array", "description"]
     out = []
-    for _ in range(max_depth + 2):
-        stop = F.array_contains("visited", F.col("name")) | (F.col("depth") > max_depth)
+    while True:
+        stop = F.array_contains("visited", F.col("name"))
+        if max_depth is not None:
+            stop = stop | (F.col("depth") > max_depth)
         ph = calls.where(stop).select(
             "root", "kpath", "depth", F.array_append("opath", F.lit(0)).alias("ord_path"),
             F.concat(F.lit("<"), F.col("name"), F.lit(">")).alias("json_key"),
@@ -165,8 +167,7 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
         ft, tag = F.col("_ftype"), F.col("_ftag")
         f = (f.withColumn("_jk", json_key(tag, "_fname")).withColumn("_opt", is_optional(ft, tag))
              .withColumn("_bt", base_type(ft))
-             # the scalar table is the fixed parameter list (a handful of rows)
-             .join(F.broadcast(sc), F.col("_bt") == sc["_sname"], "left")
+             .join(sc, F.col("_bt") == sc["_sname"], "left")
              .join(reg.select(F.col("_rn").alias("_sn")), F.col("_bt") == F.col("_sn"), "left")
              .where(~((ft == P.SESSION_ID_TYPE) & (F.col("depth") > 0))))
         prim = is_primitive(ft, suffix_rule=suffix_rule) | F.col("_bt").isin(*P.PRIMITIVE_TYPES)

@@ -8,7 +8,6 @@ results, and are stated plainly, in their original order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 
 # ----------------------------------------------------------------------------
 # Fixed values (backend call classification, SURVEY G5-G7)
@@ -90,16 +89,3 @@ GUARD_TEMPLATES = [
 ]
 ROUTER_SOURCE = "router/index.js"
 STORE_SOURCE = "store/index.js"
-
-# Budgets (characters scanned for a balanced block or a context window)
-BUDGET_API_METHOD = 3000
-BUDGET_ROUTE = 2000
-BUDGET_HOOK = 1000
-BUDGET_POLL = 3000
-BUDGET_CONFIRM = 500
-BUDGET_STORE_ACTION = 1500
-
-
-def as_df(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small parameter table; its size is fixed by the caller's list."""
-    return spark.createDataFrame(list(rows), schema)

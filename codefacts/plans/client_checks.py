@@ -26,16 +26,14 @@ def q_pages_split(spark, sf_dir):
             .select("page_id", "script", "template"))
 
 
-@register("client_api_methods", "T1,T2,H4,H5,H6,Q11,Q17", r"""
+@register("client_api_methods", "T1,T2,H4,H5,H6,Q17", r"""
 SELECT 'api/p' || p_partkey || '.js' AS path, 'get' || p_partkey AS client_method,
-       CASE WHEN p_partkey % 97 = 0 THEN 'PUT'
-            WHEN p_partkey % 4 = 3 THEN 'GET'
+       CASE WHEN p_partkey % 4 = 3 THEN 'GET'
             ELSE upper(['get', 'post', 'put'][p_partkey % 4 + 1]) END AS http_method,
-       CASE WHEN p_partkey % 97 = 0 THEN '/old/' || p_partkey
-            WHEN p_partkey % 4 = 3 THEN ':param/api/v1/file/:param/' || p_partkey
+       CASE WHEN p_partkey % 4 = 3 THEN ':param/api/v1/file/:param/' || p_partkey
             ELSE '/api/v1/' || lower(p_type) || '/' || p_partkey END AS url,
-       CASE WHEN p_partkey % 97 = 0 THEN 'id' ELSE 'id,opts' END AS params
-FROM part WHERE p_partkey % 97 <> 0 OR p_partkey % 11 = 0
+       'id,opts' AS params
+FROM part
 UNION ALL
 SELECT 'api/p' || p_partkey || '.js', 'status' || p_partkey, 'POST',
        '/api/v1/status/${id}', 'id'

@@ -17,7 +17,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codefacts.session import parallelism
 from codefacts.sources.tables import table
 
 _PH = re.compile(r"@@(\w+)@@")
@@ -38,8 +37,7 @@ def fill(template: str, **cols: Column) -> Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread narrow input rows over ``parallelism`` tasks (the shuffle
-    partition setting, capped at twice the cores) before text is generated.
+    """Spread narrow input rows over the shuffle partitions before text is generated.
 
     A small table is one scan split, and the text built from it is two orders
     of magnitude larger than its rows; without this every extractor downstream
@@ -47,7 +45,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     following ``groupBy(keys)`` needs no second shuffle. An explicit count is
     kept by adaptive execution (it does not coalesce it away).
     """
-    n = parallelism(df.sparkSession)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 
@@ -205,7 +203,7 @@ API_DUP = """
 API_CALL = """    const res = await axios.@@verb@@('/api/v1/@@seg@@/@@k@@', { id })
     return res.data"""
 API_RETURN = """    return `${this.base}/api/v1/file/${id}/@@k@@`"""
-API_PAD = "    // " + "=" * 3000 + "\n"
+API_PAD = "    // " + "=" * 200_000 + "\n"
 VERBS = ("get", "post", "put")
 
 
@@ -213,8 +211,8 @@ def api_client_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(path, content)``: one API client per ``part`` row.
 
     ``get<k>``: verb by k % 4 (get, post, put; 3 = returned URL, GET with
-    ``:param``); an earlier duplicate (PUT /old/<k>) when k % 11 = 0; a body
-    longer than the scan budget when k % 97 = 0 (no hit). ``status<k>`` posts a
+    ``:param``); an earlier duplicate (PUT /old/<k>) when k % 11 = 0, which loses; a
+    very long body when k % 97 = 0. ``status<k>`` posts a
     template URL that stays raw (SURVEY Q17).
     """
     p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_type"))

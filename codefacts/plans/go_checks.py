@@ -100,9 +100,9 @@ def q_go_fields(spark, sf_dir):
 
 
 @register("go_imports", "G10", f"""
-SELECT {GOFILE} AS path, 0 AS ord, 'errors' AS import_path FROM part
+SELECT {GOFILE} AS path, 0::BIGINT AS ord, 'errors' AS import_path FROM part
 UNION ALL SELECT {GOFILE}, 1, 'fmt' FROM part
-UNION ALL SELECT {GOFILE}, 1000, 'net/http' FROM part""")
+UNION ALL SELECT {GOFILE}, 1000000000, 'net/http' FROM part""")
 def q_go_imports(spark, sf_dir):
     return G.imports(masked(spark, sf_dir))
 

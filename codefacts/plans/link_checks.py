@@ -16,12 +16,11 @@ from codefacts.sources.tables import table
 CHUNK = "'/n' || c_nationkey || '_' || (c_custkey // 64) || '.js'"
 API_SQL = """
 api AS (SELECT 'get' || p_partkey AS client_method,
-               CASE WHEN p_partkey % 97 = 0 THEN 'PUT' WHEN p_partkey % 4 = 3 THEN 'GET'
+               CASE WHEN p_partkey % 4 = 3 THEN 'GET'
                     ELSE upper(['get', 'post', 'put'][p_partkey % 4 + 1]) END AS http_method,
-               CASE WHEN p_partkey % 97 = 0 THEN '/old/' || p_partkey
-                    WHEN p_partkey % 4 = 3 THEN ':param/api/v1/file/:param/' || p_partkey
+               CASE WHEN p_partkey % 4 = 3 THEN ':param/api/v1/file/:param/' || p_partkey
                     ELSE '/api/v1/' || lower(p_type) || '/' || p_partkey END AS url
-        FROM part WHERE p_partkey % 97 <> 0 OR p_partkey % 11 = 0
+        FROM part
         UNION ALL SELECT 'status' || p_partkey, 'POST', '/api/v1/status/${id}' FROM part)"""
 
 
@@ -267,8 +266,8 @@ def q_ui_evidence(spark, sf_dir):
 
 @register("client_api_params", "H20", f"""
 WITH {API_SQL},
-prm AS (SELECT 'get' || p_partkey AS method, CASE WHEN p_partkey % 97 = 0 THEN 'id' ELSE 'id,opts' END AS params
-        FROM part WHERE p_partkey % 97 <> 0 OR p_partkey % 11 = 0
+prm AS (SELECT 'get' || p_partkey AS method, 'id,opts' AS params
+        FROM part
         UNION ALL SELECT 'status' || p_partkey, 'id' FROM part)
 SELECT 'views/P' || p_partkey || '.vue' AS file, 'get' || p_partkey AS method, prm.params
 FROM part JOIN prm ON prm.method = 'get' || p_partkey

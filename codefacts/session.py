@@ -2,13 +2,14 @@
 
 The library never assumes a machine-local scratch folder: lineage is cut with
 ``DataFrame.checkpoint()`` into the folder named by ``spark.checkpoint.dir``
-(read from the session). ``get_spark`` sets one only when none is configured,
-which is the case in tests and local benchmarks.
+(read from the session). A scratch folder is made only where none is configured
+and the session runs in one local process, as in tests and local benchmarks.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,39 +35,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """The shared checkpoint folder of the session. Only a session that runs in
+    one local process gets a scratch folder of its own where none is set; on a
+    cluster executors do not share one, so that is an error."""
     conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = (conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+         or spark.sparkContext.getCheckpointDir())
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="codefacts-ckpt-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="codefacts-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def parallelism(spark) -> int:
-    """Task count for re-partitioned intermediate data: the shuffle partition
-    setting, but no more than twice the cores the cluster offers (a local run
-    with the default 200 shuffle partitions would otherwise write hundreds of
-    near-empty partitions per step)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
-
-
-def cut(df, max_partitions: int | None = None):
+def cut(df):
     """Checkpoint ``df`` into the shared checkpoint folder and return the
     checkpointed DataFrame (lineage cut, survives executor loss).
 
-    Loops that union several branches derived from the previous step multiply
-    its partition count each round (a union concatenates partitions and a
-    broadcast join keeps them); ``max_partitions`` (default
-    ``parallelism``) caps it with a ``coalesce``, which moves no data."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = max_partitions or parallelism(spark)
-    if df.rdd.getNumPartitions() > n:
-        df = df.coalesce(n)
-    return df.checkpoint(eager=True)
+    Loops that union several branches of the previous step would multiply its
+    partitions each round; the rows are dealt out anew, into as many partitions
+    as their size asks for (adaptive execution decides)."""
+    checkpoint_dir(df.sparkSession)
+    return df.hint("rebalance").checkpoint(eager=True)

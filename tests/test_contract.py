@@ -4,7 +4,7 @@ plan-shape checks (no Python UDF, no Cartesian product, no nested-loop join)."""
 import pytest
 
 import __spark_entry__ as E
-from codefacts.plans.compare import compare, duck
+from compare import compare, duck
 
 from conftest import SMOKE
 

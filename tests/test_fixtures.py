@@ -100,6 +100,10 @@ def test_depth_limit(spark):
     rows = S.expand_schemas(spark, spark.createDataFrame([("S0",)], "root string"), S.struct_registry(st),
                             G.struct_fields(st)).collect()
     deepest = max(rows, key=lambda r: len(r.path))
+    assert len(deepest.path) == 7 and deepest.depth == 6
+    four = S.expand_schemas(spark, spark.createDataFrame([("S0",)], "root string"), S.struct_registry(st),
+                            G.struct_fields(st), max_depth=4).collect()
+    deepest = max(four, key=lambda r: len(r.path))
     assert deepest.json_key == "<S5>" and deepest.depth == 5
 
 
@@ -111,10 +115,12 @@ def test_h1_perm_masks(spark):
 
 
 def test_q11_q16_q19(spark):
-    client = "class Client {\n  big(a) {\n    // " + "x" * 3100 + "\n    axios.get('/api/big')\n  }\n" \
+    client = "class Client {\n  big(a) {\n    // " + "x" * 200_000 + "\n    axios.get('/api/big')\n  }\n" \
              "  ok(a, b) {\n    return axios.post('/api/ok')\n  }\n}\n"
     api = {r.client_method for r in C.api_methods(files(spark, [("c.js", client)])).collect()}
-    assert api == {"ok"}                                               # Q11
+    assert api == {"big", "ok"}
+    short = C.api_methods(files(spark, [("c.js", client)]), budget=3000).collect()
+    assert {r.client_method for r in short} == {"ok"}                  # Q11, only on request
     vue = ("<template><div><template>inner</template>rest</div></template>\n"
            "<script setup>\nexport default { name: 'Q' }\n</script>\n"
            "<script>\nClient.조회(1)\n</script>")
@@ -191,3 +197,34 @@ def test_numbering_is_consecutive(spark):
     exp = sorted(rows)
     assert [g[1:] for g in got] == exp
     assert [g[0] for g in got] == [f"CL-{i:03d}" for i in range(1, len(rows) + 1)]
+
+
+LONG = "x" * 200_000
+LONG_GO = ('package x\n\nfunc Big(a int) (' + ", ".join("r%d int" % i for i in range(3000)) + ') {\n\tuse("' + LONG
+           + '")\n\terrors.New("' + "y\\n" * 3000 + '")\n}\n\nconst (\n'
+           + "".join("\tK%d = %d\n" % (i, i) for i in range(10_000)) + ')\n\nimport (\n'
+           + "".join('\t"p/%d"\n' % i for i in range(2000)) + ')\n\ntype One struct { A int; B string }\n')
+
+
+def test_long_go_texts_are_read_whole(spark):
+    mf = G.masked_files(files(spark, [("big.go", LONG_GO)]))
+    fn = G.functions(mf).collect()
+    assert [f.function_name for f in fn] == ["Big"] and len(fn[0].body) > 200_000
+    calls = G.calls(G.functions(mf))
+    assert sorted(r.callee for r in calls.collect()) == ["errors.New", "use"]
+    assert max(len(r.message) for r in G.error_messages(calls).collect()) == 9000
+    ords = [r.ord for r in G.consts(mf).collect()]
+    assert len(ords) == len(set(ords)) == 10_000
+    ords = [r.ord for r in G.imports(mf).collect()]
+    assert len(ords) == len(set(ords)) == 2000
+    fields = {(r.name, r.type) for r in G.struct_fields(G.structs(mf)).collect()}
+    assert fields == {("A", "int"), ("B", "string")}
+
+
+def test_long_attributes_messages_and_conditions(spark):
+    vue = ('<template><button :disabled="status === ' + LONG + '"></button></template>\n<script>\nif (' + "c" * 300
+           + ") { this.$swal('" + "m" * 500 + "') }\n</script>")
+    comp = C.split_sfc(files(spark, [("v.vue", vue)]))
+    assert len(C.disabled_guards(comp).first().condition) > 200_000
+    m = C.validation_messages(comp).first()
+    assert len(m.message) == 500

@@ -42,8 +42,8 @@ def test_json_docs_optional_and_versioned(spark):
     assert [(r.ord, r.ep_id) for r in eps] == [(0, "EP-1"), (1, "EP-2")]
     missing = SF.optional_table(spark, lambda: spark.read.schema(schema).json(root + "/nope"), schema)
     assert missing.count() == 0 and missing.columns == ["entry_points"]
-    p1 = SF.versioned_path(spark, root + "/out", "rules")
-    p2 = SF.versioned_path(spark, root + "/out", "rules")
+    p1 = SF.versioned_path(root + "/out", "rules")
+    p2 = SF.versioned_path(root + "/out", "rules")
     assert p1 != p2
     SF.write_table(docs.select(F.explode("entry_points").alias("e")).select("e.*"), p1, "json")
     assert spark.read.json(p1).count() == 2
@@ -79,3 +79,15 @@ def test_source_stream(spark):
     q.awaitTermination(120)
     got = sorted(r.function_name for r in spark.sql("SELECT * FROM cf_stream_fns").collect())
     assert got == ["A", "B"]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from codefacts.session import checkpoint_dir
+    conf = N(get=lambda *a: None)
+    context = N(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(N(sparkContext=context, conf=conf))

@@ -71,3 +71,23 @@ def test_strip_matches_python(spark):
     df = spark.createDataFrame([(v,) for v in vals], "t string")
     got = [r.s for r in df.select(T.strip_ws("t").alias("s")).collect()]
     assert got == [v.strip() for v in vals]
+
+
+def test_many_brackets_in_one_text(spark):
+    n = 60_000
+    df = spark.createDataFrame([("}" + "{a{b}" * (n // 3) + "}" * 5,)], "t string")
+    r = df.select(T.bracket_pairs("t").alias("p"), F.size(T.finditer("t", "[{}]")).alias("n")).first()
+    text = df.first().t
+    stack, want = [], {}
+    for i, c in enumerate(text, 1):
+        if c == "{":
+            stack.append(i)
+        elif c == "}" and stack:
+            want[stack.pop()] = i
+    assert r.p == want and r.n == sum(text.count(c) for c in "{}")
+
+
+def test_blocks_carry_whole_bodies(spark):
+    df = spark.createDataFrame([("f() {" + "x" * 250_000 + "{ }} g() { h() {",), ("none",)], "t string")
+    got = [r.b for r in df.select(T.blocks("t", r"\w\(\) \{").alias("b")).collect()]
+    assert [len(b.body) for b in got[0]] == [250_005, 0, 0] and got[1] is None
