@@ -42,6 +42,12 @@ def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
     return seen.select("source", F.col("node").alias("function_name"), "depth")
 
 
+def effects(calls: DataFrame) -> DataFrame:
+    """``source``: the functions with an effect, a database access or an error,
+    from classified calls (G4-G6)."""
+    return (calls.where(F.col("kind").isin("db", "error")).select(F.col("function_name").alias("source")).distinct())
+
+
 def backward_slice(edges: DataFrame, effects: DataFrame) -> DataFrame:
     """K2: callers (transitively) of each effect function: K1 on reversed edges."""
     rev = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))

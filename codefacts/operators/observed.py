@@ -80,46 +80,55 @@ def sections(files: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ J1
-def api_calls(df: DataFrame, text_col: str = "script", key: str = "file") -> DataFrame:
-    """``(file, client, ord, method, url, raw_url)`` for axios, vue-resource
-    and fetch calls; ``${...}`` becomes ``:param``; fetch defaults to GET."""
+def api_call_list(text) -> Column:
+    """``ARRAY<STRUCT<client, ord, method, url, raw_url>>`` of axios,
+    vue-resource and fetch calls; ``${...}`` becomes ``:param``; fetch defaults
+    to GET."""
     def part(rx, client, method_group, url_group):
-        g = df.select(key, F.posexplode(T.groups(text_col, rx, 2)).alias("ord", "g"))
-        raw = F.col(f"g.g{url_group}")
-        if method_group is None:
-            meth = F.when(F.col("g.g2") != "", F.upper("g.g2")).otherwise(F.lit("GET"))
-        else:
-            meth = F.upper(F.col(f"g.g{method_group}"))
-        return g.select(F.col(key).alias("file"), F.lit(client).alias("client"), F.col("ord").cast("int").alias("ord"),
-                        meth.alias("method"), F.regexp_replace(raw, RX_TEMPLATE_PARAM, ":param").alias("url"),
-                        raw.alias("raw_url"))
-    return (part(RX_AXIOS, "axios", 1, 2).unionByName(part(RX_HTTP, "vue-resource", 1, 2))
-            .unionByName(part(RX_FETCH, "fetch", None, 1)))
+        def one(g, i):
+            method = g[f"g{method_group}"]
+            raw = g[f"g{url_group}"]
+            return F.struct(F.lit(client).alias("client"), i.alias("ord"),
+                            F.when(method == "", F.lit("GET")).otherwise(F.upper(method)).alias("method"),
+                            F.regexp_replace(raw, RX_TEMPLATE_PARAM, ":param").alias("url"), raw.alias("raw_url"))
+        return F.transform(T.groups(text, rx, 2), one)
+    return F.concat(part(RX_AXIOS, "axios", 1, 2), part(RX_HTTP, "vue-resource", 1, 2), part(RX_FETCH, "fetch", 2, 1))
+
+
+def api_calls(df: DataFrame, text_col: str = "script", key: str = "file") -> DataFrame:
+    """``(file, client, ord, method, url, raw_url)``, one row per call."""
+    return (df.select(F.col(key).alias("file"), F.explode(api_call_list(F.col(text_col))).alias("c"))
+            .select("file", "c.client", "c.ord", "c.method", "c.url", "c.raw_url"))
 
 
 # ------------------------------------------------------------------ J2
+def message_list(script) -> Column:
+    """``ARRAY<STRUCT<ord, message, context>>`` of dialog messages in pattern
+    order, the first of equal texts, with the last 150 characters of the stripped
+    200 before the call. ``ord`` is the pattern's number times 10**9 plus the
+    match's number."""
+    script = F.col(script) if isinstance(script, str) else script
+
+    def style(i, rx):
+        def one(h, o):
+            ctx = T.strip_ws(T.before(script, h["pos"], CONTEXT_BEFORE))
+            return F.struct((F.lit(i * 1_000_000_000) + o).cast("long").alias("ord"),
+                            T.strip_ws(F.regexp_extract(h["m"], rx, 1)).alias("message"),
+                            F.right(ctx, F.lit(CONTEXT_KEEP)).alias("context"))
+        return F.transform(T.finditer(script, rx), one)
+    every = F.filter(F.concat(*[style(i, rx) for i, rx in enumerate(ALERT_PATTERNS)]),
+                     lambda m: F.length(m["message"]) >= 2)
+
+    def first_of_equals(ms):
+        texts = F.transform(ms, lambda m: m["message"])
+        return F.transform(F.array_distinct(texts), lambda t: ms[(F.array_position(texts, t) - 1).cast("int")])
+    return T.let(every, first_of_equals)
+
+
 def user_messages(sec: DataFrame) -> DataFrame:
-    """Dialog messages in pattern order, distinct by text within a file,
-    with the last 150 characters of the stripped 200 before the call:
-    ``(file, ord, message, context)``."""
-    parts = []
-    for i, rx in enumerate(ALERT_PATTERNS):
-        def near(h):
-            return F.struct(h["m"].alias("m"), T.before(F.col("script"), h["pos"], CONTEXT_BEFORE).alias("before"))
-        m = (sec.select("file", F.posexplode(F.transform(T.finditer("script", rx), near)).alias("o", "h"))
-             .select("file", F.lit(i).alias("p"), "o",
-                     T.strip_ws(F.regexp_extract("h.m", rx, 1)).alias("message"),
-                     T.strip_ws("h.before").alias("_ctx")))
-        parts.append(m)
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    u = u.where(F.length("message") >= 2)
-    ctx = F.when(F.length("_ctx") > CONTEXT_KEEP, F.substring("_ctx", -CONTEXT_KEEP, CONTEXT_KEEP)).otherwise(F.col("_ctx"))
-    first = u.groupBy("file", "message").agg(F.min_by(F.struct("p", "o", ctx.alias("context")),
-                                                      F.struct("p", "o")).alias("w"))
-    return first.select("file", (F.col("w.p").cast("long") * 1_000_000_000 + F.col("w.o")).alias("ord"), "message",
-                        F.col("w.context").alias("context"))
+    """``(file, ord, message, context)``, distinct by text within a file."""
+    return (sec.select("file", F.explode(message_list("script")).alias("m"))
+            .select("file", "m.ord", "m.message", "m.context"))
 
 
 # ------------------------------------------------------------------ J3-J8
@@ -199,22 +208,21 @@ def route_segments(files: DataFrame) -> DataFrame:
     """Routes by segment (this ``path:`` to the next): ``(file, ord, path,
     component_path, requires_auth, roles)``; the component is the first one
     declared after the path inside the segment."""
-    p = files.select("path", "content", T.finditer("content", RX_ROUTE_PATH).alias("ps"))
-    p = p.select("path", "content", F.posexplode(F.zip_with(
-        "ps", F.concat(F.slice("ps", 2, 1 << 30), F.array(F.struct(
-            (F.length("content") + 1).alias("pos"), F.lit("").alias("m")))),
-        lambda a, b: F.struct(a["pos"].alias("pos"), a["m"].alias("m"), b["pos"].alias("nxt")))).alias("ord", "s"))
-    seg = F.col("content").substr(F.col("s.pos"), F.col("s.nxt") - F.col("s.pos"))
-    tail = F.col("content").substr(F.col("s.pos") + 1, F.lit(1 << 30))
-    cpos = T.first_pos(tail, RX_ROUTE_COMPONENT)
-    inside = (cpos > 0) & (F.col("s.pos") + cpos < F.col("s.nxt"))
-    raw = F.coalesce(*[F.nullif(F.regexp_extract(tail, RX_ROUTE_COMPONENT, g), F.lit("")) for g in (1, 2, 3)])
-    roles = T.search(seg, RX_ROLES, 1)
+    content = F.col("content")
+
+    def segments(ps):
+        def one(p, i):
+            nxt = F.coalesce(F.get(ps, i + 1)["pos"], F.length(content) + 1)
+            return F.struct(p["m"].alias("m"), F.substring(content, p["pos"], nxt - p["pos"]).alias("seg"))
+        return F.transform(ps, one)
+    p = (files.select("path", F.posexplode(T.let(T.finditer(content, RX_ROUTE_PATH), segments)).alias("ord", "s"))
+         .select("path", F.col("ord").cast("int").alias("ord"), "s.m", "s.seg"))
+    raw = F.coalesce(*[F.nullif(F.regexp_extract("seg", RX_ROUTE_COMPONENT, g), F.lit("")) for g in (1, 2, 3)])
+    roles = T.search("seg", RX_ROLES, 1)
     return p.select(
-        F.col("path").alias("file"), F.col("ord").cast("int").alias("ord"),
-        F.regexp_extract("s.m", RX_ROUTE_PATH, 1).alias("route_path"),
-        F.when(inside, T.strip_ws(F.replace(raw, F.lit("@/"), F.lit("")))).alias("component_path"),
-        (T.search(seg, RX_REQUIRES_AUTH, 1) == "true").alias("requires_auth"),
+        F.col("path").alias("file"), "ord", F.regexp_extract("m", RX_ROUTE_PATH, 1).alias("route_path"),
+        T.strip_ws(F.replace(raw, F.lit("@/"), F.lit(""))).alias("component_path"),
+        (T.search("seg", RX_REQUIRES_AUTH, 1) == "true").alias("requires_auth"),
         F.when(roles.isNotNull(), F.transform(F.split(roles, ",", -1),
                                               lambda r: T.strip_chars(T.strip_ws(r), "'\""))).alias("roles"))
 
@@ -229,26 +237,23 @@ def component_route_paths(segments: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ J16-J18, J21
 def observable_facts(sec: DataFrame) -> DataFrame:
-    """``(component, fact_kind, ord, value, context)`` union of J2-J8."""
-    msgs = user_messages(sec).select(F.col("file").alias("component"), F.lit("user_messages").alias("fact_kind"),
-                                     "ord", F.col("message").alias("value"), "context")
-
-    def arr(kind, col):
-        return sec.select(F.col("file").alias("component"), F.lit(kind).alias("fact_kind"),
-                          F.posexplode(col).alias("ord", "value")).select(
-            "component", "fact_kind", F.col("ord").cast("int").alias("ord"),
-            F.col("value").cast("string").alias("value"), F.lit(None).cast("string").alias("context"))
-    parts = [msgs, arr("conditional_renders", conditional_renders("template")),
-             arr("disabled_conditions", disabled_conditions("template")),
-             arr("click_handlers", click_handlers("template")), arr("polling", poll_intervals("script")),
-             sec.where(has_loading_state("script")).select(
-                 F.col("file").alias("component"), F.lit("has_loading_state").alias("fact_kind"),
-                 F.lit(0).alias("ord"), F.lit("true").alias("value"), F.lit(None).cast("string").alias("context")),
-             arr("lifecycle_calls", lifecycle_methods("script"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """``(component, fact_kind, ord, value, context)`` of J2-J8; all lists
+    are made in one pass over the row and exploded together."""
+    def facts(kind, values):
+        return F.transform(values, lambda v, i: F.struct(
+            F.lit(kind).alias("fact_kind"), i.cast("long").alias("ord"), v.cast("string").alias("value"),
+            F.lit(None).cast("string").alias("context")))
+    messages = F.transform(message_list("script"), lambda m: F.struct(
+        F.lit("user_messages").alias("fact_kind"), m["ord"].alias("ord"), m["message"].alias("value"),
+        m["context"].alias("context")))
+    loading = F.when(has_loading_state("script"), F.array(F.lit("true"))).otherwise(F.array().cast("array<string>"))
+    every = F.concat(
+        messages, facts("conditional_renders", conditional_renders("template")),
+        facts("disabled_conditions", disabled_conditions("template")),
+        facts("click_handlers", click_handlers("template")), facts("polling", poll_intervals("script")),
+        facts("has_loading_state", loading), facts("lifecycle_calls", lifecycle_methods("script")))
+    return (sec.select(F.col("file").alias("component"), F.explode(every).alias("f"))
+            .select("component", "f.fact_kind", "f.ord", "f.value", "f.context"))
 
 
 def fact_totals(facts: DataFrame) -> DataFrame:
@@ -257,24 +262,27 @@ def fact_totals(facts: DataFrame) -> DataFrame:
 
 
 def component_records(sec: DataFrame) -> DataFrame:
-    """The older per-component record (flat columns and arrays)."""
-    calls = api_calls(sec).groupBy("file").agg(F.count("*").cast("bigint").alias("n_api_calls"))
-    return (sec.select("file", "component_name", store_dispatches("script").alias("vuex_dispatches"),
-                       ui_strings("template").alias("ui_strings"),
-                       role_guards(F.concat("script", "template")).alias("role_guards"))
-            .join(calls, "file", "left")
-            .withColumn("n_api_calls", F.coalesce("n_api_calls", F.lit(0))))
+    """The older record, one row per component: its API calls, dispatches,
+    texts, guards and observable facts as lists of the file."""
+    return sec.select(
+        "file", "component_name", api_call_list(F.col("script")).alias("api_calls"),
+        store_dispatches("script").alias("vuex_dispatches"), ui_strings("template").alias("ui_strings"),
+        role_guards(F.concat("script", "template")).alias("role_guards"),
+        message_list("script").alias("user_messages"),
+        conditional_renders("template").alias("conditional_renders"),
+        disabled_conditions("template").alias("disabled_conditions"),
+        click_handlers("template").alias("click_handlers"), poll_intervals("script").alias("polling"),
+        has_loading_state("script").alias("has_loading_state"),
+        lifecycle_methods("script").alias("lifecycle_calls"))
 
 
 def component_map_v1(sec: DataFrame, segments: DataFrame) -> DataFrame:
-    """Components with API calls, dispatches or routes: ``(component,
-    component_name, n_api_calls, n_dispatches, n_routes, n_role_guards)``."""
-    rec = component_records(sec)
+    """Components with API calls, dispatches or routes: their J21 record and
+    the number of their routes (``n_routes``; the routes themselves are J15)."""
     routes_n = (component_route_paths(segments).groupBy("component")
                 .agg(F.count("*").cast("bigint").alias("n_routes")))
-    j = rec.join(routes_n, rec["file"] == routes_n["component"], "left")
-    out = j.select(F.col("file").alias("component"), "component_name", "n_api_calls",
-                   F.size("vuex_dispatches").cast("bigint").alias("n_dispatches"),
-                   F.coalesce("n_routes", F.lit(0)).cast("bigint").alias("n_routes"),
-                   F.size("role_guards").cast("bigint").alias("n_role_guards"))
-    return out.where((F.col("n_api_calls") > 0) | (F.col("n_dispatches") > 0) | (F.col("n_routes") > 0))
+    rec = component_records(sec)
+    out = (rec.join(routes_n, rec["file"] == routes_n["component"], "left").drop("component")
+           .withColumnRenamed("file", "component")
+           .withColumn("n_routes", F.coalesce("n_routes", F.lit(0))))
+    return out.where((F.size("api_calls") > 0) | (F.size("vuex_dispatches") > 0) | (F.col("n_routes") > 0))

@@ -125,9 +125,34 @@ def q_go_interfaces(spark, sf_dir):
     return G.interfaces(masked(spark, sf_dir)).select("path", "interface", "method", "signature")
 
 
-@register("go_file_documents", "G13,S7")
+@register("go_file_documents", "G13", f"""
+SELECT {GOFILE} AS file_path, 'errors|fmt|net/http' AS imports,
+  'Kind' || p_partkey || '|Size' || p_partkey || '|Spare' || p_partkey || '|Name' || p_partkey || '|Code' || p_partkey
+    AS consts,
+  'Store' || p_partkey || ':Load,Save' AS interfaces,
+  concat_ws('|', CASE WHEN p_partkey = 0 THEN 'Base' END, {PNAME},
+            CASE WHEN p_partkey % 2 = 0 THEN 'Get' || p_partkey || 'Resp' END) AS structs,
+  'Get' || p_partkey || '|F' || p_partkey AS functions,
+  'part ' || p_partkey || ' not found' AS error_messages,
+  'r.GET("/p/' || p_partkey || '", h.Get' || p_partkey || ')' AS entry_points FROM part""")
 def q_go_documents(spark, sf_dir):
-    return G.file_documents(go_files(spark, sf_dir))
+    docs = G.file_documents(go_files(spark, sf_dir))
+    d = F.from_json("document", "imports array<string>, consts array<struct<name:string>>, "
+                    "interfaces array<struct<name:string, methods:array<struct<name:string>>>>, "
+                    "structs array<struct<name:string>>, functions array<struct<function_name:string, "
+                    "error_messages:array<string>, entry_points:array<string>>>")
+    r = docs.select("file_path", d.alias("d")).select("file_path", "d.*")
+
+    def joined(c, item):
+        return F.array_join(F.transform(c, item), "|").alias(c)
+    return r.select(
+        "file_path", F.array_join("imports", "|").alias("imports"), joined("consts", lambda x: x["name"]),
+        joined("interfaces", lambda x: F.concat(x["name"], F.lit(":"), F.array_join(
+            F.transform(x["methods"], lambda m: m["name"]), ","))),
+        F.coalesce(joined("structs", lambda x: x["name"]), F.lit("")).alias("structs"),
+        joined("functions", lambda x: x["function_name"]),
+        F.array_join(F.flatten("functions.error_messages"), "|").alias("error_messages"),
+        F.array_join(F.flatten("functions.entry_points"), "|").alias("entry_points"))
 
 
 def go_graph_inputs(spark, sf_dir):

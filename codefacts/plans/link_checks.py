@@ -10,6 +10,8 @@ from codefacts.operators import linking as L
 from codefacts.plans.corpus_client import (api_client_files, component_files, router_files, store_files,
                                            translator_files)
 from codefacts.plans.corpus_trace import entry_points, spec_evidence
+from codefacts.plans import registry
+from codefacts.plans.client_checks import CALLS_SQL
 from codefacts.plans.registry import register
 from codefacts.sources.tables import table
 
@@ -277,6 +279,22 @@ def q_api_params(spark, sf_dir):
     return p.select("file", "method", F.array_join("params", ",").alias("params"))
 
 
-@register("client_component_records", "H27")
+@register("client_component_records", "H27", f"""
+WITH calls AS ({CALLS_SQL}),
+fields AS ({registry.ORACLE["client_vfor_fields"]}),
+guards AS ({registry.ORACLE["client_disabled_guards"]}),
+titles AS ({registry.ORACLE["client_page_title"]}),
+lists AS (
+  SELECT file, coalesce(string_agg(method, ',' ORDER BY ord) FILTER (call_kind = 'client'), '') AS client_calls,
+         coalesce(string_agg(method, ',' ORDER BY ord) FILTER (call_kind = 'dispatch'), '') AS store_dispatches,
+         coalesce(string_agg(method, ',' ORDER BY ord) FILTER (call_kind = 'this'), '') AS this_calls
+  FROM calls GROUP BY file),
+f AS (SELECT file, string_agg(field, ',' ORDER BY field) AS vfor_fields FROM fields GROUP BY file),
+g AS (SELECT file, string_agg(condition, ',' ORDER BY ord) AS disabled_guards FROM guards GROUP BY file)
+SELECT file, client_calls, store_dispatches, this_calls, page_title, vfor_fields,
+       coalesce(disabled_guards, '') AS disabled_guards
+FROM lists JOIN titles USING (file) JOIN f USING (file) LEFT JOIN g USING (file)""")
 def q_component_records(spark, sf_dir):
-    return C.component_records(components(spark, sf_dir))
+    r = C.component_records(components(spark, sf_dir))
+    return r.select("file", "page_title", *[F.array_join(c, ",").alias(c) for c in (
+        "client_calls", "store_dispatches", "this_calls", "vfor_fields", "disabled_guards")])

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from codefacts.operators import observed as J
-from codefacts.plans.corpus_client import (api_client_files, component_files, router_files, store_files,
-                                           translator_files)
+from codefacts.plans.corpus_client import (api_client_files, component_files, fill, router_files, spread,
+                                           store_files, translator_files)
 from codefacts.plans.registry import register
 from codefacts.sources import files as S
+from codefacts.sources.tables import table
 
 FILE = "'views/P' || p_partkey || '.vue'"
 
@@ -32,10 +33,10 @@ def q_api_calls(spark, sf_dir):
         "file", "client", "method", "url", "raw_url")
 
 
-@register("j_observable_facts", "J2,J3,J4,J5,J6,J7,J8,J17,J19", f"""
-SELECT {FILE} AS component, 'user_messages' AS fact_kind, 100000 AS ord, '이름을 입력하세요 ' || p_partkey AS value
+@register("j_observable_facts", "J2,J3,J4,J5,J6,J8,J17,J19", f"""
+SELECT {FILE} AS component, 'user_messages' AS fact_kind, 1000000000::BIGINT AS ord, '이름을 입력하세요 ' || p_partkey AS value
 FROM part
-UNION ALL SELECT {FILE}, 'user_messages', 100001, ['저장되었습니다', '서버 오류입니다', '확인해 주세요'][p_size % 3 + 1]
+UNION ALL SELECT {FILE}, 'user_messages', 1000000001, ['저장되었습니다', '서버 오류입니다', '확인해 주세요'][p_size % 3 + 1]
 FROM part
 UNION ALL SELECT {FILE}, 'conditional_renders', 0, 'role ===' FROM part WHERE p_size % 5 = 0
 UNION ALL SELECT {FILE}, 'conditional_renders', CASE WHEN p_size % 5 = 0 THEN 1 ELSE 0 END, 'wide' FROM part
@@ -113,7 +114,10 @@ SELECT {FILE} AS component, 'Part' || p_partkey AS component_name, 0 AS n_api_ca
        CASE WHEN p_partkey IN (SELECT s_suppkey FROM supplier) THEN 1 ELSE 0 END AS n_routes,
        CASE WHEN p_size % 5 = 0 THEN 2 ELSE 0 END AS n_role_guards FROM part""")
 def q_component_map(spark, sf_dir):
-    return J.component_map_v1(sections(spark, sf_dir), J.route_segments(router_files(spark, sf_dir)))
+    m = J.component_map_v1(sections(spark, sf_dir), J.route_segments(router_files(spark, sf_dir)))
+    return m.select("component", "component_name", F.size("api_calls").cast("bigint").alias("n_api_calls"),
+                    F.size("vuex_dispatches").cast("bigint").alias("n_dispatches"), "n_routes",
+                    F.size("role_guards").cast("bigint").alias("n_role_guards"))
 
 
 @register("js_classify", "S3", """
@@ -127,6 +131,71 @@ def q_classify(spark, sf_dir):
     return fs.select("path", S.js_kind("path").alias("kind"))
 
 
-@register("j_component_records", "J21")
+STYLES_FILE = """<template><b v-if="open">x</b></template>
+<script>
+export default {
+  methods: {
+    load() {
+      this.@@flag@@ = true
+      this.$http.put(`/c/@@k@@/${id}`)
+      fetch('/f/@@k@@', { body, method: 'delete' })
+      fetch("/g/@@k@@")
+      this.$toast.error('toast @@k@@')
+      alert("alert @@k@@")
+      if (confirm('confirm @@k@@')) { this.$message.warning('message @@k@@') }
+      this.$notify({ title: 'x', message: 'notify @@k@@' })
+      this.$swal({ icon: 'x', title: 'title @@k@@' })
+      alert("toast @@k@@")
+      this.@@flag@@ = @@end@@
+    }
+  }
+}
+</script>
+"""
+STYLE_ROUTES = """export default [
+  { path: '/x@@k@@', component: () => import('@/views/X@@k@@.vue'), meta: { requiresAuth: @@auth@@, roles: ['R@@k@@', "Staff"] } },
+  { path: '/y@@k@@', component: Y@@k@@,
+    meta: {} },
+  { path: '/z@@k@@' },
+]
+"""
+
+
+def style_files(spark, sf_dir):
+    """One component per ``supplier`` in the styles that the other corpora do not
+    use; the loading flag is reset when the key is even, not named as one when
+    it is a multiple of 5."""
+    s = spread(table(spark, sf_dir, "supplier").select("s_suppkey"))
+    k = F.col("s_suppkey")
+    return s.select(F.concat(F.lit("styles/S"), k.cast("string"), F.lit(".vue")).alias("path"), fill(
+        STYLES_FILE, k=k, flag=F.when(k % 5 == 0, F.lit("wanted")).otherwise(F.lit("isLoading")),
+        end=F.when(k % 2 == 0, F.lit("false")).otherwise(F.lit("true"))).alias("content"))
+
+
+@register("j_component_records", "J1,J2,J7,J21", """
+SELECT 'styles/S' || s_suppkey || '.vue' AS file, 'S' || s_suppkey AS component_name,
+  'vue-resource PUT /c/' || s_suppkey || '/:param|fetch DELETE /f/' || s_suppkey || '|fetch GET /g/' || s_suppkey AS api_calls,
+  'title ' || s_suppkey || '|toast ' || s_suppkey || '|alert ' || s_suppkey || '|confirm ' || s_suppkey
+    || '|message ' || s_suppkey || '|notify ' || s_suppkey AS user_messages,
+  s_suppkey % 2 = 0 AND s_suppkey % 5 <> 0 AS has_loading_state, 'open' AS conditional_renders FROM supplier""")
 def q_component_records(spark, sf_dir):
-    return J.component_records(sections(spark, sf_dir))
+    r = J.component_records(J.sections(style_files(spark, sf_dir)))
+    calls = F.transform("api_calls", lambda c: F.concat_ws(" ", c["client"], c["method"], c["url"]))
+    return r.select("file", "component_name", F.array_join(calls, "|").alias("api_calls"),
+                    F.array_join(F.transform("user_messages", lambda m: m["message"]), "|").alias("user_messages"),
+                    "has_loading_state", F.array_join("conditional_renders", "|").alias("conditional_renders"))
+
+
+@register("j_route_access", "J14", """
+SELECT 'router/s' || s_suppkey || '.js' AS file, '/x' || s_suppkey AS route_path,
+       'views/X' || s_suppkey || '.vue' AS component_path, s_suppkey % 3 = 0 AS requires_auth,
+       'R' || s_suppkey || ',Staff' AS roles FROM supplier
+UNION ALL SELECT 'router/s' || s_suppkey || '.js', '/y' || s_suppkey, 'Y' || s_suppkey, NULL, NULL FROM supplier
+UNION ALL SELECT 'router/s' || s_suppkey || '.js', '/z' || s_suppkey, NULL, NULL, NULL FROM supplier""")
+def q_route_access(spark, sf_dir):
+    s = spread(table(spark, sf_dir, "supplier").select("s_suppkey"))
+    k = F.col("s_suppkey")
+    files = s.select(F.concat(F.lit("router/s"), k.cast("string"), F.lit(".js")).alias("path"), fill(
+        STYLE_ROUTES, k=k, auth=F.when(k % 3 == 0, F.lit("true")).otherwise(F.lit("false"))).alias("content"))
+    return J.route_segments(files).select("file", "route_path", "component_path", "requires_auth",
+                                          F.array_join("roles", ",").alias("roles"))
