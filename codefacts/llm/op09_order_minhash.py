@@ -67,9 +67,9 @@ def _run_starts(s: Column) -> Column:
 
 
 def with_tuples(df: DataFrame, columns: dict[str, str], kmer: int = 5) -> DataFrame:
-    """Add, for each text column, an array of its tuple tokens (tuple number and
-    hash of the ordered tuple) under the name given. Each step reads the one
-    before more than once, so the optimiser keeps them apart."""
+    """Add, for each text column, an array of its tuple tokens (a long: tuple
+    number above, hash of the ordered tuple below) under the name given. Each
+    step reads the one before more than once, so the optimiser keeps them apart."""
     keep = df.columns
     step = {c: f"_{i}" for i, c in enumerate(columns)}
     cols = lambda s: {c: F.col(step[c] + s) for c in columns}
@@ -95,17 +95,22 @@ def with_tuples(df: DataFrame, columns: dict[str, str], kmer: int = 5) -> DataFr
             in_order = x.bitwiseAND(F.lit(LOW)) <= y.bitwiseAND(F.lit(LOW))
             both = F.when(in_order, F.xxhash64(hx, hy)).otherwise(F.xxhash64(hy, hx))
             h = F.when(F.shiftright(y, TUPLE_SHIFT) == place, both).otherwise(F.xxhash64(hx))
-            name = F.concat(F.substring(F.lit(DIGITS), (place + TUPLES // 2 + 1).cast("int"), F.lit(1)),
-                            F.lower(F.lpad(F.hex(h.bitwiseAND(F.lit(LOW))), 8, "0")))
-            return F.when(_differs(m, TUPLE_SHIFT)(x, i), name)
+            return F.when(_differs(m, TUPLE_SHIFT)(x, i), _pack(place + TUPLES // 2, h.bitwiseAND(F.lit(LOW))))
         return F.filter(F.transform(m, token), lambda t: t.isNotNull())
     df = df.withColumns({columns[c]: tokens(m) for c, m in cols("m").items()})
     return df.select(*keep, *columns.values())
 
 
+def labels(tokens: Column) -> Column:
+    """Tokens as text: a digit for the tuple, eight hex digits for its hash."""
+    return F.transform(tokens, lambda t: F.concat(
+        F.substring(F.lit(DIGITS), (F.shiftright(t, 32) + 1).cast("int"), F.lit(1)),
+        F.lower(F.lpad(F.hex(t.bitwiseAND(F.lit(LOW))), 8, "0"))))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Likeness of two token arrays, 0 to 1."""
-    places = F.size(F.array_union(F.transform(a, lambda t: F.substring(t, 1, 1)), F.transform(b, lambda t: F.substring(t, 1, 1))))
+    places = F.size(F.array_union(F.transform(a, lambda t: F.shiftright(t, 32)), F.transform(b, lambda t: F.shiftright(t, 32))))
     return F.when(places == 0, F.lit(1.0)).otherwise(F.sqrt(F.size(F.array_intersect(a, b)) / places))
 
 
@@ -113,7 +118,7 @@ def fingerprints(docs: DataFrame, kmer: int = 5) -> DataFrame:
     """``doc_id, fingerprint`` per row: the plain operator."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return (with_tuples(texts, {"text": "tokens"}, kmer)
-            .select("doc_id", F.array_join("tokens", "").alias("fingerprint")))
+            .select("doc_id", F.array_join(labels(F.col("tokens")), "").alias("fingerprint")))
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
@@ -150,7 +155,7 @@ def edited_likeness(docs: DataFrame, kmer: int = 5) -> DataFrame:
     return (done.join(others, "next_k")
             .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("k.doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
-                    F.array_join("own", "").alias("fingerprint"),
-                    F.array_join("changed", "").alias("edited_fingerprint"),
+                    F.array_join(labels(F.col("own")), "").alias("fingerprint"),
+                    F.array_join(labels(F.col("changed")), "").alias("edited_fingerprint"),
                     likeness(F.col("own"), F.col("changed")).alias("near_edited"),
                     likeness(F.col("own"), F.col("other")).alias("near_next")))

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from codefacts.llm import op09_order_minhash as M
 from codefacts.sources.tables import table
 
@@ -52,7 +54,7 @@ def test_tuples_follow_the_definition(spark):
     texts = [" ".join(rnd.choice("abcdefg") for _ in range(n)) for n in (0, 1, 3, 5, 6, 30, 200, 900)]
     texts += ["a a a a a a a a a a a a", "one line\n" * 40]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.t for r in M.with_tuples(df, {"text": "t"}).collect()}
+    got = {r.doc_id: r.t for r in M.with_tuples(df, {"text": "t"}).withColumn("t", M.labels(F.col("t"))).collect()}
     hashes = {}
 
     def h64(*sql):
@@ -73,7 +75,7 @@ def test_tuples_follow_the_definition(spark):
     for d, t in enumerate(texts):
         occ = brute_occurrences(t)
         n = len(t.split())
-        keys = [",".join(f"{hashes[repr(w) if False else chr(39) + w + chr(39)]}L" for w in g) if n >= 5 else
+        keys = [",".join(f"{hashes[chr(39) + w + chr(39)]}L" for w in g) if n >= 5 else
                 "array(" + ",".join(f"{hashes[chr(39) + w + chr(39)]}L" for w in g) + ")" for g, _ in occ]
         batch(keys)
         numbered = [f"{signed32(hashes[k])}L,{o}" for k, (_, o) in zip(keys, occ)]
