@@ -161,7 +161,7 @@ def contains_any(text, words: Iterable[str]) -> Column:
 def strip_chars(col, chars: str) -> Column:
     """Python ``str.strip(chars)`` for a small literal character set."""
     cls = "".join("\\" + ch for ch in chars)
-    return F.regexp_replace(_c(col), f"^[{cls}]+|[{cls}]+$", "")
+    return F.regexp_replace(_c(col), f"^[{cls}]++|(?<![{cls}])[{cls}]++$", "")
 
 
 def lstrip_chars(col, chars: str) -> Column:
@@ -175,7 +175,7 @@ def strip_ws(col) -> Column:
     Spark's ``trim`` removes only the space character, so it is not used where
     the reference strips tabs and new lines as well.
     """
-    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(_c(col), r"(?U)^\s++|(?<!\s)\s++$", "")
 
 
 def groups(text, pattern: str, n: int) -> Column:

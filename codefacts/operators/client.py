@@ -27,7 +27,8 @@ RX_SCRIPT = r"<script>([\s\S]*?)</script>"
 RX_CLIENT_CALL = r"(?U)Client\.(\w+)\s*\("
 RX_THIS_CALL = r"(?U)this\.(\w+)\s*\("
 RX_DISPATCH = r"""(?U)dispatch\s*\(\s*['"](\w+)['"]"""
-RX_API_HEADER = r"(?U)(?:async\s+)?(\w+)\s*\(([^)]*)\)\s*\{"
+# a word is tried from its first character only, so a long run of letters costs one look
+RX_API_HEADER = r"(?U)(?:async\s+)?(?<!\w)(\w++)\s*+\(([^)]*+)\)\s*+\{"
 RX_AXIOS = r"""(?iU)axios\.(get|post|put|delete|patch)\s*\(\s*['"`]([^'"`]+)['"`]"""
 RX_RETURN_URL = r"""(?U)return\s+['"`]([^'"`;]+/api/[^'"`;]+)['"`]"""
 RX_TEMPLATE_PARAM = r"\$\{[^}]+\}"
@@ -78,11 +79,11 @@ RX_BARE_READONLY = r"(?U)\breadonly\b(?!\s*=)"
 RX_REQUIRED_CLASS = r"""class=['"][^'"]*(needs)[^'"]* ['"]"""
 REQUIRED_STAR = '<span class="needs">*'
 RX_VFOR = r"""(?U)v-for\s*=\s*['"](?:\((\w+)(?:,\s*\w+)?\)|(\w+))\s+in\s+\w+['"]"""
-RX_MEMBER_PAIR = r"(?U)(\w+)\.(?=(\w+))"
-RX_STORE_ACTION = r"(?U)(?:async\s+)?(\w+)\s*\(\s*\{[^}]*\}\s*(?:,\s*[^)]+)?\)\s*\{"
-RX_STORE_GETTER = r"(?U)(\w+)\s*\(\s*state\s*\)\s*\{"
+RX_MEMBER_PAIR = r"(?U)(?<!\w)(\w++)\.(?=(\w+))"
+RX_STORE_ACTION = r"(?U)(?:async\s+)?(?<!\w)(\w++)\s*+\(\s*\{[^}]*\}\s*(?:,\s*[^)]+)?\)\s*\{"
+RX_STORE_GETTER = r"(?U)(?<!\w)(\w++)\s*+\(\s*state\s*\)\s*\{"
 RX_STATE_BLOCK = r"(?U)state\s*:\s*\{([^}]+)\}"
-RX_STATE_FIELD = r"(?U)(\w+)\s*:"
+RX_STATE_FIELD = r"(?U)(?<!\w)(\w++)\s*+:"
 
 
 def _str_array(values) -> Column:

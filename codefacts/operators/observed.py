@@ -49,7 +49,7 @@ RX_SCRIPT_SETUP = r"(?s)<script(?:\s+setup)?\s*>(.*?)</script>"
 RX_TEMPLATE = r"(?s)<template>(.*?)</template>"
 RX_NAME = r"""(?U)name\s*:\s*['"]([^'"]+)['"]"""
 RX_STORE_DISPATCH = r"""(?U)\$store\.dispatch\s*\(\s*['"](\w+)['"]"""
-RX_AXIOS_ACTION = r"(?U)(?:async\s+)?(\w+)\s*\([^)]*\)\s*\{[^}]*axios\."
+RX_AXIOS_ACTION = r"(?U)(?:async\s+)?(?<!\w)(\w++)\s*+\([^)]*+\)\s*\{[^}]*axios\."
 RX_ROUTE_PATH = r"""(?U)path\s*:\s*['"]([^'"]+)['"]"""
 RX_ROUTE_COMPONENT = (r"""(?U)component\s*:\s*(?:\(\s*\)\s*=>\s*import\s*\(\s*['"]([^'"]+)['"]"""
                       r"""|resolve\s*=>\s*\w+\(\[?['"]([^'"]+)['"]|(\w+)\s*(?:,|\n|\r))""")
