@@ -46,12 +46,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ``doc_id`` (of rows that share it, the first by text)."""
     found = op04_simhash.simhash_components(docs, shingle=4, max_bits=4)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    names = docs.columns
-    rows = docs.select("doc_id", "text", F.struct("*").alias("row")).join(
+    rows = docs.select("doc_id", F.struct("*").alias("row")).join(
         keep.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return (rows.withColumn("n", F.row_number().over(first)).where("n = 1")
-            .select(*[F.col(f"row.`{c}`") for c in names]))
+    first = Window.partitionBy("doc_id").orderBy("row.text")
+    return rows.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
