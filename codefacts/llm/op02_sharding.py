@@ -63,3 +63,25 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, overhead: int = OVERHEA
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("row_index") - F.col("first_index")).cast("long").alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard")))
+
+
+# The same rows in DuckDB for 40 shards (CRC-32 from its polynomial, byte by byte).
+ORACLE_SQL = r"""
+WITH crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS v
+    FROM range(256) r(i))),
+rows AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) + 16 AS size FROM documents),
+sized AS (
+  SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
+    list_transform(regexp_extract_all(hx, '..'), lambda p: ('0x' || p)::BIGINT),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295)) AS text_crc32
+  FROM rows, crc_table),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS idx, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS run,
+         sum(size) OVER () AS total FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size)),
+cut AS (SELECT *, least(39, (2 * run - size) * 40 // (2 * total))::INTEGER AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, idx - min(idx) OVER (PARTITION BY shard) AS slot,
+       NULL::INTEGER AS grown_shard FROM cut
+"""

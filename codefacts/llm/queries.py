@@ -7,9 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codefacts.llm import (op01_html, op03_packing, op05_line_dedup, op06_quality, op07_pii, op08_decontamination,
-                           op09_order_minhash, op10_secrets)
-from codefacts.llm.op02_sharding import shard_documents
+from codefacts.llm import (op01_html, op02_sharding, op03_packing, op05_line_dedup, op06_quality, op07_pii,
+                           op08_decontamination, op09_order_minhash, op10_secrets)
 from codefacts.llm.op04_simhash import simhash_components
 from codefacts.sources.tables import table
 
@@ -27,7 +26,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
+    return op02_sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,5 +68,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets_scan,
 }
 ORACLE: dict[str, str] = {
+    "op2_sharding": op02_sharding.ORACLE_SQL,
     "op5_line_dedup": op05_line_dedup.ORACLE_SQL,
 }

@@ -1,6 +1,9 @@
 import zlib
 
-from codefacts.llm.op02_sharding import shard_documents
+import duckdb
+
+from codefacts.llm.op02_sharding import ORACLE_SQL, shard_documents
+from codefacts.sources.tables import table
 
 SCHEMA = "doc_id long, text string, shard string, size int, total int"
 
@@ -44,3 +47,12 @@ def test_shards_are_even(spark):
 def test_few_and_no_rows(spark):
     assert run(spark, [(1, "a"), (2, "b")]) == brute([(1, "a"), (2, "b")], 40)
     assert run(spark, []) == []
+
+
+def test_table_matches_sql(spark):
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    rel = con.sql(ORACLE_SQL)
+    got = shard_documents(table(spark, "/root/testdata/sf0.001", "documents"))
+    assert rel.columns == got.columns
+    assert sorted(rel.fetchall(), key=str) == sorted(map(tuple, got.collect()), key=str)
