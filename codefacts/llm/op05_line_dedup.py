@@ -18,14 +18,14 @@ document costs as much as any other. The texts move once, to meet the list of
 their dropped lines.
 
 Defined results: a null text stays null and has no lines; an empty text has one
-empty line; identical rows count as one document and are treated alike; a null
-``doc_id`` sorts first; a document whose lines are all dropped stays with an
+empty line; rows that share a ``doc_id`` count as one document, so a line of one
+is not recurring because of another; a null ``doc_id`` sorts first; a document whose lines are all dropped stays with an
 empty text; other columns are passed on, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codefacts.llm.common import pin
@@ -35,11 +35,11 @@ FIELD = "<*>"
 SPACE = r"[\x20\x09-\x0D]++"
 
 
-def _lines(keyed: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """``k, line_no, line, n, leaf`` of the lines that can be templates; ``line``
-    has its tokens parted by one space and its variable fields generalised.
-    Regex replacements run only on lines that need them, each step by itself so
-    that nothing is computed twice."""
+def _lines(texts: DataFrame, min_tokens: int, depth: int) -> DataFrame:
+    """``doc_id, h, line_no, n, line, leaf`` of the lines that can be templates;
+    ``line`` has its tokens parted by one space and its variable fields
+    generalised. Regex replacements run only on lines that need them, each step
+    by itself so that nothing is computed twice."""
     raw = F.col("raw")
     odd = raw.contains("  ")
     for c in "\t\n\x0b\x0c\r":
@@ -47,11 +47,25 @@ def _lines(keyed: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     flat = F.trim(F.when(odd, F.regexp_replace(raw, SPACE, " ")).otherwise(raw))
     n = F.length("flat") - F.length(F.replace(F.col("flat"), F.lit(" "))) + 1
     masked = F.when(F.col("flat").rlike("[0-9]"), F.regexp_replace("flat", r"[^\x200-9]*+[0-9][^\x20]*+", FIELD))
-    return (keyed.select("k", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-            .select("k", "line_no", flat.alias("flat"))
-            .select("k", "line_no", "flat", n.alias("n")).where(F.col("n") >= min_tokens)
-            .select("k", "line_no", "n", F.coalesce(masked, F.col("flat")).alias("line"))
-            .select("k", "line_no", "n", "line", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("leaf")))
+    at = ["doc_id", "h", "line_no"]
+    return (texts.select("doc_id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+            .select(*at, flat.alias("flat"))
+            .select(*at, "flat", n.alias("n")).where(F.col("n") >= min_tokens)
+            .select(*at, "n", F.coalesce(masked, F.col("flat")).alias("line"))
+            .select(*at, "n", "line", F.xxhash64("n", F.substring_index("line", " ", depth)).alias("leaf")))
+
+
+def _extent(from_lines: bool) -> list:
+    """Smallest and largest ``doc_id``, and whether there is a null one (the
+    smallest of all): plain values, so they are combined before the shuffle."""
+    if from_lines:
+        return [F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+                F.max(F.col("doc_id").isNull()).alias("null_id")]
+    return [F.min("low").alias("low"), F.max("high").alias("high"), F.max("null_id").alias("null_id")]
+
+
+def _several() -> Column:
+    return (F.col("low") != F.col("high")) | (F.col("null_id") & F.col("low").isNotNull())
 
 
 def _templates(tokens: DataFrame) -> DataFrame:
@@ -63,19 +77,17 @@ def _templates(tokens: DataFrame) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "best.token"))), lambda x: x["token"]).alias("template"))
 
 
-def recurring_lines(keyed: DataFrame, similarity: float = 0.8, min_tokens: int = 5,
+def recurring_lines(texts: DataFrame, similarity: float = 0.8, min_tokens: int = 5,
                     depth: int = 3, broadcast_rows: int = 200_000) -> DataFrame:
-    """``k, line_no`` of the lines to drop from ``keyed`` (columns ``k, text``)."""
-    lines = _lines(keyed, min_tokens, depth)
-    found = pin(lines.select("k", "line_no", "leaf", F.xxhash64("line").alias("lh")))
-    distinct = found.groupBy("leaf", "lh").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-
-    shared = (distinct.groupBy("leaf")
-              .agg(F.count(F.lit(1)).alias("c"), F.min("first").alias("a"), F.max("last").alias("b"))
-              .where((F.col("c") > 1) & (F.col("a") != F.col("b"))).select("leaf"))
+    """``doc_id, h, line_no`` of the lines to drop from ``texts`` (``doc_id, h, text``)."""
+    lines = _lines(texts, min_tokens, depth)
+    found = pin(lines.select("doc_id", "h", "line_no", "leaf", F.xxhash64("line").alias("lh")))
+    distinct = found.groupBy("leaf", "lh").agg(*_extent(True))
+
+    shared = (distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("c"), *_extent(False))
+              .where((F.col("c") > 1) & _several()).select("leaf"))
     shared = few(pin(shared), broadcast_rows)
-    # read twice below, from one exchange
-    tokens = (lines.join(shared, "leaf").select("leaf", "line").distinct()
+    tokens = (pin(lines.join(shared, "leaf").select("leaf", "line").distinct())
               .select("leaf", F.xxhash64("line").alias("lh"), F.split("line", " ").alias("tokens")))
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda e: e))
     members = (tokens.join(_templates(tokens), "leaf")
@@ -83,10 +95,11 @@ def recurring_lines(keyed: DataFrame, similarity: float = 0.8, min_tokens: int =
                .select("leaf", "lh", F.lit(0).cast("long").alias("own")))
 
     family = distinct.join(members, ["leaf", "lh"], "left").withColumn("own", F.coalesce("own", "lh"))
-    keeper = (family.groupBy("leaf", "own").agg(F.min("first").alias("keep"), F.max("last").alias("b"))
-              .where(F.col("keep") != F.col("b")).select("leaf", "own", "keep"))
-    drop = family.join(keeper, ["leaf", "own"]).select("leaf", "lh", "keep")
-    return found.join(drop, ["leaf", "lh"]).where(F.col("k") != F.col("keep")).select("k", "line_no")
+    keep = F.when(~F.col("null_id"), F.col("low")).alias("keep")
+    keeper = family.groupBy("leaf", "own").agg(*_extent(False)).where(_several()).select("leaf", "own", keep)
+    drop = family.select("leaf", "lh", "own").join(keeper, ["leaf", "own"]).select("leaf", "lh", "keep")
+    return (found.join(drop, ["leaf", "lh"]).where(~F.col("doc_id").eqNullSafe(F.col("keep")))
+            .select("doc_id", "h", "line_no"))
 
 
 def drop_recurring_lines(docs: DataFrame, similarity: float = 0.8, min_tokens: int = 5,
@@ -94,8 +107,9 @@ def drop_recurring_lines(docs: DataFrame, similarity: float = 0.8, min_tokens: i
     """``docs`` with ``text`` cut down, ``n_lines`` and ``n_dropped`` (columns of
     these names are replaced)."""
     packed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("k"), F.struct("*").alias("row"))
-    drops = (recurring_lines(packed.select("k", "row.text"), similarity, min_tokens, depth)
-             .groupBy("k").agg(F.collect_set("line_no").alias("gone")))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    drops = (recurring_lines(texts, similarity, min_tokens, depth)
+             .groupBy(F.struct("doc_id", "h").alias("k")).agg(F.collect_set("line_no").alias("gone")))
     parts = F.split("row.text", "\n", -1)
     kept = F.array_join(F.filter(parts, lambda ln, i: ~F.array_contains("gone", i)), "\n")
     out = packed.join(drops, "k", "left")
