@@ -72,14 +72,14 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * ones > len(spans), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``(doc_id, fp)`` per row, ``fp`` as a signed long with the same bits."""
+def with_fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys`` and ``fp`` per row, ``fp`` as a signed long with the same bits."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fp long")
+            yield pd.DataFrame({**{k: b[k] for k in keys}, "fp": fp.view(np.int64)})
+    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
+    return docs.select(*keys, "text").mapInPandas(run, f"{kinds}, fp long")
 
 
 def _signed(bits: int) -> int:
@@ -148,15 +148,32 @@ def _meeting_links(lists: DataFrame, triples, max_bits: int) -> DataFrame:
             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
 
 
+def _rooted(fps: DataFrame, max_bits: int, list_limit: int) -> DataFrame:
+    """``fps`` with the ``root`` of each fingerprint's component."""
+    stars = components(fingerprint_links(fps.select("fp"), max_bits, list_limit))
+    return (fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left")
+            .withColumn("root", F.coalesce("root", "fp")))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
                        list_limit: int = 2000) -> DataFrame:
     """``doc_id, fingerprint, component_id`` per row of ``docs``."""
     rows = pin(with_fingerprints(docs, shingle))
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("low_id"))
-    stars = components(fingerprint_links(fps.select("fp"), max_bits, list_limit))
-    rooted = (fps.join(stars.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "low_id", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(fps, max_bits, list_limit)
     ids = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
     by_fp = rooted.join(ids, "root").select("fp", "component_id")
     return (rows.join(by_fp, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def first_of_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_limit: int = 2000) -> DataFrame:
+    """``doc_id, h`` (``h``: ``xxhash64`` of the text), one row per component:
+    the smallest ``doc_id``, null ones last, and the smallest ``h`` of equals."""
+    kind = docs.schema["doc_id"].dataType
+    # as strings, since pandas would turn ids into floats beside null ones
+    named = docs.select(F.col("doc_id").cast("string"), F.xxhash64("text").alias("h"), "text")
+    rows = pin(with_fingerprints(named, shingle, ("doc_id", "h")).withColumn("doc_id", F.col("doc_id").cast(kind)))
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h")
+    rooted = _rooted(rows.groupBy("fp").agg(F.min(key).alias("low")), max_bits, list_limit)
+    return rooted.groupBy("root").agg(F.min("low").alias("low")).select("low.doc_id", "low.h")

@@ -42,14 +42,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest
-    ``doc_id`` (of rows that share it, the first by text)."""
-    found = op04_simhash.simhash_components(docs, shingle=4, max_bits=4)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.select("doc_id", F.struct("*").alias("row")).join(
-        keep.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    first = Window.partitionBy("doc_id").orderBy("row.text")
-    return rows.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
+    """One row of each group of near copies stays, the one with the smallest
+    ``doc_id`` (null ones last; of rows that share it, the first by the text's
+    hash). Rows are told apart by ``doc_id`` and text, so documents without an
+    id, or with the same one, stay in their own groups."""
+    keep = op04_simhash.first_of_components(docs, shingle=4, max_bits=4)
+    key = F.struct("doc_id", F.xxhash64("text").alias("h")).alias("k")
+    # repeated rows go before the shuffle (a window's group limit), not in one task
+    first = Window.partitionBy("k").orderBy("row.text")
+    rows = docs.select(key, F.struct("*").alias("row")).withColumn("n", F.row_number().over(first)).where("n = 1")
+    return rows.join(keep.select(F.struct("doc_id", "h").alias("k")), "k").select("row.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,3 +81,19 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], schema)
     for name, stage in C.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark):
+    def words(tag, n=60):
+        return " ".join(f"{tag}{i}" for i in range(n))
+    big = 2 ** 60 + 1
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("c")), (5, words("c")),
+            (7, words("d")), (7, words("e")), (7, words("e")), (8, words("e")), (9, words("f")), (9, words("c")),
+            (big, words("g")), (None, None), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int")
+    out = dict(C.STAGES)["simhash_near_dedup"](spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text or "") for r in out.collect()]
+    want = [(None, words("a")), (None, words("b")), (5, words("c")), (7, words("d")), (7, words("e")),
+            (9, words("f")), (big, words("g")), (None, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
