@@ -40,7 +40,7 @@ def _digits(found: Column) -> Column:
 
 
 def _ip_parts(found: Column) -> Column:
-    return F.forall(F.split(found, r"\."), lambda p: F.regexp_replace(p, "^0++(?=[0-9])", "").rlike(
+    return F.forall(F.split(found, r"\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", "").rlike(
         "^(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
 
 

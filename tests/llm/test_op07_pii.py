@@ -63,6 +63,14 @@ def test_base_spans_of_hostile_texts(spark):
     assert got(df) == sorted((expected(i, t) for i, t in rows), key=str)
 
 
+def test_zero_padded_addresses(spark):
+    texts = ["from 010.000.000.001 on", "192.168.000.001 000.000.000.000 0.0.0.0", "00000.1.2.0000255 000256.1.1.1",
+             "0" * 300 + ".1.1.1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert got(df) == sorted((expected(i, t) for i, t in enumerate(texts)), key=str)
+    assert sorted((r.doc_id, r.n_ip) for r in P.scan(df).collect()) == [(0, 1), (1, 3), (2, 1), (3, 1)]
+
+
 def test_base_spans_of_the_whole_table(spark):
     df = table(spark, "/root/testdata/sf0.01", "documents")
     assert got(df) == sorted((expected(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=str)
