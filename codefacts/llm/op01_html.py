@@ -6,9 +6,9 @@ the text length, the punctuation and the link text of its blocks are summed;
 length and punctuation per block and the share of text outside links are fused
 into the path's score. The scores of the blocks in page order are smoothed with
 a Gaussian, and blocks above a share of the page's text-weighted mean score are
-selected. The selected blocks name the container of the article, the deepest
-element that holds nearly all of their text; the headings and short paragraphs
-in it belong to the article too.
+selected; all of them stay. They name the container of the article, the deepest
+element that holds them all; the headings and short paragraphs in it belong to
+the article too.
 
 Elements that cannot be article text by their tag, role or class (scripts,
 forms, navigation, adverts, comments and so on) are left out before.
@@ -165,17 +165,17 @@ def smoothed(x: list[float]) -> list[float]:
     return [.25 * a + .5 * b + .25 * c for a, b, c in zip(padded, padded[1:], padded[2:])]
 
 
-def container(parent: list[int], blocks, chosen: list[bool], share: float = 0.9) -> set[int]:
-    """The elements inside the deepest one that holds ``share`` of the chosen text
-    (the block elements themselves are not containers)."""
+def container(parent: list[int], blocks, chosen: list[bool]) -> set[int]:
+    """The elements inside the deepest one that holds all chosen blocks (the
+    block elements themselves are not containers)."""
     mass = [0] * len(parent)
     for b, c in zip(blocks, chosen):
         if c:
-            mass[max(parent[b[1]], 0)] += len(b[0])
+            mass[max(parent[b[1]], 0)] += 1
     total = sum(mass)
     for e in range(len(parent) - 1, 0, -1):
         mass[parent[e]] += mass[e]
-    best = max((e for e in range(len(parent)) if mass[e] >= share * total), default=0)
+    best = max((e for e in range(len(parent)) if mass[e] == total), default=0) if total else 0
     inside = {best}
     for e in range(best + 1, len(parent)):
         if parent[e] in inside:
@@ -197,8 +197,8 @@ def main_text(html: str | None, threshold: float = 0.5) -> str:
     mostly_links = [2 * b[4] > len(b[0]) for b in blocks]
     chosen = [f >= bar and not linky for f, linky in zip(fused, mostly_links)]
     inside = container(page.parent, blocks, chosen)
-    kept = [b[0] for b, f, linky in zip(blocks, fused, mostly_links)
-            if not linky and b[1] in inside and (f >= bar or b[3] in TEXTUAL or b[5])]
+    kept = [b[0] for b, c, linky in zip(blocks, chosen, mostly_links)
+            if c or not linky and b[1] in inside and (b[3] in TEXTUAL or b[5])]
     return "\n".join(kept)
 
 

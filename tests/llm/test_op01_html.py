@@ -52,6 +52,26 @@ def test_headings_lists_and_inline_markup():
     assert H.main_text(html) == "Big & bold\nOne, two three four.\na, b\nc é\nend."
 
 
+LONG = [f"{p} And so it went on, day after day, said witness {i}, until the end." for i in range(20) for p in PARA]
+BODY = "".join(f"<p>{escape(p)}</p>" for p in LONG)
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<main>%s</main>", "<div id=x>%s</div>"])
+def test_selected_blocks_outside_a_nested_body_stay(wrap):
+    def page(inner):
+        return H.main_text(f"<body>{NOISE['nav']}{wrap % inner}{NOISE['footer']}</body>").split("\n")
+    lead, closing = PARA[0], PARA[1]
+    head = f"<h1>Title</h1><p>{lead}</p>"
+    assert page(f"{head}<div class=body>{BODY}</div><p>{escape(closing)}</p>") == ["Title", lead, *LONG, closing]
+    short = "".join(f"<p>{escape(p)}</p>" for p in LONG[:3])
+    assert page(f"<section class=a>{BODY}</section><section class=b><h2>More</h2>{short}</section>") == [*LONG, "More", *LONG[:3]]
+    for tag, item in (("ul", "li"), ("blockquote", "p")):
+        items = "".join(f"<{item}>{escape(p)}</{item}>" for p in LONG)
+        assert page(f"{head}<{tag}>{items}</{tag}><p>{escape(closing)}</p>") == ["Title", lead, *LONG, closing]
+    rows = "".join(f"<tr><td>{escape(p)}</td></tr>" for p in LONG)
+    assert page(f"{head}<table>{rows}</table><p>{escape(closing)}</p>") == ["Title", lead, *LONG, closing]
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""), ("<script>x", ""), ("plain, text", "plain, text"),
     ("<article><p>Cut off, here &am", "Cut off, here &am"), ("<article><p>Cut off, tag <a hre", "Cut off, tag"),
