@@ -10,6 +10,10 @@ selected; all of them stay. They name the container of the article, the deepest
 element that holds them all; the headings and short paragraphs in it belong to
 the article too.
 
+An <article> or <main> (tag or role) selects nothing by itself. If one holds at
+least half of the page's scored text, the scores of its blocks are doubled, and
+the container is that element if it would lie inside it.
+
 Elements that cannot be article text by their tag, role or class (scripts,
 forms, navigation, adverts, comments and so on) are left out before.
 
@@ -54,6 +58,7 @@ CONTENT = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"""
                  r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^<>]*+)(?:>|\Z|(?=<))""", re.S)
 ATTR = re.compile(r"""\s(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+BONUS = 2.0     # of the blocks in the page's own article or main
 PUNCT = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
@@ -62,7 +67,7 @@ class Page:
 
     def __init__(self, html: str):
         self.parent, self.blocks, self.paths = [-1], [], {}
-        self.stack = [("#root", 0, 0, False, False)]    # tag, element, path, dropped, content
+        self.stack = [("#root", 0, 0, False, 0)]        # tag, element, path, dropped, outermost article or main
         self.text, self.link, self.links = [], 0, 0
         self.read(html)
 
@@ -121,7 +126,10 @@ class Page:
         _, parent, path, dropped, content = self.stack[-1]
         found = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTR.findall(attrs)} if attrs else {}
         names = f"{found.get('class', '')} {found.get('id', '')}"
-        own = content or tag in ("article", "main") or found.get("role", "").lower() in ("main", "article")
+        self.parent.append(parent)
+        own = content
+        if not own and (tag in ("article", "main") or found.get("role", "").lower() in ("main", "article")):
+            own = len(self.parent) - 1
         if not dropped:
             hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" \
                 or "display:none" in found.get("style", "").replace(" ", "").lower()
@@ -130,7 +138,6 @@ class Page:
             dropped = bool(tag in SKIPPED or hidden or found.get("role", "").lower() in ROLES or named
                            or (tag == "header" and not own))
         step = (path, tag + "." + found["class"].split()[0] if found.get("class", "").strip() else tag)
-        self.parent.append(parent)
         self.stack.append((tag, len(self.parent) - 1, self.paths.setdefault(step, len(self.paths) + 1), dropped, own))
 
     def close(self, tag: str) -> None:
@@ -165,9 +172,10 @@ def smoothed(x: list[float]) -> list[float]:
     return [.25 * a + .5 * b + .25 * c for a, b, c in zip(padded, padded[1:], padded[2:])]
 
 
-def container(parent: list[int], blocks, chosen: list[bool]) -> set[int]:
+def container(parent: list[int], blocks, chosen: list[bool], own: int) -> set[int]:
     """The elements inside the deepest one that holds all chosen blocks (the
-    block elements themselves are not containers)."""
+    block elements themselves are not containers), or inside the page's own
+    article ``own`` if that one lies in it."""
     mass = [0] * len(parent)
     for b, c in zip(blocks, chosen):
         if c:
@@ -176,6 +184,11 @@ def container(parent: list[int], blocks, chosen: list[bool]) -> set[int]:
     for e in range(len(parent) - 1, 0, -1):
         mass[parent[e]] += mass[e]
     best = max((e for e in range(len(parent)) if mass[e] == total), default=0) if total else 0
+    up = best
+    while up > own:
+        up = parent[up]
+    if own and up == own:
+        best = own
     inside = {best}
     for e in range(best + 1, len(parent)):
         if parent[e] in inside:
@@ -183,22 +196,33 @@ def container(parent: list[int], blocks, chosen: list[bool]) -> set[int]:
     return inside
 
 
+def home(blocks, scores: list[float]) -> int:
+    """The outermost article or main element that holds at least half of the
+    page's scored text, 0 if there is none."""
+    mass: dict[int, float] = {}
+    for b, x in zip(blocks, scores):
+        mass[b[5]] = mass.get(b[5], 0) + x * len(b[0])
+    total = sum(mass.values())
+    return max((e for e in mass if e and 2 * mass[e] >= total), key=lambda e: mass[e], default=0)
+
+
 def main_text(html: str | None, threshold: float = 0.5) -> str:
     page = Page((html or "").replace("\x00", ""))
     blocks = page.blocks
-    if any(b[5] for b in blocks):           # inside <article> or <main>, where a page has them
-        blocks = [b for b in blocks if b[5]]
     if not blocks:
         return ""
     scores = path_scores(blocks)
     fused = smoothed([scores[b[2]] for b in blocks])
+    own = home(blocks, fused)
+    if own:
+        fused = [BONUS * f if b[5] == own else f for f, b in zip(fused, blocks)]
     weight = sum(len(b[0]) for b in blocks)
     bar = threshold * sum(f * len(b[0]) for f, b in zip(fused, blocks)) / weight
     mostly_links = [2 * b[4] > len(b[0]) for b in blocks]
     chosen = [f >= bar and not linky for f, linky in zip(fused, mostly_links)]
-    inside = container(page.parent, blocks, chosen)
+    inside = container(page.parent, blocks, chosen, own)
     kept = [b[0] for b, c, linky in zip(blocks, chosen, mostly_links)
-            if c or not linky and b[1] in inside and (b[3] in TEXTUAL or b[5])]
+            if c or not linky and b[1] in inside and b[3] in TEXTUAL]
     return "\n".join(kept)
 
 

@@ -72,6 +72,20 @@ def test_selected_blocks_outside_a_nested_body_stay(wrap):
     assert page(f"{head}<table>{rows}</table><p>{escape(closing)}</p>") == ["Title", lead, *LONG, closing]
 
 
+def test_article_and_main_do_not_bypass_the_ratios():
+    body = f"<div class=text>{BODY}</div>"
+    teasers = "".join(f"<article><h3>Card {i}</h3><div>More of it.</div></article>" for i in range(6))
+    assert H.main_text(f"<body>{body}<div class=cards>{teasers}</div></body>") == "\n".join(LONG)
+    assert H.main_text(f"<body>{teasers}{body}</body>") == "\n".join(LONG)
+    for side in ("<main><p>A side note.</p></main>", "<article><p>A side note.</p></article>", "<div role=main>Note</div>"):
+        assert H.main_text(f"<body>{side}<div><div class=text>{BODY}</div></div></body>") == "\n".join(LONG)
+    # blocks of an article have to pass the threshold too
+    meta = "".join(f"<div class=meta>x{i}</div>" for i in range(4))
+    assert H.main_text(f"<body><article><h1>Title</h1>{BODY}{meta}</article></body>") == "\n".join(["Title", *LONG])
+    # and those outside are not lost for being outside
+    assert H.main_text(f"<body><article>{BODY}</article><div>{BODY}</div></body>") == "\n".join([*LONG, *LONG])
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""), ("<script>x", ""), ("plain, text", "plain, text"),
     ("<article><p>Cut off, here &am", "Cut off, here &am"), ("<article><p>Cut off, tag <a hre", "Cut off, tag"),
