@@ -14,8 +14,13 @@ An <article> or <main> (tag or role) selects nothing by itself. If one holds at
 least half of the page's scored text, the scores of its blocks are doubled, and
 the container is that element if it would lie inside it.
 
-Elements that cannot be article text by their tag, role or class (scripts,
-forms, navigation, adverts, comments and so on) are left out before.
+Elements that cannot be article text by their tag or role (scripts, forms,
+navigation and so on) are left out before. A class name or id of page furniture
+(adverts, comments, sidebars and so on) drops nothing: it takes the scores of
+the blocks in it, and their weight in the mean, to a tenth, so they lose against
+other text but stay where there is none; it does not count for an element that
+holds the page's largest article or main, or half of the scored text of a page
+without one (names of comments: see ``penalised``).
 
 Defined results: null or empty pages, and pages without article text, give an
 empty text; unclosed, stray or cut-off tags are tolerated; a page without tags
@@ -48,25 +53,48 @@ TEXTUAL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu",
          "menubar", "toolbar", "form", "tablist"}
 
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advert\w*|adsense|adslot|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|"
-    r"alerts?|newsletter|subscri\w*|sidebars?|side|aside|rail|nav|navbar|navigation|menus?|breadcrumbs?|footers?|foot|"
-    r"masthead|topbar|toolbar|header|comments?|commentlist|respond|replies|disqus|discussion|shar\w*|social|"
-    r"related|recommend\w*|popular|trending|more-stories|popups?|modal|overlay|pagination|pager|widgets?|login|signin|"
-    r"signup|search|disclaimer|copyright|skip\w*|hidden|outbrain|taboola)(?:$|[\s_-])", re.I)
-CONTENT = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|page)(?:$|[\s_-])", re.I)
+# Parts of class names and ids (between hyphens, underscores and capitals).
+NAMED = set("""ad ads advert adverts advertisement advertisements advertising advertorial adsense adslot banner banners
+    sponsor sponsors sponsored sponsorship promo promos promoted promotion promotions promotional cookie cookies consent
+    gdpr notice notices alert alerts newsletter subscribe subscriber subscribers subscription subscriptions sidebar
+    sidebars side aside rail nav navbar navigation menu menus breadcrumb breadcrumbs footer footers foot masthead topbar
+    toolbar header comment comments commentlist respond replies disqus discussion share shares sharing sharer sharebar
+    sharethis social related recommend recommends recommended recommendation recommendations popular trending popup
+    popups modal overlay pagination pager widget widgets login signin signup search disclaimer copyright skip skiplink
+    hidden outbrain taboola""".split())
+LAYOUT = {"has", "no", "with", "without"}       # say what an element has beside it, not what it is
+CONTENT = {"article", "main", "content", "post", "entry", "story", "body", "page"}
+SURE = {"sidebar", "sidebars", "side", "aside", "footer", "footers", "foot", "nav", "navbar", "navigation", "menu",
+        "menus", "share", "shares", "sharing", "sharer", "sharebar", "sharethis", "related"}
+TALK = {"comment", "comments", "commentlist", "respond", "replies", "disqus", "discussion"}
+PART = re.compile(r"[a-z0-9]+|[A-Z]+(?![a-z])|[A-Z][a-z0-9]*|[^\W_A-Za-z0-9]+")
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"""
                  r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^<>]*+)(?:>|\Z|(?=<))""", re.S)
 ATTR = re.compile(r"""\s(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 BONUS = 2.0     # of the blocks in the page's own article or main
+PENALTY = 0.1   # of the blocks in an element that is named like page furniture
 PUNCT = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
+def furniture(names: str) -> int:
+    """1 if class names and id say page furniture, 2 if they say comments."""
+    parts, said = set(), set()
+    for name in names.split():
+        own = {p.lower() for p in PART.findall(name)} | ({"related"} if "more-stories" in name.lower() else set())
+        parts |= own
+        if not own & LAYOUT:
+            said |= own & NAMED
+    if not said or (parts & CONTENT and not said & (SURE | TALK)):
+        return 0
+    return 2 if said & TALK else 1
+
+
 class Page:
-    """Blocks of one page. ``elements``: parent index; ``paths``: interned tag paths."""
+    """Blocks of one page. ``elements``: parent index; ``paths``: interned tag paths;
+    ``named``: ``furniture`` of the elements that have one."""
 
     def __init__(self, html: str):
-        self.parent, self.blocks, self.paths = [-1], [], {}
+        self.parent, self.blocks, self.paths, self.named = [-1], [], {}, {}
         self.stack = [("#root", 0, 0, False, 0)]        # tag, element, path, dropped, outermost article or main
         self.text, self.link, self.links = [], 0, 0
         self.read(html)
@@ -133,11 +161,14 @@ class Page:
         if not dropped:
             hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" \
                 or "display:none" in found.get("style", "").replace(" ", "").lower()
-            named = names != " " and tag not in ("html", "body", "article", "main") and NAMED.search(names) \
-                and not (CONTENT.search(names) and not re.search("comment|side|foot|nav|menu|share|related", names, re.I))
-            dropped = bool(tag in SKIPPED or hidden or found.get("role", "").lower() in ROLES or named
+            dropped = bool(tag in SKIPPED or hidden or found.get("role", "").lower() in ROLES
                            or (tag == "header" and not own))
-        step = (path, tag + "." + found["class"].split()[0] if found.get("class", "").strip() else tag)
+        named = 0
+        if names != " " and not dropped and tag not in ("html", "body", "article", "main"):
+            named = furniture(names)
+            if named:
+                self.named[len(self.parent) - 1] = named
+        step = (path, tag + "." + found["class"].split()[0] if found.get("class", "").strip() else tag, named)
         self.stack.append((tag, len(self.parent) - 1, self.paths.setdefault(step, len(self.paths) + 1), dropped, own))
 
     def close(self, tag: str) -> None:
@@ -172,10 +203,10 @@ def smoothed(x: list[float]) -> list[float]:
     return [.25 * a + .5 * b + .25 * c for a, b, c in zip(padded, padded[1:], padded[2:])]
 
 
-def container(parent: list[int], blocks, chosen: list[bool], own: int) -> set[int]:
-    """The elements inside the deepest one that holds all chosen blocks (the
-    block elements themselves are not containers), or inside the page's own
-    article ``own`` if that one lies in it."""
+def container(parent: list[int], blocks, chosen: list[bool], own: int) -> int:
+    """The deepest element that holds all chosen blocks (the block elements
+    themselves are not containers), or the page's own article ``own`` if that
+    element lies in it."""
     mass = [0] * len(parent)
     for b, c in zip(blocks, chosen):
         if c:
@@ -187,23 +218,40 @@ def container(parent: list[int], blocks, chosen: list[bool], own: int) -> set[in
     up = best
     while up > own:
         up = parent[up]
-    if own and up == own:
-        best = own
-    inside = {best}
-    for e in range(best + 1, len(parent)):
-        if parent[e] in inside:
-            inside.add(e)
-    return inside
+    return own if own and up == own else best
 
 
-def home(blocks, scores: list[float]) -> int:
-    """The outermost article or main element that holds at least half of the
-    page's scored text, 0 if there is none."""
+def home(blocks, scores: list[float], share: float = 0.5) -> int:
+    """The outermost article or main element that holds most of the scored text
+    of all such, if it holds at least ``share`` of the page's; 0 otherwise."""
     mass: dict[int, float] = {}
     for b, x in zip(blocks, scores):
         mass[b[5]] = mass.get(b[5], 0) + x * len(b[0])
     total = sum(mass.values())
-    return max((e for e in mass if e and 2 * mass[e] >= total), key=lambda e: mass[e], default=0)
+    return max((e for e in mass if e and mass[e] >= share * total), key=lambda e: mass[e], default=0)
+
+
+def penalised(page: Page, scores: list[float]) -> list[int]:
+    """The number of elements named like furniture around each element, itself
+    included. The name of an element that holds the page's largest article or
+    main, or half of the scored text of a page without one, does not count; that
+    of comments counts unless it holds such an article and half of the text."""
+    parent = page.parent
+    mass, largest, up = [0.0] * len(parent), set(), home(page.blocks, scores, 0)
+    if page.named:
+        for b, x in zip(page.blocks, scores):
+            mass[b[1]] += x * len(b[0])
+        for e in range(len(parent) - 1, 0, -1):
+            mass[parent[e]] += mass[e]
+        while up > 0:
+            largest.add(up)
+            up = parent[up]
+    depth = [0] * len(parent)
+    for e in range(1, len(parent)):
+        named, half = page.named.get(e, 0), 2 * mass[e] >= mass[0]
+        spared = e in largest and (half or named == 1) if largest else half and named == 1
+        depth[e] = depth[parent[e]] + (named > 0 and not spared)
+    return depth
 
 
 def main_text(html: str | None, threshold: float = 0.5) -> str:
@@ -212,15 +260,26 @@ def main_text(html: str | None, threshold: float = 0.5) -> str:
     if not blocks:
         return ""
     scores = path_scores(blocks)
-    fused = smoothed([scores[b[2]] for b in blocks])
+    scores = [scores[b[2]] for b in blocks]
+    depth = penalised(page, scores)
+    least, groups = min(depth[b[1]] for b in blocks), {}
+    for i, b in enumerate(blocks):                  # smoothed among blocks of equal penalty
+        groups.setdefault(depth[b[1]] - least, []).append(i)
+    fused, worth = [0.0] * len(blocks), [0.0] * len(blocks)
+    for d, at in groups.items():
+        for i, f in zip(at, smoothed([scores[i] for i in at])):
+            fused[i], worth[i] = f * PENALTY ** d, len(blocks[i][0]) * PENALTY ** d
     own = home(blocks, fused)
     if own:
         fused = [BONUS * f if b[5] == own else f for f, b in zip(fused, blocks)]
-    weight = sum(len(b[0]) for b in blocks)
-    bar = threshold * sum(f * len(b[0]) for f, b in zip(fused, blocks)) / weight
+    bar = threshold * sum(f * w for f, w in zip(fused, worth)) / sum(worth)
     mostly_links = [2 * b[4] > len(b[0]) for b in blocks]
     chosen = [f >= bar and not linky for f, linky in zip(fused, mostly_links)]
-    inside = container(page.parent, blocks, chosen, own)
+    best = container(page.parent, blocks, chosen, own)
+    inside = {best}
+    for e in range(best + 1, len(page.parent)):
+        if page.parent[e] in inside and depth[e] == depth[best]:
+            inside.add(e)
     kept = [b[0] for b, c, linky in zip(blocks, chosen, mostly_links)
             if c or not linky and b[1] in inside and b[3] in TEXTUAL]
     return "\n".join(kept)

@@ -86,6 +86,27 @@ def test_article_and_main_do_not_bypass_the_ratios():
     assert H.main_text(f"<body><article>{BODY}</article><div>{BODY}</div></body>") == "\n".join([*LONG, *LONG])
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "page has-sidebar", "container right-sidebar",
+                                   "wrapper no-sidebar", "layout with-sidebar site-main", "sharp-text", "comments",
+                                   "hasSidebar", "skip widget"])
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<div>%s</div>", "<main>%s</main>"])
+def test_names_of_layout_wrappers_drop_nothing(names, wrap):
+    inner = wrap % ARTICLE
+    for attr in ("class", "id"):
+        assert H.main_text(f'<body>{NOISE["nav"]}<div {attr}="{names}">{inner}</div></body>') == WANT
+        assert H.main_text(f'<body><div {attr}="{names}">{inner}{NOISE["comments"]}{NOISE["ad"]}{NOISE["share"]}</div></body>') == WANT
+    if names != "comments":
+        other = "<div class=x>Some other words, not many.</div>"
+        assert WANT in H.main_text(f'<body><div class="{names}">{inner}</div>{other}</body>')
+
+
+def test_many_comments_and_largest_article():
+    talk = f"<div id=comments>{BODY}</div>"
+    assert H.main_text(f"<body><div>{ARTICLE}</div>{talk}</body>") == WANT
+    assert H.main_text(f'<body><div class="right-sidebar"><article>{ARTICLE}</article></div>{talk}</body>') == WANT
+    assert H.main_text(f"<body>{talk}</body>") == "\n".join(LONG)
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><body></body></html>", ""), ("<script>x", ""), ("plain, text", "plain, text"),
     ("<article><p>Cut off, here &am", "Cut off, here &am"), ("<article><p>Cut off, tag <a hre", "Cut off, tag"),
