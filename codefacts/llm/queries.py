@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from codefacts.llm import (op01_html, op02_sharding, op03_packing, op05_line_dedup, op06_quality, op07_pii,
-                           op08_decontamination, op09_order_minhash, op10_secrets)
+                           op08_decontamination, op09_order_minhash, op10_secrets, op11_hard_negatives, op12_topk,
+                           op13_spelling)
 from codefacts.llm.op04_simhash import simhash_components
 from codefacts.sources.tables import table
 
@@ -55,6 +57,20 @@ def op10_secrets_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op11_hard_negatives.mine(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0).drop("anchor_row")
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).drop("query_row")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_sharding": op2_sharding,
@@ -66,8 +82,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_order_minhash": op9_order_minhash,
     "op10_secrets": op10_secrets_scan,
+    "op11_hard_negatives": op11_hard_negatives_mining,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {
     "op2_sharding": op02_sharding.ORACLE_SQL,
     "op5_line_dedup": op05_line_dedup.ORACLE_SQL,
+    "op11_hard_negatives": op11_hard_negatives.ORACLE_SQL,
+    "op12_exact_topk": op12_topk.ORACLE_SQL,
+    "op13_spelling_variants": op13_spelling.ORACLE_SQL,
 }
