@@ -69,9 +69,8 @@ def test_both_prunings_run_and_lose_nothing():
     finally:
         T.Bucket = plain
     s = products(rows[::20], rows)
-    s[np.arange(200), np.arange(0, 4000, 20)] = T.LOW
     for i in range(200):
-        want = sorted(zip(-s[i], range(4000)))[:5]
+        want = sorted((-int(v), j) for j, v in enumerate(s[i]) if j != 20 * i)[:5]
         assert sorted(zip(-b.score[b.key == i], b.id[b.key == i])) == want
     assert used["coordinates"] > 1000 and used["length"] >= 1
     assert used["rows"] < 0.25 * used["coordinates"] * 256
