@@ -1,10 +1,13 @@
 """Secret scan: fixed patterns, and character Markov models for the rest.
 
-Assignments, access keys and hex strings are found by pattern. They also are
-the labelled samples of random strings; letter-only words of comparable length
-are the samples of ordinary identifiers. Both classes get a first-order
-character model (transition counts over all documents, add-one smoothed), and a
-token is a secret if the log-likelihood ratio of the two models over its
+Assignments, access keys and hex strings are found by pattern. Assigned values
+and access keys also are the labelled samples of random strings; tokens of
+comparable length that are words and short numbers, joined or not, are the
+samples of ordinary identifiers. Both classes get a first-order character model
+from transition counts over all documents. In a random string any character may
+follow, so its counts are smoothed evenly; an identifier's transition that was
+seen seldom falls back to the frequency of its second character, so that a
+character no identifier holds speaks against one wherever it stands. A token is a secret if the log-likelihood ratio of the two models over its
 transitions exceeds ``margin`` and is clearly positive per transition.
 
 What reaches the driver is one count per pair of characters and class, bounded
@@ -33,6 +36,7 @@ HEX = r"[0-9a-f]{16,}+"
 NAMES = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]"
+NAME = r"(?:[A-Za-z]++|[0-9]{1,4}+(?![0-9]))(?:[+/_=-]++(?:[A-Za-z]++|[0-9]{1,4}+(?![0-9])))*+"
 SIZE = len(ALPHABET)
 
 
@@ -48,12 +52,13 @@ KINDS = [
 
 
 def weak_samples(texts: DataFrame, base: DataFrame, min_chars: int) -> DataFrame:
-    """``token, is_random``: values of the fixed patterns as random strings,
-    letter-only tokens as ordinary identifiers, from all documents."""
+    """``token, is_random``: values of the fixed patterns as random strings (but
+    for hex strings, which would teach an alphabet of 16 characters), tokens of words and short numbers as ordinary identifiers, from all documents."""
     value = F.when(F.col("kind") == 0, _value(F.col("found"))).otherwise(F.col("found"))
-    random = base.select(value.alias("token"), F.lit(True).alias("is_random"))
-    words = F.regexp_extract_all(F.col("text"), F.lit(rf"(?<!{TOKEN})[A-Za-z]{{{min_chars},}}+(?!{TOKEN})"), F.lit(0))
-    ordinary = texts.select(F.explode(words).alias("token"), F.lit(False).alias("is_random"))
+    random = base.where("kind <> 2").select(value.alias("token"), F.lit(True).alias("is_random"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(rf"(?<!{TOKEN}){NAME}(?!{TOKEN})"), F.lit(0))
+    ordinary = texts.select(F.explode(F.filter(words, lambda w: F.length(w) >= min_chars)).alias("token"),
+                            F.lit(False).alias("is_random"))
     return random.unionByName(ordinary)
 
 
@@ -74,7 +79,7 @@ def transition_counts(samples: DataFrame) -> DataFrame:
 def ratio_table(samples: DataFrame) -> list[float] | None:
     """Log-likelihood ratio (random over ordinary) of each transition; None if a
     class has no sample."""
-    counts = {True: [1] * SIZE * SIZE, False: [1] * SIZE * SIZE}
+    counts = {True: [0] * SIZE * SIZE, False: [0] * SIZE * SIZE}
     seen = set()
     for r in transition_counts(samples).collect():      # at most 2 * SIZE * SIZE rows
         counts[r.is_random][r.step] += r.n
@@ -82,10 +87,13 @@ def ratio_table(samples: DataFrame) -> list[float] | None:
     if len(seen) < 2:
         return None
 
-    def log_p(c):
+    def log_p(c, own):
         rows = [sum(c[i * SIZE:(i + 1) * SIZE]) for i in range(SIZE)]
-        return [math.log(n / rows[i // SIZE]) for i, n in enumerate(c)]
-    return [round(a - b, 3) for a, b in zip(log_p(counts[True]), log_p(counts[False]))]
+        return [math.log((n + SIZE * own[i % SIZE]) / (rows[i // SIZE] + SIZE)) for i, n in enumerate(c)]
+    even = [1 / SIZE] * SIZE
+    ordinary = counts[False]
+    own = [(sum(ordinary[j::SIZE]) + 1) / (sum(ordinary) + SIZE) for j in range(SIZE)]
+    return [round(a - b, 3) for a, b in zip(log_p(counts[True], even), log_p(ordinary, own))]
 
 
 def ratio(token: Column, table: list[float]) -> Column:

@@ -56,12 +56,15 @@ def test_empty_table(spark):
 
 
 def brute_table(samples):
-    counts = {c: [[1] * S.SIZE for _ in range(S.SIZE)] for c in (True, False)}
+    counts = {c: [[0] * S.SIZE for _ in range(S.SIZE)] for c in (True, False)}
     for t, c in samples:
         ids = [S.ALPHABET.index(x) for x in t if x in S.ALPHABET]
         for a, b in zip(ids, ids[1:]):
             counts[c][a][b] += 1
-    lp = {c: [[math.log(v / sum(row)) for v in row] for row in m] for c, m in counts.items()}
+    lp = {}
+    for c, m in counts.items():
+        own = [1 / S.SIZE if c else (sum(row[b] for row in m) + 1) / (sum(map(sum, m)) + S.SIZE) for b in range(S.SIZE)]
+        lp[c] = [[math.log((v + S.SIZE * own[b]) / (sum(row) + S.SIZE)) for b, v in enumerate(row)] for row in m]
     return [round(lp[True][a][b] - lp[False][a][b], 3) for a in range(S.SIZE) for b in range(S.SIZE)]
 
 
