@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType, StructField, StructType
 from pyspark.sql.window import Window
 
 from codefacts.session import checkpoint_dir
@@ -18,6 +21,22 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def computed(df: DataFrame, source: str, name: str, kind: DataType, compute: Callable[[list], Iterable],
+             keep_source: bool = False) -> DataFrame:
+    """``df`` with the column ``name`` that ``compute`` makes of each batch of the
+    column ``source``. The other columns pass through as Arrow, as they are
+    (pandas would turn long ids into doubles beside a null)."""
+    at, arrow = df.columns.index(source), to_arrow_type(kind)
+    kept = [i for i in range(len(df.columns)) if keep_source or i != at]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = pa.array(compute(b.column(at).to_pylist()), arrow)
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], values], [*[b.schema.names[i] for i in kept], name])
+    fields = [df.schema.fields[i] for i in kept]
+    return df.mapInArrow(run, StructType([*fields, StructField(name, kind)]))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where the body uses it
     inside a lambda (a plain reference would be computed per element)."""

@@ -14,14 +14,20 @@ An <article> or <main> (tag or role) selects nothing by itself. If one holds at
 least half of the page's scored text, the scores of its blocks are doubled, and
 the container is that element if it would lie inside it.
 
-Elements that cannot be article text by their tag or role (scripts, forms,
-navigation and so on) are left out before. A class name or id of page furniture
-(adverts, comments, sidebars and so on) drops nothing: it takes the scores of
+Scripts, controls and hidden elements are left out before. So are elements that
+stand beside an article by their tag or role (navigation, footers and so on) if
+they are closed, and forms, but for one that holds the page's largest article or
+main, or half of its scored text (it wraps the page). Elements named like reader
+comments are left out, and have no say in the scores, where there is other text.
+Any other class name or id of page furniture (adverts, sidebars and so on) drops nothing: it takes the scores of
 the blocks in it, and their weight in the mean, to a tenth, so they lose against
 other text but stay where there is none; it does not count for an element that
 holds the page's largest article or main, or half of the scored text of a page
 without one (names of comments: see ``penalised``).
 
+A selected block is never dropped for its links if the rest of its element, on the
+same path, is article text: a paragraph or item that is one link stays.
+
 Defined results: null or empty pages, and pages without article text, give an
 empty text; unclosed, stray or cut-off tags are tolerated; a page without tags
 is one block; repeated rows get a row each; other columns are ignored.
@@ -31,16 +37,19 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 from html import unescape
 
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from codefacts.llm.common import computed
 
 # HTML's element classes.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes", "template"}
-SKIPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "option", "datalist", "dialog", "menu",
-           "svg", "math", "object", "canvas", "audio", "video", "map", "fieldset", "label", "input"}
+SKIPPED = {"head", "button", "select", "option", "datalist", "dialog", "svg", "math", "object", "canvas", "audio",
+           "video", "map", "fieldset", "label", "input"}
+BESIDE = {"nav", "footer", "aside", "menu", "form"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
@@ -95,6 +104,7 @@ class Page:
 
     def __init__(self, html: str):
         self.parent, self.blocks, self.paths, self.named = [-1], [], {}, {}
+        self.beside, self.closed = {}, set()            # elements of BESIDE with their tag; closed elements
         self.stack = [("#root", 0, 0, False, 0)]        # tag, element, path, dropped, outermost article or main
         self.text, self.link, self.links = [], 0, 0
         self.read(html)
@@ -161,11 +171,15 @@ class Page:
         if not dropped:
             hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" \
                 or "display:none" in found.get("style", "").replace(" ", "").lower()
-            dropped = bool(tag in SKIPPED or hidden or found.get("role", "").lower() in ROLES
-                           or (tag == "header" and not own))
+            dropped = bool(tag in SKIPPED or hidden)
+            role = found.get("role", "").lower()
+            if tag in BESIDE or role in ROLES or (tag == "header" and not own):
+                self.beside[len(self.parent) - 1] = "form" if tag == "form" and role != "search" or role == "form" else tag
         named = 0
-        if names != " " and not dropped and tag not in ("html", "body", "article", "main"):
+        if names != " " and not dropped and tag not in ("html", "body", "main"):
             named = furniture(names)
+            if named == 1 and tag == "article":
+                named = 0
             if named:
                 self.named[len(self.parent) - 1] = named
         step = (path, tag + "." + found["class"].split()[0] if found.get("class", "").strip() else tag, named)
@@ -178,6 +192,7 @@ class Page:
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == tag:
+                self.closed.add(self.stack[i][1])
                 self.flush()
                 del self.stack[i:]
                 self.links = 0
@@ -231,37 +246,79 @@ def home(blocks, scores: list[float], share: float = 0.5) -> int:
     return max((e for e in mass if e and mass[e] >= share * total), key=lambda e: mass[e], default=0)
 
 
-def penalised(page: Page, scores: list[float]) -> list[int]:
+def weights(page: Page, blocks, scores: list[float]) -> list[float]:
+    """Scored text in each element."""
+    mass = [0.0] * len(page.parent)
+    for b, x in zip(blocks, scores):
+        mass[b[1]] += x * len(b[0])
+    for e in range(len(mass) - 1, 0, -1):
+        mass[page.parent[e]] += mass[e]
+    return mass
+
+
+def scored(blocks) -> list[float]:
+    of = path_scores(blocks)
+    return [of[b[2]] for b in blocks]
+
+
+def without(page: Page, blocks, gone: set[int]):
+    """The blocks that lie in none of the elements ``gone``."""
+    inside = [False] * len(page.parent)
+    for e in range(1, len(inside)):
+        inside[e] = e in gone or inside[page.parent[e]]
+    return [b for b in blocks if not inside[b[1]]]
+
+
+def article_blocks(page: Page):
+    """The page's blocks without closed elements that stand beside an article,
+    without forms that do not wrap the page, and without reader comments where
+    there is other text."""
+    left = without(page, page.blocks, {e for e, tag in page.beside.items() if tag != "form" and e in page.closed})
+    forms = {e for e, tag in page.beside.items() if tag == "form"}
+    if forms:
+        scores = scored(left)
+        mass, up, wraps = weights(page, left, scores), home(left, scores, 0), set()
+        while up > 0:
+            wraps.add(up)
+            up = page.parent[up]
+        left = without(page, left, {e for e in forms if e not in wraps and 2 * mass[e] < mass[0]})
+    if 2 in page.named.values():
+        depth, talk = penalised(page, left, scored(left))
+        other = without(page, left, talk)
+        if any(depth[b[1]] == 0 for b in other):
+            left = other
+    return left
+
+
+def penalised(page: Page, blocks, scores: list[float]) -> tuple[list[int], set[int]]:
     """The number of elements named like furniture around each element, itself
-    included. The name of an element that holds the page's largest article or
+    included, and the elements named like comments among those. The name of an element that holds the page's largest article or
     main, or half of the scored text of a page without one, does not count; that
     of comments counts unless it holds such an article and half of the text."""
     parent = page.parent
-    mass, largest, up = [0.0] * len(parent), set(), home(page.blocks, scores, 0)
+    mass, largest, up = [0.0] * len(parent), set(), home(blocks, scores, 0)
     if page.named:
-        for b, x in zip(page.blocks, scores):
-            mass[b[1]] += x * len(b[0])
-        for e in range(len(parent) - 1, 0, -1):
-            mass[parent[e]] += mass[e]
+        mass = weights(page, blocks, scores)
         while up > 0:
             largest.add(up)
             up = parent[up]
-    depth = [0] * len(parent)
+    depth, talk = [0] * len(parent), set()
     for e in range(1, len(parent)):
         named, half = page.named.get(e, 0), 2 * mass[e] >= mass[0]
         spared = e in largest and (half or named == 1) if largest else half and named == 1
         depth[e] = depth[parent[e]] + (named > 0 and not spared)
-    return depth
+        if named == 2 and not spared:
+            talk.add(e)
+    return depth, talk
 
 
 def main_text(html: str | None, threshold: float = 0.5) -> str:
     page = Page((html or "").replace("\x00", ""))
-    blocks = page.blocks
+    blocks = article_blocks(page)
     if not blocks:
         return ""
-    scores = path_scores(blocks)
-    scores = [scores[b[2]] for b in blocks]
-    depth = penalised(page, scores)
+    scores = scored(blocks)
+    depth, _ = penalised(page, blocks, scores)
     least, groups = min(depth[b[1]] for b in blocks), {}
     for i, b in enumerate(blocks):                  # smoothed among blocks of equal penalty
         groups.setdefault(depth[b[1]] - least, []).append(i)
@@ -280,18 +337,14 @@ def main_text(html: str | None, threshold: float = 0.5) -> str:
     for e in range(best + 1, len(page.parent)):
         if page.parent[e] in inside and depth[e] == depth[best]:
             inside.add(e)
-    kept = [b[0] for b, c, linky in zip(blocks, chosen, mostly_links)
-            if c or not linky and b[1] in inside and b[3] in TEXTUAL]
+    taken = [c or not linky and b[1] in inside and b[3] in TEXTUAL for b, c, linky in zip(blocks, chosen, mostly_links)]
+    like = {(page.parent[b[1]], b[2]) for b, t in zip(blocks, taken) if t}
+    kept = [b[0] for b, t in zip(blocks, taken) if t or b[3] in TEXTUAL and (page.parent[b[1]], b[2]) in like]
     return "\n".join(kept)
 
 
 def extract(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            text = [main_text(h, threshold) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": text,
-                                "n_chars": [len(t) for t in text]})
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInPandas(
-        run, f"page_id {kind}, url string, text string, n_chars long")
+    texts = computed(pages.select("page_id", "url", "html"), "html", "text", StringType(),
+                     lambda htmls: [main_text(h, threshold) for h in htmls])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

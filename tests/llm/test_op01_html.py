@@ -139,3 +139,44 @@ def test_query_on_frames(spark):
     got = sorted(map(tuple, H.extract(df).collect()), key=str)
     assert got == sorted([(1, "u", WANT, len(WANT))] * 2 + [(None, None, "", 0), (4, "v", "😀\né", 3)], key=str)
     assert H.extract(df.limit(0)).count() == 0
+
+
+STORY = [f"Paragraph {i} of the story says, in some detail, what happened there; and why it matters to us." for i in range(4)]
+TALE = "".join(f"<p>{p}</p>" for p in STORY)
+COMMENT = "<div class=c><b>Ann {i}</b><p>I do not agree, and here is why: it was, as we all know, quite different ({i}).</p></div>"
+
+
+@pytest.mark.parametrize("n", [10, 50, 400])
+@pytest.mark.parametrize("where", ["<section class=comments>", "<div id=comments>"])
+@pytest.mark.parametrize("inside", [True, False])
+def test_reader_comments_have_no_say(n, where, inside):
+    talk = where + "".join(COMMENT.format(i=i) for i in range(n)) + f"</{where[1:].split()[0]}>"
+    page = f"<body><article>{TALE}{talk}</article></body>" if inside else f"<body><article>{TALE}</article>{talk}</body>"
+    assert H.main_text(page) == "\n".join(STORY)
+    assert H.main_text(page.replace("article>", "div>")) == "\n".join(STORY)
+
+
+def test_comments_that_are_articles():
+    talk = "".join(f"<article class=comment><p>Reply {i}: no, not at all; you are wrong, I think.</p></article>" for i in range(30))
+    assert H.main_text(f"<article>{TALE}</article>{talk}") == "\n".join(STORY)
+
+
+def test_form_around_the_page_and_form_beside_it():
+    search = "<form action=/s><input name=q><p>Search, all of it.</p></form>"
+    assert H.main_text(f"<form id=aspnet><nav><a href=/>Home</a></nav><article>{TALE}</article></form>") == "\n".join(STORY)
+    assert H.main_text(f"<form><div>{TALE}</div></form>") == "\n".join(STORY)
+    assert H.main_text(f"{search}<div>{TALE}</div>{search}") == "\n".join(STORY)
+
+
+def test_unclosed_elements_beside_the_article():
+    for tag in ("nav", "aside", "footer"):
+        assert H.main_text(f"<{tag}><ul><li><a href=/>Home</a></ul><article>{TALE}</article>") == "\n".join(STORY)
+    assert H.main_text(f"<nav><p>Home, and away.</p></nav><article>{TALE}</article>") == "\n".join(STORY)
+
+
+def test_paragraphs_and_items_that_are_links_stay():
+    link = "<p><a href=/x>The full report, with all tables.</a></p>"
+    got = H.main_text(f"<article><p>{STORY[0]}</p>{link}<p>{STORY[1]}</p></article>")
+    assert got == "\n".join([STORY[0], "The full report, with all tables.", STORY[1]])
+    items = "<ul><li>One point, made here at some length.</li><li><a href=/y>Another point, elsewhere.</a></li></ul>"
+    assert "Another point, elsewhere." in H.main_text(f"<article>{TALE}{items}</article>")
