@@ -27,6 +27,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from codefacts.llm.common import pin
 
 BLOCK = 128
 
@@ -82,8 +85,10 @@ def _codes(values: pd.Series, only_repeated: bool) -> np.ndarray:
     return pd.factorize(values)[0].astype(np.int64)
 
 
-def _pack_group(capacity: int):
+def _pack_group(capacity: int, whole_ids: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        if whole_ids:       # nullable longs, so that no id turns into a double beside a null
+            rows["doc_id"] = pd.array([None if i is None else int(i) for i in rows["doc_id"]], dtype="Int64")
         rows = rows.sort_values(["rest", "doc_id", "cluster"], ascending=[False, True, True], kind="stable",
                                 na_position="first", ignore_index=True)
         part = rows["rest"].to_numpy() > 0
@@ -120,12 +125,18 @@ def pack(docs: DataFrame, capacity: int = 2048, group_rows: int = 4096) -> DataF
     """One row per piece: ``doc_id, source, cluster, piece, first_token, n_tokens,
     bin, place, bin_offset``. ``bin`` is the group's number times 2**32 plus the
     bin's number in the group."""
-    groups = max(1, -(-docs.count() // group_rows))
-    pieces = lengths(docs).select(
-        "doc_id", "source", "cluster",
+    rows = pin(lengths(docs).withColumn("k", F.xxhash64("doc_id", "cluster")))
+    groups = max(1, -(-rows.count() // group_rows))
+    # rows with one id and one text are dealt over all groups by their place in the written rows
+    repeated = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k", F.lit(True).alias("again"))
+    placed = rows.withColumn("row", F.monotonically_increasing_id()).join(repeated, "k", "left")
+    salt = F.when(F.col("again"), F.xxhash64("k", "row")).otherwise(F.col("k"))
+    kind = docs.schema["doc_id"].dataType
+    pieces = placed.select(
+        F.col("doc_id").cast("string"), "source", "cluster",
         F.expr(f"n_tokens div {capacity}").alias("n_full"), (F.col("n_tokens") % capacity).alias("rest"),
-        F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)).alias("pack_group"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+        F.pmod(salt, F.lit(groups)).alias("pack_group"))
+    whole_ids = isinstance(kind, IntegralType)
     return pieces.groupBy("pack_group").applyInPandas(
-        _pack_group(capacity), f"doc_id {kind}, source string, cluster long, piece long, first_token long, "
+        _pack_group(capacity, whole_ids), f"doc_id {kind.simpleString()}, source string, cluster long, piece long, first_token long, "
                                "n_tokens long, bin long, place long, bin_offset long")

@@ -27,16 +27,15 @@ null ``component_id``; other columns of the input are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from codefacts.llm.common import components, pin
+from codefacts.llm.common import components, computed, pin
 
 SEED = 42
 BYTES = 8
@@ -74,12 +73,8 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def with_fingerprints(docs: DataFrame, shingle: int = 4, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys`` and ``fp`` per row, ``fp`` as a signed long with the same bits."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({**{k: b[k] for k in keys}, "fp": fp.view(np.int64)})
-    kinds = ", ".join(f"{k} {docs.schema[k].dataType.simpleString()}" for k in keys)
-    return docs.select(*keys, "text").mapInPandas(run, f"{kinds}, fp long")
+    return computed(docs.select(*keys, "text"), "text", "fp", LongType(), lambda texts: np.array(
+        [fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
 
 
 def _signed(bits: int) -> int:
@@ -170,10 +165,8 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
 def first_of_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_limit: int = 2000) -> DataFrame:
     """``doc_id, h`` (``h``: ``xxhash64`` of the text), one row per component:
     the smallest ``doc_id``, null ones last, and the smallest ``h`` of equals."""
-    kind = docs.schema["doc_id"].dataType
-    # as strings, since pandas would turn ids into floats beside null ones
-    named = docs.select(F.col("doc_id").cast("string"), F.xxhash64("text").alias("h"), "text")
-    rows = pin(with_fingerprints(named, shingle, ("doc_id", "h")).withColumn("doc_id", F.col("doc_id").cast(kind)))
+    named = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    rows = pin(with_fingerprints(named, shingle, ("doc_id", "h")))
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "h")
     rooted = _rooted(rows.groupBy("fp").agg(F.min(key).alias("low")), max_bits, list_limit)
     return rooted.groupBy("root").agg(F.min("low").alias("low")).select("low.doc_id", "low.h")

@@ -7,27 +7,30 @@ weighs the encoded passages, and a logistic layer scores their weighted sum.
 All layers are learned together from document labels only.
 
 The model is fitted on at most ``max_documents`` labelled documents (those with
-the smallest hash of their id, outside the held-out fold), each with at most
-``train_passages`` evenly spaced passages; both are the documented bounds of
-what reaches the driver. Scoring reads whole texts.
+the smallest hash of their id, outside the held-out fold) and takes them in that
+order, with all their passages, as long as those are at most ``max_passages``;
+both are the documented bounds of what reaches the driver. Scoring reads whole
+texts.
 
 Defined results: null and empty texts are one empty passage and get a score;
 repeated rows get a row each; a null ``doc_id`` is not held out and has no
 label; without labels of both classes every score is 0.5; labels that are null
-are ignored, of several labels of a document the smallest counts; other columns
-are ignored.
+are ignored, of several labels of a document the smallest counts, of several
+labelled texts the first by its hash; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.window import Window
+
+from codefacts.llm.common import computed, pin
 
 PASSAGE = 64
 HASHED = 32
@@ -133,24 +136,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_documents: int = 4000, train_passages: int = 48) -> dict | None:
+def train(docs: DataFrame, labels: DataFrame, max_documents: int = 4000, max_passages: int = 200_000) -> dict | None:
     """Fit on the bounded sample of labelled documents outside the held-out fold."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)     # at most max_documents rows
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for t in b["text"]:
-                x = encode(t)
-                if len(x) > train_passages:
-                    x = x[np.linspace(0, len(x) - 1, train_passages).astype(int)]
-                rows.append(x.tobytes())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "quality": b["quality"], "x": rows})
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    got = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-           .mapInPandas(run, f"doc_id {kind}, quality int, x binary").toPandas())
+    # of rows that share an id, the first by the text's hash
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality")
+             .agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select("doc_id", "quality", "t.text"))
+    bags = pin(computed(texts, "text", "x", BinaryType(), lambda ts: [encode(t).tobytes() for t in ts]))
+    run = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = (bags.select("doc_id", (F.octet_length("x") / (4 * WIDTH)).alias("n"))     # at most max_documents rows
+             .withColumn("n", F.sum("n").over(run)).where(F.col("n") <= max_passages).select("doc_id"))
+    got = bags.join(F.broadcast(sizes), "doc_id").toPandas()
     got = got.sort_values("doc_id")
     bags = [np.frombuffer(x, dtype=np.float32).reshape(-1, WIDTH) for x in got["x"]]
     return fit(bags, got["quality"].tolist())
@@ -158,23 +157,21 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = 4000, train_p
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
     """``doc_id, score`` per row of ``docs`` from its whole text."""
-    return _scored(docs.select("doc_id", "text"), model).drop("text")
+    return _scored(docs.select("doc_id", "text"), model, keep_text=False)
 
 
-def _scored(docs: DataFrame, model: dict | None) -> DataFrame:
+def _scored(docs: DataFrame, model: dict | None, keep_text: bool = True) -> DataFrame:
     """``docs`` with a column ``score`` added."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s = []
-            for i in range(0, len(b), 256):
-                bags = [encode(t) for t in b["text"].iloc[i:i + 256]]
-                if model:
-                    s.append(forward(model, np.concatenate(bags), np.array([len(x) for x in bags]))["p"])
-                else:
-                    s.append(np.full(len(bags), .5))
-            yield b.assign(score=np.concatenate(s) if s else np.zeros(0))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInPandas(run, f"{schema}, score double")
+    def scores(texts: list) -> np.ndarray:
+        s = [np.zeros(0)]
+        for i in range(0, len(texts), 256):
+            bags = [encode(t) for t in texts[i:i + 256]]
+            if model:
+                s.append(forward(model, np.concatenate(bags), np.array([len(x) for x in bags]))["p"])
+            else:
+                s.append(np.full(len(bags), .5))
+        return np.concatenate(s).astype(np.float64)
+    return computed(docs, "text", "score", DoubleType(), scores, keep_source=keep_text)
 
 
 def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
