@@ -256,3 +256,35 @@ def blocks(text, pattern: str, open_ch: str = "{", close_ch: str = "}", open_fir
         return F.transform(finditer(text, pattern), one)
     # texts without a match need no brackets
     return F.when(text.rlike(pattern), let(bracket_pairs(text, open_ch, close_ch), with_body))
+
+
+# --------------------------------------------------------------------------- nesting
+def marks(text, separators: str = "") -> Column:
+    """The text cut in front of every bracket of ``()[]{}`` and every character of
+    ``separators``: ``ARRAY<STRUCT<level: INT, pos: INT, m: STRING>>`` in text order,
+    ``m`` being the piece and ``pos`` its place. ``level`` is the bracket depth
+    around the piece's first character, for a closing bracket that of its opening
+    one; a closing bracket without a partner is ignored. The piece in front of the
+    first cut comes first."""
+    def step(s, p):
+        first = F.substring(p, 1, 1)
+        opens, closes = first.isin("(", "[", "{"), first.isin(")", "]", "}")
+        level = F.when(closes, F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
+        return (F.struct((s["at"] + F.length(p)).alias("at"), F.when(opens, s["depth"] + 1).otherwise(level).alias("depth")),
+                F.struct(level.alias("level"), s["at"].alias("pos"), p.alias("m")))
+    pieces = F.split(_c(text), r"(?=[()\[\]{}" + separators + "])", -1)
+    return scan(pieces, F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth")), step,
+                "struct<level:int,pos:int,m:string>", "struct<at:int,depth:int>")
+
+
+def top_pieces(text, separators: str) -> Column:
+    """The pieces of ``text`` between those of the characters ``separators`` that
+    stand outside all brackets: ``ARRAY<STRUCT<pos: INT, n: INT>>``."""
+    text = _c(text)
+
+    def pieces(cuts):
+        starts = F.concat(F.array(F.lit(1)), F.transform(cuts, lambda c: c + 1))
+        ends = F.concat(cuts, F.array(F.length(text) + 1))
+        return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("pos"), (e - s).alias("n")))
+    outside = F.filter(marks(text, separators), lambda t: (t["level"] == 0) & t["m"].rlike("^[" + separators + "]"))
+    return let(F.transform(outside, lambda t: t["pos"]), pieces)

@@ -5,16 +5,22 @@ Recipe, all native Spark expressions:
 1. ``mask``: string literals and comments are replaced by blanks of equal
    length (new lines kept), so brace counting and call detection never see
    them, while positions still index the raw text.
-2. Declarations are found on the masked text: ``func`` headers at line start,
+2. Functions are found on the masked text: ``func`` headers at line start,
    parameter lists by balanced parentheses, the body by balanced braces
    (``interface{...}`` / ``struct{...}`` in a result list are stepped over).
-3. Calls are ``name(`` / ``a.b.c(`` in the masked body with keywords excluded;
-   the full call is the balanced parenthesis block, cut from the raw body.
-
-Fidelity limits (a syntax tree sees more): calls on a call result
-(``a().b()``) report the last selector only; immediately invoked function
-literals and grouped ``type ( ... )`` declarations are not seen; a constant
-value list is split at top-level commas only when it holds no parentheses.
+3. Other declarations are the pieces of the text between line ends (and ``;``)
+   outside all brackets, their specs the pieces inside ``( ... )``, their values
+   the pieces between commas: always at bracket depth 0 of what is cut. The
+   fields of a struct are the pieces directly inside its braces, so those of an
+   anonymous struct belong to the field that holds it.
+4. Calls are parentheses behind an operand. Tokens are put in the order (depth,
+   position), where the closing bracket stands right behind its opening one, so
+   one fold follows a postfix chain (selectors, calls, indexes, assertions,
+   literals) and knows where each operand began.
+
+Fidelity limits (a syntax tree sees more): an index made of names only
+(``m[k](x)``) is read as type arguments, the preference of the parser that the
+analysed tool uses; labels and declarations are not told from expressions.
 """
 
 from __future__ import annotations
@@ -32,20 +38,24 @@ from codefacts.functions import text as T
 RX_LITERAL = r'"(?:[^"\\\n]|\\.)*+"|`[^`]*`|' + r"'(?:[^'\\\n]|\\.)*+'" + r"|//[^\n]*|/\*[\s\S]*?\*/"
 RX_FUNC = r"(?mU)^func\s*(\([^)]*\))?\s*(\w+)\s*(?:\[[^\]]*\])?\s*\("
 RX_RESULT = r"(?U)^((?:\b(?:interface|struct)\s*\{[^{}]*\}|[^{}\n])*+)\{"
-RX_CALL = r"(?U)(?<!\w)([A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*)\s*\("
+RX_WORDS = r"(?<!\w)[A-Za-z_]\w*+(?:\s*+\.\s*+[A-Za-z_]\w*+)*+"
+RX_TAIL = r"(?U)((?:(?<=^|^[ \t])\.\s*+)?+" + RX_WORDS + r")\s*?(\.?)\s*+$"
+RX_WHOLE = r"(?U)^[ \t*]*+" + RX_WORDS + r"[ \t]*+$"
 CALL_KEYWORDS = ["func", "if", "for", "switch", "return", "select", "case", "go", "defer",
                  "range", "else", "var", "const", "type", "import", "package", "struct",
                  "interface", "map", "chan"]
 RX_DQ_STRING = r'"((?:[^"\\\n]|\\.)*+)"'
-RX_STRUCT = r"(?U)\btype\s+(\w+)\s*(?:\[[^\]]*\])?\s+(struct)\s*\{"
-RX_INTERFACE = r"(?U)\btype\s+(\w+)\s*(?:\[[^\]]*\])?\s+interface\s*\{"
-RX_FIELD = r"(?U)^\s*(\w+(?:\s*,\s*\w+)*)\s+(\S.*?)\s*$"
+RX_PARAMS = r"(?:\[(?:[^\[\]]|\[[^\[\]]*\])*+\])?"
+RX_STRUCT = r"(?U)(?:\btype\s+)?+\b(\w+)\s*" + RX_PARAMS + r"\s+(struct)\s*\{"
+RX_INTERFACE = r"(?Us)^\s*(\w+)\s*" + RX_PARAMS + r"\s+interface\s*(\{.*\})\s*$"
+RX_NAMES = r"(?U)^\s*+(\w+(?:\s*,\s*\w+)*+)"
+RX_FIELD = RX_NAMES[:-1] + r"\s++)(?=\S)"
+RX_TYPE_ARGS = r"(?U)^\s*[A-Za-z_*\[][\w.*\[\]\s,]*$"
 RX_TAG = r'(`[^`]*`|"(?:[^"\\]|\\.)*+")'
-RX_METHOD_SPEC = r"(?U)^\s*(\w+)\s*(\([^)]*\))\s*(.*?)\s*$"
+RX_METHOD_SPEC = r"(?U)^\s*(\w+)\s*\("
 RX_IMPORT = r"(?mU)^import\s*(\(|(?:[\w.]+\s+)?\"[^\"]*\")"
 RX_IMPORT_PATH = r'"([^"]*)"'
-RX_CONST = r"(?mU)^const\s*(\(?)"
-RX_CONST_SPEC = r"(?U)^\s*(\w+(?:\s*,\s*\w+)*)(?:\s+([A-Za-z_]\w*))?\s*(?:=\s*(.*?))?\s*$"
+RX_CONST_TYPE = r"(?U)^\s*([A-Za-z_]\w*)\s*$"
 
 
 def _blank(s: Column) -> Column:
@@ -113,8 +123,9 @@ def functions(mf: DataFrame) -> DataFrame:
     pairs = F.struct(T.bracket_pairs(masked, "(", ")").alias("parens"), T.bracket_pairs(masked).alias("braces"))
     found = T.let(pairs, lambda p: F.transform(
         F.transform(T.finditer(masked, RX_FUNC), header(p["parens"])), parts(p["braces"])))
-    h = (mf.where(masked.rlike(RX_FUNC)).select("path", F.posexplode(found).alias("ord", "h"))
-         .where("h.n_params > 0"))
+    # a test in front of the generator, since a filter would be pushed below the masking and mask twice
+    found = F.when(masked.rlike(RX_FUNC), F.filter(found, lambda h: h["n_params"] > 0))
+    h = mf.select("path", F.posexplode(found).alias("ord", "h"))
     recv = F.regexp_extract("h.m", RX_FUNC, 1)
     name = F.regexp_extract("h.m", RX_FUNC, 2)
     sig = T.strip_ws(F.concat(F.lit("func "), F.when(recv != "", F.concat(recv, F.lit(" "))).otherwise(F.lit("")),
@@ -125,9 +136,101 @@ def functions(mf: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G3-G7
+NOTHING, OPERAND, TYPE, DOT = 0, 1, 2, 3        # what stands in front of a bracket
+# what the text between two brackets does to it
+BLANK, MEMBER, ASSERT, NAME, NAME_DOT, NAMED_TYPE, OTHER_TYPE, FUNC, BREAK = range(9)
+
+
+def _gap(text: Column, at: Column) -> list[Column]:
+    """Columns of the text between two brackets: its class, the place of the
+    operand or word at its end, whether there is nothing else, and whether it
+    ends a function signature."""
+    tail = F.regexp_extract(text, RX_TAIL, 0)
+    chain, dot = F.regexp_extract(text, RX_TAIL, 1), F.regexp_extract(text, RX_TAIL, 2)
+    kind = (F.when(text.rlike(r"^[ \t]*$"), BLANK)
+            .when(text.rlike(r"^[ \t]*\.\s*$"), ASSERT)
+            .when(tail == "", BREAK)
+            .when(chain.startswith("."), MEMBER)
+            .when(chain.isin("interface", "struct"), NAMED_TYPE)
+            .when(chain.isin("map", "chan"), OTHER_TYPE)
+            .when(chain == "func", FUNC)
+            .when(chain.isin(*CALL_KEYWORDS), BREAK)
+            .when(dot != "", NAME_DOT).otherwise(NAME))
+    return [kind.alias("kind"), (at + F.length(text) - F.length(tail)).alias("at"),
+            text.rlike(RX_WHOLE).alias("whole"), text.rlike(r"[\n,=;:]").alias("breaks")]
+
+
+def call_sites(masked: Column) -> Column:
+    """Calls in a masked body as ``ARRAY<STRUCT<start, back, open, idx>>`` with
+    nulls between them: where the callee starts, minus the position of the
+    closing parenthesis (an outer call sorts before the inner one that starts
+    with it), the opening one, and the index right before that (0: none).
+
+    A fold over the brackets in the order (depth, position), each with the text
+    behind it. Its state: what stands before (``k``), where that operand or type
+    began (``start``), the ``func`` keyword of a function literal whose body has
+    not come yet (``fn``), the last index, whether ``struct`` or ``interface``
+    stands before, and the call whose parenthesis is open.
+    """
+    def entries(t):
+        b, behind = F.substring(t["m"], 1, 1), F.substring(t["m"], F.lit(2), F.length(t["m"]))
+        opens, none = b.isin("(", "[", "{"), [F.lit(BLANK).alias("kind"), F.lit(0).alias("at"), F.lit(False).alias("whole"),
+                                              F.lit(False).alias("breaks")]
+
+        def entry(level, pos, mark, gap):
+            return F.struct(level.alias("level"), pos.alias("pos"), mark.alias("b"), *gap)
+        closes = b.isin(")", "]", "}")
+        return (F.when(opens, F.array(entry(t["level"], t["pos"], b, none),
+                                      entry(t["level"] + 1, t["pos"], F.lit(""), _gap(behind, t["pos"] + 1))))
+                .when(closes, F.array(entry(t["level"], t["pos"], b, _gap(behind, t["pos"] + 1))))
+                .otherwise(F.array(entry(t["level"], t["pos"], F.lit(""), _gap(t["m"], t["pos"])))))
+
+    def step(s, t):
+        b, kind, at = t["b"], t["kind"], t["at"]
+        opens, reset = b.isin("(", "[", "{"), b == ""
+        k, start = F.when(reset, NOTHING).otherwise(s["k"]), F.when(reset, 0).otherwise(s["start"])
+        fn = F.when(reset | t["breaks"], 0).otherwise(s["fn"])
+        pending, operand = fn > 0, k == OPERAND
+        call = (b == "(") & ~pending & operand
+        goes_on = t["whole"] & (k == TYPE)              # []byte, []*T, map[K]struct
+        k_open = (F.when((b == "{") & s["named"], F.when(pending, k).otherwise(TYPE))
+                  .when((b == "{") & pending, OPERAND)
+                  .when(pending, k).when(b == "(", OPERAND)
+                  .when(b == "[", F.when(operand, OPERAND).otherwise(TYPE))
+                  .otherwise(F.when(k.isin(OPERAND, TYPE), OPERAND).otherwise(NOTHING)))
+        start_open = (F.when((b == "{") & pending & ~s["named"], fn)
+                      .when(~pending & (k == NOTHING) & (b != "{"), t["pos"]).otherwise(start))
+        is_type = kind.isin(NAMED_TYPE, OTHER_TYPE)
+        k_gap = (F.when(kind == BLANK, k).when(kind == MEMBER, OPERAND).when(kind == NAME_DOT, DOT)
+                 .when(kind == ASSERT, F.when(operand, DOT).otherwise(NOTHING))
+                 .when(kind == NAME, F.when(goes_on, TYPE).when(pending, NOTHING).otherwise(OPERAND))
+                 .when(is_type, F.when(pending, NOTHING).otherwise(TYPE)).otherwise(NOTHING))
+        stays = kind.isin(BLANK, ASSERT) | ((kind == MEMBER) & operand) | goes_on
+        fn_gap = F.when((kind == FUNC) & ~pending, at).otherwise(fn)
+        state = F.struct(
+            F.when(opens, k_open).otherwise(k_gap).alias("k"),
+            F.when(opens, start_open).when(stays, start).otherwise(at).alias("start"),
+            F.when((b == "{") & ~s["named"], 0).when(opens, fn).otherwise(fn_gap).alias("fn"),
+            F.when((b == "[") & operand & ~pending, t["pos"]).when(~opens & ~reset & (kind == BLANK), s["idx"]).otherwise(0).alias("idx"),
+            (~opens & (kind == NAMED_TYPE)).alias("named"),
+            F.when(call, start).otherwise(0).alias("call"), F.when(call, t["pos"]).otherwise(0).alias("open"),
+            F.when(call, s["idx"]).otherwise(0).alias("call_idx"))
+        out = F.when((b == ")") & (s["call"] > 0), F.struct(
+            s["call"].alias("start"), (-t["pos"]).alias("back"), s["open"].alias("open"), s["call_idx"].alias("idx")))
+        return state, out
+
+    zero = F.lit(0)
+    start = F.struct(*[zero.alias(c) for c in ("k", "start", "fn", "idx")], F.lit(False).alias("named"),
+                     *[zero.alias(c) for c in ("call", "open", "call_idx")])
+    tokens = F.sort_array(F.flatten(F.transform(T.marks(masked), entries)))
+    return T.scan(tokens, start, step, "struct<start:int,back:int,open:int,idx:int>",
+                  "struct<k:int,start:int,fn:int,idx:int,named:boolean,call:int,open:int,call_idx:int>")
+
+
 def calls(fns: DataFrame, router=P.ROUTER_PATTERNS, db=P.DB_PATTERNS, http=P.HTTP_CLIENT_PATTERNS,
           errors=P.ERROR_CONSTRUCTORS) -> DataFrame:
-    """Every call site in a body with its 4-way class.
+    """Every call in a body with its 4-way class, an outer call before the
+    calls inside it.
 
     ``(path, function_ord, function_name, ord, kind, callee, full_call)``,
     kind in router > db > error > call. The router test runs on the callee
@@ -136,17 +239,15 @@ def calls(fns: DataFrame, router=P.ROUTER_PATTERNS, db=P.DB_PATTERNS, http=P.HTT
     """
     body, masked = F.col("body"), F.col("masked_body")
 
-    def call_sites(parens):
-        def one(h):
-            open_at = h["pos"] + F.length(h["m"]) - 1
-            n = T.pair_len(parens, open_at)
-            return F.struct(F.regexp_extract(h["m"], RX_CALL, 1).alias("callee"),
-                            F.when(n > 0, F.substring(body, h["pos"], open_at + n - h["pos"])).alias("full_call"))
-        return F.transform(T.finditer(masked, RX_CALL), one)
-    found = T.let(T.bracket_pairs(masked, "(", ")"), call_sites)
+    def one(x):
+        index = F.substring(masked, x["idx"] + 1, x["open"] - x["idx"])
+        index = F.regexp_replace(index, r"\]\s*\($", "")
+        end = F.when((x["idx"] > 0) & index.rlike(RX_TYPE_ARGS), x["idx"]).otherwise(x["open"])
+        return F.struct(T.strip_ws(F.substring(body, x["start"], end - x["start"])).alias("callee"),
+                        F.substring(body, x["start"], -x["back"] - x["start"] + 1).alias("full_call"))
+    found = F.transform(F.sort_array(F.filter(call_sites(masked), lambda x: x.isNotNull())), one)
     c = (fns.where(masked.isNotNull())
          .select("path", F.col("ord").alias("function_ord"), "function_name", F.posexplode(found).alias("ord", "h"))
-         .where(F.col("h.full_call").isNotNull() & ~F.col("h.callee").isin(*CALL_KEYWORDS))
          .select("path", "function_ord", "function_name", F.col("ord").cast("int").alias("ord"),
                  "h.callee", "h.full_call"))
     is_router = T.contains_any(F.concat(F.col("callee"), F.lit("(")), router)
@@ -181,64 +282,165 @@ def function_sets(calls_df: DataFrame) -> DataFrame:
             .select("path", "function_ord", "function_name", "p.kind", "p.value").distinct())
 
 
-# ------------------------------------------------------------------ G9
-def _block_lines(df: DataFrame, keys: list[str], raw: Column, masked: Column) -> DataFrame:
-    """Specs strictly inside a braced block, raw and masked side by side: lines,
-    also parted by ``;``. ``keys`` are column names of ``df``. Cuts are taken
-    from the masked text, so a ``;`` inside a literal parts nothing."""
-    inner_raw = raw.substr(F.lit(2), F.length(raw) - 2)
-    inner_m = masked.substr(F.lit(2), F.length(masked) - 2)
-
-    def side_by_side(ms):
-        return T.let(T.running_sums(F.transform(ms, lambda m: F.length(m) + 1)), lambda ends: F.zip_with(
-            ms, ends, lambda m, end: F.struct(F.substring(inner_raw, end - F.length(m), F.length(m)).alias("r"),
-                                              m.alias("m"))))
-    z = T.let(F.split(inner_m, "[\n;]", -1), side_by_side)
-    return (df.select(*keys, F.posexplode(z).alias("line_ord", "l"))
-            .select(*keys, F.col("line_ord").cast("int").alias("line_ord"),
-                    F.col("l.r").alias("raw_line"), F.col("l.m").alias("masked_line")))
+# ------------------------------------------------------------------ specs
+def _specs(mf: DataFrame, keyword: str, separators: str = r"\n;") -> DataFrame:
+    """Specs of the top-level declarations of ``keyword``, single or in
+    parentheses: ``(path, pos, masked, nocomment, content)``, ``pos`` being the
+    spec's place in the file."""
+    masked = F.col("masked")
+    starts = rf"(?U)^\s*{keyword}\b"
+
+    def inner(p):
+        """Place of a declaration's specs, without keyword and parentheses."""
+        text = F.substring(masked, p["pos"], p["n"])
+        head = F.regexp_extract(text, starts + r"\s*\(?", 0)
+        grouped = head.endswith("(")
+        tail = F.when(grouped, F.length(F.regexp_extract(text, r"\)?\s*$", 0))).otherwise(0)
+        return F.struct((p["pos"] + F.length(head)).alias("pos"), (p["n"] - F.length(head) - tail).alias("n"))
+
+    def pieces(d):
+        return F.transform(T.top_pieces(F.substring(masked, d["pos"], d["n"]), separators),
+                           lambda p: F.struct((d["pos"] + p["pos"] - 1).alias("pos"), p["n"].alias("n")))
+    declared = F.filter(T.top_pieces(masked, separators), lambda p: F.substring(masked, p["pos"], p["n"]).rlike(starts))
+    specs = F.flatten(F.transform(F.transform(declared, inner), pieces))
 
+    def cut(p):
+        return F.struct(p["pos"].alias("pos"), *[F.substring(F.col(c), p["pos"], p["n"]).alias(c)
+                                                 for c in ("masked", "nocomment", "content")])
+    specs = F.when(masked.rlike(rf"(?U)\b{keyword}\b"), F.filter(F.transform(specs, cut), lambda s: T.strip_ws(s["masked"]) != ""))
+    return mf.select("path", F.explode(specs).alias("s")).select("path", "s.*")
 
+
+def _names(text: Column) -> Column:
+    """Names in front of a spec with their places."""
+    return T.finditer(F.regexp_extract(text, RX_NAMES, 1), r"(?U)\w+")
+
+
+# ------------------------------------------------------------------ G9
 def structs(mf: DataFrame) -> DataFrame:
     """``(path, ord, name, body, body_masked)``; body is the struct type
     text from ``struct`` to its closing brace. Types declared inside functions
-    are found too."""
+    and in ``type ( ... )`` are found too, anonymous structs of fields,
+    variables and parameters are not declarations."""
+    masked = F.col("masked")
+
     def one(h):
         at = h["pos"] + F.length(h["m"]) - F.length(F.regexp_extract(h["m"], r"struct\s*\{$", 0))
         n = h["pos"] + F.length(h["m"]) - 1 + F.length(h["body"]) - at
         open_at = h["pos"] + F.length(h["m"]) - 1
         return F.struct(
             F.regexp_extract(h["m"], RX_STRUCT, 1).alias("name"), h["body"].alias("_mblock"),
-            F.substring(F.col("content"), at, n).alias("body"), F.substring(F.col("masked"), at, n).alias("body_masked"),
-            F.substring(F.col("nocomment"), open_at, F.length(h["body"])).alias("_rblock"))
-    return (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_STRUCT), one)).alias("ord", "s"))
-            .where(F.col("s._mblock") != "")
+            F.substring(F.col("content"), at, n).alias("body"), F.substring(masked, at, n).alias("body_masked"),
+            F.substring(F.col("nocomment"), open_at, F.length(h["body"])).alias("_rblock"),
+            F.substring(F.col("content"), open_at, F.length(h["body"])).alias("_cblock"))
+
+    def grouped():
+        """Places of the specs directly inside ``type ( ... )``, where each starts."""
+        def of_group(g):
+            return F.transform(T.top_pieces(F.substring(g["body"], F.lit(2), F.length(g["body"]) - 2), r"\n;"), lambda p: (
+                g["pos"] + F.length(g["m"]) + p["pos"] - 1
+                + F.length(F.regexp_extract(F.substring(g["body"], p["pos"] + 1, p["n"]), r"(?U)^\s*", 0))))
+        groups = T.blocks(masked, r"(?U)\btype\s*\(", "(", ")")
+        return F.when(masked.rlike(r"(?U)\btype\s*\("), F.flatten(F.transform(groups, of_group))).otherwise(
+            F.array().cast("array<int>"))
+
+    def declared(starts):
+        return F.filter(T.blocks(masked, RX_STRUCT), lambda h: (h["body"] != "") & (
+            h["m"].rlike(r"(?U)^type\s") | F.array_contains(starts, h["pos"])))
+    found = F.transform(T.let(grouped(), declared), one)
+    return (mf.select("path", F.posexplode(F.when(masked.rlike(RX_STRUCT), found)).alias("ord", "s"))
             .select("path", F.col("ord").cast("int").alias("ord"), "s.name", "s.body", "s.body_masked",
-                    "s._mblock", "s._rblock"))
+                    "s._mblock", "s._rblock", "s._cblock"))
+
+
+def _field_pieces() -> Column:
+    """From the marks of a struct's braces (column ``_marks``): what stands directly inside the braces of a struct and of the anonymous
+    structs in it: ``ARRAY<STRUCT<link, own, cut, end, level>>``. Pieces have
+    ``link`` 0 and run from ``cut`` + 1 to ``end`` - 1 inside the braces opened at
+    ``own``; a link says that the struct opened at ``link`` stands in the piece
+    of ``own`` that begins behind ``cut``."""
+    def entries(t, i):
+        b = F.substring(t["m"], 1, 1)
+        struct = (t["pos"] == 1) | F.coalesce(F.get(tokens, i - 1)["m"].rlike(r"(?U)\bstruct\s*$"), F.lit(False))
+
+        def entry(level, kind):
+            return F.struct(level.alias("level"), t["pos"].alias("pos"), F.lit(kind).alias("kind"), struct.alias("struct"))
+        return (F.when(b.isin("(", "[", "{"), F.array(entry(t["level"], "open"), entry(t["level"] + 1, "begin")))
+                .when(b.isin(")", "]", "}"), F.array(entry(t["level"] + 1, "end")))
+                .when(b.isin("\n", ";"), F.array(entry(t["level"], "cut")))
+                .otherwise(F.array().cast("array<struct<level:int,pos:int,kind:string,struct:boolean>>")))
+
+    def step(s, t):
+        piece = F.struct(F.lit(0).alias("link"), s["own"].alias("own"), s["cut"].alias("cut"), t["pos"].alias("end"),
+                         t["level"].alias("level"))
+        link = F.struct(t["pos"].alias("link"), s["own"].alias("own"), s["cut"].alias("cut"), F.lit(0).alias("end"),
+                        t["level"].alias("level"))
+        out = (F.when(s["struct"] & t["kind"].isin("cut", "end"), piece)
+               .when(s["struct"] & (t["kind"] == "open") & t["struct"], link))
+        begin = t["kind"] == "begin"
+        return F.struct(F.when(begin, t["pos"]).otherwise(s["own"]).alias("own"),
+                        F.when(begin, t["struct"]).otherwise(s["struct"]).alias("struct"),
+                        F.when(t["kind"] == "open", s["cut"]).otherwise(t["pos"]).alias("cut")), out
+    start = F.struct(F.lit(0).alias("own"), F.lit(False).alias("struct"), F.lit(0).alias("cut"))
+    tokens = F.col("_marks")
+    in_order = F.sort_array(F.flatten(F.transform(tokens, entries)))
+    found = T.scan(in_order, start, step, "struct<link:int,own:int,cut:int,end:int,level:int>",
+                   "struct<own:int,struct:boolean,cut:int>")
+    return F.filter(found, lambda x: x.isNotNull())
+
+
+def all_fields(st: DataFrame) -> DataFrame:
+    """``(path, struct, struct_ord, owner, ord, name, type, tag)``: the fields of
+    each struct and of the anonymous structs in it. ``owner`` is the dotted path
+    of the fields around an inner field, null for the struct's own fields."""
+    m, raw, shown = F.col("_mblock"), F.col("_cblock"), F.col("_rblock")
+
+    def with_owner(found):
+        links = F.map_from_entries(F.transform(F.filter(found, lambda x: x["link"] > 0), lambda x: F.struct(
+            x["link"].alias("k"), F.struct(x["own"].alias("own"), x["cut"].alias("cut")).alias("v"))))
+
+        def owners(ls):
+            def up(acc, _):
+                held = F.try_element_at(ls, acc["at"])
+                names = F.transform(_names(F.substring(m, held["cut"] + 1, F.length(m))), lambda x: x["m"])
+                longer = F.flatten(F.transform(names, lambda n: F.transform(acc["paths"], lambda p: F.when(
+                    p == "", n).otherwise(F.concat(n, F.lit("."), p)))))
+                return F.when(held.isNull(), acc).otherwise(F.struct(held["own"].alias("at"), longer.alias("paths")))
+
+            def piece(x):
+                first = F.struct(x["own"].alias("at"), F.array(F.lit("")).alias("paths"))
+                paths = F.aggregate(F.sequence(F.lit(1), x["level"]), first, up, lambda acc: acc["paths"])
+                return F.struct((x["cut"] + 1).alias("at"), (x["end"] - x["cut"] - 1).alias("n"),
+                                F.when(x["own"] > 1, paths).otherwise(F.array(F.lit(""))).alias("owners"))
+            return F.transform(F.filter(found, lambda x: x["link"] == 0), piece)
+        return T.let(links, owners)
+
+    def field(p):
+        text = F.substring(m, p["at"], p["n"])
+        head = F.length(F.regexp_extract(text, RX_FIELD, 0))
+        # literals are blank in the masked text, so what is left behind the names is the type
+        end = F.length(F.regexp_replace(text, r"(?U)(?<!\s)\s++$", ""))
+        return F.struct(
+            text.rlike(RX_FIELD).alias("ok"), p["owners"].alias("owners"), _names(text).alias("names"),
+            F.substring(raw, p["at"] + head, end - head).alias("type"),
+            T.search(F.substring(shown, p["at"] + end, p["n"] - end), RX_TAG, 1).alias("tag"))
+    found = F.transform(T.let(_field_pieces(), with_owner), field)
+    f = (st.withColumn("_marks", T.marks(m, r"\n;"))
+         .select("path", F.col("name").alias("struct"), F.col("ord").alias("struct_ord"),
+                 F.posexplode(found).alias("line", "f")).where("f.ok")
+         .select("path", "struct", "struct_ord", "line", "f.names", "f.type", "f.tag", F.explode("f.owners").alias("owner"))
+         .select("path", "struct", "struct_ord", "line", "type", "tag", "owner", F.posexplode("names").alias("i", "n")))
+    return f.select("path", "struct", "struct_ord", F.nullif("owner", F.lit("")).alias("owner"),
+                    (F.col("line").cast("long") * 1_000_000 + F.col("i")).alias("ord"), F.col("n.m").alias("name"), "type",
+                    F.nullif(T.strip_chars("tag", "`\""), F.lit("")).alias("tag"))
 
 
 def struct_fields(st: DataFrame) -> DataFrame:
-    """``(path, struct, struct_ord, ord, name, type, tag)``; names sharing one
-    type give one row each; embedded fields give none; the tag keeps the
-    analysed tool's ``strip('`"')`` (so ``json:"id"`` becomes ``json:"id``).
-
-    Structure comes from the masked line (the tag literal is blank there, so
-    the type is what remains); the tag is the first literal of the same line
-    with comments removed.
-    """
-    lines = _block_lines(st.withColumnRenamed("name", "struct").withColumnRenamed("ord", "struct_ord"),
-                         ["path", "struct", "struct_ord"], F.col("_rblock"), F.col("_mblock"))
-    m = F.col("masked_line")
-    f = (lines.where(m.rlike(RX_FIELD))
-         .select("path", "struct", "struct_ord", "line_ord",
-                 F.regexp_extract(m, RX_FIELD, 1).alias("_names"),
-                 F.regexp_extract(m, RX_FIELD, 2).alias("type"),
-                 T.search("raw_line", RX_TAG, 1).alias("_tag")))
-    f = f.select("path", "struct", "struct_ord", "line_ord",
-                 F.posexplode(F.split("_names", r"\s*,\s*", -1)).alias("i", "name"), "type",
-                 F.nullif(T.strip_chars("_tag", "`\""), F.lit("")).alias("tag"))
-    return f.select("path", "struct", "struct_ord",
-                    (F.col("line_ord").cast("long") * 1_000_000 + F.col("i")).alias("ord"), "name", "type", "tag")
+    """``(path, struct, struct_ord, ord, name, type, tag)``, the struct's own
+    fields; names sharing one type give one row each; embedded fields give none;
+    an anonymous struct is the type of its field, as written; the tag keeps the
+    analysed tool's ``strip('`"')`` (so ``json:"id"`` becomes ``json:"id``)."""
+    return all_fields(st).where("owner is null").drop("owner")
 
 
 # ------------------------------------------------------------------ G10
@@ -256,56 +458,49 @@ def imports(mf: DataFrame) -> DataFrame:
 def consts(mf: DataFrame) -> DataFrame:
     """``(path, ord, name, type, value)``; names zipped with values by
     position, missing value NULL (no ``iota`` arithmetic), type only when a
-    plain identifier is given."""
-    masked, nocomment = F.col("masked"), F.col("nocomment")
-
-    def declaration(h):
-        behind = h["pos"] + F.length(h["m"])
-        line = F.regexp_extract(F.substring(masked, behind, F.length(masked)), r"^[^\n]*+", 0)
-        n = F.when(h["m"].endswith("("), F.length(h["body"]) - 2).otherwise(F.length(line))
-        return F.struct(F.substring(masked, behind, n).alias("m"), F.substring(nocomment, behind, n).alias("r"))
-    d = (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_CONST, "(", ")"), declaration)).alias("d", "h"))
-         .select("path", "d", F.col("h.m").alias("body_m"), F.col("h.r").alias("body_r")))
-    body_m, body_r = F.col("body_m"), F.col("body_r")
-    z = F.arrays_zip(F.split(body_r, "\n", -1).alias("r"), F.split(body_m, "\n", -1).alias("mm"))
-    lines = (d.select("path", "d", F.posexplode(z).alias("line_ord", "l"))
-             .select("path", "d", "line_ord", F.col("l.r").alias("r"), F.col("l.mm").alias("mm"))
-             .where(F.col("mm").rlike(RX_CONST_SPEC) & (T.strip_ws("mm") != "")))
-    eq = F.locate("=", F.col("mm"))
-    spec = lines.select(
-        "path", "d", "line_ord",
-        F.split(F.regexp_extract("mm", RX_CONST_SPEC, 1), r"\s*,\s*", -1).alias("names"),
-        F.nullif(F.regexp_extract("mm", RX_CONST_SPEC, 2), F.lit("")).alias("type"),
-        F.when(eq > 0, F.col("mm").substr(eq + 1, F.lit(1 << 30))).alias("_mv"),
-        F.when(eq > 0, F.col("r").substr(eq + 1, F.lit(1 << 30))).alias("_rv"))
-    pieces = F.split(F.coalesce(F.col("_mv"), F.lit("")), ",", -1)
-    ends = T.running_sums(F.transform(pieces, lambda p: F.length(p) + 1))
-    vals = F.zip_with(ends, pieces, lambda e, p: T.strip_chars(
-        T.strip_ws(F.col("_rv").substr(e - F.length(p), F.length(p))), '"'))
-    spec = spec.withColumn("values", F.when(F.col("_mv").isNotNull(), F.filter(vals, lambda v: v != ""))
-                           .otherwise(F.array().cast("array<string>")))
-    return (spec.select("path", "d", "line_ord", "type", "values", F.posexplode("names").alias("i", "name"))
-            .select("path", (F.col("d").cast("long") * 1_000_000_000_000 + F.col("line_ord") * 1_000 + F.col("i")).alias("ord"),
-                    "name", "type", F.try_element_at("values", F.col("i") + 1).alias("value")))
+    plain identifier is given. Values are parted by commas outside brackets."""
+    m, shown = F.col("masked"), F.col("nocomment")
+    eq = F.locate("=", m)
+    spec = (_specs(mf, "const").where(m.rlike(RX_NAMES))
+            .select("path", "pos", _names(m).alias("names"),
+                    F.regexp_replace(F.when(eq > 0, F.substring(m, F.lit(1), eq - 1)).otherwise(m), RX_NAMES, "").alias("kind"),
+                    F.when(eq > 0, F.substring(m, eq + 1, F.length(m))).alias("masked"),
+                    F.when(eq > 0, F.substring(shown, eq + 1, F.length(shown))).alias("nocomment")))
+    vals = F.transform(T.top_pieces(F.col("masked"), ","), lambda p: T.strip_ws(F.substring(F.col("nocomment"), p["pos"], p["n"])))
+    spec = spec.withColumn("values", F.when(F.col("masked").isNotNull(), F.transform(
+        F.filter(vals, lambda v: v != ""), lambda v: T.strip_chars(v, '"'))).otherwise(F.array().cast("array<string>")))
+    kind = F.nullif(F.regexp_extract("kind", RX_CONST_TYPE, 1), F.lit(""))
+    return (spec.select("path", "pos", kind.alias("type"), "values", F.posexplode("names").alias("i", "n"))
+            .select("path", (F.col("pos") + F.col("n.pos")).cast("long").alias("ord"), F.col("n.m").alias("name"), "type",
+                    F.try_element_at("values", F.col("i") + 1).alias("value")))
 
 
 # ------------------------------------------------------------------ G12
 def interfaces(mf: DataFrame) -> DataFrame:
-    """``(path, interface, ord, method, signature)``; embedded interfaces
-    are not methods (SURVEY Q18: all method specs are reported)."""
-    def one(h):
-        open_at = h["pos"] + F.length(h["m"]) - 1
-        return F.struct(F.regexp_extract(h["m"], RX_INTERFACE, 1).alias("interface"), h["body"].alias("m"),
-                        F.substring(F.col("nocomment"), open_at, F.length(h["body"])).alias("r"))
-    i = (mf.select("path", F.posexplode(F.transform(T.blocks("masked", RX_INTERFACE), one)).alias("o", "h"))
-         .where(F.col("h.m") != "")
-         .select("path", "h.interface", F.col("h.m").alias("_m"), F.col("h.r").alias("_r")))
-    lines = _block_lines(i, ["path", "interface"], F.col("_r"), F.col("_m"))
-    m = lines.where(F.col("masked_line").rlike(RX_METHOD_SPEC))
-    name = F.regexp_extract("raw_line", RX_METHOD_SPEC, 1)
-    sig = T.strip_ws(F.concat(name, F.regexp_extract("raw_line", RX_METHOD_SPEC, 2), F.lit(" "),
-                              T.strip_ws(F.regexp_extract("raw_line", RX_METHOD_SPEC, 3))))
-    return m.select("path", "interface", F.col("line_ord").alias("ord"), name.alias("method"), sig.alias("signature"))
+    """``(path, interface, ord, method, signature)`` of top-level interfaces;
+    embedded interfaces are not methods (SURVEY Q18: all method specs are reported)."""
+    block = F.regexp_extract("masked", RX_INTERFACE, 2)
+    found = (_specs(mf, "type").where(F.col("masked").rlike(RX_INTERFACE))
+             .select("path", "pos", F.regexp_extract("masked", RX_INTERFACE, 1).alias("interface"), block.alias("m"),
+                     F.substring("content", F.instr("masked", block), F.length(block)).alias("r")))
+    m, raw = F.col("m"), F.col("r")
+
+    def method(p):
+        # one character in, behind the brace
+        text = F.substring(m, p["pos"] + 1, p["n"])
+        head = F.regexp_extract(text, RX_METHOD_SPEC, 0)
+        name = F.regexp_extract(text, RX_METHOD_SPEC, 1)
+        at = F.length(head)
+        n = F.element_at(T.bracket_pairs(text, "(", ")"), at) - at + 1
+        end = F.length(F.regexp_replace(text, r"(?U)(?<!\s)\s++$", ""))
+        params = F.substring(raw, p["pos"] + at, n)
+        result = T.strip_ws(F.substring(raw, p["pos"] + at + n, end - at - n + 1))
+        return F.struct(name.alias("method"), T.strip_ws(F.concat(name, params, F.lit(" "), result)).alias("signature"),
+                        (F.col("pos") + p["pos"]).alias("ord"))
+    specs = F.filter(T.top_pieces(F.substring(m, F.lit(2), F.length(m) - 2), r"\n;"),
+                     lambda p: F.substring(m, p["pos"] + 1, p["n"]).rlike(RX_METHOD_SPEC))
+    return (found.select("path", "interface", F.explode(F.transform(specs, method)).alias("x"))
+            .select("path", "interface", "x.ord", "x.method", "x.signature"))
 
 
 # ------------------------------------------------------------------ G13

@@ -115,3 +115,57 @@ def go_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                    ptype=F.col("p_type"), param=param, resp=resp, base=when_text(k == 0, BASE))
     return p.select(F.concat(F.lit("go/p"), k.cast("string"), F.lit(".go")).alias("path"),
                     content.alias("content"))
+
+
+# One more file per part (``nest/p<k>.go``): declarations inside declarations and
+# calls on results. For k, z, h, t as above it holds ``Outer<k>`` (with an
+# anonymous struct that holds another one when z is even), ``Side<k>`` (type
+# parameters) and ``Port<k>`` in one group, a struct declared inside a function,
+# constants whose values hold commas in brackets and strings, and ``Chain<k>``.
+# Decoys: anonymous structs of a variable and of a parameter, conversions, a type
+# assertion, parenthesised results of a function literal.
+NEST_FILE = """package p@@k@@
+
+type (
+	Outer@@k@@ struct {
+		A@@k@@, B int `json:"a"`
+		Meta struct {
+			Name string `json:"n@@z@@"` // "no tag"
+@@deep@@		} `json:"meta"`
+		Call func(a int,
+			b string) (int, error)
+		Base
+	}
+	Side@@k@@[K comparable, V []int] struct { Keys []K; Vals map[string]V }
+	Port@@k@@ interface {
+		Do(f func(int) (string, error), n int) error; Close()
+		Base
+	}
+)
+
+const A@@k@@, B@@k@@ = f(@@z@@, 2), "x, @@name@@"
+const (
+	C@@k@@ time.Duration = g(1,
+		@@k@@)
+	D@@k@@, E@@k@@ = "", []int{1, @@z@@}[0]
+)
+
+func Chain@@k@@(p struct{ N int }) error {
+	type loc@@k@@ struct { W@@z@@ int }
+	var v struct { Hidden int }
+	open@@k@@(@@z@@).where("a, (b").
+		done(x.(T).get(@@k@@))
+	m[@@z@@](2); h[int, T@@k@@](x)
+	b := []byte(string(v.Hidden))
+	func(n int) (int, error) { return in@@k@@(n), nil }(@@z@@)
+	return (wrap)(b)
+}
+"""
+NEST_DEEP = "\t\t\tPos, End struct { Line@@z@@ []int }\n"
+
+
+def nest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    k, z = F.col("p_partkey"), F.col("p_size")
+    content = fill(NEST_FILE, k=k, z=z, name=F.col("p_name"), deep=when_text(z % 2 == 0, fill(NEST_DEEP, z=z)))
+    return p.select(F.concat(F.lit("nest/p"), k.cast("string"), F.lit(".go")).alias("path"), content.alias("content"))
