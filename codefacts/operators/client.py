@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from codefacts import params as P
 from codefacts.functions import text as T
@@ -236,106 +237,122 @@ def routes(files: DataFrame, budget: int | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H13
+def lifecycle_list(script="script", hooks=P.LIFECYCLE_HOOKS, budget: int | None = None) -> Column:
+    """Calls of the first ``created()`` / ``mounted()`` body, one struct per
+    hook; hooks without calls omitted."""
+    def of_hook(hook):
+        found = T.blocks(script, r"(?U)" + hook + r"\s*\(\s*\)\s*\{", budget=budget)
+        return T.let(F.get(found, F.lit(0))["body"], lambda body: F.struct(
+            F.lit(hook).alias("lifecycle_hook"), client_call_list(body).alias("direct_calls"),
+            dispatch_list(body).alias("dispatch_calls"), this_call_list(body).alias("indirect_calls")))
+    return F.filter(F.array(*map(of_hook, hooks)), lambda h: (
+        (F.size(h["direct_calls"]) > 0) | (F.size(h["dispatch_calls"]) > 0) | (F.size(h["indirect_calls"]) > 0)))
+
+
 def lifecycle_calls(components: DataFrame, hooks=P.LIFECYCLE_HOOKS, budget: int | None = None) -> DataFrame:
-    """``(file, lifecycle_hook, direct_calls, dispatch_calls, indirect_calls)``
-    for the first ``created()`` / ``mounted()`` body; hooks without calls omitted."""
-    def first_body(hook):
-        found = T.blocks("script", r"(?U)" + hook + r"\s*\(\s*\)\s*\{", budget=budget)
-        return F.struct(F.lit(hook).alias("hook"), F.get(found, F.lit(0))["body"].alias("body"))
-    return (components.select("file", F.explode(F.array(*map(first_body, hooks))).alias("h"))
-            .where(F.col("h.body").isNotNull())
-            .select("file", F.col("h.hook").alias("lifecycle_hook"),
-                    client_call_list(F.col("h.body")).alias("direct_calls"),
-                    dispatch_list(F.col("h.body")).alias("dispatch_calls"),
-                    this_call_list(F.col("h.body")).alias("indirect_calls"))
-            .where((F.size("direct_calls") > 0) | (F.size("dispatch_calls") > 0) | (F.size("indirect_calls") > 0)))
+    """``(file, lifecycle_hook, direct_calls, dispatch_calls, indirect_calls)``."""
+    return components.select("file", F.inline(lifecycle_list("script", hooks, budget)))
 
 
 # ------------------------------------------------------------------ H14
+def polling_list(script="script", budget: int | None = None) -> Column:
+    """One struct per ``setInterval(`` with delay, calls and conditions."""
+    def one(h):
+        call = h["body"]
+        cont = T.search(call, RX_POLL_CONTINUE, 1)
+        stop = T.search(call, RX_POLL_STOP, 1)
+        return F.struct(
+            T.search(T.strip_ws(call), RX_POLL_DELAY, 1).cast("int").alias("interval_ms"),
+            client_call_list(call).alias("direct_calls"), this_call_list(call).alias("indirect_calls"),
+            dispatch_list(call).alias("dispatch_calls"),
+            F.when(cont.isNotNull(), F.concat(F.lit("NOT ("), T.strip_ws(cont), F.lit(")")))
+            .otherwise(T.strip_ws(stop)).alias("termination_condition"),
+            T.strip_ws(T.search(call, RX_POLL_SUCCESS, 0)).alias("success_condition"))
+    return F.transform(T.blocks(script, RX_POLL, "(", ")", keep_header=True, budget=budget), one)
+
+
+def _numbered(components: DataFrame, items: Column) -> DataFrame:
+    return (components.select("file", F.posexplode(items).alias("ord", "x"))
+            .select("file", F.col("ord").cast("int").alias("ord"), "x.*"))
+
+
 def polling(components: DataFrame, budget: int | None = None) -> DataFrame:
-    """One row per ``setInterval(`` with delay, calls and conditions."""
-    found = T.blocks("script", RX_POLL, "(", ")", keep_header=True, budget=budget)
-    p = (components.select("file", F.posexplode(found).alias("ord", "h"))
-         .select("file", F.col("ord").cast("int").alias("ord"), F.col("h.body").alias("call")))
-    cont = T.search("call", RX_POLL_CONTINUE, 1)
-    stop = T.search("call", RX_POLL_STOP, 1)
-    return p.select(
-        "file", "ord",
-        T.search(T.strip_ws("call"), RX_POLL_DELAY, 1).cast("int").alias("interval_ms"),
-        client_call_list("call").alias("direct_calls"),
-        this_call_list("call").alias("indirect_calls"),
-        dispatch_list("call").alias("dispatch_calls"),
-        F.when(cont.isNotNull(), F.concat(F.lit("NOT ("), T.strip_ws(cont), F.lit(")")))
-        .otherwise(T.strip_ws(stop)).alias("termination_condition"),
-        T.strip_ws(T.search("call", RX_POLL_SUCCESS, 0)).alias("success_condition"))
+    """``(file, ord, interval_ms, ...)``, one row per poller."""
+    return _numbered(components, polling_list("script", budget))
 
 
 # ------------------------------------------------------------------ H15-H17
-def conditional_api(components: DataFrame) -> DataFrame:
-    """Conditional API choice as rows
-    ``(file, pattern, ord, condition, true_calls, false_calls)``.
+def conditional_list(template="template", script="script") -> Column:
+    """Conditional API choices ``(pattern, source, ord, condition,
+    true_calls, false_calls)``.
 
     Ternaries carry one method per branch; an if/else carries the client calls
     (duplicates kept) followed by the ``this`` calls of each branch, and is kept
     only when some branch calls something.
     """
+    def choice(pattern, source, i, g, yes, no):
+        return F.struct(F.lit(pattern).alias("pattern"), F.lit(source).alias("source"), i.alias("ord"),
+                        T.strip_ws(g["g1"]).alias("condition"), yes.alias("true_calls"), no.alias("false_calls"))
+
     def ternary(col, rx, pattern, source):
-        return (components.select("file", F.posexplode(T.groups(col, rx, 3)).alias("ord", "g"))
-                .select("file", F.lit(pattern).alias("pattern"), F.lit(source).alias("source"),
-                        F.col("ord").cast("int").alias("ord"),
-                        T.strip_ws("g.g1").alias("condition"),
-                        F.array("g.g2").alias("true_calls"), F.array("g.g3").alias("false_calls")))
-
-    t1 = ternary("template", RX_CLICK_TERNARY, "template_ternary", "template")
-    t2 = ternary("script", RX_SCRIPT_TERNARY, "script_ternary", "script")
-    ie = (components.select("file", F.posexplode(T.groups("script", RX_IF_ELSE, 3)).alias("ord", "g"))
-          .select("file", F.lit("if_else").alias("pattern"), F.lit("script").alias("source"),
-                  F.col("ord").cast("int").alias("ord"), T.strip_ws("g.g1").alias("condition"),
-                  F.concat(T.findall("g.g2", RX_CLIENT_CALL, 1), this_call_list("g.g2")).alias("true_calls"),
-                  F.concat(T.findall("g.g3", RX_CLIENT_CALL, 1), this_call_list("g.g3")).alias("false_calls"))
-          .where((F.size("true_calls") > 0) | (F.size("false_calls") > 0)))
-    return t1.unionByName(t2).unionByName(ie)
+        return F.transform(T.groups(col, rx, 3), lambda g, i: choice(pattern, source, i, g, F.array(g["g2"]), F.array(g["g3"])))
+
+    def branch(text):
+        return F.concat(T.findall(text, RX_CLIENT_CALL, 1), this_call_list(text))
+    ie = F.transform(T.groups(script, RX_IF_ELSE, 3),
+                     lambda g, i: choice("if_else", "script", i, g, branch(g["g2"]), branch(g["g3"])))
+    return F.concat(ternary(template, RX_CLICK_TERNARY, "template_ternary", "template"),
+                    ternary(script, RX_SCRIPT_TERNARY, "script_ternary", "script"),
+                    F.filter(ie, lambda c: (F.size(c["true_calls"]) > 0) | (F.size(c["false_calls"]) > 0)))
+
+
+def conditional_api(components: DataFrame) -> DataFrame:
+    """``(file, pattern, source, ord, condition, true_calls, false_calls)``."""
+    return components.select("file", F.inline(conditional_list()))
 
 
 # ------------------------------------------------------------------ H18
-def confirmation_guards(components: DataFrame, budget: int | None = None, before: int = 800,
-                        behind: int = 200) -> DataFrame:
+def confirmation_list(script="script", budget: int | None = None, before: int = 800, behind: int = 200) -> Column:
     """Exact-text confirmation validators with the client calls near them.
 
     "Near" is from ``before`` characters before to ``behind`` after the start of
     the validator: the distance is what the fact states, it cuts nothing off the
     validator itself."""
-    def near(h):
+    text = F.col(script) if isinstance(script, str) else script
+
+    def one(h, i):
         lo = F.greatest(F.lit(1), h["pos"] - before)
-        return F.struct(h["body"].alias("body"),
-                        F.substring(F.col("script"), lo, h["pos"] + behind - lo).alias("near"))
-    g = (components.select("file", F.posexplode(F.transform(T.blocks("script", RX_CONFIRM, budget=budget), near))
-                           .alias("ord", "h"))
-         .select("file", F.col("ord").cast("int").alias("ord"), "h.body", "h.near"))
-    ctx = F.col("near")
-    return (g.select("file", "ord", T.search("body", RX_CONFIRM_TEXT, 1).alias("required_text"),
-                     client_call_list(ctx).alias("nearby_api_calls"))
-            .where(F.col("required_text").isNotNull()))
+        return F.struct(i.alias("ord"), T.search(h["body"], RX_CONFIRM_TEXT, 1).alias("required_text"),
+                        client_call_list(F.substring(text, lo, h["pos"] + behind - lo)).alias("nearby_api_calls"))
+    return F.filter(F.transform(T.blocks(text, RX_CONFIRM, budget=budget), one), lambda g: g["required_text"].isNotNull())
+
+
+def confirmation_guards(components: DataFrame, budget: int | None = None, before: int = 800,
+                        behind: int = 200) -> DataFrame:
+    """``(file, ord, required_text, nearby_api_calls)``."""
+    return components.select("file", F.inline(confirmation_list("script", budget, before, behind)))
 
 
 # ------------------------------------------------------------------ H19
-def validation_messages(components: DataFrame, before: int = 400, behind: int = 80) -> DataFrame:
+def message_list(script="script", before: int = 400, behind: int = 80) -> Column:
     """Dialog messages with the nearest preceding ``if`` condition (within
     ``before`` characters, which is what makes it the message's own) and type
     validation > success > error > info."""
-    def near(h):
-        return F.struct(h["m"].alias("m"), T.before(F.col("script"), h["pos"], before).alias("before"),
-                        T.after(F.col("script"), h["pos"], behind).alias("after"))
-    m = (components.select("file", F.posexplode(F.transform(T.finditer("script", RX_SWAL), near)).alias("ord", "h"))
-         .select("file", F.col("ord").cast("int").alias("ord"),
-                 F.regexp_extract("h.m", RX_SWAL, 1).alias("message"),
-                 F.col("h.before").alias("_before"), F.col("h.after").alias("_after")))
-    cond = T.strip_ws(F.try_element_at(T.findall("_before", RX_IF_COND, 1), F.lit(-1)))
-    kind = (F.when(F.col("_after").rlike(RX_RETURN_FALSE), "validation")
-            .when(T.contains_any("message", P.SUCCESS_WORDS), "success")
-            .when(T.contains_any("message", P.ERROR_WORDS), "error")
-            .otherwise("info"))
-    return m.select("file", "ord", "message", cond.alias("condition"), kind.alias("type"))
+    text = F.col(script) if isinstance(script, str) else script
+
+    def one(h):
+        message = F.regexp_extract(h["m"], RX_SWAL, 1)
+        cond = T.strip_ws(F.try_element_at(T.findall(T.before(text, h["pos"], before), RX_IF_COND, 1), F.lit(-1)))
+        kind = (F.when(T.after(text, h["pos"], behind).rlike(RX_RETURN_FALSE), "validation")
+                .when(T.contains_any(message, P.SUCCESS_WORDS), "success")
+                .when(T.contains_any(message, P.ERROR_WORDS), "error").otherwise("info"))
+        return F.struct(message.alias("message"), cond.alias("condition"), kind.alias("type"))
+    return F.transform(T.finditer(text, RX_SWAL), one)
+
+
+def validation_messages(components: DataFrame, before: int = 400, behind: int = 80) -> DataFrame:
+    """``(file, ord, message, condition, type)``."""
+    return _numbered(components, message_list("script", before, behind))
 
 
 # ------------------------------------------------------------------ H21-H26
@@ -345,13 +362,22 @@ def disabled_guards(components: DataFrame, words=P.DISABLED_GUARD_WORDS) -> Data
             .where(T.contains_any("condition", words)))
 
 
+def select_option_list(template="template") -> Column:
+    """``(select_ord, ord, value, label)`` of static select options."""
+    def of_select(block, select_ord):
+        return F.transform(T.groups(block, RX_OPTION, 2), lambda o, i: F.struct(
+            select_ord.alias("select_ord"), i.alias("ord"), o["g1"].alias("value"), T.strip_ws(o["g2"]).alias("label")))
+    return F.flatten(F.transform(T.findall(template, RX_SELECT, 1), of_select))
+
+
 def select_options(components: DataFrame) -> DataFrame:
-    """``(file, select_ord, ord, value, label)`` of static select options."""
-    s = (components.select("file", F.posexplode(T.findall("template", RX_SELECT, 1)).alias("select_ord", "block"))
-         .select("file", F.col("select_ord").cast("int").alias("select_ord"),
-                 F.posexplode(T.groups("block", RX_OPTION, 2)).alias("ord", "o")))
-    return s.select("file", "select_ord", F.col("ord").cast("int").alias("ord"),
-                    F.col("o.g1").alias("value"), T.strip_ws("o.g2").alias("label"))
+    """``(file, select_ord, ord, value, label)``."""
+    return components.select("file", F.inline(select_option_list()))
+
+
+def disabled_list(template="template", words=P.DISABLED_GUARD_WORDS) -> Column:
+    """H21 as a list."""
+    return F.filter(T.findall(template, RX_DISABLED, 1), lambda x: T.contains_any(x, words))
 
 
 def page_title(template) -> Column:
@@ -359,51 +385,54 @@ def page_title(template) -> Column:
     return T.strip_ws(T.search(template, RX_TITLE, 1))
 
 
-def table_columns(components: DataFrame) -> DataFrame:
+def table_column_list(template="template") -> Column:
     """Header cells of the first ``thead`` row without ``v-if`` (else the
-    first row); blank cells dropped."""
-    thead = T.search("template", RX_THEAD, 1)
+    first row); blank cells dropped; null without a ``thead``."""
+    thead = T.search(template, RX_THEAD, 1)
     rows = T.groups(thead, RX_TR_ATTR, 2)
     chosen = F.coalesce(F.try_element_at(F.filter(rows, lambda r: ~r["g1"].contains("v-if")), F.lit(1)),
                         F.try_element_at(rows, F.lit(1)))["g2"]
-    cells = F.filter(F.transform(T.findall(chosen, RX_TD_TEXT, 1), T.strip_ws), lambda x: x != "")
-    return _explode_list(components.where(thead.isNotNull()).select("file", cells.alias("_c")),
-                         ["file"], F.col("_c"), "column")
+    return F.filter(F.transform(T.findall(chosen, RX_TD_TEXT, 1), T.strip_ws), lambda x: x != "")
 
 
-def form_fields(components: DataFrame) -> DataFrame:
+def table_columns(components: DataFrame) -> DataFrame:
+    """``(file, ord, column)``."""
+    return _explode_list(components.select("file", table_column_list().alias("_c")), ["file"], F.col("_c"), "column")
+
+
+def form_field_list(template="template") -> Column:
     """Label cell followed by an input cell, per ``tbody`` row.
 
     Cells are paired with their right neighbour inside the row (``zip_with``
     over the cell array), so no window or shuffle is involved.
     """
-    tbody = T.search("template", RX_TBODY, 1)
-    rows = (components.select("file", F.posexplode(T.findall(F.coalesce(tbody, F.lit("")), RX_TR, 1))
-                              .alias("row_ord", "row"))
-            .select("file", F.col("row_ord").cast("int").alias("row_ord"),
-                    T.findall("row", RX_TD, 1).alias("tds")))
-    n = F.size("tds")
-    pairs = F.zip_with(F.slice("tds", 1, F.greatest(n - 1, F.lit(0))),
-                       F.slice("tds", 2, F.greatest(n - 1, F.lit(0))),
-                       lambda a, b: F.struct(a.alias("cell"), b.alias("nxt")))
-    c = (rows.select("file", "row_ord", F.posexplode(pairs).alias("cell_ord", "p"))
-         .select("file", "row_ord", F.col("cell_ord").cast("int").alias("cell_ord"),
-                 F.col("p.cell").alias("cell"), F.col("p.nxt").alias("nxt")))
-    nxt = F.col("nxt")
-    is_input = nxt.contains("<input") | nxt.contains("<select") | nxt.contains("<textarea")
-    label = T.strip_ws(F.regexp_replace("cell", RX_TAG, ""))
-    dis = T.search(nxt, RX_DISABLED_ATTR, 1)
-    itype = F.coalesce(T.search(nxt, RX_INPUT_TYPE, 1),
-                       F.when(nxt.contains("<select"), "select")
-                       .when(nxt.contains("<textarea"), "textarea").otherwise("text"))
-    return (c.where(is_input)
-            .select("file", "row_ord", "cell_ord", label.alias("label"),
-                    T.search(nxt, RX_VMODEL, 1).alias("v_model"), itype.alias("input_type"),
-                    (F.col("cell").rlike(RX_REQUIRED_CLASS) | F.col("cell").contains(REQUIRED_STAR))
-                    .alias("required"),
-                    F.when(dis.isNotNull(), T.strip_ws(dis) == "true")
-                    .otherwise(nxt.rlike(RX_BARE_DISABLED) | nxt.rlike(RX_BARE_READONLY)).alias("immutable"))
-            .where(F.col("label") != ""))
+    rows = T.findall(F.coalesce(T.search(template, RX_TBODY, 1), F.lit("")), RX_TR, 1)
+
+    def field(row_ord, i, cell, nxt):
+        dis = T.search(nxt, RX_DISABLED_ATTR, 1)
+        kind = F.coalesce(T.search(nxt, RX_INPUT_TYPE, 1), F.when(nxt.contains("<select"), "select")
+                          .when(nxt.contains("<textarea"), "textarea").otherwise("text"))
+        return F.struct(
+            row_ord.alias("row_ord"), i.alias("cell_ord"), T.strip_ws(F.regexp_replace(cell, RX_TAG, "")).alias("label"),
+            T.search(nxt, RX_VMODEL, 1).alias("v_model"), kind.alias("input_type"),
+            (cell.rlike(RX_REQUIRED_CLASS) | cell.contains(REQUIRED_STAR)).alias("required"),
+            F.when(dis.isNotNull(), T.strip_ws(dis) == "true")
+            .otherwise(nxt.rlike(RX_BARE_DISABLED) | nxt.rlike(RX_BARE_READONLY)).alias("immutable"))
+
+    def of_row(row, row_ord):
+        def pairs(tds):
+            n = F.greatest(F.size(tds) - 1, F.lit(0))
+            near = F.zip_with(F.slice(tds, 1, n), F.slice(tds, 2, n), lambda a, b: F.struct(a.alias("cell"), b.alias("nxt")))
+            near = F.transform(near, lambda p, i: F.struct(i.alias("i"), p["cell"].alias("cell"), p["nxt"].alias("nxt")))
+            held = F.filter(near, lambda p: p["nxt"].rlike("<(?:input|select|textarea)"))
+            return F.transform(held, lambda p: field(row_ord, p["i"], p["cell"], p["nxt"]))
+        return T.let(T.findall(row, RX_TD, 1), pairs)
+    return F.filter(F.flatten(F.transform(rows, of_row)), lambda f: f["label"] != "")
+
+
+def form_fields(components: DataFrame) -> DataFrame:
+    """``(file, row_ord, cell_ord, label, v_model, input_type, required, immutable)``."""
+    return components.select("file", F.inline(form_field_list()))
 
 
 def vfor_fields(template, skip=P.VFOR_FIELD_SKIP) -> Column:
@@ -454,13 +483,31 @@ def store_state(files: DataFrame, skip=P.STORE_STATE_SKIP) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H27
-def component_records(components: DataFrame) -> DataFrame:
-    """One record per component with the per-file facts of H10-H26 as
-    columns (lists stay per file, so they are bounded by the file)."""
+def component_facts(components: DataFrame) -> DataFrame:
+    """All facts of H10-H26 of a component in one row, from one pass over its
+    text: what is read from ``components`` is read once, and what is linked later
+    (routes, API map, requirements) starts from this narrow table. Lists are
+    those of one file.
+
+    ``(file, client_calls, store_dispatches, this_calls, lifecycle_auto_calls,
+    polling, conditional_api_branches, confirmation_guards, disabled_guards,
+    domain_constants, page_title, table_columns, form_fields, vfor_fields,
+    validation_messages)``."""
     t, s = F.col("template"), F.col("script")
-    return components.select(
+    facts = components.select(
         "file", client_call_list(s).alias("client_calls"), dispatch_list(s).alias("store_dispatches"),
-        this_call_list(s).alias("this_calls"), page_title(t).alias("page_title"),
-        vfor_fields(t).alias("vfor_fields"),
-        F.filter(T.findall(t, RX_DISABLED, 1), lambda x: T.contains_any(x, P.DISABLED_GUARD_WORDS))
-        .alias("disabled_guards"))
+        this_call_list(s).alias("this_calls"), lifecycle_list(s).alias("lifecycle_auto_calls"),
+        polling_list(s).alias("polling"), conditional_list(t, s).alias("conditional_api_branches"),
+        confirmation_list(s).alias("confirmation_guards"), disabled_list(t).alias("disabled_guards"),
+        select_option_list(t).alias("domain_constants"), page_title(t).alias("page_title"),
+        table_column_list(t).alias("table_columns"), form_field_list(t).alias("form_fields"),
+        vfor_fields(t).alias("vfor_fields"), message_list(s).alias("validation_messages"))
+    # a list without a match may be null
+    return facts.select(*[F.coalesce(f.name, F.array().cast(f.dataType)).alias(f.name)
+                          if isinstance(f.dataType, ArrayType) else f.name for f in facts.schema.fields])
+
+
+def component_records(components: DataFrame) -> DataFrame:
+    """The facts that are plain lists of names."""
+    return component_facts(components).select("file", "client_calls", "store_dispatches", "this_calls", "page_title",
+                                              "vfor_fields", "disabled_guards")

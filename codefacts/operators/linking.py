@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from codefacts import params as P
 from codefacts.operators import client as C
 from codefacts.operators.containment import first_containing
-from codefacts.session import checkpoint_dir
+from codefacts.session import checkpoint_dir, cut
 
 # ----------------------------------------------------------------------------
 # Evidence prefix, client-only requirement texts
@@ -36,11 +36,16 @@ def api_map(api: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L1
+def _facts(components: DataFrame) -> DataFrame:
+    """``component_facts``, whether given or still to be read from the sources."""
+    return components if "client_calls" in components.columns else C.component_facts(components)
+
+
 def resolved_calls(components: DataFrame, api: DataFrame) -> DataFrame:
     """L1: ``(file, ord, client_method, http_method, url)``; unknown methods are
-    kept with NULL verb and URL."""
-    calls = C.component_calls(components).where(F.col("call_kind") == "client") \
-        .select("file", "ord", F.col("method").alias("client_method"))
+    kept with NULL verb and URL. ``components`` may be ``component_facts``."""
+    calls = (_facts(components).select("file", F.posexplode("client_calls").alias("ord", "client_method"))
+             .withColumn("ord", F.col("ord").cast("int")))
     return calls.join(api_map(api), "client_method", "left").select(
         "file", "ord", "client_method", "http_method", "url")
 
@@ -95,9 +100,11 @@ def call_requirements(components: DataFrame, api: DataFrame, entry_points: DataF
     """L1 + L4 + L3 per component call: ``(file, ord, client_method,
     http_method, url, ep_id, fr_id)``; one row per requirement (NULL when none);
     calls without a URL are not resolved."""
-    rc = resolved_calls(components, api)
+    # each side is read once; resolution uses them several times
+    rc = cut(resolved_calls(components, api))
+    emap = cut(endpoint_map(entry_points))
     keyed = rc.withColumn("call_id", F.struct("file", "ord"))
-    res = resolve_urls(keyed.where(F.col("url").isNotNull() & (F.col("url") != "")), endpoint_map(entry_points))
+    res = resolve_urls(keyed.where(F.col("url").isNotNull() & (F.col("url") != "")), emap)
     ep_fr = endpoint_requirements(evidence)
     # calls without an endpoint get a key of their own, so they do not meet in one partition
     ep_key = F.coalesce("ep_id", F.concat(F.lit("\x00"), F.xxhash64("call_id").cast("string")))
@@ -136,29 +143,63 @@ def component_routes(components: DataFrame, routes: DataFrame, match: str = "con
 
 
 # ------------------------------------------------------------------ L6
-def _present(df: DataFrame, name: str) -> DataFrame:
-    return df.select("file").distinct().withColumn(name, F.lit(True))
-
-
 def component_map(components: DataFrame, routes: DataFrame) -> DataFrame:
-    """Components with API calls or dispatches, with route, roles, four
-    behaviour flags and the number of validation-type messages."""
-    calls = C.component_calls(components)
-    active = calls.where(F.col("call_kind").isin("client", "dispatch")).select("file").distinct()
-    cm = components.join(active, "file", "left_semi")
-    flags = [(_present(C.polling(cm), "has_polling")), (_present(C.conditional_api(cm), "has_conditional_api")),
-             (_present(C.lifecycle_calls(cm), "has_auto_load")),
-             (_present(C.confirmation_guards(cm), "has_confirmation_guard"))]
-    out = cm.select("file")
-    for f in flags:
-        out = out.join(f, "file", "left")
-    vm = (C.validation_messages(cm).where(F.col("type") == "validation")
-          .groupBy("file").agg(F.count("*").cast("bigint").alias("validation_messages")))
-    out = out.join(vm, "file", "left").join(component_routes(cm, routes), "file", "left")
-    return out.select("file", "route", "required_roles",
-                      *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in
-                        ("has_polling", "has_conditional_api", "has_auto_load", "has_confirmation_guard")],
-                      F.coalesce("validation_messages", F.lit(0)).cast("bigint").alias("validation_messages"))
+    """Components with API calls or dispatches, with route, roles, dispatches,
+    four behaviour flags, their validation-type messages and how many those are.
+    ``components`` may be ``component_facts``; its calls with endpoints and
+    requirements are ``call_requirements``, their parameters ``api_params``."""
+    messages = F.filter("validation_messages", lambda m: m["type"] == "validation")
+    cm = (_facts(components).where((F.size("client_calls") > 0) | (F.size("store_dispatches") > 0))
+          .select("file", "store_dispatches", (F.size("polling") > 0).alias("has_polling"),
+                  (F.size("conditional_api_branches") > 0).alias("has_conditional_api"),
+                  (F.size("lifecycle_auto_calls") > 0).alias("has_auto_load"),
+                  (F.size("confirmation_guards") > 0).alias("has_confirmation_guard"),
+                  F.transform(messages, lambda m: F.struct(m["message"].alias("message"), m["condition"].alias("condition")))
+                  .alias("messages"), F.size(messages).cast("bigint").alias("validation_messages")))
+    cm = cut(cm)
+    return (cm.join(component_routes(cm, routes), "file", "left")
+            .select("file", "route", "required_roles", "has_polling", "has_conditional_api", "has_auto_load",
+                    "has_confirmation_guard", "validation_messages", "store_dispatches", "messages"))
+
+
+def record_rows(components: DataFrame, api: DataFrame) -> DataFrame:
+    """The 16 parts of a component's record as rows ``(file, kind, ord,
+    value)``: every fact of ``component_facts`` as one tagged array, exploded in one
+    pass, and the calls resolved with the API map. The fields of a fact are
+    joined with ``|``, lists in it with commas."""
+    f = cut(_facts(components))
+
+    def text(*fields):
+        return F.concat_ws("|", *[F.coalesce(x.cast("string"), F.lit("")) for x in fields])
+
+    def items(kind, column, value=lambda x: x):
+        return F.transform(column, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("ord"), value(x).alias("value")))
+
+    def names(xs):
+        return F.array_join(xs, ",")
+    calls3 = lambda x: [names(x[c]) for c in ("direct_calls", "indirect_calls", "dispatch_calls")]      # noqa: E731
+    tagged = F.concat(
+        items("client_calls", "client_calls"), items("store_dispatches", "store_dispatches"), items("this_calls", "this_calls"),
+        items("lifecycle_auto_calls", "lifecycle_auto_calls", lambda x: text(x["lifecycle_hook"], *calls3(x))),
+        items("polling", "polling", lambda x: text(x["interval_ms"], *calls3(x), x["termination_condition"], x["success_condition"])),
+        items("conditional_api_branches", "conditional_api_branches",
+              lambda x: text(x["pattern"], x["condition"], names(x["true_calls"]), names(x["false_calls"]))),
+        items("confirmation_guards", "confirmation_guards", lambda x: text(x["required_text"], names(x["nearby_api_calls"]))),
+        items("disabled_guards", "disabled_guards"),
+        items("domain_constants", "domain_constants", lambda x: text(x["select_ord"], x["value"], x["label"])),
+        items("page_title", F.filter(F.array("page_title"), lambda x: x.isNotNull())),
+        items("table_columns", "table_columns"),
+        items("form_fields", "form_fields", lambda x: text(x["label"], x["v_model"], x["input_type"], x["required"], x["immutable"])),
+        items("vfor_fields", "vfor_fields"),
+        items("validation_messages", "validation_messages", lambda x: text(x["type"], x["message"], x["condition"])))
+    own = f.select("file", F.inline(tagged))
+    api = cut(api_map(api))
+    called = f.select("file", F.posexplode("client_calls").alias("ord", "client_method")).join(api, "client_method", "left")
+    resolved = called.select("file", F.lit("resolved_api_calls").alias("kind"), "ord",
+                             text(F.col("client_method"), F.col("http_method"), F.col("url")).alias("value"))
+    params = called.where("params is not null").select("file", F.lit("api_params").alias("kind"), "ord",
+                                                       text(F.col("client_method"), names(F.col("params"))).alias("value"))
+    return own.unionByName(resolved).unionByName(params)
 
 
 # ------------------------------------------------------------------ L7-L9
@@ -203,42 +244,45 @@ def label_summary(labels: DataFrame, components: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L10
-def ui_structure(components: DataFrame, routes: DataFrame) -> DataFrame:
+def ui_pages(components: DataFrame, routes: DataFrame) -> DataFrame:
     """Pages with any UI fact: ``(component, route, required_roles,
-    breadcrumb, table_columns, form_fields, list_item_fields)`` (counts)."""
-    cols = C.table_columns(components).groupBy("file").agg(F.count("*").cast("bigint").alias("table_columns"))
-    ff = C.form_fields(components).groupBy("file").agg(F.count("*").cast("bigint").alias("form_fields"))
-    base = components.select("file", C.page_title("template").alias("breadcrumb"),
-                             F.size(C.vfor_fields("template")).cast("bigint").alias("list_item_fields"))
-    u = base.join(cols, "file", "left").join(ff, "file", "left")
-    u = u.select("file", "breadcrumb", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                         for c in ("table_columns", "form_fields", "list_item_fields")])
-    u = u.where(F.col("breadcrumb").isNotNull() | (F.col("table_columns") > 0) | (F.col("form_fields") > 0)
-                | (F.col("list_item_fields") > 0))
-    return (u.join(component_routes(components, routes), "file", "left")
-            .select(F.col("file").alias("component"), "route", "required_roles", "breadcrumb",
-                    "table_columns", "form_fields", "list_item_fields"))
+    breadcrumb, table_columns, form_fields, list_item_fields)``, the last three as
+    lists. ``components`` may be ``component_facts``."""
+    u = cut(_facts(components).select("file", F.col("page_title").alias("breadcrumb"), "table_columns", "form_fields",
+                                      F.col("vfor_fields").alias("list_item_fields"))
+            .where((F.coalesce("breadcrumb", F.lit("")) != "") | (F.size("table_columns") > 0)
+                   | (F.size("form_fields") > 0) | (F.size("list_item_fields") > 0)))
+    return (u.join(component_routes(u, routes), "file", "left")
+            .select(F.col("file").alias("component"), "route", "required_roles", "breadcrumb", "table_columns",
+                    "form_fields", "list_item_fields"))
+
+
+def ui_structure(components: DataFrame, routes: DataFrame) -> DataFrame:
+    """L10 with the number of columns, fields and items instead of the lists."""
+    u = ui_pages(components, routes)
+    return u.select("component", "route", "required_roles", "breadcrumb",
+                    *[F.size(c).cast("bigint").alias(c) for c in ("table_columns", "form_fields", "list_item_fields")])
 
 
 # ------------------------------------------------------------------ L11
 def behaviors(components: DataFrame) -> DataFrame:
-    """Polling, conditional API, auto load, confirmation and disabled
+    """L11 (``components`` may be ``component_facts``): polling, conditional API, auto load, confirmation and disabled
     guards in one table tagged by ``type``."""
+    f = _facts(components).withColumnRenamed("file", "component")
+
+    def rows(column, kind, numbered=True):
+        if numbered:
+            x = f.select("component", F.posexplode(column).alias("ord", "x")).select("component", "ord", "x.*")
+        else:
+            x = f.select("component", F.inline(column))
+        return x.withColumn("type", F.lit(kind))
     empty = F.array().cast("array<string>")
-    p = C.polling(components).select(
-        F.col("file").alias("component"), "ord", F.lit("polling").alias("type"), "interval_ms",
-        "termination_condition", "success_condition", "direct_calls", "indirect_calls", "dispatch_calls")
-    c = C.conditional_api(components).select(
-        F.col("file").alias("component"), "ord", F.lit("conditional_api").alias("type"), "pattern", "source",
-        "condition", "true_calls", "false_calls")
-    a = C.lifecycle_calls(components).select(
-        F.col("file").alias("component"), F.lit(0).alias("ord"), F.lit("auto_load").alias("type"),
-        "lifecycle_hook", "direct_calls", "indirect_calls", "dispatch_calls")
-    g = C.confirmation_guards(components).select(
-        F.col("file").alias("component"), "ord", F.lit("confirmation_guard").alias("type"), "required_text",
-        F.col("nearby_api_calls").alias("direct_calls"))
-    d = C.disabled_guards(components).select(
-        F.col("file").alias("component"), "ord", F.lit("disabled_guard").alias("type"), "condition")
+    p = rows("polling", "polling")
+    c = rows("conditional_api_branches", "conditional_api", False)
+    a = rows("lifecycle_auto_calls", "auto_load", False).withColumn("ord", F.lit(0))
+    g = rows("confirmation_guards", "confirmation_guard", False).withColumnRenamed("nearby_api_calls", "direct_calls")
+    d = (f.select("component", F.posexplode("disabled_guards").alias("ord", "condition"))
+         .withColumn("type", F.lit("disabled_guard")))
     out = p
     for x in (c, a, g, d):
         out = out.unionByName(x, allowMissingColumns=True)
@@ -307,7 +351,8 @@ def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: D
             F.col("path").alias("route"), F.lit(flag).alias("condition"),
             F.concat(F.col("path"), F.lit(" — " + desc)).alias("description"), F.lit(actor).alias("actor"),
             empty.alias("api_calls")))
-    g = C.confirmation_guards(components)
+    facts = _facts(components)
+    g = facts.select("file", F.inline("confirmation_guards"))
     gcalls = g.select("file", "ord", F.posexplode("nearby_api_calls").alias("_ci", "client_method"))
     amap = api_map(api)
     gres = gcalls.join(amap, "client_method", "left").withColumn("call_id", F.struct("file", "ord", "_ci"))
@@ -328,7 +373,7 @@ def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: D
         F.lit(None).cast("string").alias("route"), F.col("filter_condition").alias("condition"),
         F.replace(F.lit(FILTER_DESCRIPTION), F.lit("{cond}"), F.col("filter_condition")).alias("description"),
         F.lit(None).cast("string").alias("actor"), empty.alias("api_calls")))
-    p = C.polling(components)
+    p = facts.select("file", F.posexplode("polling").alias("ord", "x")).select("file", "ord", "x.*")
     polled = F.concat("direct_calls", "indirect_calls")
     pdesc = F.replace(F.replace(F.replace(F.lit(POLL_DESCRIPTION), F.lit("{ms}"), F.coalesce(
         F.col("interval_ms").cast("string"), F.lit("None"))), F.lit("{calls}"),
@@ -339,13 +384,13 @@ def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: D
         F.lit("async_polling").alias("type"), F.col("file").alias("source"),
         F.lit(None).cast("string").alias("route"), F.col("termination_condition").alias("condition"),
         pdesc.alias("description"), F.lit(None).cast("string").alias("actor"), polled.alias("api_calls")))
-    lc = C.lifecycle_calls(components)
+    lc = facts.select("file", F.inline("lifecycle_auto_calls"))
     hook_ord = F.when(F.col("lifecycle_hook") == "created", 0).otherwise(1)
     d = (lc.select("file", "lifecycle_hook", hook_ord.alias("_h"), F.posexplode("dispatch_calls").alias("_di", "action"))
          .where(F.col("action").contains("Term") | F.col("action").contains("term")))
     parts.append(d.select(
-        F.lit(5).alias("_b"), F.col("file").alias("_s"), (F.col("_h") * 100000 + F.col("_di")).alias("_o"),
-        F.lit(0).alias("_i"), F.lit("auto_context").alias("type"), F.col("file").alias("source"),
+        F.lit(5).alias("_b"), F.col("file").alias("_s"), F.col("_h").alias("_o"),
+        F.col("_di").alias("_i"), F.lit("auto_context").alias("type"), F.col("file").alias("source"),
         F.lit(None).cast("string").alias("route"), F.col("lifecycle_hook").alias("condition"),
         F.replace(F.lit(AUTO_CONTEXT_DESCRIPTION), F.lit("{action}"), F.col("action")).alias("description"),
         F.lit(None).cast("string").alias("actor"), F.array("action").alias("api_calls")))
@@ -395,7 +440,6 @@ def client_summary(cmap: DataFrame, ui: DataFrame, b: DataFrame, evidence_rows:
 def api_params(components: DataFrame, api: DataFrame) -> DataFrame:
     """Per component, the known client methods it calls (first
     occurrence order) with their parameter names: ``(file, ord, method, params)``."""
-    calls = C.component_calls(components).where(F.col("call_kind") == "client") \
-        .select("file", "ord", F.col("method").alias("client_method"))
+    calls = _facts(components).select("file", F.posexplode("client_calls").alias("ord", "client_method"))
     return (calls.join(api_map(api), "client_method")
-            .select("file", "ord", F.col("client_method").alias("method"), "params"))
+            .select("file", F.col("ord").cast("int").alias("ord"), F.col("client_method").alias("method"), "params"))

@@ -13,6 +13,7 @@ from codefacts.plans.corpus_trace import entry_points, spec_evidence
 from codefacts.plans import registry
 from codefacts.plans.client_checks import CALLS_SQL
 from codefacts.plans.registry import register
+from codefacts.session import cut
 from codefacts.sources.tables import table
 
 CHUNK = "'/n' || c_nationkey || '_' || (c_custkey // 64) || '.js'"
@@ -166,7 +167,7 @@ SELECT 'views/P' || p_partkey || '.vue' AS file, {ROUTE_OF} AS route, {ROLES_OF}
 FROM part""")
 def q_component_map(spark, sf_dir):
     m = L.component_map(components(spark, sf_dir), routes(spark, sf_dir))
-    return m.withColumn("required_roles", F.array_join("required_roles", ","))
+    return m.withColumn("required_roles", F.array_join("required_roles", ",")).drop("store_dispatches", "messages")
 
 
 @register("option_groups", "L8", """
@@ -258,9 +259,10 @@ FROM customer LEFT JOIN (
          CASE WHEN k IN (SELECT s_suppkey FROM supplier) THEN '/s' || k END AS route
   FROM creq JOIN cc USING (file) WHERE creq.fr_id IS NOT NULL) e ON e.fr_id = 'FR-' || c_custkey""")
 def q_ui_evidence(spark, sf_dir):
-    comps = components(spark, sf_dir)
-    cmap = L.component_map(comps, routes(spark, sf_dir))
-    ev = L.ui_evidence(call_reqs(spark, sf_dir), cmap)
+    facts = cut(C.component_facts(components(spark, sf_dir)))
+    cmap = cut(L.component_map(facts, routes(spark, sf_dir)))
+    reqs = L.call_requirements(facts, api(spark, sf_dir), entry_points(spark, sf_dir), spec_evidence(spark, sf_dir))
+    ev = L.ui_evidence(cut(reqs), cmap)
     feats = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("FR-"), F.col("c_custkey").cast("string")).alias("fr_id"))
     return L.attach_ui_evidence(feats, ev).select("fr_id", "component", "route")

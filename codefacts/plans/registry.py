@@ -33,4 +33,4 @@ def register(name: str, ids: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from codefacts.plans import (audit_checks, client_checks, go_checks, graph_checks,  # noqa: F401
-                                 link_checks, nest_checks, observed_checks, trace_checks)
+                                 link_checks, nest_checks, observed_checks, record_checks, trace_checks)
