@@ -73,7 +73,7 @@ def endpoint_coverage(entry_points: DataFrame, ep_requirements: DataFrame) -> Da
 
 def uncovered_endpoints(entry_points: DataFrame, ep_requirements: DataFrame) -> DataFrame:
     """K4: endpoints without any requirement."""
-    return entry_points.select("ep_id").distinct().join(ep_requirements.select("ep_id"), "ep_id", "left_anti")
+    return entry_points.select("ep_id").distinct().join(ep_requirements.select("ep_id").distinct(), "ep_id", "left_anti")
 
 
 def enum_consistency(consts: DataFrame, labels: DataFrame, options: DataFrame) -> DataFrame:

@@ -95,7 +95,9 @@ def callers(functions: DataFrame, edges: DataFrame, match: str = "text") -> Data
     e = edges.select(key.alias("_k"), "caller").distinct()
     # an inner join can be split at a popular callee, an outer join cannot
     called = names.join(e, names["function_name"] == e["_k"])
-    alone = names.join(e, names["function_name"] == e["_k"], "left_anti")
+    # distinct keys: a popular callee is one row on the right, not one per caller
+    keys = e.select("_k").distinct()
+    alone = names.join(keys, names["function_name"] == keys["_k"], "left_anti")
     return called.select("function_name", "caller").unionByName(
         alone.select("function_name", F.lit(None).cast("string").alias("caller")))
 
