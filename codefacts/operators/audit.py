@@ -1,10 +1,10 @@
 """Audit analytics over the linked facts, SURVEY K1-K6 and P1.
 
 Reachability is a frontier loop: each step joins the pairs found last with the
-edge table and keeps the least depth of every pair. It ends when a step finds no
-new pair; the driver sees only their number. Each step is checkpointed into the
-shared folder, so lineage stays short and a lost executor recomputes one step,
-not the whole loop.
+edge table and appends the pairs that are new. It ends when a step finds none.
+Each step is checkpointed into the shared folder, so lineage stays short and a
+lost executor recomputes one step, not the whole loop. The slice to effects
+walks components of the call graph instead of functions.
 """
 
 from __future__ import annotations
@@ -22,6 +22,28 @@ def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
     return edges.select(F.col("caller").alias("src"), dst.alias("dst")).distinct()
 
 
+def _closure(start: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(source, node, depth)``: all nodes that ``edges(src, dst)`` lead to from
+    the pairs ``start(source, node)``, with the least number of steps.
+
+    Only the pairs found last are joined with the edges; pairs known already are
+    taken off by an anti join, and each step writes its new pairs alone. Every 16
+    steps the parts are written together, so plans of long chains stay short.
+    """
+    last = cut(start.select("source", "node").distinct().withColumn("depth", F.lit(0)))
+    seen, step = last, 0
+    while not last.isEmpty():
+        step += 1
+        nxt = (last.join(edges, last["node"] == edges["src"])
+               .select("source", F.col("dst").alias("node")).distinct())
+        last = cut(nxt.join(seen.select("source", "node"), ["source", "node"], "left_anti")
+                   .withColumn("depth", F.lit(step)))
+        seen = seen.unionByName(last)
+        if step % 16 == 0:
+            seen = cut(seen)
+    return seen
+
+
 def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """K1: ``(source, function_name, depth)``: functions reachable from each
     source (an entry point or effect), with the least number of steps.
@@ -30,16 +52,102 @@ def reachable(edges: DataFrame, sources: DataFrame) -> DataFrame:
     depth 0.
     """
     e = cut(edges.select("src", "dst").distinct())
-    seen = cut(sources.select("source", F.col("source").alias("node"), F.lit(0).alias("depth")).distinct())
-    step, last, found = 0, -1, seen.count()
-    while found != last:
-        frontier = seen.where(F.col("depth") == step)
-        nxt = (frontier.join(e, frontier["node"] == e["src"])
-               .select("source", F.col("dst").alias("node"), F.lit(step + 1).alias("depth")))
-        # the least depth of a pair is the one it was first seen at
-        seen = cut(seen.unionByName(nxt).groupBy("source", "node").agg(F.min("depth").alias("depth")))
-        step, last, found = step + 1, found, seen.count()
-    return seen.select("source", F.col("node").alias("function_name"), "depth")
+    found = _closure(sources.select("source", F.col("source").alias("node")), e)
+    return found.select("source", F.col("node").alias("function_name"), "depth")
+
+
+def _on_cycles(edges: DataFrame) -> DataFrame:
+    """The edges left when those from a node nobody leads to, or to a node that
+    leads nowhere, are taken away again and again."""
+    rest, n, before = edges, edges.count(), -1
+    while n and n != before:
+        led_to = rest.select(F.col("dst").alias("src")).distinct()
+        leads = rest.select(F.col("src").alias("dst")).distinct()
+        rest = cut(rest.join(led_to, "src", "left_semi").join(leads, "dst", "left_semi").select("src", "dst"))
+        n, before = rest.count(), n
+    return rest
+
+
+def _smallest_before(edges: DataFrame) -> DataFrame:
+    """``(node, root)``: the smallest node that leads to each node of ``edges``
+    (the node itself included). A round passes on the roots that changed last."""
+    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
+    known = changed = cut(nodes.withColumn("root", F.col("node")))
+    while not changed.isEmpty():
+        offers = (changed.join(edges, changed["node"] == edges["src"])
+                  .groupBy(F.col("dst").alias("node")).agg(F.min("root").alias("offer")))
+        changed = cut(known.join(offers, "node").where("offer < root").select("node", F.col("offer").alias("root")))
+        known = cut(known.join(changed, "node", "left_anti").unionByName(changed))
+    return known
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """K1: ``(node, component)`` for the nodes of ``edges(src, dst)`` that call
+    each other in a cycle: two of them share a component, named after its
+    smallest node, if each leads to the other. Nodes that are not listed are
+    alone in theirs; null ends count as no edge.
+
+    Forward / backward colouring: every node takes the smallest node that leads
+    to it as its colour; a node of its own colour is a root, and what leads back
+    to the root inside the colour is the root's component. Edges between colours
+    lie on no cycle. Found components go and the rest is coloured again, until
+    no edge on a cycle is left.
+    """
+    rest = cut(edges.where("src <> dst").select("src", "dst").distinct())
+    out = rest.select(F.col("src").alias("node"), F.col("src").alias("component")).limit(0)
+    while True:
+        rest = _on_cycles(rest)
+        if rest.isEmpty():
+            return out
+        colour = _smallest_before(rest)
+        src, dst = (colour.select(F.col("node").alias(c), F.col("root").alias(c + "_root")) for c in ("src", "dst"))
+        same = cut(rest.join(src, "src").join(dst, "dst").where("src_root = dst_root").select("src", "dst"))
+        back = same.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        roots = colour.where("node = root").select(F.col("node").alias("source"), "node")
+        # colours do not touch, so each node is found from one root only
+        found = cut(_closure(roots, back).select("node", F.col("source").alias("component")))
+        sizes = found.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        out = out.unionByName(found.join(sizes, "component", "left_semi").select("node", "component"))
+        gone = found.select("node")
+        rest = cut(same.join(gone.select(F.col("node").alias("src")), "src", "left_anti")
+                   .join(gone.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst"))
+
+
+def _in_component(df: DataFrame, column: str, components: DataFrame) -> DataFrame:
+    """``df`` with the node in ``column`` replaced by its component."""
+    c = components.select(F.col("node").alias(column), "component")
+    return df.join(c, column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
+
+
+def effect_slice(edges: DataFrame, sources: DataFrame, effects: DataFrame) -> DataFrame:
+    """K1: ``(source, function_name, kind, effect)``: every effect (a database
+    access, an error message) that each source reaches, with the function that
+    has it; a source's own effects included.
+
+    ``edges(src, dst)``; ``sources(source)``; ``effects(function_name, kind,
+    effect)``. Repeated rows count once, null names take no part.
+
+    Functions that call each other in a cycle reach the same effects, so the
+    walk runs over components. It starts by walking back from the effects: only
+    components that lead to one are walked at all. Sources of one component
+    share a walk.
+    """
+    e = cut(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct())
+    comp = cut(strong_components(e))
+    dag = cut(_in_component(_in_component(e, "src", comp), "dst", comp).where("src <> dst").distinct())
+    ends = cut(_in_component(effects.where("function_name IS NOT NULL").select("function_name", "kind", "effect")
+                             .distinct().withColumn("node", F.col("function_name")), "node", comp))
+    starts = cut(_in_component(sources.where("source IS NOT NULL").select("source").distinct()
+                               .withColumn("node", F.col("source")), "node", comp))
+    back = dag.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    live = cut(_closure(ends.select(F.lit(0).alias("source"), "node"), back).select("node"))
+    walked = cut(dag.join(live.select(F.col("node").alias("src")), "src", "left_semi")
+                 .join(live.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst"))
+    begin = starts.select("node").distinct().join(live, "node", "left_semi")
+    reached = _closure(begin.select(F.col("node").alias("source"), "node"), walked)
+    hits = reached.select(F.col("source").alias("start"), "node").join(ends, "node").drop("node")
+    return (starts.join(hits, starts["node"] == hits["start"])
+            .select("source", "function_name", "kind", "effect"))
 
 
 def effects(calls: DataFrame) -> DataFrame:

@@ -27,13 +27,16 @@ e0 AS (SELECT 'Get' || k AS src, 'F' || (k // 2) AS dst FROM p
 e AS (SELECT * FROM e0 WHERE dst IN (SELECT n FROM names))"""
 
 
+def name(prefix, key):
+    return F.concat(F.lit(prefix), key.cast("string"))
+
+
 def go_facts(spark, sf_dir):
     """Go functions and calls extracted once and checkpointed: the audit
     queries read them several times (edges, entry handlers, definitions)."""
-    fns = cut(G.functions(masked(spark, sf_dir)).select("path", "ord", "function_name"))
-    calls = cut(G.calls(G.functions(masked(spark, sf_dir)))
-                .select("path", "function_ord", "function_name", "kind", "callee"))
-    return fns, calls
+    fns = cut(G.functions(masked(spark, sf_dir)))
+    calls = cut(G.calls(fns).select("path", "function_ord", "function_name", "kind", "callee", "full_call"))
+    return fns.select("path", "ord", "function_name"), calls
 
 
 def go_edges(spark, sf_dir, facts=None):
@@ -61,6 +64,35 @@ def q_reachability(spark, sf_dir):
     return A.reachable(edges, src)
 
 
+@register("effect_slice", "K1,G7", f"""
+WITH RECURSIVE {GO_EDGES},
+up AS (SELECT 'F' || (k // 2) AS src, 'F' || k AS dst FROM p WHERE k % 40 = 0
+       UNION SELECT 'F' || (k // 8), 'F' || k FROM p WHERE k % 56 = 0
+       UNION SELECT 'F' || k, 'Get' || (k // 2) FROM p WHERE k % 64 = 0 AND k > 0),
+g AS (SELECT * FROM e UNION SELECT * FROM up),
+r(source, node) AS (
+  SELECT 'Get' || k, 'Get' || k FROM p
+  UNION SELECT r.source, g.dst FROM r JOIN g ON g.src = r.node)
+SELECT source, node AS function_name, kind,
+       CASE kind WHEN 'db' THEN 'db.Query("SELECT * FROM t WHERE id = ?", ' || substr(node, 4) || ')'
+                 ELSE 'part ' || substr(node, 4) || ' not found' END AS effect
+FROM r, (VALUES ('db'), ('error')) v(kind) WHERE node LIKE 'Get%'""")
+def q_effect_slice(spark, sf_dir):
+    facts = go_facts(spark, sf_dir)
+    edges, _ = go_edges(spark, sf_dir, facts)
+    # calls from small functions to large ones: cycles of two and of four, and ways to effects
+    k = F.col("p_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey")
+    up = [part.where(cond).select(name("F", a).alias("src"), name(to, b).alias("dst"))
+          for cond, a, to, b in ((k % 40 == 0, F.floor(k / 2), "F", k), (k % 56 == 0, F.floor(k / 8), "F", k),
+                                 ((k % 64 == 0) & (k > 0), k, "Get", F.floor(k / 2)))]
+    for more in up:
+        edges = edges.unionByName(more)
+    sets = G.function_sets(facts[1]).where(F.col("kind").isin("db", "error"))
+    return A.effect_slice(edges, router_functions(spark, sf_dir, facts).withColumnRenamed("function_name", "source"),
+                          sets.select("function_name", "kind", F.col("value").alias("effect")))
+
+
 @register("backward_slice", "K2", f"""
 WITH RECURSIVE {GO_EDGES},
 f0 AS (SELECT 'F' || k AS src, 'Get' || (k // 2) AS dst FROM p WHERE k % 64 = 0 AND k > 0),
