@@ -9,7 +9,10 @@ walks components of the call graph instead of functions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from codefacts.operators.callgraph import call_base
@@ -37,7 +40,7 @@ def _closure(start: DataFrame, edges: DataFrame) -> DataFrame:
         nxt = (last.join(edges, last["node"] == edges["src"])
                .select("source", F.col("dst").alias("node")).distinct())
         last = cut(nxt.join(seen.select("source", "node"), ["source", "node"], "left_anti")
-                   .withColumn("depth", F.lit(step)))
+                   .withColumn("depth", F.lit(step)), rebalance=False)
         seen = seen.unionByName(last)
         if step % 16 == 0:
             seen = cut(seen)
@@ -212,3 +215,33 @@ def phase_inventory(outputs: dict[str, DataFrame]) -> DataFrame:
         x = df.agg(F.count("*").cast("bigint").alias("n_rows")).select(F.lit(name).alias("artifact"), "n_rows")
         out = x if out is None else out.unionByName(x)
     return out.withColumn("status", F.when(F.col("n_rows") > 0, "done").otherwise("empty"))
+
+
+def run_phases(spark: SparkSession, phases: dict[str, tuple[Callable[[], DataFrame], tuple[str, ...]]],
+               base: str) -> DataFrame:
+    """Run each phase in order, write its table to ``<base>/<phase>`` and
+    return one row per phase: ``(phase, state, n_rows, error)``.
+
+    ``phases`` maps a name to ``(make, needs)``: ``make()`` gives the phase's
+    rows, ``needs`` names phases it builds on. ``done``: written, with the rows
+    counted in the write itself. ``skipped``: an input folder does not exist.
+    ``failed``: a needed phase is not done, or the phase raised an error of
+    Spark's, whose condition is ``error``; the phases that do not need it still
+    run. Other errors are raised.
+    """
+    rows: dict[str, tuple] = {}
+    for name, (make, needs) in phases.items():
+        missing = [x for x in needs if x not in rows or rows[x][1] != "done"]
+        if missing:
+            rows[name] = (name, "failed", None, "NEEDS " + ", ".join(missing))
+            continue
+        written = Observation()
+        try:
+            (make().observe(written, F.count(F.lit(1)).alias("n_rows"))
+             .write.parquet(f"{base.rstrip('/')}/{name}"))
+            rows[name] = (name, "done", written.get.get("n_rows", 0), None)
+        except PySparkException as e:
+            condition = e.getCondition()
+            state = "skipped" if condition == "PATH_NOT_FOUND" else "failed"
+            rows[name] = (name, state, None, condition or type(e).__name__)
+    return spark.createDataFrame(list(rows.values()), "phase string, state string, n_rows bigint, error string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from codefacts.operators import audit as A
@@ -11,11 +13,12 @@ from codefacts.operators import gofacts as G
 from codefacts.operators import linking as L
 from codefacts.plans.corpus_client import component_files, store_files, translator_files
 from codefacts.plans.corpus_go import go_files
-from codefacts.plans.corpus_trace import entry_points, spec_evidence, spec_features
+from codefacts.plans.corpus_trace import entry_points, rule_records, spec_evidence, spec_features
 from codefacts.plans.go_checks import masked
 from codefacts.plans.link_checks import CLIENT_REQ_CTE, api, components, routes
 from codefacts.plans.registry import register
-from codefacts.session import cut
+from codefacts.session import checkpoint_dir, cut
+from codefacts.sources.files import read_source_tree
 from codefacts.sources.tables import table
 
 GO_EDGES = """
@@ -188,3 +191,23 @@ def q_inventory(spark, sf_dir):
         "components": components(spark, sf_dir),
         "routes": routes(spark, sf_dir),
     })
+
+
+@register("phase_states", "P1", """
+WITH rules AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+SELECT 'rules' AS phase, 'done' AS state, (SELECT count(*) FROM rules) AS n_rows, NULL AS error
+UNION ALL SELECT 'client', 'skipped', NULL, 'PATH_NOT_FOUND'
+UNION ALL SELECT 'sizes', 'failed', NULL, 'UNRESOLVED_COLUMN.WITH_SUGGESTION'
+UNION ALL SELECT 'labels', 'failed', NULL, 'NEEDS client, sizes'
+UNION ALL SELECT 'endpoints', 'done', count(DISTINCT l_partkey), NULL FROM (
+  SELECT min(l_partkey) AS l_partkey FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+def q_phase_states(spark, sf_dir):
+    base = f"{checkpoint_dir(spark).rstrip('/')}/phases-{uuid.uuid4().hex}"
+    part = table(spark, sf_dir, "part")
+    return A.run_phases(spark, {
+        "rules": (lambda: rule_records(spark, sf_dir), ()),
+        "client": (lambda: read_source_tree(spark, f"{sf_dir}/no_client", ".vue"), ()),
+        "sizes": (lambda: part.select("p_width"), ()),
+        "labels": (lambda: part, ("rules", "client", "sizes")),
+        "endpoints": (lambda: spark.read.parquet(f"{base}/rules").select("partkey").distinct(), ("rules",)),
+    }, base)

@@ -50,12 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut(df):
+def cut(df, rebalance=True):
     """Checkpoint ``df`` into the shared checkpoint folder and return the
     checkpointed DataFrame (lineage cut, survives executor loss).
 
     Loops that union several branches of the previous step would multiply its
     partitions each round; the rows are dealt out anew, into as many partitions
-    as their size asks for (adaptive execution decides)."""
+    as their size asks for (adaptive execution decides). ``rebalance=False`` saves
+    that shuffle where the last step of ``df`` is a join or an aggregation."""
     checkpoint_dir(df.sparkSession)
-    return df.hint("rebalance").checkpoint(eager=True)
+    return (df.hint("rebalance") if rebalance else df).checkpoint(eager=True)

@@ -91,3 +91,96 @@ def test_no_machine_local_folder_on_a_cluster():
     context = N(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(N(sparkContext=context, conf=conf))
+
+
+def test_versions(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from codefacts.sources import versions as V
+    base = tempfile.mkdtemp(prefix="codefacts-versions-")
+    assert V.current_version(spark, base, "rules") is None
+    with pytest.raises(FileNotFoundError):
+        V.read_current(spark, base, "rules")
+    one = spark.createDataFrame([("r1", 1), ("r2", 2), (None, 3)], "rule_id string, n int")
+    assert V.publish(one, base, "rules") == 1
+    old = V.read_current(spark, base, "rules")
+    # a write that fails leaves the version that was current
+    with pytest.raises(PySparkException):
+        V.publish(old.select(F.raise_error(F.lit("broken")).alias("x")), base, "rules")
+    assert V.current_version(spark, base, "rules")[0] == 1
+    # a reader in the middle of the next write (rows written, not published) sees the old version
+    V.upsert(old, one, "rule_id").write.parquet(base + "/rules/data/v-unpublished")
+    assert V.read_current(spark, base, "rules").count() == 3
+    changes = spark.createDataFrame([("r2", "x"), ("r9", "y"), (None, "z")], "rule_id string, extra string")
+    new = V.upsert(old, changes, "rule_id")
+    assert V.publish(new, base, "rules", after=1) == 2
+    rows = {tuple(r) for r in V.read_current(spark, base, "rules").select("rule_id", "n", "extra").collect()}
+    assert rows == {("r1", 1, None), ("r2", None, "x"), ("r9", None, "y"), (None, 3, None), (None, None, "z")}
+    assert old.count() == 3                                     # a reader stays on the version it opened
+    with pytest.raises(V.VersionConflict):                      # made from version 1, but 2 is there
+        V.publish(one, base, "rules", after=1)
+    assert V.current_version(spark, base, "rules")[0] == 2
+    assert V.publish(one.limit(0), base, "rules") == 3 and V.read_current(spark, base, "rules").count() == 0
+
+
+def _files(root):
+    return sorted(os.path.relpath(os.path.join(d, f), root) for d, _, fs in os.walk(root) for f in fs)
+
+
+def test_mirrored_documents(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import Row
+
+    from codefacts.sources import mirror as M
+    root = tempfile.mkdtemp(prefix="codefacts-mirror-") + "/out"
+    docs = [("a/x.go", '{"file_path": "a/x.go", "n": 1}'), ("/b/c/y.go", '{"file_path": "é", "n": 2}'), ("z.go", "{}"),
+            (None, "{}"), ("q.go", None)]
+    df = spark.createDataFrame(docs, "file_path string, document string").repartition(3)
+    M.write_mirrored(df, root)
+    want = ["_SUCCESS", "a/x.go.json", "b/c/y.go.json", "z.go.json"]
+    assert _files(root) == want and os.listdir(root).count("_staging") == 0
+    assert open(root + "/_SUCCESS").read() == "3"
+    back = SF.read_json_docs(spark, root, "file_path string, n int")
+    assert sorted((r.file_path or "", r.n or 0) for r in back.collect()) == [("", 0), ("a/x.go", 1), ("é", 2)]
+    M.write_mirrored(df, "file://" + root)                      # again, by URI: the same tree
+    assert _files(root) == want
+    with pytest.raises(PySparkException):
+        M.write_mirrored(spark.createDataFrame([("../up.go", "{}")], "file_path string, document string"), root)
+    assert _files(root) == want and not os.path.exists(os.path.dirname(root) + "/up.go.json")
+
+    # a task that dies in the middle leaves whole documents and no visible half; its next try ends the work
+    other = tempfile.mkdtemp(prefix="codefacts-mirror-")
+    w = M.MirrorWriter(other)
+
+    def dying():
+        yield Row(path="a.go", document="{}")
+        raise OSError("lost")
+    with pytest.raises(OSError):
+        w.write(dying())
+    assert [f for f in _files(other) if not f.startswith("_")] == ["a.go.json"]
+    done = w.write(iter([Row(path="a.go", document="{}"), Row(path="b.go", document="{}")]))
+    w.commit([done, None])
+    assert _files(other) == ["_SUCCESS", "a.go.json", "b.go.json"] and open(other + "/_SUCCESS").read() == "2"
+    w.abort([])
+
+
+def test_phase_states(spark):
+    from codefacts.operators import audit as A
+    base = tempfile.mkdtemp(prefix="codefacts-phases-")
+    words = spark.createDataFrame([("1",), ("x",)], "w string")
+    rows = A.run_phases(spark, {
+        "words": (lambda: words, ()),
+        "none": (lambda: words.where("w = 'q'"), ()),
+        "absent": (lambda: SF.read_source_tree(spark, base + "/nowhere", ".go"), ()),
+        "broken": (lambda: words.select(F.expr("CAST(w AS int)").alias("n")), ("words",)),     # fails while writing
+        "after": (lambda: words, ("broken",)),
+        "early": (lambda: words, ("later",)),
+        "later": (lambda: spark.read.parquet(base + "/words"), ("words", "none")),
+    }, base).collect()
+    assert [tuple(r) for r in rows] == [
+        ("words", "done", 2, None), ("none", "done", 0, None), ("absent", "skipped", None, "PATH_NOT_FOUND"),
+        ("broken", "failed", None, "CAST_INVALID_INPUT"), ("after", "failed", None, "NEEDS broken"),
+        ("early", "failed", None, "NEEDS later"), ("later", "done", 2, None)]
+    assert A.run_phases(spark, {}, base).count() == 0
