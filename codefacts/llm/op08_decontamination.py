@@ -1,17 +1,17 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-1. Windows. A window as similar to an item as asked for shares at least one of
-   the item's shingles with it, so only windows laid over a document in such a
-   way that a shared shingle falls on its place in the item can qualify; each
-   has the item's number of words. Shingles are five words (the whole item if it
-   is shorter), over all positions of all documents.
+1. Windows. Of all windows with an item's number of words those are kept that
+   can qualify at all: at similarity ``t`` a window of ``w`` shingles and an item
+   of ``m`` share at least ``t / (1 + t) * (w + m)``, so a window stays if it holds
+   that many shingles of items of its size, in any order. Shingles are five words
+   (the whole item if it is shorter), over all positions of all documents.
 2. Fingerprints. Each window and item gets a 64-bit SimHash of its words,
    weighted by their counts.
-3. Multi-index. The fingerprint is eight blocks of a byte. Within ``radius`` =
-   15 bits some block differs by one bit at most; items are entered under each
-   block's byte and its eight neighbours, windows are looked up by their own
-   bytes, so every item within the radius is found, also others than those that
-   laid the window.
+3. Multi-index. The fingerprint is four blocks of 16 bits. Within ``radius`` =
+   15 bits some block differs by three bits at most; items are entered under each
+   block's value and its neighbours within three bits, each different fingerprint
+   of the windows is looked up once by its own values, so every item within the
+   radius is found, also of other sizes.
 4. Verification. Exact weighted Jaccard similarity of the shingles,
    sum of minimum counts over sum of maximum counts, at least ``similarity``.
 
@@ -33,7 +33,9 @@ from codefacts.llm.spans import few
 NOT_WORD = r"[^\p{L}\p{N}]++"
 SHINGLE = 5
 RADIUS = 15
-BLOCKS = 8
+BLOCKS = 4
+WIDTH = 64 // BLOCKS
+FLIPS = 3
 
 
 def words(text: Column) -> Column:
@@ -79,23 +81,36 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _block(fp: Column, b: int) -> Column:
-    return F.shiftrightunsigned(fp, 8 * b).bitwiseAND(F.lit(255))
+    return F.shiftrightunsigned(fp, WIDTH * b).bitwiseAND(F.lit((1 << WIDTH) - 1))
 
 
-def _windows(texts: DataFrame, items: DataFrame, broadcast_rows: int) -> DataFrame:
-    """``k, start, n``: item-sized windows laid over shared shingles."""
+def _windows(texts: DataFrame, items: DataFrame, similarity: float, broadcast_rows: int) -> DataFrame:
+    """``k, n, starts``: the item-sized windows that share enough shingles with items of their size."""
     sizes = [r[0] for r in items.select(F.least("n", F.lit(SHINGLE))).distinct().collect()]   # five values at most
-    offsets = items.select("n", F.posexplode("sh").alias("offset", "sh")).distinct()
-    offsets = few(offsets, broadcast_rows)
+    known = few(pin(items.select("n", F.explode("sh").alias("sh")).distinct()), broadcast_rows)
     hashes = texts.select("k", _hashes(F.col("text")).alias("wh"))
-    where = None
+    hits = None
     for s in sizes:
         at = hashes.select("k", F.size("wh").alias("len"), F.posexplode(shingles(F.col("wh"), s)).alias("pos", "sh"))
-        hit = at.join(offsets.where(F.least("n", F.lit(SHINGLE)) == s), "sh")
-        start = F.greatest(F.least(F.col("pos") - F.col("offset"), F.col("len") - F.col("n")), F.lit(0))
-        hit = hit.select("k", start.alias("start"), "n")
-        where = hit if where is None else where.unionByName(hit)
-    return None if where is None else where.distinct()
+        hit = at.join(known.where(F.least("n", F.lit(SHINGLE)) == s), "sh").select("k", "n", "len", "pos")
+        hits = hit if hits is None else hits.unionByName(hit)
+    if hits is None:
+        return None
+    one = F.least("n", F.lit(SHINGLE)) - 1
+    own = F.least("n", "len") - one                     # shingles of a window
+    need = F.ceil(similarity / (1 + similarity) * (F.col("n") - one + own) - 1e-6).cast("int")
+    spans = (hits.groupBy("k", "n").agg(F.min("len").alias("len"), F.sort_array(F.collect_set("pos")).alias("at"))
+             .select("*", own.alias("own"), F.greatest(need, F.lit(1)).alias("need")).where(F.size("at") >= F.col("need")))
+
+    def starts(at):
+        def run(i):
+            # windows that hold the hits i to i + need - 1 and not the hit before
+            first, last = at[i], at[i + F.col("need") - 1]
+            low = F.greatest(last - F.col("own") + 1, F.when(i > 0, at[F.greatest(i - 1, F.lit(0))] + 1).otherwise(0), F.lit(0))
+            high = F.least(first, F.greatest(F.col("len") - F.col("n"), F.lit(0)))
+            return F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(at) - F.col("need")), run))
+    return spans.select("k", "n", let(F.col("at"), starts).alias("starts")).where(F.size("starts") > 0)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = RADIUS,
@@ -103,16 +118,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     """``doc_id, item_id, start_word, n_words, similarity, distance`` and the row key ``k``:
     the best window for each pair of a document and an item that it holds."""
     if not 0 <= radius <= RADIUS:
-        raise ValueError("one flipped bit in one of eight blocks is exact for a radius up to 15")
+        raise ValueError("three flipped bits in one of four blocks are exact for a radius up to 15")
     items = pin(_items(benchmark))
     texts = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("k"), "text").where("text is not null")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    where = _windows(texts, items, broadcast_rows)
+    where = _windows(texts, items, similarity, broadcast_rows)
     if where is None:
         empty = (f"doc_id {kind}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, start_word int, "
                  f"n_words int, similarity double, distance int, k struct<doc_id:{kind},h:bigint>")
         return docs.sparkSession.createDataFrame([], empty)
-    laid = few(pin(where.groupBy("k").agg(F.collect_list(F.struct("start", "n")).alias("laid"))), broadcast_rows)
+    laid = pin(where.groupBy("k").agg(F.flatten(F.collect_list(F.transform("starts", lambda s: F.struct(
+        s.alias("start"), F.col("n").alias("n"))))).alias("laid")))
+    n_laid = laid.agg(F.coalesce(F.sum(F.size("laid") + 1), F.lit(0))).first()[0]     # bounds the bytes, not only the rows
+    laid = F.broadcast(laid) if n_laid <= broadcast_rows else laid
     cut = (texts.join(laid, "k").dropDuplicates(["k"])
            .select("k", _hashes(F.col("text")).alias("wh"), "laid")
            .select("k", F.explode(F.transform("laid", lambda w: F.struct(
@@ -122,20 +140,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     windows = pin(cut.select("k", "start", "n", let(F.col("wh"), simhash).alias("fp"),
                              let(F.col("wh"), _own_shingles).alias("sh")))
 
+    masks = ",".join(str(x) for x in range(1 << WIDTH) if x.bit_count() <= FLIPS)
+
     def neighbours(b):
-        near = F.array(F.lit(0), *[F.lit(1 << i) for i in range(8)])
-        return F.transform(near, lambda flip: F.struct(
+        return F.transform(F.expr(f"array({masks})").cast("array<bigint>"), lambda flip: F.struct(
             F.lit(b).alias("b"), _block(F.col("item_fp"), b).bitwiseXOR(flip).alias("v")))
     entered = items.select("item", let(F.col("wh"), simhash).alias("item_fp"), F.size("sh").alias("n_item"))
     entered = entered.select("*", F.explode(F.flatten(F.array(*map(neighbours, range(BLOCKS))))).alias("e"))
     entered = entered.select("item", "item_fp", "n_item", "e.b", "e.v")
-    looked = windows.select("k", "start", "n", "fp", F.explode(F.array(*[
+    looked = windows.select("fp").distinct().select("fp", F.explode(F.array(*[
         F.struct(F.lit(b).alias("b"), _block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])).alias("e"))
-    looked = looked.select("k", "start", "n", "fp", "e.b", "e.v")
+    looked = looked.select("fp", "e.b", "e.v")
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    pairs = (looked.join(few(entered, broadcast_rows), (looked["b"] == entered["b"]) & (looked["v"] == entered["v"])
-                         & (apart <= radius))
-             .select("k", "start", "n", "item", "n_item", apart.alias("distance")).distinct())
+    found = (entered.join(few(pin(looked), broadcast_rows), ["b", "v"]).where(apart <= radius)
+             .select("fp", "item", "n_item", apart.alias("distance")).distinct())
+    pairs = windows.select("k", "start", "n", "fp").join(few(pin(found), broadcast_rows), "fp").drop("fp")
 
     counts = (items.select("item", F.explode("sh").alias("sh")).groupBy("item", "sh")
               .agg(F.count(F.lit(1)).alias("c_item")))

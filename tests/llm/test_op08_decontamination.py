@@ -79,6 +79,29 @@ def test_edits_short_items_and_repeats(spark):
     assert got(spark, docs, items, broadcast_rows=0) == pytest.approx(want)
 
 
+def test_moved_parts_of_an_item_are_found(spark):
+    rnd = random.Random(9)
+    w = lambda n: ["w%d" % rnd.randrange(5000) for _ in range(n)]
+    items = [w(n) for n in (60, 120, 121, 300)]
+    docs = []
+    for q in items:
+        for cut in (len(q) // 2, len(q) // 3, len(q) - 20):
+            docs.append((len(docs), " ".join(w(50) + q[cut:] + q[:cut] + w(50))))
+    docs.append((len(docs), " ".join(items[1][60:] + items[1][:60])))
+    items = [(j, " ".join(q)) for j, q in enumerate(items)]
+    want = brute(docs, items)
+    assert len(want) == len(docs) and max(want.values()) < .98
+    assert got(spark, docs, items) == pytest.approx(want)
+
+
+def test_documents_of_one_repeated_passage(spark):
+    item = " ".join("v%d" % i for i in range(40))
+    docs = [(1, (item + " ") * 50), (2, " ".join(item.split()[:37])), (3, " ".join(item.split()[:30])), (4, "v1 v2 v3 v4 v5")]
+    want = brute(docs, [(7, item)])
+    assert set(want) == {(1, 7), (2, 7)}
+    assert got(spark, docs, [(7, item)]) == pytest.approx(want)
+
+
 def test_removal_keeps_rows_and_columns(spark):
     docs, items = planted()
     d = spark.createDataFrame([(i, t, "c") for i, t in docs] + [(None, None, "c")], "doc_id long, text string, row string")
