@@ -3,41 +3,36 @@
 Find, for every needle ``u``, the key ``k`` with the least ``key_ord`` such
 that ``u`` occurs in ``k``. A plain ``contains`` condition plans as a
 broadcast nested-loop join, which does not survive large inputs on either
-side. Instead both sides get an equality key:
+side. Instead every needle is looked up by its rarest gram:
 
-* needles that contain ``/``: ``u = a + r`` with ``r`` starting at the first
-  ``/``; ``r = dir + last`` with ``dir`` ending at its last ``/``. Any
-  occurrence of ``u`` in ``k`` puts ``r`` at some ``/`` of ``k`` and ``dir``
-  ends at a later ``/``. Keys therefore emit every slash-aligned piece
-  ``k[j:e]`` (``k[j] = k[e-1] = '/'``) extended by 0..``PROBE`` following
-  characters; the needle's join key is ``dir`` plus the first ``PROBE``
-  characters of ``last``. The residual test checks the whole needle at
-  ``j - len(a)``.
-* needles without ``/``: keys emit their ``q``-grams (``q = 1..Q``) with
-  positions; the needle joins on its first ``min(len, Q)`` characters and the
-  residual checks the whole needle at that position.
+1. Grams. A needle is cut into all its grams of the largest size in ``SIZES``
+   that fits it; keys are cut into grams of the sizes that needles use, one row
+   per position and size, so rows grow with a key's length only.
+2. Counts. How often each gram occurs in the keys is counted (pre-aggregated
+   before the shuffle). A needle with a gram that no key holds occurs nowhere
+   and goes no further.
+3. Lookup. Each needle meets the keys at its rarest gram alone, and the whole
+   needle is compared where it would have to start.
 
-Both joins are equi-joins (hash or sort-merge, chosen by AQE); the candidate
-rows per key grow with the number of slashes squared, not with the number of
-needles.
+All joins are equi-joins (hash or sort-merge, chosen by AQE; hot grams can be
+split, the joins are inner). Grams are compared by hash, the needle by text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PROBE = 4
-QGRAM = 3
-MAX_LEN = 1 << 20
+SIZES = (1, 2, 4, 8, 16)
 
 
-def _slash_positions(col):
-    """1-based positions of every ``/`` in ``col``."""
-    return F.transform(F.filter(F.arrays_zip(F.split(col, "", -1).alias("ch"),
-                                             F.sequence(F.lit(1), F.greatest(F.length(col), F.lit(1))).alias("i")),
-                                lambda x: x["ch"] == "/"),
-                       lambda x: x["i"])
+def _grams(text: Column, size: Column) -> Column:
+    """``array<struct<at, g>>``: 1-based position and hash of every gram of ``size`` characters."""
+    def cut(chars):
+        at = F.sequence(F.lit(1), F.greatest(F.size(chars) - size + 1, F.lit(1)))
+        return F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(chars, i, size)).alias("g")))
+    # the characters are split once, not once per gram
+    return F.transform(F.array(F.split(text, "", -1)), cut)[0]
 
 
 def first_containing(needles: DataFrame, keys: DataFrame, needle_id: str = "needle_id",
@@ -48,46 +43,27 @@ def first_containing(needles: DataFrame, keys: DataFrame, needle_id: str = "need
     ``needles(needle_id, needle)``; ``keys(key, key_ord, value)``. Empty
     needles match nothing.
     """
-    n = needles.select(F.col(needle_id).alias("_nid"), F.col(needle).alias("_u")) \
-        .where(F.col("_u").isNotNull() & (F.length("_u") > 0))
-    k = keys.select(F.col(key).alias("_k"), F.col(key_ord).alias("_ko"), F.col(payload).alias("_v"))
-
-    # ---- needles with a slash
-    ns = n.where(F.col("_u").contains("/"))
-    i = F.instr("_u", "/")
-    r = F.col("_u").substr(i, F.lit(MAX_LEN))
-    rlen = F.length(r)
-    last_slash = rlen - F.instr(F.reverse(r), "/") + 1
-    rdir = r.substr(F.lit(1), last_slash)
-    rlast = r.substr(last_slash + 1, F.lit(MAX_LEN))
-    ns = ns.select("_nid", "_u", (i - 1).alias("_alen"),
-                   F.concat(rdir, rlast.substr(F.lit(1), F.lit(PROBE))).alias("_jk"))
-    sp = _slash_positions(F.col("_k"))
-    ks = (k.select("_k", "_ko", "_v", sp.alias("_sp"))
-          .select("_k", "_ko", "_v", "_sp", F.explode("_sp").alias("_j"))
-          .select("_k", "_ko", "_v", "_j", F.explode(F.filter("_sp", lambda e: e >= F.col("_j"))).alias("_e"))
-          .select("_k", "_ko", "_v", "_j",
-                  F.explode(F.sequence(F.lit(0), F.lit(PROBE))).alias("_c"), "_e")
-          .where(F.col("_e") + F.col("_c") <= F.length("_k"))
-          .select("_k", "_ko", "_v", "_j",
-                  F.col("_k").substr(F.col("_j"), F.col("_e") - F.col("_j") + 1 + F.col("_c")).alias("_jk")))
-    m1 = (ns.join(ks, "_jk")
-          .where((F.col("_j") - F.col("_alen") >= 1)
-                 & (F.col("_k").substr(F.col("_j") - F.col("_alen"), F.length("_u")) == F.col("_u")))
-          .select("_nid", "_ko", "_v"))
-
-    # ---- needles without a slash
-    nq = n.where(~F.col("_u").contains("/"))
-    nq = nq.select("_nid", "_u", F.col("_u").substr(F.lit(1), F.lit(QGRAM)).alias("_g"))
-    kq = (k.select("_k", "_ko", "_v", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_k"), F.lit(1)))).alias("_p"))
-          .select("_k", "_ko", "_v", "_p", F.explode(F.sequence(F.lit(1), F.lit(QGRAM))).alias("_q"))
-          .where(F.col("_p") + F.col("_q") - 1 <= F.length("_k"))
-          .select("_k", "_ko", "_v", "_p", F.col("_k").substr(F.col("_p"), F.col("_q")).alias("_g")))
-    m2 = (nq.join(kq, "_g")
-          .where(F.col("_k").substr(F.col("_p"), F.length("_u")) == F.col("_u"))
-          .select("_nid", "_ko", "_v"))
-
-    return (m1.unionByName(m2).groupBy("_nid")
+    size = F.lit(SIZES[0])
+    for s in SIZES[1:]:
+        size = F.when(F.length("_u") >= s, s).otherwise(size)
+    n = (needles.select(F.col(needle_id).alias("_nid"), F.col(needle).alias("_u"))
+         .where(F.col("_u").isNotNull() & (F.length("_u") > 0)).withColumn("_q", size))
+    used = sorted(r[0] for r in n.select("_q").distinct().collect())      # at most one value per size
+    k = (keys.where(F.col(key).isNotNull())
+         .select(F.col(key).alias("_k"), F.col(key_ord).alias("_ko"), F.col(payload).alias("_v"))
+         .withColumn("_q", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
+         .where(F.length("_k") >= F.col("_q")))
+    held = k.select("_k", "_ko", "_v", "_q", F.inline(_grams(F.col("_k"), F.col("_q"))))
+    counts = held.groupBy("_q", "g").agg(F.count(F.lit(1)).alias("_c"))
+    own = n.select("_nid", "_u", "_q", F.inline(_grams(F.col("_u"), F.col("_q"))))
+    rarest = (own.join(counts, ["_q", "g"])
+              .groupBy("_nid", "_u", "_q").agg(F.count(F.lit(1)).alias("_found"),
+                                               F.min_by(F.struct("at", "g"), F.struct("_c", "at")).alias("_r"))
+              .where(F.col("_found") == F.length("_u") - F.col("_q") + 1)
+              .select("_nid", "_u", "_q", F.col("_r.at").alias("_at"), F.col("_r.g").alias("g")))
+    start = F.col("at") - F.col("_at") + 1
+    hit = rarest.join(held, ["_q", "g"]).where((start >= 1) & (F.col("_k").substr(start, F.length("_u")) == F.col("_u")))
+    return (hit.groupBy("_nid")
             .agg(F.min_by(F.struct("_v", "_ko"), "_ko").alias("_w"))
             .select(F.col("_nid").alias(needle_id), F.col("_w._v").alias(payload),
                     F.col("_w._ko").alias(key_ord)))

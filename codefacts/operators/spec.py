@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codefacts.sources.documents import list_items, value_at
+
 # ----------------------------------------------------------------------------
 # Reference patterns (matched at the start of the text only)
 # ----------------------------------------------------------------------------
@@ -17,6 +19,29 @@ RX_RULE_REF = r"^EP-\d+-R-\d+"
 RX_EP_PREFIX = r"^(EP-\d+)"
 
 
+def spec_features(docs: DataFrame) -> DataFrame:
+    """``(source_file, domain, ord, fr_id, feature)`` of the structured spec
+    documents ``(source_file, document)``; ``ord`` is the pair of positions of
+    domain and feature."""
+    domains = list_items(docs.select("source_file", "document"), "document", "$.structured_spec.domains", "d", "entry")
+    features = list_items(domains.select("source_file", "d", "entry"), "entry", "$.features", "f", "feature")
+    return features.select("source_file", value_at("entry", "$.name").alias("domain"), F.struct("d", "f").alias("ord"),
+                           value_at("feature", "$.fr_id").alias("fr_id"), "feature")
+
+
+def spec_evidence(features: DataFrame) -> DataFrame:
+    """``(fr_id, ref_ord, ref)`` of the features' references in list order;
+    entries that are no text are left out, positions count them."""
+    refs = list_items(features.select("fr_id", "feature"), "feature", "$.evidence_refs", "ref_ord", "entry")
+    return refs.select("fr_id", "ref_ord", value_at("entry", "$").alias("ref")).where("ref is not null")
+
+
+def spec_cross_cutting(docs: DataFrame) -> DataFrame:
+    """``(source_file, ord, xc_id)`` of the cross-cutting items."""
+    items = list_items(docs.select("source_file", "document"), "document", "$.structured_spec.cross_cutting")
+    return items.select("source_file", "ord", value_at("item", "$.xc_id").alias("xc_id"))
+
+
 def rule_lookup(rule_schemas: DataFrame) -> DataFrame:
     """rule id -> record; a repeated id keeps its last record."""
     return (rule_schemas.groupBy("rule_id")
@@ -34,7 +59,7 @@ def first_rule_per_endpoint(rule_schemas: DataFrame) -> DataFrame:
 
 
 def resolve_features(features: DataFrame, evidence: DataFrame, rule_schemas: DataFrame) -> DataFrame:
-    """Per feature the matched rule and its schema roots.
+    """Per feature the matched rule and its schema roots.
 
     Tier 1: the first reference that looks like a rule id and exists. Tier 2
     (only when tier 1 found nothing): the first reference whose ``EP-n``

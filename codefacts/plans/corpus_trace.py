@@ -14,6 +14,10 @@ and "spec and evidence").
 * ``spec_evidence`` - one reference per order, from the rule of its least
   line number: the rule id when o % 7 = 0, ``EP-<p>`` when o % 7 in (1, 2),
   a rule-like id that does not exist when o % 7 = 3, else ``DG-<o>``.
+* ``spec_files`` - one JSON document per 16 customers: their domains, features
+  and references; no list of references when c % 9 = 0, null when c % 11 = 0,
+  an entry that is no text in front when c % 5 = 0; no cross-cutting items when
+  the file's number % 4 = 1; cut off in the middle when it is % 4 = 3.
 """
 
 from __future__ import annotations
@@ -83,6 +87,29 @@ def spec_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ok.alias("ref_ord"), ref.alias("ref"))
 
 
+def spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(file_path, document)``."""
+    refs = spec_evidence(spark, sf_dir).groupBy("fr_id").agg(
+        F.array_sort(F.collect_list(F.struct("ref_ord", "ref")))["ref"].alias("refs"))
+    f = spec_features(spark, sf_dir).join(refs, "fr_id", "left")
+    c = F.col("ord")
+    texts = F.transform(F.coalesce("refs", F.array().cast("array<string>")), lambda r: F.concat(F.lit('"'), r, F.lit('"')))
+    listed = F.concat(F.lit(',"evidence_refs":['), F.array_join(F.when(c % 5 == 0, F.concat(
+        F.array(F.lit('{"no":["text"]}')), texts)).otherwise(texts), ","), F.lit("]"))
+    listed = F.when(c % 9 == 0, "").when(c % 11 == 0, ',"evidence_refs":null').otherwise(listed)
+    f = f.select(F.floor(c / 16).alias("n"), "domain", "ord",
+                 F.concat(F.lit('{"fr_id":"'), "fr_id", F.lit('"'), listed, F.lit("}")).alias("text"))
+    d = f.groupBy("n", "domain").agg(F.array_sort(F.collect_list(F.struct("ord", "text")))["text"].alias("features"))
+    d = d.select("n", "domain", F.concat(F.lit('{"name":"'), "domain", F.lit('","features":['),
+                                         F.array_join("features", ","), F.lit("]}")).alias("text"))
+    g = d.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("domain", "text")))["text"].alias("domains"))
+    n = F.col("n").cast("string")
+    crossing = F.when(F.col("n") % 4 == 1, "").otherwise(F.concat(F.lit(',"cross_cutting":[{"xc_id":"XC-'), n, F.lit('"}]')))
+    text = F.concat(F.lit('{"structured_spec":{"domains":['), F.array_join("domains", ","), F.lit("]"), crossing, F.lit("}}"))
+    text = F.when(F.col("n") % 4 == 3, text.substr(F.lit(1), F.floor(F.length(text) / 2).cast("int"))).otherwise(text)
+    return g.select(F.concat(F.lit("spec/c"), n).alias("file_path"), text.alias("document"))
+
+
 def param_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Handler overrides for parts of size 1: ``get<k>`` -> ``Get<k>Resp`` when
     k is even, else "no request struct"."""

@@ -165,6 +165,21 @@ def test_containment_matches_brute_force(spark):
         assert got.get(i) == exp, (n, exp, got.get(i))
 
 
+def test_containment_of_long_needles(spark):
+    rnd = random.Random(11)
+    part = lambda: rnd.choice(["/api", "/v1", "/user", "/ü😀", "/list", ":id", "/a"])
+    keys = ["".join(part() for _ in range(rnd.randint(1, 15))) for _ in range(80)] + ["/api" * 500, "", None]
+    needles = [k[rnd.randrange(len(k)):][:rnd.randint(1, 40)] for k in keys[:81] for _ in range(2)]
+    needles += ["/api" * 499 + "/v", "nowhere", "/api/v1/nothing/of/the/kind", "", None, "api" * 600]
+    kdf = spark.createDataFrame([(k, i, f"v{i}") for i, k in enumerate(keys)], "key string, key_ord int, value string")
+    ndf = spark.createDataFrame(list(enumerate(needles)), "needle_id int, needle string")
+    got = {r.needle_id: (r.value, r.key_ord) for r in first_containing(ndf, kdf).collect()}
+    want = {i: next(((f"v{j}", j) for j, k in enumerate(keys) if k and n in k), None) for i, n in enumerate(needles) if n}
+    assert got == {i: w for i, w in want.items() if w}
+    assert first_containing(ndf.where("needle is null"), kdf).collect() == []
+    assert first_containing(ndf, kdf.where("key is null")).collect() == []
+
+
 def test_reachability_matches_brute_force(spark):
     rnd = random.Random(3)
     edges = {(f"n{rnd.randint(0, 30)}", f"n{rnd.randint(0, 30)}") for _ in range(70)}

@@ -184,3 +184,30 @@ def test_phase_states(spark):
         ("broken", "failed", None, "CAST_INVALID_INPUT"), ("after", "failed", None, "NEEDS broken"),
         ("early", "failed", None, "NEEDS later"), ("later", "done", 2, None)]
     assert A.run_phases(spark, {}, base).count() == 0
+
+
+def test_documents_of_unknown_shape(spark):
+    from codefacts.operators import spec as SP
+    from codefacts.sources import documents as D
+    root = tempfile.mkdtemp(prefix="codefacts-docs-")
+    _tree(root, {
+        "a.json": '{"structured_spec": {"domains": [{"name": "d", "features": [{"fr_id": "FR-1", "evidence_refs": ["x", 7, null, "EP-1"]},'
+                  '{"fr_id": "FR-2"}, {"fr_id": 3, "evidence_refs": {"0": "EP-1"}}, "odd"]}, {"name": "e", "features": null}],'
+                  '"cross_cutting": [{"xc_id": "XC-1"}, {}]}}',
+        "deep/b.json": '{"structured_spec": {"domains": "none"}}', "c.json": " ", "d.json": '{"structured_spec": ', "e.json": "null",
+        "f.json": "[1, 2]", "g.txt": "{}"})
+    docs = D.read_documents(spark, root)
+    assert {r.source_file: r.broken for r in docs.select("source_file", "broken").collect() if r.broken is not None} == {
+        "c.json": " ", "d.json": '{"structured_spec": '}
+    assert docs.count() == 6
+    features = SP.spec_features(docs)
+    assert sorted((r.source_file, r.domain, tuple(r.ord), r.fr_id) for r in features.drop("feature").collect() if r.fr_id) == [
+        ("a.json", "d", (0, 0), "FR-1"), ("a.json", "d", (0, 1), "FR-2"), ("a.json", "d", (0, 2), "3")]
+    refs = SP.spec_evidence(features).collect()
+    assert sorted((r.fr_id, r.ref_ord, r.ref) for r in refs) == [("FR-1", 0, "x"), ("FR-1", 1, "7"), ("FR-1", 3, "EP-1")]
+    crossing = SP.cross_cutting(SP.spec_cross_cutting(docs)).collect()
+    assert [(r.ord, r.xc_id, r.request_struct, r.response_struct) for r in sorted(crossing, key=lambda r: r.ord)] == [
+        (0, "XC-1", None, None), (1, None, None, None)]
+    whole = D.list_items(docs.select("source_file", "document"), "document", "$")
+    assert sorted((r.source_file, r.ord, r.v) for r in whole.select(
+        "source_file", "ord", D.value_at("item", "$", "int").alias("v")).collect()) == [("f.json", 0, 1), ("f.json", 1, 2)]
