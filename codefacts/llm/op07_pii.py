@@ -7,7 +7,8 @@ of the IC(e) = -ln p(e) there is to know. A term that tells at least
 ``disclose`` of IC(e) is generalised, one that tells all of it (it never occurs
 without the entity) is removed, wherever it occurs. Probabilities are shares of
 all lines; a pair is believed from ``support`` different lines on, so copies of
-one line prove nothing.
+one line prove nothing. A term holds a letter: runs of digits are mostly parts of
+other numbers.
 
 Only lines with an identifier yield (term, entity) pairs; the corpus is then
 counted for the terms of believed pairs.
@@ -67,7 +68,7 @@ def _lines(texts: DataFrame) -> DataFrame:
 
 
 def _terms(line: Column, min_chars: int) -> Column:
-    words = F.filter(F.split(F.lower(line), NOT_TERM), lambda w: F.length(w) >= min_chars)
+    words = F.filter(F.split(F.lower(line), NOT_TERM), lambda w: (F.length(w) >= min_chars) & w.rlike(r"\p{L}"))
     return F.array_distinct(words)
 
 
@@ -98,7 +99,8 @@ def disclosing_terms(texts: DataFrame, support: int = 2, disclose: float = 0.9,
               .join(candidates, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
     n_e = entities.groupBy("kind", "entity").agg(F.sum("n_lines").alias("n_e"))
     n = lines.count()
-    told = F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(n) / F.col("n_e"))
+    n_te, n_t, of_entity = (F.col(c).cast("double") for c in ("n_te", "n_t", "n_e"))   # products of counts outgrow a long
+    told = F.log(n_te * float(n) / (n_t * of_entity)) / F.log(F.lit(float(n)) / of_entity)
     return (pairs.join(counts, "term").join(n_e, ["kind", "entity"]).where(F.col("n_e") < n)
             .groupBy("term").agg(F.max(told).alias("share")).where(F.col("share") >= disclose))
 

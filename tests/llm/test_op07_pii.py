@@ -116,6 +116,15 @@ def test_disclosing_terms_against_brute_force(spark, corpus):
         assert have == pytest.approx(brute_terms(rows, support, disclose)), (support, disclose)
 
 
+def test_runs_of_digits_are_no_terms(spark):
+    rows = [(i, f"case 77105 of kv7 for Wexford, mail a.b@corp.example {'abcd'[i]}") for i in range(4)]
+    rows += [(9, "77105 kv7 wexford"), (10, "case of mail for"), *[(20 + i, "nothing here") for i in range(30)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r.term for r in P.disclosing_terms(P.keyed(df), 2, .8).collect()}
+    assert terms == {"kv7", "wexford", "case", "for", "mail"}
+    assert {r.doc_id: r.spans for r in P.scan(df, disclose=.8).collect()}[9] == "term:6:9,term:10:17"
+
+
 def test_terms_are_spans_wherever_they_occur(spark, corpus):
     spans = {r.doc_id: r.spans for r in P.scan(corpus, disclose=.85).collect()}
     assert spans[300] == "term:5:12,term:27:34"
