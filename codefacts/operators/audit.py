@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from codefacts.operators.callgraph import call_base
-from codefacts.session import cut
+from codefacts.session import cut, shuffled
 
 
 def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
@@ -37,9 +37,9 @@ def _closure(start: DataFrame, edges: DataFrame) -> DataFrame:
     seen, step = last, 0
     while not last.isEmpty():
         step += 1
-        nxt = (last.join(edges, last["node"] == edges["src"])
+        nxt = (last.join(shuffled(edges), last["node"] == edges["src"])
                .select("source", F.col("dst").alias("node")).distinct())
-        last = cut(nxt.join(seen.select("source", "node"), ["source", "node"], "left_anti")
+        last = cut(nxt.join(shuffled(seen.select("source", "node")), ["source", "node"], "left_anti")
                    .withColumn("depth", F.lit(step)), rebalance=False)
         seen = seen.unionByName(last)
         if step % 16 == 0:
@@ -66,7 +66,7 @@ def _on_cycles(edges: DataFrame) -> DataFrame:
     while n and n != before:
         led_to = rest.select(F.col("dst").alias("src")).distinct()
         leads = rest.select(F.col("src").alias("dst")).distinct()
-        rest = cut(rest.join(led_to, "src", "left_semi").join(leads, "dst", "left_semi").select("src", "dst"))
+        rest = cut(rest.join(shuffled(led_to), "src", "left_semi").join(shuffled(leads), "dst", "left_semi").select("src", "dst"))
         n, before = rest.count(), n
     return rest
 
@@ -77,10 +77,10 @@ def _smallest_before(edges: DataFrame) -> DataFrame:
     nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
     known = changed = cut(nodes.withColumn("root", F.col("node")))
     while not changed.isEmpty():
-        offers = (changed.join(edges, changed["node"] == edges["src"])
+        offers = (changed.join(shuffled(edges), changed["node"] == edges["src"])
                   .groupBy(F.col("dst").alias("node")).agg(F.min("root").alias("offer")))
-        changed = cut(known.join(offers, "node").where("offer < root").select("node", F.col("offer").alias("root")))
-        known = cut(known.join(changed, "node", "left_anti").unionByName(changed))
+        changed = cut(known.join(shuffled(offers), "node").where("offer < root").select("node", F.col("offer").alias("root")))
+        known = cut(known.join(shuffled(changed), "node", "left_anti").unionByName(changed))
     return known
 
 
@@ -104,22 +104,22 @@ def strong_components(edges: DataFrame) -> DataFrame:
             return out
         colour = _smallest_before(rest)
         src, dst = (colour.select(F.col("node").alias(c), F.col("root").alias(c + "_root")) for c in ("src", "dst"))
-        same = cut(rest.join(src, "src").join(dst, "dst").where("src_root = dst_root").select("src", "dst"))
+        same = cut(rest.join(shuffled(src), "src").join(shuffled(dst), "dst").where("src_root = dst_root").select("src", "dst"))
         back = same.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         roots = colour.where("node = root").select(F.col("node").alias("source"), "node")
         # colours do not touch, so each node is found from one root only
         found = cut(_closure(roots, back).select("node", F.col("source").alias("component")))
         sizes = found.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        out = out.unionByName(found.join(sizes, "component", "left_semi").select("node", "component"))
+        out = out.unionByName(found.join(shuffled(sizes), "component", "left_semi").select("node", "component"))
         gone = found.select("node")
-        rest = cut(same.join(gone.select(F.col("node").alias("src")), "src", "left_anti")
-                   .join(gone.select(F.col("node").alias("dst")), "dst", "left_anti").select("src", "dst"))
+        rest = cut(same.join(shuffled(gone.select(F.col("node").alias("src"))), "src", "left_anti")
+                   .join(shuffled(gone.select(F.col("node").alias("dst"))), "dst", "left_anti").select("src", "dst"))
 
 
 def _in_component(df: DataFrame, column: str, components: DataFrame) -> DataFrame:
     """``df`` with the node in ``column`` replaced by its component."""
     c = components.select(F.col("node").alias(column), "component")
-    return df.join(c, column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
+    return df.join(shuffled(c), column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
 
 
 def effect_slice(edges: DataFrame, sources: DataFrame, effects: DataFrame) -> DataFrame:
@@ -144,12 +144,12 @@ def effect_slice(edges: DataFrame, sources: DataFrame, effects: DataFrame) -> Da
                                .withColumn("node", F.col("source")), "node", comp))
     back = dag.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     live = cut(_closure(ends.select(F.lit(0).alias("source"), "node"), back).select("node"))
-    walked = cut(dag.join(live.select(F.col("node").alias("src")), "src", "left_semi")
-                 .join(live.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst"))
-    begin = starts.select("node").distinct().join(live, "node", "left_semi")
+    walked = cut(dag.join(shuffled(live.select(F.col("node").alias("src"))), "src", "left_semi")
+                 .join(shuffled(live.select(F.col("node").alias("dst"))), "dst", "left_semi").select("src", "dst"))
+    begin = starts.select("node").distinct().join(shuffled(live), "node", "left_semi")
     reached = _closure(begin.select(F.col("node").alias("source"), "node"), walked)
-    hits = reached.select(F.col("source").alias("start"), "node").join(ends, "node").drop("node")
-    return (starts.join(hits, starts["node"] == hits["start"])
+    hits = reached.select(F.col("source").alias("start"), "node").join(shuffled(ends), "node").drop("node")
+    return (starts.join(shuffled(hits), starts["node"] == hits["start"])
             .select("source", "function_name", "kind", "effect"))
 
 
@@ -171,20 +171,20 @@ def orphan_functions(functions: DataFrame, edges: DataFrame, entry_handlers: Dat
     names = functions.select("function_name").distinct()
     called = edges.select(F.col("dst").alias("function_name")).distinct()
     handlers = entry_handlers.select(F.col("handler_symbol").alias("function_name")).distinct()
-    return names.join(called, "function_name", "left_anti").join(handlers, "function_name", "left_anti")
+    return names.join(shuffled(called), "function_name", "left_anti").join(shuffled(handlers), "function_name", "left_anti")
 
 
 def endpoint_coverage(entry_points: DataFrame, ep_requirements: DataFrame) -> DataFrame:
     """K4: ``(mapped, total)`` endpoints with at least one requirement."""
     m = ep_requirements.select("ep_id").distinct().withColumn("_m", F.lit(True))
-    e = entry_points.select("ep_id").distinct().join(m, "ep_id", "left")
+    e = entry_points.select("ep_id").distinct().join(shuffled(m), "ep_id", "left")
     return e.agg(F.count_if(F.col("_m").isNotNull()).cast("bigint").alias("mapped"),
                  F.count("*").cast("bigint").alias("total"))
 
 
 def uncovered_endpoints(entry_points: DataFrame, ep_requirements: DataFrame) -> DataFrame:
     """K4: endpoints without any requirement."""
-    return entry_points.select("ep_id").distinct().join(ep_requirements.select("ep_id").distinct(), "ep_id", "left_anti")
+    return entry_points.select("ep_id").distinct().join(shuffled(ep_requirements.select("ep_id").distinct()), "ep_id", "left_anti")
 
 
 def enum_consistency(consts: DataFrame, labels: DataFrame, options: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def enum_consistency(consts: DataFrame, labels: DataFrame, options: DataFrame) -
     c = consts.where(F.col("value").isNotNull()).select("value").distinct().withColumn("in_consts", F.lit(True))
     lab = labels.select("value").distinct().withColumn("in_labels", F.lit(True))
     o = options.select("value").distinct().withColumn("in_options", F.lit(True))
-    j = c.join(lab, "value", "full_outer").join(o, "value", "full_outer")
+    j = c.join(shuffled(lab), "value", "full_outer").join(shuffled(o), "value", "full_outer")
     return j.select("value", *[F.coalesce(F.col(x), F.lit(False)).alias(x)
                                for x in ("in_consts", "in_labels", "in_options")])
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codefacts.session import shuffled
+
 
 def call_base(call) -> "F.Column":
     """The text after the last dot (the whole text when there is none)."""
@@ -53,9 +55,9 @@ def internal_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
     n1 = names.select(F.col("function_name").alias("_n1")).distinct()
     n2 = names.select(F.col("function_name").alias("_n2")).distinct()
     based = calls.withColumn("_base", call_base("callee"))
-    by_base = based.join(n1, based["_base"] == n1["_n1"], "left_semi")
-    rest = (based.join(n1, based["_base"] == n1["_n1"], "left_anti")
-            .join(n2, F.col("callee") == n2["_n2"], "left_semi"))
+    by_base = based.join(shuffled(n1), based["_base"] == n1["_n1"], "left_semi")
+    rest = (based.join(shuffled(n1), based["_base"] == n1["_n1"], "left_anti")
+            .join(shuffled(n2), F.col("callee") == n2["_n2"], "left_semi"))
     return by_base.unionByName(rest).drop("_base")
 
 
@@ -64,8 +66,8 @@ def external_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
     n1 = names.select(F.col("function_name").alias("_n1")).distinct()
     n2 = names.select(F.col("function_name").alias("_n2")).distinct()
     based = calls.withColumn("_base", call_base("callee"))
-    return (based.join(n1, based["_base"] == n1["_n1"], "left_anti")
-            .join(n2, F.col("callee") == n2["_n2"], "left_anti").drop("_base"))
+    return (based.join(shuffled(n1), based["_base"] == n1["_n1"], "left_anti")
+            .join(shuffled(n2), F.col("callee") == n2["_n2"], "left_anti").drop("_base"))
 
 
 def call_edges(functions: DataFrame, calls: DataFrame) -> DataFrame:
@@ -76,7 +78,7 @@ def call_edges(functions: DataFrame, calls: DataFrame) -> DataFrame:
     """
     reg = registry(functions)
     win = reg.select(F.col("path").alias("_p"), F.col("ord").alias("_o"))
-    mine = calls.join(win, (calls["path"] == win["_p"]) & (calls["function_ord"] == win["_o"]),
+    mine = calls.join(shuffled(win), (calls["path"] == win["_p"]) & (calls["function_ord"] == win["_o"]),
                       "left_semi")
     return (internal_calls(mine, reg.select("function_name"))
             .select(F.col("function_name").alias("caller"), "callee")
@@ -94,10 +96,10 @@ def callers(functions: DataFrame, edges: DataFrame, match: str = "text") -> Data
     key = F.col("callee") if match == "text" else call_base("callee")
     e = edges.select(key.alias("_k"), "caller").distinct()
     # an inner join can be split at a popular callee, an outer join cannot
-    called = names.join(e, names["function_name"] == e["_k"])
+    called = names.join(shuffled(e), names["function_name"] == e["_k"])
     # distinct keys: a popular callee is one row on the right, not one per caller
     keys = e.select("_k").distinct()
-    alone = names.join(keys, names["function_name"] == keys["_k"], "left_anti")
+    alone = names.join(shuffled(keys), names["function_name"] == keys["_k"], "left_anti")
     return called.select("function_name", "caller").unionByName(
         alone.select("function_name", F.lit(None).cast("string").alias("caller")))
 
@@ -132,7 +134,7 @@ def flag_internal(calls: DataFrame, names: DataFrame) -> DataFrame:
     n1 = names.select(F.col("function_name").alias("_n1")).distinct().withColumn("_h1", F.lit(True))
     n2 = names.select(F.col("function_name").alias("_n2")).distinct().withColumn("_h2", F.lit(True))
     based = calls.withColumn("_base", call_base("callee"))
-    return (based.join(n1, based["_base"] == n1["_n1"], "left")
-            .join(n2, F.col("callee") == n2["_n2"], "left")
+    return (based.join(shuffled(n1), based["_base"] == n1["_n1"], "left")
+            .join(shuffled(n2), F.col("callee") == n2["_n2"], "left")
             .withColumn("is_internal", F.coalesce(F.col("_h1"), F.col("_h2"), F.lit(False)))
             .drop("_base", "_n1", "_h1", "_n2", "_h2"))

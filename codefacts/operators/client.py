@@ -18,6 +18,7 @@ from pyspark.sql.types import ArrayType
 
 from codefacts import params as P
 from codefacts.functions import text as T
+from codefacts.session import shuffled
 
 # ----------------------------------------------------------------------------
 # Extraction patterns (Java syntax; same matches as the analysed
@@ -168,7 +169,7 @@ def translator_labels(files: DataFrame) -> DataFrame:
          .select("path", "block_ord", "fn", "pair_ord",
                  F.col("p.g1").alias("value"), F.col("p.g2").alias("label")))
     last_block = (b.groupBy("path", "fn").agg(F.max("block_ord").alias("_b")))
-    b = b.join(last_block, ["path", "fn"]).where(F.col("block_ord") == F.col("_b")).drop("_b")
+    b = b.join(shuffled(last_block), ["path", "fn"]).where(F.col("block_ord") == F.col("_b")).drop("_b")
     return (b.groupBy("path", "block_ord", "fn", "value")
             .agg(F.max_by("label", "pair_ord").alias("label"), F.min("pair_ord").alias("ord"))
             .select("path", "block_ord", "fn", "ord", "value", "label"))

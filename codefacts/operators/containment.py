@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codefacts.session import shuffled
+
 SIZES = (1, 2, 4, 8, 16)
 
 
@@ -56,13 +58,13 @@ def first_containing(needles: DataFrame, keys: DataFrame, needle_id: str = "need
     held = k.select("_k", "_ko", "_v", "_q", F.inline(_grams(F.col("_k"), F.col("_q"))))
     counts = held.groupBy("_q", "g").agg(F.count(F.lit(1)).alias("_c"))
     own = n.select("_nid", "_u", "_q", F.inline(_grams(F.col("_u"), F.col("_q"))))
-    rarest = (own.join(counts, ["_q", "g"])
+    rarest = (own.join(shuffled(counts), ["_q", "g"])
               .groupBy("_nid", "_u", "_q").agg(F.count(F.lit(1)).alias("_found"),
                                                F.min_by(F.struct("at", "g"), F.struct("_c", "at")).alias("_r"))
               .where(F.col("_found") == F.length("_u") - F.col("_q") + 1)
               .select("_nid", "_u", "_q", F.col("_r.at").alias("_at"), F.col("_r.g").alias("g")))
     start = F.col("at") - F.col("_at") + 1
-    hit = rarest.join(held, ["_q", "g"]).where((start >= 1) & (F.col("_k").substr(start, F.length("_u")) == F.col("_u")))
+    hit = rarest.join(shuffled(held), ["_q", "g"]).where((start >= 1) & (F.col("_k").substr(start, F.length("_u")) == F.col("_u")))
     return (hit.groupBy("_nid")
             .agg(F.min_by(F.struct("_v", "_ko"), "_ko").alias("_w"))
             .select(F.col("_nid").alias(needle_id), F.col("_w._v").alias(payload),

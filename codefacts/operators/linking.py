@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from codefacts import params as P
 from codefacts.operators import client as C
 from codefacts.operators.containment import first_containing
-from codefacts.session import checkpoint_dir, cut
+from codefacts.session import checkpoint_dir, cut, shuffled
 
 # ----------------------------------------------------------------------------
 # Evidence prefix, client-only requirement texts
@@ -46,7 +46,7 @@ def resolved_calls(components: DataFrame, api: DataFrame) -> DataFrame:
     kept with NULL verb and URL. ``components`` may be ``component_facts``."""
     calls = (_facts(components).select("file", F.posexplode("client_calls").alias("ord", "client_method"))
              .withColumn("ord", F.col("ord").cast("int")))
-    return calls.join(api_map(api), "client_method", "left").select(
+    return calls.join(shuffled(api_map(api)), "client_method", "left").select(
         "file", "ord", "client_method", "http_method", "url")
 
 
@@ -82,16 +82,16 @@ def resolve_urls(calls: DataFrame, emap: DataFrame, call_id: str = "call_id") ->
     keys = c.select("_k1", "_k2").where(F.col("_k2") != "").distinct()
     e1 = emap.select(F.col("key").alias("_k1"), F.col("ep_id").alias("_e1"))
     e2 = emap.select(F.col("key").alias("_k2"), F.col("ep_id").alias("_e2"))
-    t = keys.join(e1, "_k1", "left").join(e2, "_k2", "left")
+    t = keys.join(shuffled(e1), "_k1", "left").join(shuffled(e2), "_k2", "left")
     direct = F.col("_e1").isNotNull() | F.col("_e2").isNotNull()
     done = t.where(direct).select("_k1", "_k2", F.coalesce("_e1", "_e2").alias("ep_id"),
                                   F.when(F.col("_e1").isNotNull(), 1).otherwise(2).alias("tier"))
     rest = t.where(~direct).select("_k1", "_k2")
     t3 = first_containing(rest.select(F.col("_k2").alias("needle_id"), F.col("_k2").alias("needle")).distinct(),
                           emap.select("key", "key_ord", F.col("ep_id").alias("value")))
-    t3 = rest.join(t3.select(F.col("needle_id").alias("_k2"), F.col("value").alias("ep_id")), "_k2").select(
+    t3 = rest.join(shuffled(t3.select(F.col("needle_id").alias("_k2"), F.col("value").alias("ep_id"))), "_k2").select(
         "_k1", "_k2", "ep_id", F.lit(3).alias("tier"))
-    return (c.join(done.unionByName(t3), ["_k1", "_k2"], "left")
+    return (c.join(shuffled(done.unionByName(t3)), ["_k1", "_k2"], "left")
             .select(F.col("_cid").alias(call_id), "ep_id", "tier"))
 
 
@@ -109,8 +109,8 @@ def call_requirements(components: DataFrame, api: DataFrame, entry_points: DataF
     # calls without an endpoint get a key of their own, so they do not meet in one partition
     ep_key = F.coalesce("ep_id", F.concat(F.lit("\x00"), F.xxhash64("call_id").cast("string")))
     ep_fr = ep_fr.withColumnRenamed("ep_id", "_ep")
-    found = keyed.join(res, "call_id", "left").withColumn("_key", ep_key)
-    return (found.join(ep_fr, F.col("_key") == F.col("_ep"), "left")
+    found = keyed.join(shuffled(res), "call_id", "left").withColumn("_key", ep_key)
+    return (found.join(shuffled(ep_fr), F.col("_key") == F.col("_ep"), "left")
             .select("file", "ord", "client_method", "http_method", "url", "ep_id", "fr_id"))
 
 
@@ -132,10 +132,10 @@ def component_routes(components: DataFrame, routes: DataFrame, match: str = "con
             F.sequence(F.lit(0), F.size(F.split("key", "/", -1)) - 1),
             lambda i: F.array_join(F.slice(F.split("key", "/", -1), i + 1, 1 << 20), "/"))).alias("needle"),
             "key_ord", "value")
-        hit = (files.join(seg, files["file"] == seg["needle"])
+        hit = (files.join(shuffled(seg), files["file"] == seg["needle"])
                .groupBy("file").agg(F.min_by(F.struct("value", "key_ord"), "key_ord").alias("_w"))
                .select(F.col("file").alias("needle_id"), F.col("_w.value").alias("value")))
-    return (files.join(hit, files["file"] == hit["needle_id"], "left")
+    return (files.join(shuffled(hit), files["file"] == hit["needle_id"], "left")
             .select("file", F.col("value.path").alias("route"),
                     F.coalesce(F.col("value.required_roles"), F.array().cast("array<string>")).alias("required_roles"),
                     F.col("value.needs_graduated").alias("needs_graduated"),
@@ -157,7 +157,7 @@ def component_map(components: DataFrame, routes: DataFrame) -> DataFrame:
                   F.transform(messages, lambda m: F.struct(m["message"].alias("message"), m["condition"].alias("condition")))
                   .alias("messages"), F.size(messages).cast("bigint").alias("validation_messages")))
     cm = cut(cm)
-    return (cm.join(component_routes(cm, routes), "file", "left")
+    return (cm.join(shuffled(component_routes(cm, routes)), "file", "left")
             .select("file", "route", "required_roles", "has_polling", "has_conditional_api", "has_auto_load",
                     "has_confirmation_guard", "validation_messages", "store_dispatches", "messages"))
 
@@ -194,7 +194,7 @@ def record_rows(components: DataFrame, api: DataFrame) -> DataFrame:
         items("validation_messages", "validation_messages", lambda x: text(x["type"], x["message"], x["condition"])))
     own = f.select("file", F.inline(tagged))
     api = cut(api_map(api))
-    called = f.select("file", F.posexplode("client_calls").alias("ord", "client_method")).join(api, "client_method", "left")
+    called = f.select("file", F.posexplode("client_calls").alias("ord", "client_method")).join(shuffled(api), "client_method", "left")
     resolved = called.select("file", F.lit("resolved_api_calls").alias("kind"), "ord",
                              text(F.col("client_method"), F.col("http_method"), F.col("url")).alias("value"))
     params = called.where("params is not null").select("file", F.lit("api_params").alias("kind"), "ord",
@@ -213,10 +213,10 @@ def display_labels(labels: DataFrame, mapping: DataFrame | None = None) -> DataF
         l = labels.withColumn("domain", C.domain_of("fn"))
     else:
         m = mapping.select(F.col("fn").alias("_fn"), F.col("domain").alias("_d"))
-        l = (labels.join(m, labels["fn"] == m["_fn"], "left")
+        l = (labels.join(shuffled(m), labels["fn"] == m["_fn"], "left")
              .withColumn("domain", F.coalesce("_d", "fn")).drop("_fn", "_d"))
     win = l.groupBy("domain").agg(F.max(F.struct("path", "block_ord")).alias("_w"))
-    return (l.join(win, "domain").where(F.struct("path", "block_ord") == F.col("_w"))
+    return (l.join(shuffled(win), "domain").where(F.struct("path", "block_ord") == F.col("_w"))
             .select("domain", "value", "label"))
 
 
@@ -252,7 +252,7 @@ def ui_pages(components: DataFrame, routes: DataFrame) -> DataFrame:
                                       F.col("vfor_fields").alias("list_item_fields"))
             .where((F.coalesce("breadcrumb", F.lit("")) != "") | (F.size("table_columns") > 0)
                    | (F.size("form_fields") > 0) | (F.size("list_item_fields") > 0)))
-    return (u.join(component_routes(u, routes), "file", "left")
+    return (u.join(shuffled(component_routes(u, routes)), "file", "left")
             .select(F.col("file").alias("component"), "route", "required_roles", "breadcrumb", "table_columns",
                     "form_fields", "list_item_fields"))
 
@@ -355,12 +355,12 @@ def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: D
     g = facts.select("file", F.inline("confirmation_guards"))
     gcalls = g.select("file", "ord", F.posexplode("nearby_api_calls").alias("_ci", "client_method"))
     amap = api_map(api)
-    gres = gcalls.join(amap, "client_method", "left").withColumn("call_id", F.struct("file", "ord", "_ci"))
+    gres = gcalls.join(shuffled(amap), "client_method", "left").withColumn("call_id", F.struct("file", "ord", "_ci"))
     rr = resolve_urls(gres.where(F.col("url").isNotNull() & (F.col("url") != "")).withColumn(
         "http_method", F.coalesce("http_method", F.lit("POST"))), endpoint_map(entry_points))
-    frs = (gres.join(rr, "call_id").join(endpoint_requirements(evidence), "ep_id")
+    frs = (gres.join(shuffled(rr), "call_id").join(shuffled(endpoint_requirements(evidence)), "ep_id")
            .groupBy("file", "ord").agg(F.array_sort(F.collect_set("fr_id")).alias("related_fr_ids")))
-    parts.append(g.join(frs, ["file", "ord"], "left").select(
+    parts.append(g.join(shuffled(frs), ["file", "ord"], "left").select(
         F.lit(2).alias("_b"), F.col("file").alias("_s"), F.col("ord").alias("_o"), F.lit(0).alias("_i"),
         F.lit("irreversibility_guard").alias("type"), F.col("file").alias("source"),
         F.lit(None).cast("string").alias("route"), F.col("required_text").alias("condition"),
@@ -405,14 +405,14 @@ def ui_evidence(call_reqs: DataFrame, cmap: DataFrame) -> DataFrame:
     """Requirement -> (component, route, required roles), one row per
     call that resolves to it (flat; no list per requirement)."""
     return (call_reqs.where(F.col("fr_id").isNotNull()).select("fr_id", "file")
-            .join(cmap.select("file", "route", "required_roles"), "file")
+            .join(shuffled(cmap.select("file", "route", "required_roles")), "file")
             .select("fr_id", F.col("file").alias("component"), "route", "required_roles"))
 
 
 def attach_ui_evidence(features: DataFrame, evidence_rows: DataFrame) -> DataFrame:
     """Every requirement with its UI evidence rows (NULL component when
     it has none)."""
-    return features.join(evidence_rows, "fr_id", "left")
+    return features.join(shuffled(evidence_rows), "fr_id", "left")
 
 
 # ------------------------------------------------------------------ L15
@@ -441,5 +441,5 @@ def api_params(components: DataFrame, api: DataFrame) -> DataFrame:
     """Per component, the known client methods it calls (first
     occurrence order) with their parameter names: ``(file, ord, method, params)``."""
     calls = _facts(components).select("file", F.posexplode("client_calls").alias("ord", "client_method"))
-    return (calls.join(api_map(api), "client_method")
+    return (calls.join(shuffled(api_map(api)), "client_method")
             .select("file", F.col("ord").cast("int").alias("ord"), F.col("client_method").alias("method"), "params"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from codefacts.functions import text as T
 from codefacts.operators.client import RX_TEMPLATE_PARAM
+from codefacts.session import shuffled
 
 # ----------------------------------------------------------------------------
 # Patterns of the earlier extractor (Java syntax)
@@ -189,7 +190,7 @@ def store_modules(files: DataFrame) -> DataFrame:
     actions are names whose body reaches ``axios.`` before its first ``}``."""
     stem = F.regexp_extract(F.col("path"), r"([^/]*?)(?:\.[^./]*)?$", 1)
     calls = api_calls(files.select("path", "content"), "content", "path").select("file").distinct()
-    m = files.join(calls.withColumnRenamed("file", "path"), "path", "left_semi")
+    m = files.join(shuffled(calls.withColumnRenamed("file", "path")), "path", "left_semi")
     return m.select(F.col("path").alias("file"), stem.alias("store_module"),
                     T.findall("content", RX_AXIOS_ACTION, 1).alias("actions"))
 
@@ -198,7 +199,7 @@ def store_api_map(files: DataFrame) -> DataFrame:
     """One row per (store module, API call)."""
     mods = store_modules(files)
     calls = api_calls(files.select("path", "content"), "content", "path")
-    return (mods.join(calls, "file")
+    return (mods.join(shuffled(calls), "file")
             .select("store_module", F.col("actions").alias("action_names"), F.col("method").alias("http_method"),
                     "url", "file", "client", "ord"))
 
@@ -282,7 +283,7 @@ def component_map_v1(sec: DataFrame, segments: DataFrame) -> DataFrame:
     routes_n = (component_route_paths(segments).groupBy("component")
                 .agg(F.count("*").cast("bigint").alias("n_routes")))
     rec = component_records(sec)
-    out = (rec.join(routes_n, rec["file"] == routes_n["component"], "left").drop("component")
+    out = (rec.join(shuffled(routes_n), rec["file"] == routes_n["component"], "left").drop("component")
            .withColumnRenamed("file", "component")
            .withColumn("n_routes", F.coalesce("n_routes", F.lit(0))))
     return out.where((F.size("api_calls") > 0) | (F.size("vuex_dispatches") > 0) | (F.col("n_routes") > 0))

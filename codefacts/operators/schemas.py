@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from codefacts import params as P
 from codefacts.functions import text as T
-from codefacts.session import checkpoint_dir, cut
+from codefacts.session import checkpoint_dir, cut, shuffled
 
 # ----------------------------------------------------------------------------
 # JSON key pattern, case conversion and descriptions
@@ -101,15 +101,15 @@ def embedded_candidates(registry: DataFrame, fields: DataFrame) -> DataFrame:
              .select("name", "path", "eord", T.strip_ws("line").alias("s"))
              .where((F.col("s") != "") & ~F.col("s").contains(" ")))
     known = fields.select(F.col("path").alias("_p"), F.col("struct").alias("_st"), F.col("name").alias("s")).distinct()
-    lines = lines.join(known, (lines["path"] == known["_p"]) & (lines["name"] == known["_st"])
+    lines = lines.join(shuffled(known), (lines["path"] == known["_p"]) & (lines["name"] == known["_st"])
                        & (lines["s"] == known["s"]), "left_anti")
     et = F.element_at(F.split("s", r"\.", -1), -1)
     cap = F.concat(F.upper(F.substring(et, 1, 1)), F.substring(et, 2, 1 << 30))
     lines = lines.select("name", "eord", et.alias("_et"), cap.alias("_cap"))
     names1 = registry.select(F.col("name").alias("_n1"))
     names2 = registry.select(F.col("name").alias("_n2"))
-    j = (lines.join(names1, lines["_cap"] == names1["_n1"], "left")
-         .join(names2, lines["_et"] == names2["_n2"], "left"))
+    j = (lines.join(shuffled(names1), lines["_cap"] == names1["_n1"], "left")
+         .join(shuffled(names2), lines["_et"] == names2["_n2"], "left"))
     return (j.select("name", F.col("eord").cast("int").alias("eord"),
                      F.coalesce("_n1", "_n2").alias("lookup"))
             .where(F.col("lookup").isNotNull()))
@@ -132,7 +132,7 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
     checkpoint_dir(spark)
     registry = cut(registry)
     reg = registry.select(F.col("name").alias("_rn"), F.col("path").alias("_rp"), F.col("ord").alias("_ro"))
-    fields = cut(fields.join(reg, (fields["path"] == reg["_rp"]) & (fields["struct_ord"] == reg["_ro"]),
+    fields = cut(fields.join(shuffled(reg), (fields["path"] == reg["_rp"]) & (fields["struct_ord"] == reg["_ro"]),
                              "left_semi"))
     fl = fields.select(F.col("path").alias("_fp"), F.col("struct_ord").alias("_fo"),
                        F.col("ord").alias("_ford"), F.col("name").alias("_fname"),
@@ -157,18 +157,18 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
             F.lit(None).cast("boolean").alias("is_array"),
             F.lit(PLACEHOLDER_DESCRIPTION).alias("description"))
         live = calls.where(~stop)
-        unk = live.join(reg, live["name"] == reg["_rn"], "left_anti").select(
+        unk = live.join(shuffled(reg), live["name"] == reg["_rn"], "left_anti").select(
             "root", "kpath", "depth", F.array_append("opath", F.lit(0)).alias("ord_path"),
             F.lower("name").alias("json_key"), F.col("name").alias("go_type"),
             F.lit(False).alias("required"), F.lit(None).cast("boolean").alias("is_array"),
             F.concat(F.lit(UNKNOWN_DESCRIPTION), F.col("name")).alias("description"))
-        known = live.join(reg, live["name"] == reg["_rn"])
-        f = known.join(fl, (known["_rp"] == fl["_fp"]) & (known["_ro"] == fl["_fo"]))
+        known = live.join(shuffled(reg), live["name"] == reg["_rn"])
+        f = known.join(shuffled(fl), (known["_rp"] == fl["_fp"]) & (known["_ro"] == fl["_fo"]))
         ft, tag = F.col("_ftype"), F.col("_ftag")
         f = (f.withColumn("_jk", json_key(tag, "_fname")).withColumn("_opt", is_optional(ft, tag))
              .withColumn("_bt", base_type(ft))
              .join(sc, F.col("_bt") == sc["_sname"], "left")
-             .join(reg.select(F.col("_rn").alias("_sn")), F.col("_bt") == F.col("_sn"), "left")
+             .join(shuffled(reg.select(F.col("_rn").alias("_sn"))), F.col("_bt") == F.col("_sn"), "left")
              .where(~((ft == P.SESSION_ID_TYPE) & (F.col("depth") > 0))))
         prim = is_primitive(ft, suffix_rule=suffix_rule) | F.col("_bt").isin(*P.PRIMITIVE_TYPES)
         kind = (F.when(ft == P.SESSION_ID_TYPE, "session").when(F.col("_sname").isNotNull(), "scalar")
@@ -192,7 +192,7 @@ def expand_schemas(spark: SparkSession, roots: DataFrame, registry: DataFrame, f
             F.array_append("visited", F.col("name")).alias("n_visited"),
             F.array_append("kpath", F.col("_jk")).alias("n_kpath"),
             F.array_append("opath", F.col("_ford")).alias("n_opath"))
-        emb_calls = known.join(emb, known["name"] == emb["_en"]).select(
+        emb_calls = known.join(shuffled(emb), known["name"] == emb["_en"]).select(
             "root", F.lit(False).alias("_row"), F.col("_lookup").alias("n_name"),
             F.array_append("visited", F.col("name")).alias("n_visited"), F.col("kpath").alias("n_kpath"),
             F.array_append("opath", F.col("eord") + EMBED_ORD_BASE).alias("n_opath"), "depth")
@@ -235,7 +235,7 @@ def rule_schemas(spark: SparkSession, rule_records: DataFrame, entry_points: Dat
     ov = (overrides if isinstance(overrides, DataFrame)
           else spark.createDataFrame(list(overrides), "_oh string, _os string"))
     ov = ov.toDF("_oh", "_os").withColumn("_ov", F.lit(True))
-    r = rule_records.join(ep, rule_records["entrypoint_id"] == ep["_ep"], "left")
+    r = rule_records.join(shuffled(ep), rule_records["entrypoint_id"] == ep["_ep"], "left")
     enriched = F.col("_ep").isNotNull() & F.coalesce(F.col("handler") != "", F.lit(False))
     r = r.withColumn("enriched", enriched)
     h = F.col("handler")
@@ -245,16 +245,16 @@ def rule_schemas(spark: SparkSession, rule_records: DataFrame, entry_points: Dat
              "r1": F.concat(h, F.lit("Resp")), "r2": F.concat(cap, F.lit("Resp"))}
     for k, c in cands.items():
         n = names.select(F.col("name").alias(f"_{k}"))
-        r = r.withColumn(f"_c{k}", c).join(n, F.col(f"_c{k}") == F.col(f"_{k}"), "left")
+        r = r.withColumn(f"_c{k}", c).join(shuffled(n), F.col(f"_c{k}") == F.col(f"_{k}"), "left")
     # no broadcast hint: an override table may grow with the code base; AQE
     # broadcasts it from its measured size when it is small
-    r = r.join(ov, h == F.col("_oh"), "left")
+    r = r.join(shuffled(ov), h == F.col("_oh"), "left")
     req = F.when(F.col("_ov").isNotNull(), F.col("_os")).otherwise(F.coalesce("_p1", "_p2"))
     resp = F.coalesce("_r1", "_r2")
     reg_names = names.select(F.col("name").alias("_qn"))
     r = (r.withColumn("request_struct", F.when(enriched, req))
          .withColumn("response_struct", F.when(enriched, resp))
-         .join(reg_names, F.col("request_struct") == F.col("_qn"), "left"))
+         .join(shuffled(reg_names), F.col("request_struct") == F.col("_qn"), "left"))
     return r.select("rule_id", "ord", "entrypoint_id", "enriched", "handler", "method",
                     "request_struct", F.col("_qn").isNotNull().alias("request_found"),
                     "response_struct", F.col("response_struct").isNotNull().alias("response_found"),
@@ -267,7 +267,7 @@ def attach_schemas(rs: DataFrame, schema_rows: DataFrame) -> DataFrame:
                                                      F.col("request_struct").alias("root"))
              .unionByName(rs.where(F.col("response_found")).select(
                  "rule_id", F.lit("response").alias("side"), F.col("response_struct").alias("root"))))
-    return sides.join(schema_rows, "root")
+    return sides.join(shuffled(schema_rows), "root")
 
 
 def schema_counters(rs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codefacts.session import shuffled
 from codefacts.sources.documents import list_items, value_at
 
 # ----------------------------------------------------------------------------
@@ -73,16 +74,16 @@ def resolve_features(features: DataFrame, evidence: DataFrame, rule_schemas: Dat
     fr = first_rule_per_endpoint(rule_schemas)
     ev = evidence.select("fr_id", "ref_ord", "ref")
     t1 = (ev.where(F.col("ref").rlike(RX_RULE_REF))
-          .join(rl, ev["ref"] == rl["rule_id"])
+          .join(shuffled(rl), ev["ref"] == rl["rule_id"])
           .groupBy("fr_id").agg(F.min_by(F.struct("rule_id", "request_struct", "request_found",
                                                   "response_struct", "response_found", "enriched"),
                                          "ref_ord").alias("t1")))
     t2 = (ev.withColumn("_ep", F.regexp_extract("ref", RX_EP_PREFIX, 1)).where(F.col("_ep") != "")
-          .join(fr, F.col("_ep") == fr["entrypoint_id"])
+          .join(shuffled(fr), F.col("_ep") == fr["entrypoint_id"])
           .groupBy("fr_id").agg(F.min_by(F.struct("rule_id", "request_struct", "request_found",
                                                   "response_struct", "response_found", "enriched"),
                                          "ref_ord").alias("t2")))
-    f = features.join(t1, "fr_id", "left").join(t2, "fr_id", "left")
+    f = features.join(shuffled(t1), "fr_id", "left").join(shuffled(t2), "fr_id", "left")
     hit = F.when(F.col("t1").isNotNull(), F.col("t1")).otherwise(F.col("t2"))
     tier = F.when(F.col("t1").isNotNull(), 1).when(F.col("t2").isNotNull(), 2)
     return f.select("domain", "ord", "fr_id", tier.alias("tier"), hit["rule_id"].alias("rule_id"),

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codefacts.session import shuffled
 from codefacts.sources.tables import table
 
 
@@ -33,7 +34,7 @@ def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct ``(c, s)`` = ``(o_custkey, l_suppkey)``; de-duplicated map-side first."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
-    return (li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    return (li.join(shuffled(o), li["l_orderkey"] == o["o_orderkey"])
             .select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"))
             .distinct())
 

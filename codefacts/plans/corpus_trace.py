@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codefacts.session import shuffled
 from codefacts.sources.tables import table
 
 
@@ -76,7 +77,7 @@ def spec_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     rr = rule_records(spark, sf_dir)
     first = (rr.groupBy("orderkey").agg(F.min_by(F.struct("rule_id", "partkey"), "linenumber").alias("r")))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = o.join(first, o["o_orderkey"] == first["orderkey"])
+    j = o.join(shuffled(first), o["o_orderkey"] == first["orderkey"])
     ok = F.col("o_orderkey")
     ps = F.col("r.partkey").cast("string")
     ref = (F.when(ok % 7 == 0, F.col("r.rule_id"))
@@ -91,7 +92,7 @@ def spec_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(file_path, document)``."""
     refs = spec_evidence(spark, sf_dir).groupBy("fr_id").agg(
         F.array_sort(F.collect_list(F.struct("ref_ord", "ref")))["ref"].alias("refs"))
-    f = spec_features(spark, sf_dir).join(refs, "fr_id", "left")
+    f = spec_features(spark, sf_dir).join(shuffled(refs), "fr_id", "left")
     c = F.col("ord")
     texts = F.transform(F.coalesce("refs", F.array().cast("array<string>")), lambda r: F.concat(F.lit('"'), r, F.lit('"')))
     listed = F.concat(F.lit(',"evidence_refs":['), F.array_join(F.when(c % 5 == 0, F.concat(

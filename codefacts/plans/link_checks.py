@@ -13,7 +13,7 @@ from codefacts.plans.corpus_trace import entry_points, spec_evidence
 from codefacts.plans import registry
 from codefacts.plans.client_checks import CALLS_SQL
 from codefacts.plans.registry import register
-from codefacts.session import cut
+from codefacts.session import cut, shuffled
 from codefacts.sources.tables import table
 
 CHUNK = "'/n' || c_nationkey || '_' || (c_custkey // 64) || '.js'"
@@ -45,7 +45,7 @@ SELECT 'store' || {CHUNK} AS path, 'load' || c_custkey AS action, 'get' || c_cus
 FROM customer LEFT JOIN api ON api.client_method = 'get' || c_custkey WHERE c_custkey % 4 <> 0""")
 def q_store_actions(spark, sf_dir):
     a = C.store_actions(store_files(spark, sf_dir))
-    return (a.join(L.api_map(api(spark, sf_dir)), "client_method", "left")
+    return (a.join(shuffled(L.api_map(api(spark, sf_dir))), "client_method", "left")
             .select("path", "action", "client_method", "url"))
 
 

@@ -12,7 +12,7 @@ from codefacts.plans.client_checks import CALLS_SQL
 from codefacts.plans.corpus_trace import entry_points, spec_evidence
 from codefacts.plans.link_checks import LINK_CTE, ROLES_OF, ROUTE_OF, api, components, routes
 from codefacts.plans.registry import register
-from codefacts.session import cut
+from codefacts.session import cut, shuffled
 
 SQL = registry.ORACLE
 
@@ -57,7 +57,7 @@ def q_map_calls(spark, sf_dir):
     f = facts(spark, sf_dir)
     m = L.component_map(f, routes(spark, sf_dir)).select("file", "route", F.array_join("required_roles", ",").alias("required_roles"))
     reqs = L.call_requirements(f, api(spark, sf_dir), entry_points(spark, sf_dir), spec_evidence(spark, sf_dir))
-    return reqs.join(m, "file")
+    return reqs.join(shuffled(m), "file")
 
 
 @register("component_map_items", "L6", f"""
