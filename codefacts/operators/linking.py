@@ -268,7 +268,12 @@ def ui_structure(components: DataFrame, routes: DataFrame) -> DataFrame:
 def behaviors(components: DataFrame) -> DataFrame:
     """L11 (``components`` may be ``component_facts``): polling, conditional API, auto load, confirmation and disabled
     guards in one table tagged by ``type``."""
-    f = _facts(components).withColumnRenamed("file", "component")
+    f = components
+    if "client_calls" not in f.columns:
+        # read once for all kinds of rows: a filter on a list would read it a second time
+        f = cut(C.component_facts(f).select("file", "polling", "conditional_api_branches", "lifecycle_auto_calls",
+                                            "confirmation_guards", "disabled_guards"))
+    f = f.withColumnRenamed("file", "component")
 
     def rows(column, kind, numbered=True):
         if numbered:
@@ -351,7 +356,8 @@ def client_requirement_rows(routes: DataFrame, components: DataFrame, getters: D
             F.col("path").alias("route"), F.lit(flag).alias("condition"),
             F.concat(F.col("path"), F.lit(" — " + desc)).alias("description"), F.lit(actor).alias("actor"),
             empty.alias("api_calls")))
-    facts = _facts(components)
+    # read once for all parts: a filter on a list would read it a second time
+    facts = cut(_facts(components).select("file", "confirmation_guards", "polling", "lifecycle_auto_calls"))
     g = facts.select("file", F.inline("confirmation_guards"))
     gcalls = g.select("file", "ord", F.posexplode("nearby_api_calls").alias("_ci", "client_method"))
     amap = api_map(api)

@@ -17,6 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codefacts.session import cut
 from codefacts.sources.tables import table
 
 _PH = re.compile(r"@@(\w+)@@")
@@ -44,9 +45,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     runs in one task. With ``keys`` the rows are hash-partitioned so that a
     following ``groupBy(keys)`` needs no second shuffle. An explicit count is
     kept by adaptive execution (it does not coalesce it away).
+
+    Without ``keys`` the narrow rows are checkpointed: a filter on what an
+    extractor finds would otherwise be pushed below the repartition and read the
+    texts in the tasks of the scan.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys) if keys else df.repartition(n)
+    return df.repartition(n, *keys) if keys else cut(df.repartition(n), rebalance=False)
 
 
 def when_text(cond: Column, text: Column | str) -> Column:
