@@ -11,6 +11,7 @@ ASCII; patterns that must see non-ASCII identifiers start with ``(?U)``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
@@ -181,9 +182,14 @@ def strip_ws(col) -> Column:
 def groups(text, pattern: str, n: int) -> Column:
     """``re.findall`` with ``n`` groups: ``ARRAY<STRUCT<g1..gn>>`` in match order.
 
-    Each group is extracted over the same matcher walk, so the arrays align.
+    The text is walked once and the groups are taken from each match. A pattern
+    that looks beyond its match (look-around, anchors, possessive repeats) is
+    walked once per group instead; the walks are the same, so the arrays align.
     Unmatched optional groups come back as ``''``.
     """
+    if not re.search(r"\(\?[=!<]|[*+?}]\+|\$|(?<!\[)\^|\\[bB]", pattern):
+        return F.transform(findall(text, pattern, 0), lambda m: F.struct(
+            *[F.regexp_extract(m, pattern, i).alias(f"g{i}") for i in range(1, n + 1)]))
     arrs = [findall(text, pattern, i) for i in range(1, n + 1)]
     if n == 1:
         return F.transform(arrs[0], lambda x: F.struct(x.alias("g1")))

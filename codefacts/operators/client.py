@@ -54,6 +54,8 @@ RX_CLICK_TERNARY = (r"""(?iU)@click\s*=\s*"([^"]*(?:semester|term|type|status|SP
                     r"""\s*(\w+)\s*\(\)\s*:\s*(\w+)\s*\(\)\"""")
 RX_SCRIPT_TERNARY = (r"(?iU)([^\n;]+(?:semester|term|type|status|role|SPRING|FALL)[^\n;]*)\?"
                      r"\s*(\w+)\s*\(\)\s*:\s*(\w+)\s*\(\)")
+# the part of it that can be found without trying every character of a line as the start
+RX_SCRIPT_CHOICE = r"(?U)\?\s*\w+\s*\(\)\s*:\s*\w+\s*\(\)"
 RX_IF_ELSE = (r"(?iU)if\s*\(([^)]*(?:SPRING|FALL|semester|type|status)[^)]*)\)\s*\{([^}]*)\}"
               r"\s*(?:else\s*\{([^}]*)\})?")
 RX_CONFIRM = r"(?U)inputValidator\s*:\s*(?:async\s*)?\([^)]*\)\s*=>\s*\{"
@@ -283,6 +285,9 @@ def polling(components: DataFrame, budget: int | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------ H15-H17
+CHOICES = "array<struct<pattern:string,source:string,ord:int,condition:string,true_calls:array<string>,false_calls:array<string>>>"
+
+
 def conditional_list(template="template", script="script") -> Column:
     """Conditional API choices ``(pattern, source, ord, condition,
     true_calls, false_calls)``.
@@ -300,10 +305,13 @@ def conditional_list(template="template", script="script") -> Column:
 
     def branch(text):
         return F.concat(T.findall(text, RX_CLIENT_CALL, 1), this_call_list(text))
+    script = F.col(script) if isinstance(script, str) else script
+    choices = ternary(script, RX_SCRIPT_TERNARY, "script_ternary", "script")
+    choices = F.when(~script.rlike(RX_SCRIPT_CHOICE), F.array().cast(CHOICES)).otherwise(choices)
     ie = F.transform(T.groups(script, RX_IF_ELSE, 3),
                      lambda g, i: choice("if_else", "script", i, g, branch(g["g2"]), branch(g["g3"])))
     return F.concat(ternary(template, RX_CLICK_TERNARY, "template_ternary", "template"),
-                    ternary(script, RX_SCRIPT_TERNARY, "script_ternary", "script"),
+                    choices,
                     F.filter(ie, lambda c: (F.size(c["true_calls"]) > 0) | (F.size(c["false_calls"]) > 0)))
 
 
@@ -389,11 +397,11 @@ def page_title(template) -> Column:
 def table_column_list(template="template") -> Column:
     """Header cells of the first ``thead`` row without ``v-if`` (else the
     first row); blank cells dropped; null without a ``thead``."""
-    thead = T.search(template, RX_THEAD, 1)
-    rows = T.groups(thead, RX_TR_ATTR, 2)
-    chosen = F.coalesce(F.try_element_at(F.filter(rows, lambda r: ~r["g1"].contains("v-if")), F.lit(1)),
-                        F.try_element_at(rows, F.lit(1)))["g2"]
-    return F.filter(F.transform(T.findall(chosen, RX_TD_TEXT, 1), T.strip_ws), lambda x: x != "")
+    def header(rows):
+        chosen = F.coalesce(F.try_element_at(F.filter(rows, lambda r: ~r["g1"].contains("v-if")), F.lit(1)),
+                            F.try_element_at(rows, F.lit(1)))["g2"]
+        return F.filter(F.transform(T.findall(chosen, RX_TD_TEXT, 1), T.strip_ws), lambda x: x != "")
+    return T.let(T.groups(T.search(template, RX_THEAD, 1), RX_TR_ATTR, 2), header)
 
 
 def table_columns(components: DataFrame) -> DataFrame:

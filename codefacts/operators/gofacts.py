@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from codefacts import params as P
 from codefacts.functions import text as T
+from codefacts.session import cut as cut_lineage
 from codefacts.session import shuffled
 
 # ----------------------------------------------------------------------------
@@ -513,7 +514,7 @@ def file_documents(files: DataFrame) -> DataFrame:
     own size) and joined on ``path``.
     """
     mf = masked_files(files)
-    fns = functions(mf)
+    fns = cut_lineage(functions(mf))          # read for the calls and for the functions
     cl = calls(fns)
     sets = function_sets(cl)
     per_fn = (sets.groupBy("path", "function_ord")
@@ -527,7 +528,7 @@ def file_documents(files: DataFrame) -> DataFrame:
                 "ord", "function_name", "signature",
                 *[F.coalesce(F.col(c), empty).alias(c) for c in ("entry_points", "calls", "db_access", "error_messages")])))
                 .alias("functions")))
-    st = structs(mf)
+    st = cut_lineage(structs(mf))             # read for the fields and for the structs
     fl = struct_fields(st)
     sdoc = (st.join(shuffled(fl.groupBy("path", "struct_ord").agg(F.sort_array(F.collect_list(
                 F.struct("ord", "name", "type", "tag"))).alias("fields"))

@@ -9,6 +9,7 @@ from codefacts.operators import callgraph as cg
 from codefacts.operators import gofacts as G
 from codefacts.plans.corpus_go import go_files
 from codefacts.plans.registry import register
+from codefacts.session import cut
 
 GOFILE = "'go/p' || p_partkey || '.go'"
 PNAME = ("CASE p_partkey % 3 WHEN 0 THEN 'get' || p_partkey || 'Param' "
@@ -156,10 +157,11 @@ def q_go_documents(spark, sf_dir):
 
 
 def go_graph_inputs(spark, sf_dir):
-    fns = G.functions(masked(spark, sf_dir)).select("path", "ord", "function_name")
-    cl = (go_calls_df(spark, sf_dir).where(F.col("kind") == "call")
-          .select("path", "function_ord", "function_name", "callee").distinct())
-    return fns, cl
+    # functions and calls are extracted once; the graph reads both several times
+    fns = cut(G.functions(masked(spark, sf_dir)))
+    cl = cut(G.calls(fns).where(F.col("kind") == "call")
+             .select("path", "function_ord", "function_name", "callee").distinct(), rebalance=False)
+    return fns.select("path", "ord", "function_name"), cl
 
 
 @register("go_call_edges", "G8,C4,C6", f"""

@@ -91,3 +91,25 @@ def test_blocks_carry_whole_bodies(spark):
     df = spark.createDataFrame([("f() {" + "x" * 250_000 + "{ }} g() { h() {",), ("none",)], "t string")
     got = [r.b for r in df.select(T.blocks("t", r"\w\(\) \{").alias("b")).collect()]
     assert [len(b.body) for b in got[0]] == [250_005, 0, 0] and got[1] is None
+
+
+def test_groups_of_one_walk(spark):
+    """The groups of each match are those of ``re``, an optional one without a part being empty."""
+    import re
+    texts = ["ab=1; a=22 (x) c=3", "a=1a=2", "", "=", "if (t) {a} else {b} if(u){c}", "ab ab.cd ef.gh"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for rx, n in ((r"(\w+)=(\d)", 2), (r"if\s*\(([^)]*)\)\s*\{([^}]*)\}\s*(?:else\s*\{([^}]*)\})?", 3), (r"(?<!\w)(\w++)\.(?=(\w+))", 2)):
+        got = df.select("t", T.groups("t", rx, n).alias("g")).collect()
+        assert {r.t: [tuple(x) for x in r.g] for r in got} == {t: [tuple(x or "" for x in m.groups()) for m in re.finditer(rx, t)] for t in texts}
+    one = df.select(T.groups("t", r"(\w+)=(\d)", 2).alias("g"))._jdf.queryExecution().optimizedPlan().toString()
+    assert one.count("regexp_extract_all") == 1
+
+
+def test_script_choices_with_and_without_a_ternary(spark):
+    from codefacts.operators import client as C
+    scripts = ["x = a.type === 'B' ? listA() : listB()\n", "let type = 1; // no choice?\n", "status\n  ? one() : two()", None,
+               "v = status ? a() : b(); w = role\n", "const t = term ?\n go (): stay ()"]
+    df = spark.createDataFrame([(str(i), s) for i, s in enumerate(scripts)], "file string, script string").selectExpr("file", "'' AS template", "script")
+    got = {r.file: (r.condition, list(r.true_calls), list(r.false_calls)) for r in C.conditional_api(df).where("pattern = 'script_ternary'").collect()}
+    assert got == {"0": ("x = a.type === 'B'", ["listA"], ["listB"]), "4": ("v = status", ["a"], ["b"]),
+                   "5": ("const t = term", ["go"], ["stay"])}
