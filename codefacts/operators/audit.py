@@ -2,7 +2,7 @@
 
 Reachability is a frontier loop: each step joins the pairs found last with the
 edge table and appends the pairs that are new. It ends when a step finds none.
-Each step is checkpointed into the shared folder, so lineage stays short and a
+Each step is written into the shared folder, so lineage stays short and a
 lost executor recomputes one step, not the whole loop. The slice to effects
 walks components of the call graph instead of functions.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from codefacts.operators.callgraph import call_base
-from codefacts.session import cut, shuffled
+from codefacts.session import cut, shuffled, written
 
 
 def base_edges(edges: DataFrame, match: str = "base") -> DataFrame:
@@ -33,17 +33,17 @@ def _closure(start: DataFrame, edges: DataFrame) -> DataFrame:
     taken off by an anti join, and each step writes its new pairs alone. Every 16
     steps the parts are written together, so plans of long chains stay short.
     """
-    last = cut(start.select("source", "node").distinct().withColumn("depth", F.lit(0)))
+    last = written(start.select("source", "node").distinct().withColumn("depth", F.lit(0)))
     seen, step = last, 0
     while not last.isEmpty():
         step += 1
         nxt = (last.join(shuffled(edges), last["node"] == edges["src"])
                .select("source", F.col("dst").alias("node")).distinct())
-        last = cut(nxt.join(shuffled(seen.select("source", "node")), ["source", "node"], "left_anti")
-                   .withColumn("depth", F.lit(step)), rebalance=False)
+        last = written(nxt.join(shuffled(seen.select("source", "node")), ["source", "node"], "left_anti")
+                       .withColumn("depth", F.lit(step)))
         seen = seen.unionByName(last)
         if step % 16 == 0:
-            seen = cut(seen)
+            seen = written(seen)
     return seen
 
 

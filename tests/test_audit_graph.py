@@ -69,3 +69,10 @@ def test_empty_tables(spark):
     assert [tuple(r) for r in A.effect_slice(none, src, eff).collect()] == [("a", "a", "db", "q")]
     assert A.effect_slice(none, src.limit(0), eff).count() == 0
     assert A.effect_slice(none, src, eff.limit(0)).count() == 0
+
+
+def test_steps_are_read_from_files(spark):
+    """A checkpoint would carry the constraints of all steps before into the next plan."""
+    found = A.reachable(spark.createDataFrame(GRAPHS[1], EDGE), spark.createDataFrame([("c0",)], "source string"))
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 7
