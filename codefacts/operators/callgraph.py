@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codefacts.session import shuffled
+from codefacts.session import shuffled, written
 
 
 def call_base(call) -> "F.Column":
@@ -48,17 +48,15 @@ def full_registry(functions: DataFrame) -> DataFrame:
 def internal_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
     """C4: calls whose base name **or** whole text is a registered function.
 
-    An OR of two equality conditions would plan as a nested-loop join, so the
-    rows are split: a semi join on the base name, and for the rest a semi join
-    on the whole text. ``names`` has one column ``function_name``.
+    An OR of two equality conditions would plan as a nested-loop join, and one
+    join for each would shuffle the calls four times, so each call asks with its
+    one or two different keys in one semi join. Calls are distinct per
+    definition; repeated rows, also those of both keys, come once. ``names`` has
+    one column ``function_name``.
     """
-    n1 = names.select(F.col("function_name").alias("_n1")).distinct()
-    n2 = names.select(F.col("function_name").alias("_n2")).distinct()
-    based = calls.withColumn("_base", call_base("callee"))
-    by_base = based.join(shuffled(n1), based["_base"] == n1["_n1"], "left_semi")
-    rest = (based.join(shuffled(n1), based["_base"] == n1["_n1"], "left_anti")
-            .join(shuffled(n2), F.col("callee") == n2["_n2"], "left_semi"))
-    return by_base.unionByName(rest).drop("_base")
+    n = names.select(F.col("function_name").alias("_n")).distinct()
+    keyed = calls.withColumn("_key", F.explode(F.array_distinct(F.array(call_base("callee"), F.col("callee")))))
+    return keyed.join(shuffled(n), keyed["_key"] == n["_n"], "left_semi").drop("_key").distinct()
 
 
 def external_calls(calls: DataFrame, names: DataFrame) -> DataFrame:
@@ -80,9 +78,7 @@ def call_edges(functions: DataFrame, calls: DataFrame) -> DataFrame:
     win = reg.select(F.col("path").alias("_p"), F.col("ord").alias("_o"))
     mine = calls.join(shuffled(win), (calls["path"] == win["_p"]) & (calls["function_ord"] == win["_o"]),
                       "left_semi")
-    return (internal_calls(mine, reg.select("function_name"))
-            .select(F.col("function_name").alias("caller"), "callee")
-            .distinct())
+    return internal_calls(mine.select(F.col("function_name").alias("caller"), "callee"), reg.select("function_name"))
 
 
 def callers(functions: DataFrame, edges: DataFrame, match: str = "text") -> DataFrame:
@@ -94,9 +90,10 @@ def callers(functions: DataFrame, edges: DataFrame, match: str = "text") -> Data
     """
     names = functions.select("function_name").distinct()
     key = F.col("callee") if match == "text" else call_base("callee")
-    e = edges.select(key.alias("_k"), "caller").distinct()
+    # written once: both joins below would find the edges anew
+    e = written(edges.select(key.alias("_k"), "caller").distinct())
     # an inner join can be split at a popular callee, an outer join cannot
-    called = names.join(shuffled(e), names["function_name"] == e["_k"])
+    called = e.join(shuffled(names), names["function_name"] == e["_k"])
     # distinct keys: a popular callee is one row on the right, not one per caller
     keys = e.select("_k").distinct()
     alone = names.join(shuffled(keys), names["function_name"] == keys["_k"], "left_anti")

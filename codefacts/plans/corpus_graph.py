@@ -31,9 +31,10 @@ def _file(folder: str, key) -> "F.Column":
 
 
 def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct ``(c, s)`` = ``(o_custkey, l_suppkey)``; de-duplicated map-side first."""
+    """Distinct ``(c, s)`` = ``(o_custkey, l_suppkey)``; de-duplicated behind the join
+    only, since few rows of an order share a supplier."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     return (li.join(shuffled(o), li["l_orderkey"] == o["o_orderkey"])
             .select(F.col("o_custkey").alias("c"), F.col("l_suppkey").alias("s"))
             .distinct())
