@@ -37,8 +37,9 @@ def name(prefix, key):
 def go_facts(spark, sf_dir):
     """Go functions and calls extracted once and checkpointed: the audit
     queries read them several times (edges, entry handlers, definitions)."""
-    fns = cut(G.functions(masked(spark, sf_dir)))
-    calls = cut(G.calls(fns).select("path", "function_ord", "function_name", "kind", "callee", "full_call"))
+    fns = cut(G.functions(masked(spark, sf_dir)), rebalance=False)
+    calls = cut(G.calls(fns).select("path", "function_ord", "function_name", "kind", "callee", "full_call"),
+                rebalance=False)
     return fns.select("path", "ord", "function_name"), calls
 
 

@@ -158,7 +158,7 @@ def q_go_documents(spark, sf_dir):
 
 def go_graph_inputs(spark, sf_dir):
     # functions and calls are extracted once; the graph reads both several times
-    fns = cut(G.functions(masked(spark, sf_dir)))
+    fns = cut(G.functions(masked(spark, sf_dir)), rebalance=False)
     cl = cut(G.calls(fns).where(F.col("kind") == "call")
              .select("path", "function_ord", "function_name", "callee").distinct(), rebalance=False)
     return fns.select("path", "ord", "function_name"), cl
