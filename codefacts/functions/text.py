@@ -18,6 +18,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+FEW_BLOCKS = 2          # matches whose blocks are counted one by one
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -117,9 +120,10 @@ def block_end(text, start, budget: int | None = None, open_ch: str = "{", close_
     def step(acc, p):
         first = F.substring(p, 1, 1)
         d = acc["d"] + F.when(first == open_ch, 1).when(first == close_ch, -1).otherwise(0)
-        hit = (acc["end"] == 0) & (first == close_ch) & (d == 0)
-        return F.struct(d.alias("d"), (acc["off"] + F.length(p)).alias("off"),
-                        F.when(hit, acc["off"] + 1).otherwise(acc["end"]).alias("end"))
+        hit = (first == close_ch) & (acc["d"] == 1)
+        # nothing is counted behind the end
+        return F.when(acc["end"] > 0, acc).otherwise(F.struct(
+            d.alias("d"), (acc["off"] + F.length(p)).alias("off"), F.when(hit, acc["off"] + 1).otherwise(0).alias("end")))
 
     return F.coalesce(F.aggregate(pieces, init, step, lambda acc: acc["end"]), F.lit(0))
 
@@ -130,6 +134,19 @@ def balanced(text, start, budget: int | None = None, open_ch: str = "{", close_c
     return F.when(n > 0, _c(text).substr(_c(start), n)).otherwise(F.lit(""))
 
 
+def first_block(text, pattern: str, open_ch: str = "{", close_ch: str = "}", budget: int | None = None) -> Column:
+    """Balanced block that the first match of ``pattern`` opens with its last
+    character; ``''`` when it never closes, NULL without a match. The text is
+    walked to that match only."""
+    return let(split_once(text, pattern), lambda p: F.when(F.size(p) > 1, let(
+        F.concat(F.lit(open_ch), p[1]), lambda tail: balanced(tail, F.lit(1), budget, open_ch, close_ch))))
+
+
+def split_once(text, pattern: str) -> Column:
+    """The text in front of the first match and behind it; the whole text without one."""
+    return F.split(_c(text), pattern, 2)
+
+
 # --------------------------------------------------------------------------- T3
 def before(text, pos, n: int) -> Column:
     """``text[max(0, p-n):p]`` for the 1-based position ``pos`` (= p + 1)."""
@@ -210,15 +227,17 @@ def bracket_pairs(text, open_ch: str = "{", close_ch: str = "}") -> Column:
     """
     pieces = F.split(_c(text), "(?=[" + "\\" + open_ch + "\\" + close_ch + "])", -1)
 
-    def step(state, p):
+    def sized(p):
         first = F.substring(p, 1, 1)
-        sign = F.when(first == open_ch, 1).when(first == close_ch, -1).otherwise(0)
-        at, depth = state["at"], state["depth"]
-        mark = F.when(sign != 0, F.struct((depth + F.when(sign > 0, 1).otherwise(0)).alias("level"), at.alias("pos"),
+        return F.struct(F.when(first == open_ch, 1).when(first == close_ch, -1).otherwise(0).alias("sign"), F.length(p).alias("n"))
+
+    def step(state, p):
+        at, depth, sign = state["at"], state["depth"], p["sign"]
+        mark = F.when(sign != 0, F.struct(F.when(sign > 0, depth + 1).otherwise(depth).alias("level"), at.alias("pos"),
                                           (sign > 0).alias("open")))
-        return F.struct((at + F.length(p)).alias("at"), (depth + sign).alias("depth")), mark
+        return F.struct((at + p["n"]).alias("at"), (depth + sign).alias("depth")), mark
 
-    marks = scan(pieces, F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth")), step,
+    marks = scan(F.transform(pieces, sized), F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth")), step,
                  "struct<level:int,pos:int,open:boolean>", "struct<at:int,depth:int>")
 
     def partners(xs):
@@ -246,22 +265,34 @@ def blocks(text, pattern: str, open_ch: str = "{", close_ch: str = "}", open_fir
     The opening bracket is the match's last character (``open_first``: its
     first); the body runs from there to the partner, from the match's start if
     ``keep_header``. It is ``''`` if the bracket never closes or, only where a
-    ``budget`` is given, if the body is longer. One pass finds all partners, and
-    only the blocks are carried on, not the text.
+    ``budget`` is given, if the body is longer. One pass finds all partners (for
+    up to ``FEW_BLOCKS`` matches one per match), and only the blocks are carried
+    on, not the text.
     """
     text = _c(text)
 
-    def with_body(pairs):
+    def bodies(found, close_of):
         def one(h):
             at = h["pos"] if open_first else h["pos"] + F.length(h["m"]) - 1
             start = h["pos"] if keep_header else at
-            n = F.coalesce(F.try_element_at(pairs, at) - start + 1, F.lit(0))
-            fits = (n > 0) & (n <= budget) if budget else n > 0
-            return F.struct(h["pos"].alias("pos"), h["m"].alias("m"),
-                            F.when(fits, F.substring(text, start, n)).otherwise(F.lit("")).alias("body"))
-        return F.transform(finditer(text, pattern), one)
+
+            def cut(n):
+                fits = (n > 0) & (n <= budget) if budget else n > 0
+                return F.struct(h["pos"].alias("pos"), h["m"].alias("m"),
+                                F.when(fits, F.substring(text, start, n)).otherwise(F.lit("")).alias("body"))
+            return let(F.coalesce(close_of(at) - start + 1, F.lit(0)), cut)
+        return F.transform(found, one)
+
+    def single(at):
+        """Partner of the bracket at ``at``; null if it has none."""
+        return F.nullif(block_end(text, at, None, open_ch, close_ch), F.lit(0)) + at - 1
+
+    def of_matches(found):
+        # for a few blocks a count from each is less work than the partners of all brackets
+        return F.when(F.size(found) <= FEW_BLOCKS, bodies(found, single)).otherwise(
+            let(bracket_pairs(text, open_ch, close_ch), lambda pairs: bodies(found, lambda at: F.try_element_at(pairs, at))))
     # texts without a match need no brackets
-    return F.when(text.rlike(pattern), let(bracket_pairs(text, open_ch, close_ch), with_body))
+    return F.when(text.rlike(pattern), let(finditer(text, pattern), of_matches))
 
 
 # --------------------------------------------------------------------------- nesting

@@ -24,8 +24,14 @@ from codefacts.session import shuffled
 # Extraction patterns (Java syntax; same matches as the analysed
 # tool's Python patterns)
 # ----------------------------------------------------------------------------
-RX_TEMPLATE = r"<template>([\s\S]*?)</template>"
-RX_SCRIPT = r"<script>([\s\S]*?)</script>"
+def _up_to(tag: str) -> str:
+    """A group up to the first closing ``tag``, and that tag. It runs over whole
+    pieces between ``<``: a reluctant repeat tries the tag behind every character."""
+    return rf"((?:[^<]++|<(?!/{tag}>))*+)</{tag}>"
+
+
+RX_TEMPLATE = r"<template>" + _up_to("template")
+RX_SCRIPT = r"<script>" + _up_to("script")
 RX_CLIENT_CALL = r"(?U)Client\.(\w+)\s*\("
 RX_THIS_CALL = r"(?U)this\.(\w+)\s*\("
 RX_DISPATCH = r"""(?U)dispatch\s*\(\s*['"](\w+)['"]"""
@@ -52,7 +58,8 @@ RX_POLL_STOP = r"(?U)if\s*\(([^)]+)\)[^{]*\{[^}]*clearInterval"
 RX_POLL_SUCCESS = r"(?U)(?:isRegistration\w+|registration_id)\s*[!=]=+\s*\w+"
 RX_CLICK_TERNARY = (r"""(?iU)@click\s*=\s*"([^"]*(?:semester|term|type|status|SPRING|FALL)[^"]*)\?"""
                     r"""\s*(\w+)\s*\(\)\s*:\s*(\w+)\s*\(\)\"""")
-RX_SCRIPT_TERNARY = (r"(?iU)([^\n;]+(?:semester|term|type|status|role|SPRING|FALL)[^\n;]*)\?"
+# where it fails at the start of a line or statement, or behind a match, it fails in the rest of that line too
+RX_SCRIPT_TERNARY = (r"(?iU)(?:\G|(?<![^\n;]))([^\n;]+(?:semester|term|type|status|role|SPRING|FALL)[^\n;]*)\?"
                      r"\s*(\w+)\s*\(\)\s*:\s*(\w+)\s*\(\)")
 # the part of it that can be found without trying every character of a line as the start
 RX_SCRIPT_CHOICE = r"(?U)\?\s*\w+\s*\(\)\s*:\s*\w+\s*\(\)"
@@ -65,15 +72,15 @@ RX_IF_COND = r"(?U)if\s*\(([^)]{3,})\)"
 RX_GETTER_COND = r"(?U)if\s*\(([^)]+)\)\s*\{[\s\S]*?return\s+\w+"
 RX_RETURN_FALSE = r"(?U)return\s+false"
 RX_DISABLED = r""":disabled\s*=\s*"((?:[^"\\]|\\.)*+)\""""
-RX_SELECT = r"<select[^>]*>([\s\S]*?)</select>"
+RX_SELECT = r"<select[^>]*>" + _up_to("select")
 RX_OPTION = r"""<option[^>]*value=['"]([^'"]+)['"][^>]*>([^<]+)</option>"""
 RX_TITLE = r"""(?U)<p\s+class=['"](?:title|solo_title)['"][^>]*>([^<]+)</p>"""
-RX_THEAD = r"<thead>([\s\S]*?)</thead>"
-RX_TR_ATTR = r"<tr([^>]*)>([\s\S]*?)</tr>"
+RX_THEAD = r"<thead>" + _up_to("thead")
+RX_TR_ATTR = r"<tr([^>]*)>" + _up_to("tr")
 RX_TD_TEXT = r"<td[^>]*>([^<]*)</td>"
-RX_TBODY = r"<tbody>([\s\S]*?)</tbody>"
-RX_TR = r"<tr[^>]*>([\s\S]*?)</tr>"
-RX_TD = r"<td[^>]*>([\s\S]*?)</td>"
+RX_TBODY = r"<tbody>" + _up_to("tbody")
+RX_TR = r"<tr[^>]*>" + _up_to("tr")
+RX_TD = r"<td[^>]*>" + _up_to("td")
 RX_TAG = r"<[^>]+>"
 RX_VMODEL = r"""(?U)v-model\s*=\s*['"]([^'"]+)['"]"""
 RX_INPUT_TYPE = r"""(?U)type\s*=\s*['"]([^'"]+)['"]"""
@@ -83,7 +90,7 @@ RX_BARE_READONLY = r"(?U)\breadonly\b(?!\s*=)"
 RX_REQUIRED_CLASS = r"""class=['"][^'"]*(needs)[^'"]* ['"]"""
 REQUIRED_STAR = '<span class="needs">*'
 RX_VFOR = r"""(?U)v-for\s*=\s*['"](?:\((\w+)(?:,\s*\w+)?\)|(\w+))\s+in\s+\w+['"]"""
-RX_MEMBER_PAIR = r"(?U)(?<!\w)(\w++)\.(?=(\w+))"
+RX_MEMBER_CHAIN = r"(?U)(?<!\w)\w++(?:\.\w++)++"
 RX_STORE_ACTION = r"(?U)(?:async\s+)?(?<!\w)(\w++)\s*+\(\s*\{[^}]*\}\s*(?:,\s*[^)]+)?\)\s*\{"
 RX_STORE_GETTER = r"(?U)(?<!\w)(\w++)\s*+\(\s*state\s*\)\s*\{"
 RX_STATE_BLOCK = r"(?U)state\s*:\s*\{([^}]+)\}"
@@ -244,8 +251,7 @@ def lifecycle_list(script="script", hooks=P.LIFECYCLE_HOOKS, budget: int | None
     """Calls of the first ``created()`` / ``mounted()`` body, one struct per
     hook; hooks without calls omitted."""
     def of_hook(hook):
-        found = T.blocks(script, r"(?U)" + hook + r"\s*\(\s*\)\s*\{", budget=budget)
-        return T.let(F.get(found, F.lit(0))["body"], lambda body: F.struct(
+        return T.let(T.first_block(script, r"(?U)" + hook + r"\s*\(\s*\)\s*\{", budget=budget), lambda body: F.struct(
             F.lit(hook).alias("lifecycle_hook"), client_call_list(body).alias("direct_calls"),
             dispatch_list(body).alias("dispatch_calls"), this_call_list(body).alias("indirect_calls")))
     return F.filter(F.array(*map(of_hook, hooks)), lambda h: (
@@ -447,14 +453,20 @@ def form_fields(components: DataFrame) -> DataFrame:
 def vfor_fields(template, skip=P.VFOR_FIELD_SKIP) -> Column:
     """Sorted distinct property names used on any ``v-for`` loop variable.
 
-    All ``a.b`` pairs are taken once with a look-ahead (``a.b.c`` gives both
-    pairs) and kept when ``a`` is a loop variable; no per-row dynamic pattern.
+    All chains ``a.b.c`` are taken in one walk, cut into their words, and a word is
+    kept when the one in front of it is a loop variable; no per-row dynamic pattern.
     """
     loops = T.groups(template, RX_VFOR, 2)
     vars_ = F.transform(loops, lambda g: F.when(g["g1"] != "", g["g1"]).otherwise(g["g2"]))
-    pairs = T.groups(template, RX_MEMBER_PAIR, 2)
-    hit = F.filter(pairs, lambda p: F.array_contains(vars_, p["g1"]) & ~F.array_contains(_str_array(skip), p["g2"]))
-    return F.array_sort(F.array_distinct(F.transform(hit, lambda p: p["g2"])))
+
+    def members(names):
+        def of_chain(words):
+            return F.filter(F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.when(
+                F.array_contains(names, a), b)), lambda b: b.isNotNull() & ~F.array_contains(_str_array(skip), b))
+        chains = F.transform(T.findall(template, RX_MEMBER_CHAIN, 0), lambda c: F.split(c, r"\.", -1))
+        found = F.array_sort(F.array_distinct(F.flatten(F.transform(chains, of_chain))))
+        return F.when(F.size(names) > 0, found).when(names.isNotNull(), F.array().cast("array<string>"))
+    return T.let(vars_, members)
 
 
 # ------------------------------------------------------------------ H28-H30

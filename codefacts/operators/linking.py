@@ -149,14 +149,16 @@ def component_map(components: DataFrame, routes: DataFrame) -> DataFrame:
     ``components`` may be ``component_facts``; its calls with endpoints and
     requirements are ``call_requirements``, their parameters ``api_params``."""
     messages = F.filter("validation_messages", lambda m: m["type"] == "validation")
-    cm = (_facts(components).where((F.size("client_calls") > 0) | (F.size("store_dispatches") > 0))
-          .select("file", "store_dispatches", (F.size("polling") > 0).alias("has_polling"),
+    # read before the filter, which would read the texts a second time
+    cm = (_facts(components)
+          .select("file", "store_dispatches", ((F.size("client_calls") > 0) | (F.size("store_dispatches") > 0)).alias("_calls"),
+                  (F.size("polling") > 0).alias("has_polling"),
                   (F.size("conditional_api_branches") > 0).alias("has_conditional_api"),
                   (F.size("lifecycle_auto_calls") > 0).alias("has_auto_load"),
                   (F.size("confirmation_guards") > 0).alias("has_confirmation_guard"),
                   F.transform(messages, lambda m: F.struct(m["message"].alias("message"), m["condition"].alias("condition")))
                   .alias("messages"), F.size(messages).cast("bigint").alias("validation_messages")))
-    cm = cut(cm)
+    cm = cut(cm).where("_calls")
     return (cm.join(shuffled(component_routes(cm, routes)), "file", "left")
             .select("file", "route", "required_roles", "has_polling", "has_conditional_api", "has_auto_load",
                     "has_confirmation_guard", "validation_messages", "store_dispatches", "messages"))
@@ -248,10 +250,11 @@ def ui_pages(components: DataFrame, routes: DataFrame) -> DataFrame:
     """Pages with any UI fact: ``(component, route, required_roles,
     breadcrumb, table_columns, form_fields, list_item_fields)``, the last three as
     lists. ``components`` may be ``component_facts``."""
+    # read before the filter, which would read the texts a second time
     u = cut(_facts(components).select("file", F.col("page_title").alias("breadcrumb"), "table_columns", "form_fields",
-                                      F.col("vfor_fields").alias("list_item_fields"))
-            .where((F.coalesce("breadcrumb", F.lit("")) != "") | (F.size("table_columns") > 0)
-                   | (F.size("form_fields") > 0) | (F.size("list_item_fields") > 0)))
+                                      F.col("vfor_fields").alias("list_item_fields")))
+    u = u.where((F.coalesce("breadcrumb", F.lit("")) != "") | (F.size("table_columns") > 0)
+                | (F.size("form_fields") > 0) | (F.size("list_item_fields") > 0))
     return (u.join(shuffled(component_routes(u, routes)), "file", "left")
             .select(F.col("file").alias("component"), "route", "required_roles", "breadcrumb", "table_columns",
                     "form_fields", "list_item_fields"))
