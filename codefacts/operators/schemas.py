@@ -235,30 +235,35 @@ def rule_schemas(spark: SparkSession, rule_records: DataFrame, entry_points: Dat
     ov = (overrides if isinstance(overrides, DataFrame)
           else spark.createDataFrame(list(overrides), "_oh string, _os string"))
     ov = ov.toDF("_oh", "_os").withColumn("_ov", F.lit(True))
-    r = rule_records.join(shuffled(ep), rule_records["entrypoint_id"] == ep["_ep"], "left")
-    enriched = F.col("_ep").isNotNull() & F.coalesce(F.col("handler") != "", F.lit(False))
-    r = r.withColumn("enriched", enriched)
+    # handler and structs are those of the endpoint: found once for each, then joined to its rules
     h = F.col("handler")
+    enriched = F.coalesce(h != "", F.lit(False))
     cap = F.concat(F.upper(F.substring(h, 1, 1)), F.substring(h, 2, 1 << 30))
     names = registry.select("name")
     cands = {"p1": F.concat(h, F.lit("Param")), "p2": F.concat(cap, F.lit("Param")),
              "r1": F.concat(h, F.lit("Resp")), "r2": F.concat(cap, F.lit("Resp"))}
     for k, c in cands.items():
         n = names.select(F.col("name").alias(f"_{k}"))
-        r = r.withColumn(f"_c{k}", c).join(shuffled(n), F.col(f"_c{k}") == F.col(f"_{k}"), "left")
+        ep = ep.withColumn(f"_c{k}", c).join(shuffled(n), F.col(f"_c{k}") == F.col(f"_{k}"), "left")
     # no broadcast hint: an override table may grow with the code base; AQE
     # broadcasts it from its measured size when it is small
-    r = r.join(shuffled(ov), h == F.col("_oh"), "left")
+    ep = ep.join(shuffled(ov), h == F.col("_oh"), "left")
     req = F.when(F.col("_ov").isNotNull(), F.col("_os")).otherwise(F.coalesce("_p1", "_p2"))
     resp = F.coalesce("_r1", "_r2")
     reg_names = names.select(F.col("name").alias("_qn"))
-    r = (r.withColumn("request_struct", F.when(enriched, req))
-         .withColumn("response_struct", F.when(enriched, resp))
-         .join(shuffled(reg_names), F.col("request_struct") == F.col("_qn"), "left"))
-    return r.select("rule_id", "ord", "entrypoint_id", "enriched", "handler", "method",
-                    "request_struct", F.col("_qn").isNotNull().alias("request_found"),
-                    "response_struct", F.col("response_struct").isNotNull().alias("response_found"),
-                    F.coalesce(F.col("_ov"), F.lit(False)).alias("override"))
+    ep = (ep.withColumn("request_struct", F.when(enriched, req))
+          .withColumn("response_struct", F.when(enriched, resp))
+          .join(shuffled(reg_names), F.col("request_struct") == F.col("_qn"), "left")
+          .select("_ep", enriched.alias("enriched"), "handler", "method", "request_struct",
+                  F.col("_qn").isNotNull().alias("request_found"), "response_struct",
+                  F.col("response_struct").isNotNull().alias("response_found"),
+                  F.col("_ov").isNotNull().alias("override")))
+    r = rule_records.join(shuffled(ep), rule_records["entrypoint_id"] == ep["_ep"], "left")
+
+    def known(flag):
+        return F.coalesce(flag, F.lit(False)).alias(flag)
+    return r.select("rule_id", "ord", "entrypoint_id", known("enriched"), "handler", "method", "request_struct",
+                    known("request_found"), "response_struct", known("response_found"), known("override"))
 
 
 def attach_schemas(rs: DataFrame, schema_rows: DataFrame) -> DataFrame:
