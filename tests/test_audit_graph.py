@@ -61,6 +61,49 @@ def test_effect_slice(spark, edges):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def slices(spark, edges, starts, effects, **kw):
+    got = A.effect_slice(spark.createDataFrame(edges, EDGE), spark.createDataFrame([(s,) for s in starts], "source string"),
+                         spark.createDataFrame([(n, "db", "q " + n) for n in effects],
+                                               "function_name string, kind string, effect string"), **kw).collect()
+    assert len(got) == len(set(got))
+    return {(r.source, r.function_name) for r in got}
+
+
+@pytest.mark.parametrize("seed, bound", [(5, 0), (6, 4)])
+def test_effect_slice_in_rounds(spark, seed, bound):
+    """Above the bound of one task components and turns come from rounds of joins, with the same
+    rows; few sources walk down, few effects walk back."""
+    edges = graph(seed, 30, 36)
+    nodes = sorted({n for e in edges for n in e})
+    few, many = nodes[:2], nodes[::2]
+    for starts, effects in ((few, many), (many, few)):
+        want = {(a, b) for a in starts for b in effects if b in walk(edges, a)}
+        assert slices(spark, edges, starts, effects, in_one_task=bound) == want
+
+
+@pytest.mark.parametrize("bound", [0, 5, 1000])
+def test_turns(spark, bound):
+    edges = [e for e in graph(9, 40, 45) if int(e[0][1:]) < int(e[1][1:])]
+    turns, last = A._turns(spark.createDataFrame(edges, EDGE), bound)
+    turn = {r.node: r.turn for r in turns.collect()}
+    assert turns.count() == len(turn) and set(turn) == {n for e in edges for n in e}
+    assert all(turn[a] < turn[b] for a, b in edges) and all((t == last) <= (n not in {a for a, _ in edges}) for n, t in turn.items())
+    assert min(turn.values()) >= 0 and max(turn.values()) <= last
+
+
+def test_slice_reads_no_pair_again(spark, monkeypatch):
+    """The walk from the sources found each pair by comparing every step with all pairs before, and components
+    came from rounds of colours even for a handful of edges."""
+    calls = [(f"c{i}", f"c{i + 1}") for i in range(30)] + [("c20", "c10")]
+    rounds, closure = [], A._closure
+    monkeypatch.setattr(A, "_smallest_before", None)                       # few edges: no colouring
+    monkeypatch.setattr(A, "_closure", lambda start, edges: rounds.append(
+        {r.source for r in start.select("source").collect()}) or closure(start, edges))
+    nodes = [f"c{i}" for i in range(31)]
+    assert slices(spark, calls, nodes, nodes[25:]) == {(a, b) for a in nodes for b in nodes[25:] if b in walk(calls, a)}
+    assert rounds == [{0}]                                                  # one closure, of nodes and not of pairs
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], EDGE)
     src = spark.createDataFrame([("a",)], "source string")
