@@ -166,6 +166,28 @@ def test_mirrored_documents(spark):
     w.abort([])
 
 
+def test_mirror_tasks_keep_drafts_apart():
+    """Drafts of all tasks in one folder made the tasks wait for each other at every file."""
+    from pyspark.sql import Row
+
+    from codefacts.sources import mirror as M
+    root = tempfile.mkdtemp(prefix="codefacts-mirror-")
+    w, seen = M.MirrorWriter(root), []
+
+    def rows(name):
+        yield Row(path=name + "/a.go", document="{}")
+        staging = next(os.path.join(root, x) for x in os.listdir(root) if x.startswith("_staging"))
+        seen.append(sorted(os.listdir(staging)))
+        assert all(os.path.isdir(os.path.join(staging, x)) for x in seen[-1])
+        if name == "one":
+            seen.append(w.write(rows("two")))          # another task at the same time
+        yield Row(path=name + "/b.go", document="{}")
+    first = w.write(rows("one"))
+    w.commit([first, seen[2]])
+    assert len(seen[0]) == 1 and len(seen[1]) == 2 and set(seen[0]) < set(seen[1])
+    assert _files(root) == ["_SUCCESS", "one/a.go.json", "one/b.go.json", "two/a.go.json", "two/b.go.json"]
+
+
 def test_phase_states(spark):
     from codefacts.operators import audit as A
     base = tempfile.mkdtemp(prefix="codefacts-phases-")

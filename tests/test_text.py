@@ -113,3 +113,24 @@ def test_script_choices_with_and_without_a_ternary(spark):
     got = {r.file: (r.condition, list(r.true_calls), list(r.false_calls)) for r in C.conditional_api(df).where("pattern = 'script_ternary'").collect()}
     assert got == {"0": ("x = a.type === 'B'", ["listA"], ["listB"]), "4": ("v = status", ["a"], ["b"]),
                    "5": ("const t = term", ["go"], ["stay"])}
+
+
+def test_top_pieces_at_any_depth(spark):
+    """Whole runs are taken by a pattern of a few levels; deeper and unpaired brackets are counted as before."""
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("()[]{}(){};;\nab é") for _ in range(rnd.randrange(60))) for _ in range(150)]
+    texts += ["", ";", "(" * 40 + ";" + ")" * 40 + ";x", "a;" + "{[(" * 9 + ";x;" + ")]}" * 9 + ";b\n(", "}};(;" + "()" * 50 + ";);"]
+
+    def want(text):
+        depth, start, out = 0, 0, []
+        for i, c in enumerate(text):
+            if c in ";\n" and not depth:
+                out.append((start + 1, i - start))
+                start = i + 1
+            depth = depth + 1 if c in "([{" else max(depth - 1, 0) if c in ")]}" else depth
+        return out + [(start + 1, len(text) - start)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.top_pieces("t", r"\n;").alias("p"))
+    assert all([tuple(p) for p in r.p] == want(r.t) for r in df.collect())
+    # the fold has a step per declaration, not per line of the bodies
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
